@@ -29,8 +29,12 @@ def decode_events(raw: DataFrame, value_col: str = "value", schema: T.StructType
         value = value.cast("string")
     parsed = raw.select(*keep, parse_json_struct(value, schema, keep_corrupt).alias("data"))
     fields = [f.name for f in schema.fields]
-    extra = ["_corrupt_record"] if keep_corrupt else []
-    flat = parsed.select(*keep, *[F.col("data")[f].alias(f) for f in fields + extra])
+    # Flatten through a generator (one output row per input row, a NULL
+    # struct gives a row of NULLs).  Filters cannot be pushed below a
+    # Generate, so the JSON is parsed once per row; flattening with
+    # ``data.field`` selects lets the optimizer inline ``from_json`` into
+    # every pushed-down predicate and parse the same text many times.
+    flat = parsed.select(*keep, F.inline(F.array(F.col("data"))))
     flat = flat.withColumn("event_time", iso_text_to_timestamp("event_ts"))
     all_null = F.lit(True)
     for f in fields:

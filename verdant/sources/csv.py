@@ -2,24 +2,45 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from verdant import schemas as S
 from verdant.operators.ordinals import with_file_ordinals
 
 
 def read_crop_csv(spark: SparkSession, path: str, ordinal_col: str | None = "event_id") -> DataFrame:
-    """All-text read (no inference).  Empty and missing trailing fields are NULL,
-    extra fields are dropped.  With ``ordinal_col`` each row gets its 1-based
-    position in file order (the upstream producer's running event id)."""
-    df = (spark.read.option("header", True).option("mode", "PERMISSIVE")
-          .schema(S.CROP_CSV_SCHEMA).csv(path))
-    return with_file_ordinals(df, ordinal_col) if ordinal_col else df
+    """Header-driven, all-text read (no type inference).
+
+    Columns are matched by header *name* (a user schema would be applied by
+    position); a column the files lack is NULL, empty and missing trailing
+    fields are NULL, extra fields are dropped.  With ``ordinal_col`` each
+    row gets its 1-based position in file order (the producer's running id).
+    """
+    raw = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
+    if ordinal_col:
+        raw = with_file_ordinals(raw, ordinal_col)
+    present = {c.lower(): c for c in raw.columns}
+    cols = [F.col(present[c.lower()]).alias(c) if c.lower() in present else F.lit(None).cast("string").alias(c)
+            for c in S.CROP_CSV_COLUMNS]
+    return raw.select(*([F.col(ordinal_col)] if ordinal_col else []), *cols)
+
 
+def stream_crop_csv(spark: SparkSession, folder: str, header_columns: Sequence[str] = S.CROP_CSV_COLUMNS,
+                    max_files_per_trigger: int | None = None) -> DataFrame:
+    """New CSV files landing in ``folder`` as a stream (each file read once).
 
-def stream_crop_csv(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """New CSV files landing in ``folder`` as a stream (each file read once)."""
-    reader = spark.readStream.option("header", True).schema(S.CROP_CSV_SCHEMA)
+    A stream needs its schema up front, so the files' header layout is given
+    as ``header_columns`` (all text); columns the crop mapping does not read
+    are dropped, columns it reads but the layout lacks are NULL.
+    """
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in header_columns])
+    reader = spark.readStream.option("header", True).schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.csv(folder)
+    raw = reader.csv(folder)
+    return raw.select(*[F.col(c) if c in header_columns else F.lit(None).cast("string").alias(c)
+                        for c in S.CROP_CSV_COLUMNS])
