@@ -95,3 +95,42 @@ def test_stream_in_one_batch_equals_batch(spark, workdir):
     b = catalog.q_window_metrics(spark, SF001)
     assert a.count() == b.count()
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_run_streaming_job_on_landed_records(spark, workdir):
+    from verdant.options import JobOptions
+    from verdant.sinks.publish import to_keyed_records, write_records
+    from verdant.sources.testdata import sensor_events
+    from verdant.streaming.job import run_streaming_job
+    from tests.conftest import SF001
+    ev = sensor_events(spark, SF001, with_text_time=True).withColumn("event_id", F.col("event_id").cast("int"))
+    rec = to_keyed_records(ev)
+    bad = spark.createDataFrame([("gh-0", "not json", "x")], "key string, value string, topic string")
+    write_records(rec.unionByName(bad), fmt="parquet", path=workdir + "/landing")
+    opts = JobOptions(table_root=workdir + "/tables", checkpoint_root=workdir + "/ck")
+    qs = run_streaming_job(spark, opts, fmt="parquet", path=workdir + "/landing", trigger="availableNow", wait=False)
+    for q in qs.values():
+        q.awaitTermination()
+    from verdant.sources.tables import read_table
+    wm = read_table(spark, workdir + "/tables", "window_metrics")
+    wms = read_table(spark, workdir + "/tables", "window_metrics_by_source")
+    total = ev.count()
+    assert wm.groupBy().sum("event_count").first()[0] == total
+    assert wms.groupBy().sum("event_count").first()[0] == total
+    rej = spark.read.parquet(workdir + "/tables/rejects")
+    assert [r["reject_reason"] for r in rej.collect()] == ["unparseable_payload"]
+
+
+def test_crop_csv_stream(spark, workdir):
+    from verdant.operators.normalize import normalize_crop_rows
+    from verdant.sources.csv import stream_crop_csv
+    os.makedirs(workdir + "/csv")
+    with open(workdir + "/csv/a.csv", "w") as f:
+        f.write("greenhouse_id,crop_type,avg_temperature_C,humidity_percent,co2_ppm,light_intensity_lux,"
+                "irrigation_mm\n2,Tomato,21.5,60,800,9000,5\n")
+    rows = stream_crop_csv(spark, workdir + "/csv").withColumn("event_id", F.lit(1))
+    out = []
+    q = (normalize_crop_rows(rows).writeStream.foreachBatch(lambda df, i: out.extend(df.collect()))
+         .option("checkpointLocation", workdir + "/ck").trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert len(out) == 1 and out[0]["greenhouse_id"] == "alm-nijar" and out[0]["soil_moisture_pct"] == 30.0

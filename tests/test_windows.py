@@ -44,3 +44,15 @@ def test_by_source_counts_sum_to_greenhouse_counts(spark):
     assert a == b == ev.count()
     cols = window_metrics_by_source(ev).columns
     assert cols[:3] == ["data_source", "source_topic", "greenhouse_id"]
+
+
+def test_batch_job_writes_table(spark, workdir):
+    import datetime as dt
+    from verdant.plans.batch_job import run_batch_job
+    from verdant.schemas import BATCH_EVENT_SCHEMA
+    rows = [("s1", "gh-a", "north", 20.0, 50.0, 400.0, 30.0, 1000.0, 1767225599999),
+            ("s2", "gh-a", "south", 22.0, 52.0, 420.0, 30.0, 1000.0, 1767225600000)]
+    df = spark.createDataFrame(rows, BATCH_EVENT_SCHEMA)
+    table = run_batch_job(spark, df, workdir + "/tables", batch_id=0, millis_col="event_ts")
+    got = sorted((r["window_start"], r["event_count"]) for r in table.latest(spark).collect())
+    assert got == [(dt.datetime(2025, 12, 31, 23, 55), 1), (dt.datetime(2026, 1, 1, 0, 0), 1)]

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from verdant.operators.decode import batch_events_with_time
 from verdant.operators.windows import window_metrics
-from verdant.schemas import WINDOW_METRICS
+from verdant.schemas import BATCH_EVENT_SCHEMA, WINDOW_METRICS
 from verdant.session import shared_root
+from verdant.sinks.publish import formatted_rows
 from verdant.sinks.upsert import UpsertTable
 
 
@@ -26,3 +27,17 @@ def run_batch_job(spark: SparkSession, events: DataFrame, table_root: str | None
     table = UpsertTable(f"{table_root}/{WINDOW_METRICS.name}", WINDOW_METRICS, run_id=run_id)
     table.write_batch(batch_window_metrics(events, millis_col), batch_id)
     return table
+
+
+if __name__ == "__main__":
+    import sys
+
+    from verdant.session import build_session
+
+    # usage: python -m verdant.plans.batch_job <parquet or json path of batch events> [batch_id]
+    spark = build_session(app_name="verdant-batch")
+    path = sys.argv[1]
+    fmt = "json" if path.endswith(".json") else "parquet"
+    rows = spark.read.format(fmt).schema(BATCH_EVENT_SCHEMA).load(path)
+    table = run_batch_job(spark, rows, batch_id=int(sys.argv[2]) if len(sys.argv) > 2 else 0, millis_col="event_ts")
+    formatted_rows(table.latest(spark)).show(truncate=False)

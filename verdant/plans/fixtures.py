@@ -63,7 +63,7 @@ def observation_rows(events: DataFrame) -> DataFrame:
     v = F.col("value")
     none = F.lit(None).cast("string")
     return events.select(
-        (F.col("event_id") / RESPONSE_SIZE).cast("long").alias("response_id"),
+        F.expr(f"event_id div {RESPONSE_SIZE}").alias("response_id"),
         F.col("event_id").alias("seq"),
         F.format_string("ST%04d", F.col("user_id")).alias("idema"),
         F.when(et == "error", F.lit("n/a")).when(et == "view", none)

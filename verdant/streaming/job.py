@@ -89,3 +89,9 @@ def run_streaming_job(spark: SparkSession, opts: JobOptions | None = None, fmt:
     if wait:
         spark.streams.awaitAnyTermination()
     return queries
+
+
+if __name__ == "__main__":
+    from verdant.session import build_session
+
+    run_streaming_job(build_session(app_name="verdant-streaming"), JobOptions.from_env())
