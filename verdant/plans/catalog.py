@@ -242,14 +242,14 @@ SELECT greenhouse_id AS key,
                    'temperature_c', temperature_c, 'humidity_pct', humidity_pct, 'co2_ppm', co2_ppm,
                    'soil_moisture_pct', soil_moisture_pct, 'light_lux', light_lux, 'data_source', data_source,
                    'source_topic', source_topic,
-                   'event_ts', strftime(event_time, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00') AS value,
+                   'event_ts', strftime(event_time, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00')::VARCHAR AS value,
        source_topic AS topic
 FROM ({SENSOR_VIEW_SQL}) s"""
 
 SENT_SQL = f"""
 SELECT json_object('topic', source_topic, 'event_id', event_id, 'data_source', data_source,
                    'greenhouse_id', greenhouse_id, 'temperature_c', temperature_c,
-                   'humidity_pct', humidity_pct) AS sent
+                   'humidity_pct', humidity_pct)::VARCHAR AS sent
 FROM ({SENSOR_VIEW_SQL}) s"""
 
 FORMATTED_SQL = f"""
@@ -545,7 +545,7 @@ def _footer_sql() -> str:
     sel = ", ".join(f"'{s}'" for s in SELECTED_GREENHOUSES)
     return f"""
 SELECT {sql_r6('sum(avg_temperature)')} AS sum_avg_temperature, {sql_r6('sum(avg_humidity)')} AS sum_avg_humidity,
-       {sql_r6('sum(avg_co2)')} AS sum_avg_co2, sum(event_count) AS sum_event_count
+       {sql_r6('sum(avg_co2)')} AS sum_avg_co2, CAST(sum(event_count) AS BIGINT) AS sum_event_count
 FROM ({WM_RAW_SQL}) w
 WHERE greenhouse_id IN ({sel}) AND window_start > {_ts(RANGE_LO)} AND window_start < {_ts(AS_OF)}"""
 
@@ -563,7 +563,8 @@ def _rollup_sql() -> str:
 
     return f"""
 SELECT data_source AS series, window_start, {wavg('avg_temperature')} AS avg_temperature,
-       {wavg('avg_humidity')} AS avg_humidity, {wavg('avg_co2')} AS avg_co2, sum(event_count) AS event_count
+       {wavg('avg_humidity')} AS avg_humidity, {wavg('avg_co2')} AS avg_co2,
+       CAST(sum(event_count) AS BIGINT) AS event_count
 FROM ({WMS_RAW_SQL}) w
 WHERE data_source IN ({sel}) AND window_start > {_ts(RANGE_LO)} AND window_start < {_ts(AS_OF)}
 GROUP BY ALL"""
