@@ -134,3 +134,15 @@ def test_crop_csv_stream(spark, workdir):
          .option("checkpointLocation", workdir + "/ck").trigger(availableNow=True).start())
     q.awaitTermination()
     assert len(out) == 1 and out[0]["greenhouse_id"] == "alm-nijar" and out[0]["soil_moisture_pct"] == 30.0
+
+
+def test_stream_compaction_every_batch(spark, workdir):
+    _land(workdir + "/in", BATCHES)
+    tables = workdir + "/tables"
+    qs = start_table_queries(_stream(spark, workdir + "/in"), tables, workdir + "/ck", trigger="availableNow",
+                             tables=("window_metrics",), compact_every=2)
+    qs["window_metrics"].awaitTermination()
+    t = UpsertTable(tables + "/window_metrics", WINDOW_METRICS)
+    assert t.current_base(spark) is not None
+    got = sorted((_hm(r["window_start"]), r["avg_temperature"], r["event_count"]) for r in t.latest(spark).collect())
+    assert got == [("12:00", 50.5, 2), ("12:05", 5.0, 4), ("12:15", 3.0, 1), ("12:20", 9.0, 1)]

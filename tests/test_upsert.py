@@ -66,3 +66,35 @@ def test_partition_pruning_reaches_scan(spark, workdir):
     assert "PartitionFilters: [isnotnull(greenhouse_id" in plan
     assert "PushedFilters: [IsNotNull(window_start), GreaterThan(window_start" in plan
     assert df.count() == 1
+
+
+def test_compaction_keeps_content_and_prunes_old_batches(spark, workdir):
+    t = UpsertTable(workdir + "/wm", S.WINDOW_METRICS, run_id="r1")
+    t.write_batch(_wm(spark, [("gh-0", T0, T1, 1.0, 1.0, 1.0, 1), ("gh-1", T0, T1, 1.0, 1.0, 1.0, 5)]), 0)
+    t.write_batch(_wm(spark, [("gh-0", T0, T1, 2.0, 2.0, 2.0, 2)]), 1)
+    before = sorted(tuple(r) for r in t.latest(spark).collect())
+    assert t.compact(spark) == ("r1", 1)
+    assert sorted(tuple(r) for r in t.latest(spark).collect()) == before
+    assert t.versions(spark).count() == 2  # only the base rows remain live
+    # replaying an old batch after compaction changes nothing; a newer batch wins
+    t.write_batch(_wm(spark, [("gh-0", T0, T1, 1.0, 1.0, 1.0, 1)]), 0)
+    assert sorted(tuple(r) for r in t.latest(spark).collect()) == before
+    t.write_batch(_wm(spark, [("gh-0", T0, T1, 3.0, 3.0, 3.0, 3)]), 2)
+    got = {r["greenhouse_id"]: r["event_count"] for r in t.latest(spark).collect()}
+    assert got == {"gh-0": 3, "gh-1": 5}
+    # a second compaction supersedes the first
+    assert t.compact(spark) == ("r1", 2)
+    assert {r["greenhouse_id"]: r["event_count"] for r in t.latest(spark).collect()} == got
+
+
+def test_compaction_keeps_versions_for_legacy_view(spark, workdir):
+    t = UpsertTable(workdir + "/wms", S.WINDOW_METRICS_BY_SOURCE, run_id="r1")
+    row = ("csv", "topic.b", "gh-0", T0, T1, 2.0, 2.0, 2.0, 2)
+    t.write_batch(spark.createDataFrame([row], S.WINDOW_METRICS_BY_SOURCE_SCHEMA), 0)
+    t.write_batch(spark.createDataFrame([("csv", "topic.a", "gh-0", T0, T1, 1.0, 1.0, 1.0, 1)],
+                                        S.WINDOW_METRICS_BY_SOURCE_SCHEMA), 1)
+    legacy = t.latest(spark, key=S.LEGACY_BY_SOURCE_KEY, tie=("source_topic",)).first()
+    assert legacy["source_topic"] == "topic.a"  # the later batch wins over the greater topic
+    t.compact(spark)
+    after = t.latest(spark, key=S.LEGACY_BY_SOURCE_KEY, tie=("source_topic",)).first()
+    assert after["source_topic"] == "topic.a"

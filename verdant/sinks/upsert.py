@@ -5,6 +5,12 @@ Writing batch N again overwrites only its own folder, so a replayed
 micro-batch changes nothing.  Readers go through :meth:`UpsertTable.latest`,
 which keeps per primary key the row of the greatest (run_id, batch_id),
 i.e. last write wins, as an overwrite-by-key store does.
+
+:meth:`UpsertTable.compact` rewrites the current content as a base version
+``<root>/_base/version=<run>__<batch>/`` and records it in ``_base/_CURRENT``;
+readers then take the base plus only the batch folders newer than it
+(partition pruning skips the rest), so reads stop growing with the number of
+micro-batches.  Folders starting with ``_`` are invisible to the batch scan.
 """
 
 from __future__ import annotations
@@ -25,20 +31,49 @@ log = logging.getLogger(__name__)
 VERSION_FIELDS = [T.StructField("run_id", T.StringType()), T.StructField("batch_id", T.LongType())]
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return hpath, hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    hpath, fs = _fs(spark, path)
     return fs.exists(hpath)
 
 
+def _write_small_text(spark: SparkSession, path: str, text: str) -> None:
+    """Replace a small marker file (write a new file, then rename over the old one)."""
+    hpath, fs = _fs(spark, path)
+    tmp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path + "." + new_run_id())
+    out = fs.create(tmp, True)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+    if fs.exists(hpath):
+        fs.delete(hpath, False)
+    fs.rename(tmp, hpath)
+
+
+def _read_small_text(spark: SparkSession, path: str) -> str:
+    hpath, fs = _fs(spark, path)
+    stream = fs.open(hpath)
+    try:
+        reader = spark.sparkContext._jvm.java.io.BufferedReader(
+            spark.sparkContext._jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        return reader.readLine() or ""
+    finally:
+        stream.close()
+
+
 class UpsertTable:
     def __init__(self, root: str, spec: TableSpec, run_id: str | None = None,
-                 report: Callable[[str, int, int], None] | None = None):
+                 report: Callable[[str, int, int], None] | None = None, compact_every: int | None = None):
         self.root = root.rstrip("/")
         self.spec = spec
         self.run_id = run_id or new_run_id()
         self.report = report
+        # compact after every N-th micro-batch (None = never from the stream)
+        self.compact_every = compact_every
 
     @property
     def version_schema(self) -> T.StructType:
@@ -78,14 +113,80 @@ class UpsertTable:
                     self.report(self.spec.name, int(batch_id), int(rows))
             finally:
                 batch_df.unpersist()
+            if self.compact_every and (int(batch_id) + 1) % self.compact_every == 0:
+                self.compact(batch_df.sparkSession)
 
         return write
 
-    def versions(self, spark: SparkSession) -> DataFrame:
-        """Every written row with its run_id and batch_id."""
+    # ------------------------------------------------------------- reads
+
+    @property
+    def base_root(self) -> str:
+        return f"{self.root}/_base"
+
+    def current_base(self, spark: SparkSession) -> tuple[str, int] | None:
+        """(run_id, batch_id) covered by the current base version, if any."""
+        marker = f"{self.base_root}/_CURRENT"
+        if not path_exists(spark, marker):
+            return None
+        text = _read_small_text(spark, marker).strip()
+        run_id, batch_id = text.rsplit("__", 1)
+        return run_id, int(batch_id)
+
+    def _delta_versions(self, spark: SparkSession) -> DataFrame | None:
         if not path_exists(spark, self.root):
+            return None
+        try:
+            return spark.read.schema(self.version_schema).parquet(self.root)
+        except Exception as e:  # noqa: BLE001 - a root holding only the base folder has no data files
+            if "UNABLE_TO_INFER_SCHEMA" in str(e) or "PATH_NOT_FOUND" in str(e):
+                return None
+            raise
+
+    def versions(self, spark: SparkSession) -> DataFrame:
+        """Every live row with its run_id and batch_id (base version + newer batches)."""
+        deltas = self._delta_versions(spark)
+        base = self.current_base(spark)
+        if base is not None:
+            run_id, batch_id = base
+            newer = (F.col("run_id") > F.lit(run_id)) | (
+                (F.col("run_id") == F.lit(run_id)) & (F.col("batch_id") > F.lit(batch_id)))
+            # base rows keep the (run_id, batch_id) they were written with
+            base_rows = spark.read.schema(self.version_schema).parquet(
+                f"{self.base_root}/version={run_id}__{batch_id}")
+            if deltas is None:
+                return base_rows
+            return base_rows.unionByName(deltas.filter(newer))
+        if deltas is None:
             return spark.createDataFrame([], self.version_schema)
-        return spark.read.schema(self.version_schema).parquet(self.root)
+        return deltas
+
+    def compact(self, spark: SparkSession) -> tuple[str, int] | None:
+        """Rewrite the current content as a new base version; returns the version it covers.
+
+        The newest (run_id, batch_id) is read from partition values only; the
+        latest view is written once, sorted per partition value, then the
+        marker is switched.  A batch landing meanwhile is newer than the tag
+        and stays visible; a replayed older batch carries content the base
+        already has.
+        """
+        versions = self.versions(spark)
+        top = versions.select(F.max(F.struct("run_id", "batch_id")).alias("v")).first()["v"]
+        if top is None:
+            return None
+        tag = f"{top['run_id']}__{int(top['batch_id'])}"
+        latest = latest_by_key(versions, self.spec.primary_key, keep_version=True).select(
+            *self.spec.columns, "run_id", "batch_id")
+        spec = self.spec
+        order = [F.col(spec.partition_column)] + [
+            F.col(c).asc() if asc else F.col(c).desc() for c, asc in spec.sort_order
+        ]
+        (latest.repartition(F.col(spec.partition_column), F.col(spec.primary_key[-1]))
+               .sortWithinPartitions(*order)
+               .write.mode("overwrite").partitionBy(spec.partition_column)
+               .parquet(f"{self.base_root}/version={tag}"))
+        _write_small_text(spark, f"{self.base_root}/_CURRENT", tag)
+        return top["run_id"], int(top["batch_id"])
 
     def latest(self, spark: SparkSession, key: Sequence[str] | None = None, tie: Sequence[str] = ()) -> DataFrame:
         """Current table content: newest version per primary key."""

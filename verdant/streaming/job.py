@@ -50,7 +50,8 @@ def _apply_trigger(writer, trigger: str | None, opts: JobOptions):
 def start_table_queries(events: DataFrame, table_root: str, checkpoint_root: str, opts: JobOptions | None = None,
                         trigger: str | None = None, run_id: str | None = None,
                         report: Callable[[str, int, int], None] | None = None,
-                        tables: tuple[str, ...] = tuple(TABLE_KEYS)) -> dict[str, StreamingQuery]:
+                        tables: tuple[str, ...] = tuple(TABLE_KEYS),
+                        compact_every: int | None = None) -> dict[str, StreamingQuery]:
     """Start one update-mode query per table; each upserts through ``foreachBatch``."""
     opts = opts or JobOptions()
     run_id = run_id or new_run_id()
@@ -58,7 +59,8 @@ def start_table_queries(events: DataFrame, table_root: str, checkpoint_root: str
     started = {}
     for name in tables:
         spec, _ = TABLE_KEYS[name]
-        table = UpsertTable(f"{table_root}/{name}", spec, run_id=run_id, report=report)
+        table = UpsertTable(f"{table_root}/{name}", spec, run_id=run_id, report=report,
+                            compact_every=compact_every)
         writer = (aggs[name].writeStream.outputMode("update")
                   .option("checkpointLocation", f"{checkpoint_root}/{name}")
                   .foreachBatch(table.foreach_batch()))
