@@ -146,3 +146,22 @@ def test_stream_compaction_every_batch(spark, workdir):
     assert t.current_base(spark) is not None
     got = sorted((_hm(r["window_start"]), r["avg_temperature"], r["event_count"]) for r in t.latest(spark).collect())
     assert got == [("12:00", 50.5, 2), ("12:05", 5.0, 4), ("12:15", 3.0, 1), ("12:20", 9.0, 1)]
+
+
+def test_listener_reports_batches(spark, workdir):
+    from verdant.streaming.progress import BatchReportListener
+    _land(workdir + "/in", BATCHES[:2])
+    listener = BatchReportListener()
+    spark.streams.addListener(listener)
+    try:
+        agg = window_metrics(_stream(spark, workdir + "/in"), watermark="2 minutes")
+        q = (agg.writeStream.outputMode("update").format("noop").queryName("listened")
+             .option("checkpointLocation", workdir + "/ck").trigger(availableNow=True).start())
+        q.awaitTermination()
+        deadline = time.time() + 10
+        while time.time() < deadline and len([r for r in listener.reports if r["name"] == "listened"]) < 2:
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(listener)
+    rows = [r["input_rows"] for r in listener.reports if r["name"] == "listened"]
+    assert rows[:2] == [2, 2]

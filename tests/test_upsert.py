@@ -98,3 +98,19 @@ def test_compaction_keeps_versions_for_legacy_view(spark, workdir):
     t.compact(spark)
     after = t.latest(spark, key=S.LEGACY_BY_SOURCE_KEY, tie=("source_topic",)).first()
     assert after["source_topic"] == "topic.a"
+
+
+def test_files_sorted_in_table_order(spark, workdir):
+    import glob
+    import pyarrow.parquet as pq
+    from verdant.sources.tables import in_table_order
+    t = UpsertTable(workdir + "/wms", S.WINDOW_METRICS_BY_SOURCE)
+    rows = [("csv", "t", gh, T0 + dt.timedelta(minutes=5 * i), T1, 1.0, 1.0, 1.0, i)
+            for i in range(20) for gh in ("gh-1", "gh-0")]
+    t.write_batch(spark.createDataFrame(rows, S.WINDOW_METRICS_BY_SOURCE_SCHEMA).repartition(1), 0)
+    for f in glob.glob(workdir + "/wms/**/*.parquet", recursive=True):
+        tab = pq.read_table(f).to_pylist()
+        keys = [(-r["window_start"].timestamp(), r["greenhouse_id"]) for r in tab]
+        assert keys == sorted(keys)
+    first = in_table_order(t.latest(spark), S.WINDOW_METRICS_BY_SOURCE).first()
+    assert first["window_start"] == T0 + dt.timedelta(minutes=95) and first["greenhouse_id"] == "gh-0"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from verdant.schemas import WINDOW_METRICS, WINDOW_METRICS_BY_SOURCE, TableSpec
 from verdant.sinks.upsert import UpsertTable
@@ -17,3 +18,11 @@ def open_table(root: str, name: str) -> UpsertTable:
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return open_table(root, name).latest(spark)
+
+
+def in_table_order(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Rows in the table's key order: partition column, then its clustering order
+    (window_metrics: newest window first; by-source: newest first, then greenhouse)."""
+    order = [F.col(spec.partition_column).asc()] + [
+        F.col(c).asc() if asc else F.col(c).desc() for c, asc in spec.sort_order]
+    return df.orderBy(*order)

@@ -6,4 +6,4 @@ from verdant.streaming.job import (  # noqa: F401
     start_table_queries,
     stream_aggregates,
 )
-from verdant.streaming.progress import batch_summary  # noqa: F401
+from verdant.streaming.progress import BatchReportListener, batch_summary  # noqa: F401

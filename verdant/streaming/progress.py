@@ -2,19 +2,53 @@
 
 from __future__ import annotations
 
-from pyspark.sql.streaming import StreamingQuery
+import logging
+import threading
+
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+
+log = logging.getLogger(__name__)
+
+
+def _summary(p) -> dict:
+    state = p.stateOperators[0] if p.stateOperators else None
+    return {
+        "name": p.name,
+        "batch_id": p.batchId,
+        "input_rows": p.numInputRows,
+        "watermark": (p.eventTime or {}).get("watermark"),
+        "late_rows_dropped": state.numRowsDroppedByWatermark if state else 0,
+        "state_rows": state.numRowsTotal if state else 0,
+    }
 
 
 def batch_summary(query: StreamingQuery) -> list[dict]:
     """Compact view of the query's recent progress reports."""
-    out = []
-    for p in query.recentProgress:
-        state = p.stateOperators[0] if p.stateOperators else None
-        out.append({
-            "batch_id": p.batchId,
-            "input_rows": p.numInputRows,
-            "watermark": (p.eventTime or {}).get("watermark"),
-            "late_rows_dropped": state.numRowsDroppedByWatermark if state else 0,
-            "state_rows": state.numRowsTotal if state else 0,
-        })
-    return out
+    return [_summary(p) for p in query.recentProgress]
+
+
+class BatchReportListener(StreamingQueryListener):
+    """Logs one line per finished micro-batch of every query and keeps the
+    last ``keep`` summaries (driver-side, bounded)."""
+
+    def __init__(self, keep: int = 1000):
+        self.keep = keep
+        self.reports: list[dict] = []
+        self._lock = threading.Lock()
+
+    def onQueryStarted(self, event):
+        log.info("query started id=%s name=%s", event.id, event.name)
+
+    def onQueryProgress(self, event):
+        s = _summary(event.progress)
+        log.info("query=%s batch=%s rows=%s watermark=%s late=%s", s["name"], s["batch_id"], s["input_rows"],
+                 s["watermark"], s["late_rows_dropped"])
+        with self._lock:
+            self.reports.append(s)
+            del self.reports[:-self.keep]
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        log.info("query terminated id=%s exception=%s", event.id, event.exception)
