@@ -49,7 +49,8 @@ def decode_events(raw: DataFrame, value_col: str = "value", schema: T.StructType
 
 
 def accepted(decoded: DataFrame) -> DataFrame:
-    return decoded.filter(F.col("reject_reason").isNull()).drop("reject_reason")
+    """Rows with a usable time (exactly those without a reject reason)."""
+    return decoded.filter(F.col("event_time").isNotNull()).drop("reject_reason")
 
 
 def rejects(decoded: DataFrame) -> DataFrame:
