@@ -17,9 +17,15 @@ from pyspark.sql import types as T
 
 from verdant import schemas as S
 from verdant.functions.decode import epoch_millis_to_timestamp
-from verdant.functions.numeric import fixed2_text, round_half_away
+from verdant.functions.numeric import first_number, round_half_away
 from verdant.operators.decode import accepted, decode_events, rejects
-from verdant.operators.normalize import add_source_metadata, normalize_crop_rows, normalize_observations
+from verdant.operators.normalize import (
+    add_source_metadata,
+    latest_observation,
+    member_or_first,
+    normalize_crop_rows,
+    normalize_observations,
+)
 from verdant.operators.ordinals import with_file_ordinals
 from verdant.operators.serving import column_sums, table_count, table_head, weighted_rollup
 from verdant.operators.union import union_sources
@@ -33,7 +39,7 @@ from verdant.sinks.upsert import UpsertTable
 from verdant.sources.csv import read_crop_csv
 from verdant.sources.events import read_events_stream
 from verdant.sources.observations import parse_observation_array
-from verdant.sources.testdata import SENSOR_VIEW_SQL, load_table, sensor_events, sensor_view
+from verdant.sources.testdata import SENSOR_VIEW_SQL, load_table, sensor_events
 from verdant.streaming.job import start_table_queries
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -366,6 +372,88 @@ FROM ({FX.OBSERVATION_LAST_SQL}) o"""
 WEATHER_SQL = _weather_sql()
 
 
+# Focused views of the two normalisers (one registered query per survey item).
+
+def q_crop_ids(spark, sf):
+    """NRM3/NRM4/NRM7/NRM11: ordinal, derived sensor id, greenhouse from the id text."""
+    return q_crop_events(spark, sf).select("event_id", "sensor_id", "greenhouse_id", "reject_reason")
+
+
+def q_crop_metrics(spark, sf):
+    """NRM5/NRM6/NRM9: readings parsed, imputed when empty, irrigation scaled and clamped, rounded."""
+    return q_crop_events(spark, sf).select("event_id", "temperature_c", "humidity_pct", "co2_ppm",
+                                           "soil_moisture_pct", "light_lux")
+
+
+def q_impute_flags(spark, sf):
+    """NRM5/NRM8: which readings were filled, and the hashed zone pick."""
+    return q_crop_events(spark, sf).select("event_id", "zone", "imputed")
+
+
+def _last_observations(spark, sf) -> DataFrame:
+    responses = FX.observation_responses(load_table(spark, sf, "events"))
+    obs = responses.select("response_id", parse_observation_array("payload").alias("observations"))
+    return obs.select("response_id", latest_observation("observations").alias("last"))
+
+
+def q_latest_observation(spark, sf):
+    """NRM14: last array element by position; its readings as numbers."""
+    last = _last_observations(spark, sf)
+    num = {k: F.replace(F.col("last")[k], F.lit(","), F.lit(".")).try_cast("double").alias(k)
+           for k in ("ta", "t", "hr", "hrMedia", "sol", "vis")}
+    return last.select("response_id", F.col("last")["idema"].alias("idema"), *num.values())
+
+
+def q_pick_first_float(spark, sf):
+    """NRM12/NRM13: first candidate key that parses (decimal comma accepted); NULL when none does."""
+    last = F.col("last")
+    return _last_observations(spark, sf).select(
+        "response_id",
+        first_number([last[k] for k in S.WEATHER_TEMPERATURE_KEYS]).alias("temperature"),
+        first_number([last[k] for k in S.WEATHER_HUMIDITY_KEYS]).alias("humidity"),
+        first_number([last[k] for k in S.WEATHER_LIGHT_KEYS]).alias("light"),
+    )
+
+
+def q_obs_defaults(spark, sf):
+    """NRM15/NRM16: defaults for missing readings, light x100, rounded."""
+    return q_weather_events(spark, sf).select("event_id", "temperature_c", "humidity_pct", "light_lux")
+
+
+def q_member_fallback(spark, sf):
+    """NRM17: configured greenhouse if listed, else the first listed one."""
+    responses = FX.observation_responses(load_table(spark, sf, "events"))
+    return responses.select(
+        "response_id",
+        FX.response_greenhouse().alias("configured"),
+        member_or_first(FX.response_greenhouse(), S.GREENHOUSES).alias("greenhouse_id"),
+    )
+
+
+def _first_sql(keys) -> str:
+    present = [k for k in keys if k in ("ta", "t", "hr", "hrMedia", "sol", "vis")]
+    return "coalesce(" + ", ".join(f"TRY_CAST(replace({k}, ',', '.') AS DOUBLE)" for k in present) + ")"
+
+
+LATEST_OBSERVATION_SQL = f"""
+SELECT response_id, idema,
+       {', '.join(f"TRY_CAST(replace({k}, ',', '.') AS DOUBLE) AS {k}" for k in ("ta", "t", "hr", "hrMedia", "sol", "vis"))}
+FROM ({FX.OBSERVATION_LAST_SQL}) o"""
+
+PICK_FIRST_SQL = f"""
+SELECT response_id,
+       {_first_sql(S.WEATHER_TEMPERATURE_KEYS)} AS temperature,
+       {_first_sql(S.WEATHER_HUMIDITY_KEYS)} AS humidity,
+       {_first_sql(S.WEATHER_LIGHT_KEYS)} AS light
+FROM ({FX.OBSERVATION_LAST_SQL}) o"""
+
+MEMBER_FALLBACK_SQL = f"""
+SELECT DISTINCT event_id // 8 AS response_id,
+       CASE WHEN (event_id // 8) % 2 = 0 THEN 'alm-nijar' ELSE 'alm-unknown' END AS configured,
+       CASE WHEN (event_id // 8) % 2 = 0 THEN 'alm-nijar' ELSE '{S.GREENHOUSES[0]}' END AS greenhouse_id
+FROM events"""
+
+
 UNION_COLUMNS = ("event_id", "sensor_id", "greenhouse_id", "temperature_c", "data_source", "source_topic")
 
 
@@ -585,6 +673,13 @@ def queries() -> dict[str, QueryFn]:
         "formatted_rows": q_formatted_rows,
         "crop_events": q_crop_events,
         "weather_events": q_weather_events,
+        "crop_ids": q_crop_ids,
+        "crop_metrics": q_crop_metrics,
+        "impute_flags": q_impute_flags,
+        "latest_observation": q_latest_observation,
+        "pick_first_float": q_pick_first_float,
+        "obs_defaults": q_obs_defaults,
+        "member_fallback": q_member_fallback,
         "source_metadata_union": q_source_metadata_union,
         "row_ordinals": q_row_ordinals,
         "upsert_latest": q_upsert_latest,
@@ -616,6 +711,14 @@ def oracle_sql() -> dict[str, str]:
         "formatted_rows": FORMATTED_SQL,
         "crop_events": CROP_SQL,
         "weather_events": WEATHER_SQL,
+        "crop_ids": f"SELECT event_id, sensor_id, greenhouse_id, reject_reason FROM ({CROP_SQL}) c",
+        "crop_metrics": (f"SELECT event_id, temperature_c, humidity_pct, co2_ppm, soil_moisture_pct, light_lux "
+                         f"FROM ({CROP_SQL}) c"),
+        "impute_flags": f"SELECT event_id, zone, imputed FROM ({CROP_SQL}) c",
+        "latest_observation": LATEST_OBSERVATION_SQL,
+        "pick_first_float": PICK_FIRST_SQL,
+        "obs_defaults": f"SELECT event_id, temperature_c, humidity_pct, light_lux FROM ({WEATHER_SQL}) w",
+        "member_fallback": MEMBER_FALLBACK_SQL,
         "source_metadata_union": UNION_SQL,
         "row_ordinals": ROW_ORDINALS_SQL,
         "upsert_latest": WMS_SQL,
@@ -640,4 +743,4 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
     return _ntz(window_metrics(decoded))
 
 
-__all__ = ["queries", "oracle_sql", "flagship", "sensor_view"]
+__all__ = ["queries", "oracle_sql", "flagship"]
