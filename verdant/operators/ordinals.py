@@ -17,6 +17,15 @@ from pyspark.sql import functions as F
 BROADCAST_SPLIT_LIMIT = 2_000_000
 
 
+def _split_bound(df: DataFrame) -> int:
+    """Upper bound on the number of input splits: files + read partitions.
+
+    Counted on the JVM side from the relation's file listing (no job runs,
+    and the path list is not shipped to Python)."""
+    jdf = df._jdf
+    return int(len(jdf.inputFiles()) + jdf.rdd().getNumPartitions())
+
+
 def with_file_ordinals(df: DataFrame, name: str = "event_id") -> DataFrame:
     """Add ``name`` = 1-based row number in file order.
 
@@ -39,7 +48,7 @@ def with_file_ordinals(df: DataFrame, name: str = "event_id") -> DataFrame:
         "_split_file", "_split_start", "_split_first_mid",
         F.coalesce(F.sum("_split_rows").over(order), F.lit(0)).alias("_split_offset"),
     )
-    split_bound = len(df.inputFiles()) + df.rdd.getNumPartitions()
+    split_bound = _split_bound(df)
     if split_bound <= BROADCAST_SPLIT_LIMIT:
         offsets = F.broadcast(offsets)
     numbered = tagged.join(offsets, ["_split_file", "_split_start"])
