@@ -13,8 +13,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# One split row is ~ path + 3 longs; 2M splits stay well under 1 GB.
-BROADCAST_SPLIT_LIMIT = 2_000_000
+# One split row is a path plus three longs (~200 bytes): 1M splits (~128 TB of
+# input at 128 MB per split) broadcast ~200 MB.  Above that the offsets join
+# falls back to a shuffle join on (file, block).
+BROADCAST_SPLIT_LIMIT = 1_000_000
 
 
 def _split_bound(df: DataFrame) -> int:
