@@ -56,3 +56,14 @@ def test_batch_job_writes_table(spark, workdir):
     table = run_batch_job(spark, df, workdir + "/tables", batch_id=0, millis_col="event_ts")
     got = sorted((r["window_start"], r["event_count"]) for r in table.latest(spark).collect())
     assert got == [(dt.datetime(2025, 12, 31, 23, 55), 1), (dt.datetime(2026, 1, 1, 0, 0), 1)]
+
+
+def test_legacy_events_without_source_fields_form_null_group(spark):
+    from verdant.operators.decode import accepted, decode_events
+    raw = spark.createDataFrame(
+        [('{"event_id":1,"greenhouse_id":"alm-aemet","temperature_c":20.0,"event_ts":"2026-01-01T12:00:00+00:00"}',),
+         ('{"event_id":2,"greenhouse_id":"alm-nijar","temperature_c":22.0,"data_source":"csv",'
+          '"source_topic":"greenhouse.sensors.csv","event_ts":"2026-01-01T12:01:00+00:00"}',)], "value string")
+    rows = window_metrics_by_source(accepted(decode_events(raw))).collect()
+    got = sorted((r["data_source"] or "", r["greenhouse_id"], r["event_count"]) for r in rows)
+    assert got == [("", "alm-aemet", 1), ("csv", "alm-nijar", 1)]

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from verdant.functions.bands import band
 
-REDUCERS = ("last", "mean", "max", "min", "sum", "count")
+REDUCERS = ("last", "mean", "max", "sum")
 
 
 def _time_literal(value: datetime | str, like: T.DataType) -> Column:
@@ -53,7 +53,7 @@ def reduce_series(df: DataFrame, series: str, value: str, time: str = "window_st
 
     ``last`` = value at the greatest (time, tie...) among non-NULL values
     (an order-free ``max_by``, not the order-dependent ``last``).
-    ``mean``/``max``/``min``/``sum`` skip NULLs.  A series has as many rows
+    ``mean``/``max``/``sum`` skip NULLs.  A series has as many rows
     as it has distinct series values, so the partial aggregate collapses
     each task's rows to a handful before the shuffle.
     """
@@ -67,12 +67,8 @@ def reduce_series(df: DataFrame, series: str, value: str, time: str = "window_st
             aggs.append(F.avg(v).alias("mean_value"))
         elif r == "max":
             aggs.append(F.max(v).alias("max_value"))
-        elif r == "min":
-            aggs.append(F.min(v).alias("min_value"))
         elif r == "sum":
             aggs.append(F.sum(v).alias("sum_value"))
-        elif r == "count":
-            aggs.append(F.count(v).alias("count_value"))
         else:
             raise ValueError(f"unknown reducer {r!r}")
     return df.groupBy(F.col(series).alias("series")).agg(*aggs)
