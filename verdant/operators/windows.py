@@ -45,3 +45,37 @@ def window_metrics(events: DataFrame, keys: Sequence[str] = GREENHOUSE_KEYS, tim
 def window_metrics_by_source(events: DataFrame, time_col: str = "event_time", window: str = S.WINDOW_DURATION,
                              watermark: str | None = None) -> DataFrame:
     return window_metrics(events, SOURCE_KEYS, time_col, window, watermark)
+
+
+# ---- one scan, several key sets: keep sums and non-NULL counts, divide last ----
+
+_SUM_SPECS = (("temperature_c", "avg_temperature"), ("humidity_pct", "avg_humidity"), ("co2_ppm", "avg_co2"))
+
+
+def window_sums(events: DataFrame, keys: Sequence[str] = SOURCE_KEYS, time_col: str = "event_time",
+                window: str = S.WINDOW_DURATION) -> DataFrame:
+    """Re-aggregatable window state: per metric the sum and the non-NULL count, plus the row count.
+
+    Coarser key sets are exact roll-ups of it (``rollup_window_sums``), so
+    one scan of the events serves every table.
+    """
+    aggs = []
+    for src, out in _SUM_SPECS:
+        aggs += [F.sum(src).alias(f"sum_{out}"), F.count(src).alias(f"n_{out}")]
+    agg = events.groupBy(F.window(F.col(time_col), window).alias("window"), *keys).agg(
+        *aggs, F.count(F.lit(1)).alias("event_count"))
+    return agg.select(*keys, F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
+                      *[c for c in agg.columns if c not in ("window", *keys)])
+
+
+def rollup_window_sums(sums: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Window sums re-aggregated to a coarser key set (same windows)."""
+    value_cols = [c for c in sums.columns if c.startswith(("sum_", "n_"))] + ["event_count"]
+    return sums.groupBy(*keys, "window_start", "window_end").agg(*[F.sum(c).alias(c) for c in value_cols])
+
+
+def finish_window_sums(sums: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Window sums -> the table row (averages = sum / non-NULL count, NULL when none)."""
+    avgs = [F.when(F.col(f"n_{out}") > 0, F.col(f"sum_{out}") / F.col(f"n_{out}")).alias(out)
+            for _, out in _SUM_SPECS]
+    return sums.select(*keys, "window_start", "window_end", *avgs, F.col("event_count").cast("long"))

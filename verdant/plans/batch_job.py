@@ -5,8 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from verdant.operators.decode import batch_events_with_time
-from verdant.operators.windows import window_metrics
-from verdant.schemas import BATCH_EVENT_SCHEMA, WINDOW_METRICS
+from verdant.operators.windows import (
+    GREENHOUSE_KEYS,
+    SOURCE_KEYS,
+    finish_window_sums,
+    rollup_window_sums,
+    window_metrics,
+    window_sums,
+)
+from verdant.schemas import BATCH_EVENT_SCHEMA, WINDOW_METRICS, WINDOW_METRICS_BY_SOURCE
 from verdant.session import shared_root
 from verdant.sinks.publish import formatted_rows
 from verdant.sinks.upsert import UpsertTable
@@ -19,6 +26,29 @@ def batch_window_metrics(events: DataFrame, millis_col: str | None = None) -> Da
     return window_metrics(events)
 
 
+def run_batch_tables(spark: SparkSession, events: DataFrame, table_root: str | None = None, batch_id: int = 0,
+                     run_id: str | None = None, millis_col: str | None = None) -> dict[str, UpsertTable]:
+    """Backfill both aggregate tables from ONE scan of the events.
+
+    The finest aggregate (window x source x topic x greenhouse, with sums and
+    non-NULL counts) is computed once and cut from its lineage with a
+    reliable ``checkpoint()`` in the shared checkpoint folder, so a lost
+    executor never re-reads the input; both tables are derived from it.
+    """
+    shared_root(spark)  # make sure a checkpoint folder is set (tests) or read it (cluster)
+    table_root = table_root or f"{shared_root(spark)}/verdant/tables"
+    if millis_col:
+        events = batch_events_with_time(events, millis_col)
+    fine = window_sums(events, SOURCE_KEYS).checkpoint(eager=True)
+    tables = {}
+    for spec, keys, sums in ((WINDOW_METRICS_BY_SOURCE, SOURCE_KEYS, fine),
+                             (WINDOW_METRICS, GREENHOUSE_KEYS, rollup_window_sums(fine, GREENHOUSE_KEYS))):
+        table = UpsertTable(f"{table_root}/{spec.name}", spec, run_id=run_id)
+        table.write_batch(finish_window_sums(sums, keys), batch_id)
+        tables[spec.name] = table
+    return tables
+
+
 def run_batch_job(spark: SparkSession, events: DataFrame, table_root: str | None = None, batch_id: int = 0,
                   run_id: str | None = None, millis_col: str | None = None) -> UpsertTable:
     """Aggregate once and upsert the result as one batch of ``window_metrics``

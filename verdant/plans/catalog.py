@@ -29,7 +29,13 @@ from verdant.operators.normalize import (
 from verdant.operators.ordinals import with_file_ordinals
 from verdant.operators.serving import column_sums, table_count, table_head, weighted_rollup
 from verdant.operators.union import union_sources
-from verdant.operators.windows import window_metrics, window_metrics_by_source
+from verdant.operators.windows import (
+    finish_window_sums,
+    rollup_window_sums,
+    window_metrics,
+    window_metrics_by_source,
+    window_sums,
+)
 from verdant.plans import fixtures as FX
 from verdant.plans.batch_job import batch_window_metrics
 from verdant.plans.panels import PANELS, detail_table, panel, panel_frame
@@ -168,6 +174,12 @@ def q_batch_millis_window_metrics(spark, sf):
     return _ntz(_round_doubles(out))
 
 
+def q_window_metrics_rollup(spark, sf):
+    """Greenhouse windows derived from the finest (source x topic x greenhouse) window sums."""
+    fine = window_sums(sensor_events(spark, sf))
+    return _round_doubles(finish_window_sums(rollup_window_sums(fine, ("greenhouse_id",)), ("greenhouse_id",)))
+
+
 def q_epoch_millis_time(spark, sf):
     ev = load_table(spark, sf, "events")
     ms = F.unix_millis(F.col("ts").cast("timestamp"))
@@ -665,6 +677,7 @@ def queries() -> dict[str, QueryFn]:
         "window_metrics": q_window_metrics,
         "window_metrics_by_source": q_window_metrics_by_source,
         "batch_millis_window_metrics": q_batch_millis_window_metrics,
+        "window_metrics_rollup": q_window_metrics_rollup,
         "epoch_millis_time": q_epoch_millis_time,
         "decode_events": q_decode_events,
         "decode_rejects": q_decode_rejects,
@@ -702,6 +715,7 @@ def oracle_sql() -> dict[str, str]:
         "window_metrics": WM_SQL,
         "window_metrics_by_source": WMS_SQL,
         "batch_millis_window_metrics": WM_SQL,
+        "window_metrics_rollup": WM_SQL,
         "epoch_millis_time": ("SELECT event_id, epoch_us(ts) // 1000 AS event_ts, "
                               "make_timestamp((epoch_us(ts) // 1000) * 1000) AS event_time FROM events"),
         "decode_events": DECODE_EVENTS_SQL,
