@@ -14,7 +14,7 @@ from verdant.sinks.publish import formatted_rows, sent_log, to_keyed_records
 def test_records_roundtrip(spark):
     from tests.conftest import SF001
     from verdant.sources.testdata import sensor_events
-    ev = sensor_events(spark, SF001, with_text_time=True).withColumn("event_id", F.col("event_id").cast("int"))
+    ev = sensor_events(spark, SF001, with_text_time=True).withColumn("event_id", F.col("event_id").try_cast("int"))
     rec = to_keyed_records(ev)
     assert rec.columns == ["key", "value", "topic"]
     first = json.loads(rec.first()["value"])

@@ -103,7 +103,7 @@ def test_run_streaming_job_on_landed_records(spark, workdir):
     from verdant.sources.testdata import sensor_events
     from verdant.streaming.job import run_streaming_job
     from tests.conftest import SF001
-    ev = sensor_events(spark, SF001, with_text_time=True).withColumn("event_id", F.col("event_id").cast("int"))
+    ev = sensor_events(spark, SF001, with_text_time=True).withColumn("event_id", F.col("event_id").try_cast("int"))
     rec = to_keyed_records(ev)
     bad = spark.createDataFrame([("gh-0", "not json", "x")], "key string, value string, topic string")
     write_records(rec.unionByName(bad), fmt="parquet", path=workdir + "/landing")

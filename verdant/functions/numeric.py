@@ -67,7 +67,7 @@ def round_half_away(x, digits: int = 2) -> Column:
 def fixed2_text(x) -> Column:
     """``%.2f`` text built from integer hundredths (engine-independent rounding)."""
     x = _c(x)
-    cents = F.round(F.abs(x) * F.lit(100.0)).cast("long")
+    cents = F.round(F.abs(x) * F.lit(100.0)).try_cast("long")
     sign = F.when((x < 0) & (cents > 0), F.lit("-")).otherwise(F.lit(""))
     text = F.concat(sign, (cents / 100).cast("long").cast("string"), F.lit("."),
                     F.lpad((cents % 100).cast("string"), 2, "0"))

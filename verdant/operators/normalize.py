@@ -88,7 +88,7 @@ def normalize_crop_rows(rows: DataFrame, id_col: str = "event_id", ingest_time:
     imputed = F.array_compact(F.array(*[F.when(missing[o], F.lit(o)) for o in readings]))
 
     return rows.select(
-        key.cast("int").alias("event_id"),
+        key.try_cast("int").alias("event_id"),
         F.format_string(S.CROP_SENSOR_PREFIX + "%s-%04d", crop_type, key).alias("sensor_id"),
         cycle_pick(S.GREENHOUSES, gh_num).alias("greenhouse_id"),
         hash_pick(S.ZONES, "zone", key).alias("zone"),
@@ -139,7 +139,7 @@ def normalize_observations(obs: DataFrame, observations_col: str = "observations
         F.when(light.isNull(), F.lit("light_lux")),
     ))
     return obs.select(
-        key.cast("int").alias("event_id"),
+        key.try_cast("int").alias("event_id"),
         F.concat(F.lit(S.WEATHER_SENSOR_PREFIX), station.cast("string")).alias("sensor_id"),
         member_or_first(greenhouse_id, S.GREENHOUSES).alias("greenhouse_id"),
         F.lit(S.WEATHER_ZONE).alias("zone"),

@@ -198,7 +198,7 @@ def _published(spark, sf) -> DataFrame:
     ev = sensor_events(spark, sf, with_text_time=True)
     ev = ev.withColumn("event_ts", F.when(F.col("data_source") == "signup", F.lit("not-a-time"))
                        .otherwise(F.col("event_ts")))
-    rec = to_keyed_records(ev.withColumn("event_id", F.col("event_id").cast("int")))
+    rec = to_keyed_records(ev.withColumn("event_id", F.col("event_id").try_cast("int")))
     value = F.col("value")
     value = F.when(F.col("topic").startswith("error."), F.concat(F.lit("#"), value)).otherwise(value)
     value = F.when(F.col("topic").startswith("purchase."),
@@ -243,11 +243,11 @@ GROUP BY ALL"""
 
 def q_publish_records(spark, sf):
     return to_keyed_records(sensor_events(spark, sf, with_text_time=True).withColumn(
-        "event_id", F.col("event_id").cast("int")))
+        "event_id", F.col("event_id").try_cast("int")))
 
 
 def q_sent_log(spark, sf):
-    return sent_log(sensor_events(spark, sf).withColumn("event_id", F.col("event_id").cast("int")))
+    return sent_log(sensor_events(spark, sf).withColumn("event_id", F.col("event_id").try_cast("int")))
 
 
 def q_formatted_rows(spark, sf):
@@ -551,7 +551,7 @@ def _stream_table(spark: SparkSession, sf: str, table: str) -> DataFrame:
     """Records landed as files -> stream decode -> watermark/window -> upsert (availableNow)."""
     base = scratch_path(spark, "pipeline")
     landing = f"{base}/landing"
-    events = sensor_events(spark, sf, with_text_time=True).withColumn("event_id", F.col("event_id").cast("int"))
+    events = sensor_events(spark, sf, with_text_time=True).withColumn("event_id", F.col("event_id").try_cast("int"))
     to_keyed_records(events).write.parquet(landing)
     raw = read_events_stream(spark, fmt="parquet", path=landing)
     decoded = accepted(decode_events(raw, keep=("topic",)))
@@ -752,7 +752,7 @@ def oracle_sql() -> dict[str, str]:
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """Events -> keyed JSON records -> decode -> 5-minute window metrics (one lazy plan)."""
-    ev = sensor_events(spark, sf, with_text_time=True).withColumn("event_id", F.col("event_id").cast("int"))
+    ev = sensor_events(spark, sf, with_text_time=True).withColumn("event_id", F.col("event_id").try_cast("int"))
     decoded = accepted(decode_events(to_keyed_records(ev)))
     return _ntz(window_metrics(decoded))
 

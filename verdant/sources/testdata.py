@@ -32,7 +32,7 @@ def sensor_view(events: DataFrame, with_text_time: bool = False) -> DataFrame:
         F.col("event_id"),
         F.format_string("sensor-%03d", uid % 80 + 1).alias("sensor_id"),
         F.concat(F.lit("gh-"), (uid % 3).cast("string")).alias("greenhouse_id"),
-        F.element_at(zones, (uid % 4 + 1).cast("int")).alias("zone"),
+        F.element_at(zones, (uid % 4 + 1).try_cast("int")).alias("zone"),
         F.col("value").alias("temperature_c"),
         F.get_json_object("props", "$.k").try_cast("double").alias("humidity_pct"),
         (F.lit(350.0) + F.lit(2.0) * F.col("value")).alias("co2_ppm"),
