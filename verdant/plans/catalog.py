@@ -545,11 +545,11 @@ TABLE_COUNT_SQL = f"SELECT count(*) AS row_count FROM ({WM_SQL}) w"
 TABLE_HEAD_SQL = f"SELECT * FROM ({WM_SQL}) w ORDER BY greenhouse_id ASC, window_start DESC LIMIT 5"
 
 
-# ------------------------------------------------------ streaming pipeline
+# ------------------------------------------------------ streaming job, end to end
 
 def _stream_table(spark: SparkSession, sf: str, table: str) -> DataFrame:
     """Records landed as files -> stream decode -> watermark/window -> upsert (availableNow)."""
-    base = scratch_path(spark, "pipeline")
+    base = scratch_path(spark, "stream_run")
     landing = f"{base}/landing"
     events = sensor_events(spark, sf, with_text_time=True).withColumn("event_id", F.col("event_id").try_cast("int"))
     to_keyed_records(events).write.parquet(landing)
