@@ -51,6 +51,6 @@ def test_ordinals_broadcast_bounded_split_table(spark):
     assert plan.count("SinglePartition") <= 1
 
 
-def test_latest_view_combines_map_side(spark):
+def test_latest_view_is_one_shuffle_on_the_key(spark):
     plan = _plan(catalog.q_upsert_latest(spark, SF001))
-    assert "partial_max_by" in plan
+    assert "row_number()" in plan and plan.count("Exchange hashpartitioning(data_source") == 1

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -12,12 +12,13 @@ def latest_by_key(df: DataFrame, key: Sequence[str], version: Sequence[str] = ("
                   tie: Sequence[str] = (), keep_version: bool = False) -> DataFrame:
     """One row per ``key``: the row with the greatest (version..., tie...).
 
-    An aggregate (``max_by`` over a struct) rather than a ranking window:
-    it combines map-side, so many versions of a key shrink before the
-    shuffle, and filters on key columns still reach the scan.
+    A ranking window partitioned by the key: one shuffle on the key and one
+    sort.  (A map-side combine would not pay off: each batch writes its own
+    files, so the versions of a key never meet inside one scan task.)
+    Filters on key columns pass through the window and reach the scan.
     """
-    key = list(key)
-    payload = [c for c in df.columns if c not in key and (keep_version or c not in version)]
-    order = F.struct(*[F.col(c) for c in list(version) + list(tie)])
-    agg = df.groupBy(*key).agg(F.max_by(F.struct(*payload), order).alias("_latest"))
-    return agg.select(*key, *[F.col("_latest")[c].alias(c) for c in payload])
+    order = [F.col(c).desc() for c in list(version) + list(tie)]
+    w = Window.partitionBy(*key).orderBy(*order)
+    ranked = df.withColumn("_version_rank", F.row_number().over(w)).filter(F.col("_version_rank") == 1)
+    drop = ["_version_rank"] + ([] if keep_version else [c for c in version if c not in key])
+    return ranked.drop(*drop)
