@@ -28,33 +28,59 @@ def _split_bound(df: DataFrame) -> int:
     return int(len(jdf.inputFiles()) + jdf.rdd().getNumPartitions())
 
 
-def with_file_ordinals(df: DataFrame, name: str = "event_id") -> DataFrame:
-    """Add ``name`` = 1-based row number in file order.
-
-    ``df`` must be a file scan (it reads the hidden ``_metadata`` column).
-    The scan runs twice (count pass, then numbering pass); both see the
-    same files and splits, so the ids agree, also after task retries.
-    """
-    tagged = df.select(
-        "*",
-        F.col("_metadata.file_path").alias("_split_file"),
-        F.col("_metadata.file_block_start").alias("_split_start"),
-        F.monotonically_increasing_id().alias("_row_mid"),
-    )
+def _number_tagged(tagged: DataFrame, name: str, per_file: bool, broadcast_ok: bool) -> DataFrame:
+    """Number rows of a frame carrying its split columns (``_split_file``, ``_split_start``)."""
+    tagged = tagged.withColumn("_row_mid", F.monotonically_increasing_id())
     splits = tagged.groupBy("_split_file", "_split_start").agg(
         F.count(F.lit(1)).alias("_split_rows"), F.min("_row_mid").alias("_split_first_mid")
     )
-    # Prefix sum over splits: one ordered window over a table with one row per split.
-    order = Window.orderBy("_split_file", "_split_start").rowsBetween(Window.unboundedPreceding, -1)
+    if per_file:
+        # numbering restarts in every file: a window per file over its splits
+        order = Window.partitionBy("_split_file").orderBy("_split_start")
+    else:
+        # one ordered window over a table with one row per split
+        order = Window.orderBy("_split_file", "_split_start")
+    order = order.rowsBetween(Window.unboundedPreceding, -1)
     offsets = splits.select(
         "_split_file", "_split_start", "_split_first_mid",
         F.coalesce(F.sum("_split_rows").over(order), F.lit(0)).alias("_split_offset"),
     )
-    split_bound = _split_bound(df)
-    if split_bound <= BROADCAST_SPLIT_LIMIT:
+    if broadcast_ok:
         offsets = F.broadcast(offsets)
     numbered = tagged.join(offsets, ["_split_file", "_split_start"])
     ordinal = F.col("_split_offset") + (F.col("_row_mid") - F.col("_split_first_mid")) + F.lit(1)
     return numbered.withColumn(name, ordinal).drop(
         "_split_file", "_split_start", "_row_mid", "_split_first_mid", "_split_offset"
     )
+
+
+def with_file_ordinals(df: DataFrame, name: str = "event_id", per_file: bool = False) -> DataFrame:
+    """Add ``name`` = 1-based row number in file order (or within each file).
+
+    ``df`` must be a file scan (it reads the hidden ``_metadata`` column).
+    The scan runs twice (count pass, then numbering pass); both see the
+    same files and splits, so the ids agree, also after task retries.
+    """
+    tagged = df.select(
+        "*",
+        F.col("_metadata.file_path").alias("_split_file"),
+        F.col("_metadata.file_block_start").alias("_split_start"),
+    )
+    return _number_tagged(tagged, name, per_file, _split_bound(df) <= BROADCAST_SPLIT_LIMIT)
+
+
+def split_columns() -> list:
+    """The split columns to select on a (streaming) file scan for :func:`number_rows_in_files`."""
+    return [F.col("_metadata.file_path").alias("_split_file"),
+            F.col("_metadata.file_block_start").alias("_split_start")]
+
+
+def number_rows_in_files(batch: DataFrame, name: str = "event_id", max_splits: int | None = None) -> DataFrame:
+    """Per-file 1-based row numbers for a micro-batch that carries :func:`split_columns`.
+
+    Call on a persisted micro-batch: its partitions are fixed, so both
+    passes see the same rows in the same order.  The split table is
+    broadcast when ``max_splits`` (e.g. files per trigger) bounds it.
+    """
+    ok = max_splits is not None and max_splits <= BROADCAST_SPLIT_LIMIT
+    return _number_tagged(batch, name, per_file=True, broadcast_ok=ok)

@@ -7,3 +7,4 @@ from verdant.streaming.job import (  # noqa: F401
     stream_aggregates,
 )
 from verdant.streaming.progress import BatchReportListener, batch_summary  # noqa: F401
+from verdant.streaming.ingest import start_crop_ingest, start_weather_ingest, weather_events_stream  # noqa: F401
