@@ -114,3 +114,12 @@ def test_files_sorted_in_table_order(spark, workdir):
         assert keys == sorted(keys)
     first = in_table_order(t.latest(spark), S.WINDOW_METRICS_BY_SOURCE).first()
     assert first["window_start"] == T0 + dt.timedelta(minutes=95) and first["greenhouse_id"] == "gh-0"
+
+
+def test_run_id_sorts_after_existing_runs(spark, workdir):
+    future = UpsertTable(workdir + "/wm", S.WINDOW_METRICS, run_id="r9999")  # a run from a clock ahead of ours
+    future.write_batch(_wm(spark, [("gh-0", T0, T1, 1.0, 1.0, 1.0, 1)]), 7)
+    now = UpsertTable(workdir + "/wm", S.WINDOW_METRICS)
+    now.write_batch(_wm(spark, [("gh-0", T0, T1, 1.0, 1.0, 1.0, 2)]), 0)
+    assert now.run_id > "r9999"
+    assert now.latest(spark).first()["event_count"] == 2

@@ -65,12 +65,26 @@ def _read_small_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def _list_run_ids(spark: SparkSession, root: str) -> list[str]:
+    """Run ids present under ``root`` (a listing of the top-level run folders only)."""
+    hpath, fs = _fs(spark, root)
+    if not fs.exists(hpath):
+        return []
+    out = []
+    for st in fs.listStatus(hpath):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("run_id="):
+            out.append(name[len("run_id="):])
+    return out
+
+
 class UpsertTable:
     def __init__(self, root: str, spec: TableSpec, run_id: str | None = None,
                  report: Callable[[str, int, int], None] | None = None, compact_every: int | None = None):
         self.root = root.rstrip("/")
         self.spec = spec
-        self.run_id = run_id or new_run_id()
+        # None: chosen at the first write, above every run already in the table
+        self._run_id = run_id
         self.report = report
         # compact after every N-th micro-batch (None = never from the stream)
         self.compact_every = compact_every
@@ -79,13 +93,33 @@ class UpsertTable:
     def version_schema(self) -> T.StructType:
         return T.StructType(list(self.spec.schema.fields) + VERSION_FIELDS)
 
+    @property
+    def run_id(self) -> str | None:
+        return self._run_id
+
+    def _ensure_run_id(self, spark: SparkSession) -> str:
+        """A run id that sorts after every run already written.
+
+        Run ids start with the driver's UTC time; a restarted driver whose
+        clock lags the previous one must still win, so the id is bumped past
+        the greatest existing ``run_id=`` folder (one listing of run folders).
+        """
+        if self._run_id is None:
+            candidate = new_run_id()
+            existing = _list_run_ids(spark, self.root)
+            if existing and candidate <= max(existing):
+                candidate = max(existing) + "." + candidate
+            self._run_id = candidate
+        return self._run_id
+
     def batch_path(self, batch_id: int) -> str:
-        return f"{self.root}/run_id={self.run_id}/batch_id={int(batch_id)}"
+        return f"{self.root}/run_id={self._run_id}/batch_id={int(batch_id)}"
 
     def write_batch(self, df: DataFrame, batch_id: int) -> None:
         """Write one batch (overwrite of its own folder only), sorted per partition value
         so each file's min/max on the time column lets time-range reads skip row groups."""
         spec = self.spec
+        self._ensure_run_id(df.sparkSession)
         order = [F.col(spec.partition_column)] + [
             F.col(c).asc() if asc else F.col(c).desc() for c, asc in spec.sort_order
         ]

@@ -18,7 +18,7 @@ from verdant.operators.decode import accepted, decode_events, rejects
 from verdant.operators.windows import GREENHOUSE_KEYS, SOURCE_KEYS, window_metrics
 from verdant.options import JobOptions
 from verdant.schemas import WINDOW_METRICS, WINDOW_METRICS_BY_SOURCE
-from verdant.session import new_run_id, shared_root
+from verdant.session import shared_root
 from verdant.sinks.upsert import UpsertTable
 from verdant.sources.events import read_events_stream
 
@@ -52,9 +52,12 @@ def start_table_queries(events: DataFrame, table_root: str, checkpoint_root: str
                         report: Callable[[str, int, int], None] | None = None,
                         tables: tuple[str, ...] = tuple(TABLE_KEYS),
                         compact_every: int | None = None) -> dict[str, StreamingQuery]:
-    """Start one update-mode query per table; each upserts through ``foreachBatch``."""
+    """Start one update-mode query per table; each upserts through ``foreachBatch``.
+
+    Without ``run_id`` each table picks, at its first write, a run id above
+    every run already in it, so a restart's writes always win.
+    """
     opts = opts or JobOptions()
-    run_id = run_id or new_run_id()
     aggs = stream_aggregates(events, opts)
     started = {}
     for name in tables:
