@@ -107,7 +107,7 @@ def test_run_streaming_job_on_landed_records(spark, workdir):
     rec = to_keyed_records(ev)
     bad = spark.createDataFrame([("gh-0", "not json", "x")], "key string, value string, topic string")
     write_records(rec.unionByName(bad), fmt="parquet", path=workdir + "/landing")
-    opts = JobOptions(table_root=workdir + "/tables", checkpoint_root=workdir + "/ck")
+    opts = JobOptions(table_root=workdir + "/tables", checkpoint_root=workdir + "/ck", write_rejects=True)
     qs = run_streaming_job(spark, opts, fmt="parquet", path=workdir + "/landing", trigger="availableNow", wait=False)
     for q in qs.values():
         q.awaitTermination()

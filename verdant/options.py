@@ -27,6 +27,8 @@ class JobOptions:
     # None = default trigger (next batch as soon as the previous ends).
     processing_time: str | None = None
     max_offsets_per_trigger: int | None = None
+    # A rejects query reads the source a third time; opt in.
+    write_rejects: bool = False
     extra_source_options: Mapping[str, str] = field(default_factory=dict)
 
     @classmethod
@@ -43,4 +45,5 @@ class JobOptions:
             window=env.get("WINDOW_DURATION", base.window),
             watermark=env.get("WATERMARK_DELAY", base.watermark),
             processing_time=env.get("TRIGGER_INTERVAL", base.processing_time),
+            write_rejects=env.get("WRITE_REJECTS", "0").lower() in ("1", "true", "yes"),
         )

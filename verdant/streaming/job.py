@@ -81,7 +81,11 @@ def start_rejects_query(decoded: DataFrame, path: str, checkpoint: str, trigger:
 
 def run_streaming_job(spark: SparkSession, opts: JobOptions | None = None, fmt: str = "kafka",
                       path: str | None = None, trigger: str | None = None, wait: bool = True) -> dict:
-    """Entry point: topics (or landed record files) -> both aggregate tables."""
+    """Entry point: topics (or landed record files) -> both aggregate tables.
+
+    Each query reads the source itself (Spark does not share a source
+    between queries): two reads, three with ``opts.write_rejects``.
+    """
     opts = opts or JobOptions.from_env()
     root = shared_root(spark)
     table_root = opts.table_root or f"{root}/verdant/tables"
@@ -89,8 +93,9 @@ def run_streaming_job(spark: SparkSession, opts: JobOptions | None = None, fmt:
     raw = read_events_stream(spark, opts, fmt=fmt, path=path)
     decoded = decode_events(raw, keep=("topic",))
     queries = start_table_queries(accepted(decoded), table_root, checkpoint_root, opts, trigger)
-    queries["rejects"] = start_rejects_query(decoded, f"{table_root}/rejects", f"{checkpoint_root}/rejects",
-                                             trigger, opts)
+    if opts.write_rejects:
+        queries["rejects"] = start_rejects_query(decoded, f"{table_root}/rejects", f"{checkpoint_root}/rejects",
+                                                 trigger, opts)
     if wait:
         spark.streams.awaitAnyTermination()
     return queries
