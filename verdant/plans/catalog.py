@@ -617,6 +617,16 @@ SELECT a.series, {rnd('l.v')} AS last_value{picked}{band}
 FROM a LEFT JOIN l ON a.series = l.series"""
 
 
+def q_table_panel_01(spark, sf):
+    """Panel 1 through the stored table: AGG1 written as a batch, read back via the latest view."""
+    from verdant.sources.tables import read_table
+    from verdant.plans.batch_job import run_batch_job
+    root = scratch_path(spark, "tables")
+    run_batch_job(spark, sensor_events(spark, sf), table_root=root, batch_id=0)
+    table = read_table(spark, root, S.WINDOW_METRICS.name)
+    return _round_doubles(panel(table, PANELS[1], SELECTED_GREENHOUSES, RANGE_LO, AS_OF))
+
+
 def q_panel_12_detail(spark, sf):
     return _round_doubles(detail_table(_metrics(spark, sf), SELECTED_GREENHOUSES, RANGE_LO, AS_OF))
 
@@ -706,6 +716,7 @@ def queries() -> dict[str, QueryFn]:
         out[f"panel_{pid:02d}"] = _panel_query(pid)
     out["panel_09_rollup"] = q_panel_09_rollup
     out["panel_12_detail"] = q_panel_12_detail
+    out["table_panel_01"] = q_table_panel_01
     out["detail_footer"] = q_detail_footer
     return out
 
@@ -746,6 +757,7 @@ def oracle_sql() -> dict[str, str]:
         out[f"panel_{pid:02d}"] = _panel_sql(pid)
     out["panel_09_rollup"] = _rollup_sql()
     out["panel_12_detail"] = DETAIL_SQL
+    out["table_panel_01"] = _panel_sql(1)
     out["detail_footer"] = _footer_sql()
     return out
 

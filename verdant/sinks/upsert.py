@@ -123,7 +123,8 @@ class UpsertTable:
         order = [F.col(spec.partition_column)] + [
             F.col(c).asc() if asc else F.col(c).desc() for c, asc in spec.sort_order
         ]
-        (df.select(*spec.columns)
+        typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in spec.schema.fields]
+        (df.select(*typed)
            .sortWithinPartitions(*order)
            .write.mode("overwrite")
            .partitionBy(spec.partition_column)
