@@ -16,7 +16,7 @@ NOTES = {
     "decode_events": "JSON built and parsed once per row: the struct is flattened by a Generate (inline), "
                      "which the accepted-rows filter cannot be pushed below.",
     "panel_01": "The greenhouse IN filter and the time range are pushed below the window aggregate into the scan; "
-                "the per-series 'last' is a partial max_by (a handful of rows per task) before the shuffle.",
+                "the per-series 'last' is a partial max_by (a handful of rows per task, hash aggregate) before the shuffle.",
     "table_panel_01": "Through the stored table: greenhouse IN becomes a PartitionFilter, window_start bounds are "
                       "PushedFilters; the latest view is one ranking window on the key.",
     "upsert_latest": "Latest view: one shuffle on the primary key, one sort, row_number = 1.",

@@ -61,8 +61,10 @@ def reduce_series(df: DataFrame, series: str, value: str, time: str = "window_st
     aggs = []
     for r in reducers:
         if r == "last":
-            order = F.when(v.isNotNull(), F.struct(*[F.col(c) for c in (time, *tie)]))
-            aggs.append(F.max_by(v, order).alias("last_value"))
+            # A bare time ordering keeps fixed-width buffers (hash aggregate);
+            # a tie-break on text columns needs a struct (sort aggregate).
+            key = F.struct(*[F.col(c) for c in (time, *tie)]) if tie else F.col(time)
+            aggs.append(F.max_by(v, F.when(v.isNotNull(), key)).alias("last_value"))
         elif r == "mean":
             aggs.append(F.avg(v).alias("mean_value"))
         elif r == "max":
