@@ -128,3 +128,12 @@ def test_observation_files_keep_array_order(spark, workdir):
 def test_source_metadata(spark):
     df = add_source_metadata(spark.range(2), "csv", S.TOPIC_CSV)
     assert {tuple(r) for r in df.select("data_source", "source_topic").collect()} == {("csv", S.TOPIC_CSV)}
+
+
+def test_ordinals_survive_task_retries():
+    import subprocess
+    import sys
+    here = os.path.dirname(os.path.abspath(__file__))
+    out = subprocess.run([sys.executable, os.path.join(here, "retry_ordinals_job.py")], capture_output=True,
+                         text=True, timeout=600)
+    assert out.stdout.strip().splitlines()[-1] == "OK", out.stdout[-2000:] + out.stderr[-2000:]
