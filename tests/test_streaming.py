@@ -165,3 +165,35 @@ def test_listener_reports_batches(spark, workdir):
         spark.streams.removeListener(listener)
     rows = [r["input_rows"] for r in listener.reports if r["name"] == "listened"]
     assert rows[:2] == [2, 2]
+
+
+def test_time_ordered_files_one_batch_each_equal_batch_result(spark, workdir):
+    from tests.conftest import SF001
+    from verdant.plans.catalog import _round_doubles
+    from verdant.sinks.publish import to_keyed_records
+    from verdant.sources.events import read_events_stream
+    from verdant.sources.testdata import sensor_events
+    ev = sensor_events(spark, SF001, with_text_time=True).withColumn("event_id", F.col("event_id").try_cast("int"))
+    bounds = ["2024-01-01", "2024-01-07", "2024-01-13", "2024-01-19", "2024-01-25", "2024-02-01"]
+    base = time.time() - 1000
+    for k in range(len(bounds) - 1):
+        part = ev.filter((F.col("event_time") >= F.lit(bounds[k]).cast("timestamp_ntz"))
+                         & (F.col("event_time") < F.lit(bounds[k + 1]).cast("timestamp_ntz")))
+        folder = f"{workdir}/in/chunk{k}"
+        to_keyed_records(part).coalesce(1).write.parquet(folder)
+        for name in os.listdir(folder):
+            if name.endswith(".parquet"):
+                os.utime(os.path.join(folder, name), (base + k, base + k))  # files arrive in time order
+    raw = read_events_stream(spark, fmt="parquet", path=workdir + "/in/*/*.parquet", max_files_per_trigger=1)
+    qs = start_table_queries(accepted(decode_events(raw, keep=("topic",))), workdir + "/tables", workdir + "/ck",
+                             trigger="availableNow")
+    for q in qs.values():
+        q.awaitTermination()
+        assert len([p for p in q.recentProgress if p.numInputRows > 0]) == 5
+    for name, direct in (("window_metrics", window_metrics(sensor_events(spark, SF001))),):
+        got = _round_doubles(UpsertTable(f"{workdir}/tables/{name}", WINDOW_METRICS).latest(spark))
+        exp = _round_doubles(direct).select(*got.columns)
+        got = got.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")).withColumn(
+            "window_end", F.col("window_end").cast("timestamp_ntz"))
+        assert got.count() == exp.count()
+        assert got.exceptAll(exp).count() == 0

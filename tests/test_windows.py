@@ -81,3 +81,14 @@ def test_single_scan_backfill_matches_direct_aggregates(spark, workdir):
         exp = _round_doubles(direct).select(*got.columns)
         assert got.count() == exp.count()
         assert got.exceptAll(exp).count() == 0
+
+
+def test_by_source_rollup_equals_greenhouse_counts_per_window(spark):
+    from pyspark.sql import functions as F
+    from tests.conftest import SF001
+    from verdant.sources.testdata import sensor_events
+    ev = sensor_events(spark, SF001)
+    a = window_metrics(ev).select("greenhouse_id", "window_start", "event_count")
+    b = (window_metrics_by_source(ev).groupBy("greenhouse_id", "window_start")
+         .agg(F.sum("event_count").alias("event_count")))
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
