@@ -24,8 +24,11 @@ def _split_bound(df: DataFrame) -> int:
 
     Counted on the JVM side from the relation's file listing (no job runs,
     and the path list is not shipped to Python)."""
-    jdf = df._jdf
-    return int(len(jdf.inputFiles()) + jdf.rdd().getNumPartitions())
+    try:
+        jdf = df._jdf
+        return int(len(jdf.inputFiles()) + jdf.rdd().getNumPartitions())
+    except AttributeError:  # no JVM handle (e.g. a Spark Connect client): no broadcast
+        return BROADCAST_SPLIT_LIMIT + 1
 
 
 def _number_tagged(tagged: DataFrame, name: str, per_file: bool, broadcast_ok: bool) -> DataFrame:
