@@ -123,3 +123,24 @@ def test_run_id_sorts_after_existing_runs(spark, workdir):
     now.write_batch(_wm(spark, [("gh-0", T0, T1, 1.0, 1.0, 1.0, 2)]), 0)
     assert now.run_id > "r9999"
     assert now.latest(spark).first()["event_count"] == 2
+
+
+def test_latest_after_compaction_skips_base_shuffle_and_matches_full_rank(spark, workdir):
+    from verdant.operators.latest import latest_by_key
+    t = UpsertTable(workdir + "/wms", S.WINDOW_METRICS_BY_SOURCE, run_id="r1")
+    rows0 = [("s", "a", "gh-0", T0, T1, 1.0, 1.0, 1.0, 1), ("s", "a", None, T0, T1, 1.0, 1.0, 1.0, 1),
+             (None, "b", "gh-1", T0, T1, 1.0, 1.0, 1.0, 1), ("s", "a", "gh-2", T0, T1, 1.0, 1.0, 1.0, 1)]
+    t.write_batch(spark.createDataFrame(rows0, S.WINDOW_METRICS_BY_SOURCE_SCHEMA), 0)
+    t.compact(spark)
+    assert "Window" not in t.latest(spark)._jdf.queryExecution().executedPlan().toString()
+    rows1 = [("s", "a", None, T0, T1, 2.0, 2.0, 2.0, 2), (None, "b", "gh-1", T0, T1, 3.0, 3.0, 3.0, 3),
+             ("s", "a", "gh-9", T0, T1, 4.0, 4.0, 4.0, 4)]
+    t.write_batch(spark.createDataFrame(rows1, S.WINDOW_METRICS_BY_SOURCE_SCHEMA), 1)
+    fast = t.latest(spark)
+    plan = fast._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan or "BroadcastNestedLoopJoin" in plan
+    full = latest_by_key(t.versions(spark), S.WINDOW_METRICS_BY_SOURCE.primary_key).select(*fast.columns)
+    assert fast.count() == 5 == full.count()
+    assert fast.exceptAll(full).count() == 0
+    got = {(r["data_source"], r["greenhouse_id"]): r["event_count"] for r in fast.collect()}
+    assert got == {("s", "gh-0"): 1, ("s", None): 2, (None, "gh-1"): 3, ("s", "gh-2"): 1, ("s", "gh-9"): 4}

@@ -65,6 +65,16 @@ def _read_small_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+# Newer batches hold at most this many rows for their touched keys to be broadcast
+# (a key is a few short columns: ~100 MB at the limit).
+DELTA_BROADCAST_ROWS = 1_000_000
+
+
+def _newer_than(run_id: str, batch_id: int):
+    """Partition predicate: versions after (run_id, batch_id) (prunes older batch folders)."""
+    return (F.col("run_id") > F.lit(run_id)) | ((F.col("run_id") == F.lit(run_id)) & (F.col("batch_id") > F.lit(batch_id)))
+
+
 def _list_run_ids(spark: SparkSession, root: str) -> list[str]:
     """Run ids present under ``root`` (a listing of the top-level run folders only)."""
     hpath, fs = _fs(spark, root)
@@ -184,8 +194,7 @@ class UpsertTable:
         base = self.current_base(spark)
         if base is not None:
             run_id, batch_id = base
-            newer = (F.col("run_id") > F.lit(run_id)) | (
-                (F.col("run_id") == F.lit(run_id)) & (F.col("batch_id") > F.lit(batch_id)))
+            newer = _newer_than(run_id, batch_id)
             # base rows keep the (run_id, batch_id) they were written with
             base_rows = spark.read.schema(self.version_schema).parquet(
                 f"{self.base_root}/version={run_id}__{batch_id}")
@@ -224,5 +233,33 @@ class UpsertTable:
         return top["run_id"], int(top["batch_id"])
 
     def latest(self, spark: SparkSession, key: Sequence[str] | None = None, tie: Sequence[str] = ()) -> DataFrame:
-        """Current table content: newest version per primary key."""
-        return latest_by_key(self.versions(spark), key or self.spec.primary_key, tie=tie).select(*self.spec.columns)
+        """Current table content: newest version per primary key.
+
+        With a compacted base (already one row per primary key) only the keys
+        that newer batches touch are re-ranked: base rows of other keys pass
+        through a broadcast anti-join against the touched keys, so a read
+        does not shuffle the base.  The touched-key set is broadcast only
+        when the newer batches hold at most ``DELTA_BROADCAST_ROWS`` rows.
+        """
+        cols = list(self.spec.columns)
+        key = tuple(key or self.spec.primary_key)
+        base_info = self.current_base(spark)
+        if base_info is None or key != self.spec.primary_key:
+            return latest_by_key(self.versions(spark), key, tie=tie).select(*cols)
+        base = spark.read.schema(self.version_schema).parquet(
+            f"{self.base_root}/version={base_info[0]}__{base_info[1]}")
+        deltas = self._delta_versions(spark)
+        newer = None if deltas is None else deltas.filter(_newer_than(*base_info))
+        n_newer = 0 if newer is None else newer.count()  # parquet footers only, newer folders only
+        if n_newer == 0:
+            return base.select(*cols)
+        if n_newer > DELTA_BROADCAST_ROWS:
+            return latest_by_key(base.unionByName(newer), key, tie=tie).select(*cols)
+        touched = F.broadcast(newer.select(*[F.col(k).alias(f"_t_{k}") for k in key]).distinct())
+        match = None
+        for k in key:
+            cond = F.col(k).eqNullSafe(F.col(f"_t_{k}"))
+            match = cond if match is None else match & cond
+        untouched = base.join(touched, match, "left_anti")
+        rerank = newer.unionByName(base.join(touched, match, "left_semi"))
+        return untouched.select(*cols).unionByName(latest_by_key(rerank, key, tie=tie).select(*cols))
