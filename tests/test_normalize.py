@@ -137,3 +137,11 @@ def test_ordinals_survive_task_retries():
     out = subprocess.run([sys.executable, os.path.join(here, "retry_ordinals_job.py")], capture_output=True,
                          text=True, timeout=600)
     assert out.stdout.strip().splitlines()[-1] == "OK", out.stdout[-2000:] + out.stderr[-2000:]
+
+
+def test_mixed_header_layouts_fail_instead_of_misassigning(spark, workdir):
+    import pytest
+    _write(os.path.join(workdir, "a.csv"), "greenhouse_id,crop_type\n1,Tomato\n")
+    _write(os.path.join(workdir, "b.csv"), "crop_type,greenhouse_id\nPepper,2\n")
+    with pytest.raises(Exception):
+        read_crop_csv(spark, workdir).collect()

@@ -20,7 +20,12 @@ def read_crop_csv(spark: SparkSession, path: str, ordinal_col: str | None = "eve
     fields are NULL, extra fields are dropped.  With ``ordinal_col`` each
     row gets its 1-based position in file order (the producer's running id).
     """
-    raw = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
+    # Column names come from the first file's header; every other file is
+    # checked against it (enforceSchema=false), so a file with another
+    # column order fails the read instead of being mapped by position.
+    # Read each header layout separately and union them by name.
+    raw = (spark.read.option("header", True).option("mode", "PERMISSIVE")
+           .option("enforceSchema", False).csv(path))
     if ordinal_col:
         raw = with_file_ordinals(raw, ordinal_col)
     present = {c.lower(): c for c in raw.columns}
