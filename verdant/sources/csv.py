@@ -43,7 +43,7 @@ def stream_crop_csv(spark: SparkSession, folder: str, header_columns: Sequence[s
     are dropped, columns it reads but the layout lacks are NULL.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in header_columns])
-    reader = spark.readStream.option("header", True).schema(schema)
+    reader = spark.readStream.option("header", True).option("enforceSchema", False).schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     raw = reader.csv(folder)

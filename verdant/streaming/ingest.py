@@ -43,7 +43,7 @@ def crop_file_stream(spark: SparkSession, folder: str, header_columns: Sequence[
                      max_files_per_trigger: int | None = None) -> DataFrame:
     """New crop CSV files as a stream of text rows plus their split columns."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in header_columns])
-    reader = spark.readStream.option("header", True).schema(schema)
+    reader = spark.readStream.option("header", True).option("enforceSchema", False).schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     raw = reader.csv(folder)
