@@ -6,6 +6,8 @@ from verdant.functions.decode import (  # noqa: F401
     json_text,
     parse_json_struct,
     timestamp_to_iso_text,
+    utc_instant,
+    utc_wall_clock,
     value_as_text,
 )
 from verdant.functions.numeric import (  # noqa: F401

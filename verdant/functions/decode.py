@@ -6,8 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
-
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -40,9 +38,29 @@ def iso_text_to_timestamp(c) -> Column:
     return F.try_to_timestamp(_c(c))
 
 
-def timestamp_to_iso_text(c) -> Column:
-    """Timestamp -> ISO-8601 text with microseconds and a +HH:MM offset."""
-    return F.date_format(_c(c), ISO_FORMAT)
+# Time-zone policy: a timestamp without zone (TIMESTAMP_NTZ) is a UTC wall
+# clock; an instant (TIMESTAMP) is rendered and converted through UTC.  The
+# two helpers below convert between them independently of the session zone.
+
+def utc_instant(ntz) -> Column:
+    """UTC wall clock (TIMESTAMP_NTZ) -> the instant (TIMESTAMP)."""
+    wall_here = F.convert_timezone(F.lit("UTC"), F.current_timezone(), _c(ntz))
+    return wall_here.cast("timestamp")
+
+
+def utc_wall_clock(ts) -> Column:
+    """Instant (TIMESTAMP) -> its UTC wall clock (TIMESTAMP_NTZ)."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), _c(ts).cast("timestamp_ntz"))
+
+
+def timestamp_to_iso_text(c, is_utc_wall_clock: bool = False) -> Column:
+    """Timestamp -> ISO-8601 text in UTC with microseconds: ``2026-01-01T12:00:00.123456+00:00``.
+
+    An instant is first taken to its UTC wall clock, so the text does not
+    depend on the session time zone.
+    """
+    wall = _c(c) if is_utc_wall_clock else utc_wall_clock(c)
+    return F.concat(F.date_format(wall, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
 
 
 def epoch_millis_to_timestamp(c) -> Column:

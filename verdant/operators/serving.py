@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from verdant.functions.bands import band
+from verdant.functions.decode import utc_instant
 
 REDUCERS = ("last", "mean", "max", "sum")
 
 
 def _time_literal(value: datetime | str, like: T.DataType) -> Column:
-    lit = F.lit(value if isinstance(value, str) else value.strftime("%Y-%m-%d %H:%M:%S.%f"))
-    return lit.cast(like)
+    """A naive bound is a UTC wall clock; compared with instants it is converted as such."""
+    text = value if isinstance(value, str) else value.strftime("%Y-%m-%d %H:%M:%S.%f")
+    wall = F.lit(text).cast("timestamp_ntz")
+    return utc_instant(wall) if isinstance(like, T.TimestampType) else wall
 
 
 def multi_select(df: DataFrame, column: str, selected: Sequence[str] | None) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from verdant import schemas as S
-from verdant.functions.decode import epoch_millis_to_timestamp
+from verdant.functions.decode import epoch_millis_to_timestamp, utc_instant, utc_wall_clock
 from verdant.functions.numeric import first_number, round_half_away
 from verdant.operators.decode import accepted, decode_events, rejects
 from verdant.operators.normalize import (
@@ -78,7 +78,13 @@ def _round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 def _ntz(df: DataFrame, cols=("window_start", "window_end")) -> DataFrame:
-    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in cols if c in df.columns})
+    """Instants -> UTC wall clock (the test tables' naive timestamps are UTC)."""
+    out = {}
+    for c in cols:
+        if c in df.columns:
+            is_instant = isinstance(df.schema[c].dataType, T.TimestampType)
+            out[c] = utc_wall_clock(c) if is_instant else F.col(c)
+    return df.withColumns(out)
 
 
 def _metrics(spark: SparkSession, sf: str) -> DataFrame:
@@ -169,7 +175,7 @@ def q_window_metrics_by_source(spark, sf):
 
 def q_batch_millis_window_metrics(spark, sf):
     """Batch rows carrying epoch-millisecond time (the batch job's input shape)."""
-    rows = sensor_events(spark, sf).withColumn("event_ts", F.unix_millis(F.col("event_time").cast("timestamp")))
+    rows = sensor_events(spark, sf).withColumn("event_ts", F.unix_millis(utc_instant("event_time")))
     out = batch_window_metrics(rows.drop("event_time"), millis_col="event_ts")
     return _ntz(_round_doubles(out))
 
@@ -182,11 +188,11 @@ def q_window_metrics_rollup(spark, sf):
 
 def q_epoch_millis_time(spark, sf):
     ev = load_table(spark, sf, "events")
-    ms = F.unix_millis(F.col("ts").cast("timestamp"))
+    ms = F.unix_millis(utc_instant("ts"))
     return ev.select(
         "event_id",
         ms.alias("event_ts"),
-        epoch_millis_to_timestamp(ms).cast("timestamp_ntz").alias("event_time"),
+        utc_wall_clock(epoch_millis_to_timestamp(ms)).alias("event_time"),
     )
 
 
@@ -214,7 +220,7 @@ def q_decode_events(spark, sf):
     dec = accepted(decode_events(_published(spark, sf)))
     return dec.select(
         *[F.col(c).cast("long") if c == "event_id" else
-          (F.col(c).cast("timestamp_ntz") if c == "event_time" else F.col(c)) for c in DECODED_COLUMNS]
+          (utc_wall_clock(c).alias(c) if c == "event_time" else F.col(c)) for c in DECODED_COLUMNS]
     )
 
 

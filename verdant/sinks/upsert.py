@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from verdant.functions.decode import utc_instant
 from verdant.operators.latest import latest_by_key
 from verdant.schemas import TableSpec
 from verdant.session import new_run_id
@@ -133,7 +134,12 @@ class UpsertTable:
         order = [F.col(spec.partition_column)] + [
             F.col(c).asc() if asc else F.col(c).desc() for c, asc in spec.sort_order
         ]
-        typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in spec.schema.fields]
+        typed = []
+        for f in spec.schema.fields:
+            c = F.col(f.name)
+            if isinstance(f.dataType, T.TimestampType) and isinstance(df.schema[f.name].dataType, T.TimestampNTZType):
+                c = utc_instant(c)  # a naive time is a UTC wall clock
+            typed.append(c.cast(f.dataType).alias(f.name))
         (df.select(*typed)
            .sortWithinPartitions(*order)
            .write.mode("overwrite")

@@ -42,7 +42,7 @@ def sensor_view(events: DataFrame, with_text_time: bool = False) -> DataFrame:
         F.concat(F.col("event_type"), F.lit("."), (F.col("event_id") % 2).cast("string")).alias("source_topic"),
     ]
     if with_text_time:
-        cols.append(timestamp_to_iso_text(F.col("ts").cast("timestamp")).alias("event_ts"))
+        cols.append(timestamp_to_iso_text(F.col("ts"), is_utc_wall_clock=True).alias("event_ts"))
     cols.append(F.col("ts").alias("event_time"))
     return events.select(*cols)
 
