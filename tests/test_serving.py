@@ -84,3 +84,9 @@ def test_count_head_cap(spark):
     head = table_head(df, ["greenhouse_id", F.col("window_start").desc()], 5).collect()
     assert [r["event_count"] for r in head] == [9, 8, 7, 6, 5]
     assert cap_rows(df, 3).count() == 3 and cap_rows(df, 0).count() == 10
+
+
+def test_aware_bounds_are_taken_to_utc(spark):
+    df = spark.createDataFrame([(T0,), (T0 + dt.timedelta(hours=2),)], "t timestamp_ntz")
+    lo = (T0 + dt.timedelta(hours=1)).replace(tzinfo=dt.timezone.utc).astimezone(dt.timezone(dt.timedelta(hours=5)))
+    assert [r[0] for r in time_range(df, "t", lo, None).collect()] == [T0 + dt.timedelta(hours=2)]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +17,8 @@ REDUCERS = ("last", "mean", "max", "sum")
 
 def _time_literal(value: datetime | str, like: T.DataType) -> Column:
     """A naive bound is a UTC wall clock; compared with instants it is converted as such."""
+    if isinstance(value, datetime) and value.tzinfo is not None:
+        value = value.astimezone(timezone.utc).replace(tzinfo=None)
     text = value if isinstance(value, str) else value.strftime("%Y-%m-%d %H:%M:%S.%f")
     wall = F.lit(text).cast("timestamp_ntz")
     return utc_instant(wall) if isinstance(like, T.TimestampType) else wall
