@@ -53,9 +53,7 @@ def main():
     times = {}
     for name in names:
         times[name] = round(min(run(spark, qs[name], sf_dir) for _ in range(repeat)), 3)
-    entry_t0 = time.perf_counter()
-    catalog.flagship(spark, sf_dir).write.format("noop").mode("overwrite").save()
-    times["flagship"] = round(time.perf_counter() - entry_t0, 3)
+    times["flagship"] = round(min(run(spark, catalog.flagship, sf_dir) for _ in range(repeat)), 3)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     out = {
         "metric": "total_query_seconds",
