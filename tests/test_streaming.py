@@ -197,3 +197,29 @@ def test_time_ordered_files_one_batch_each_equal_batch_result(spark, workdir):
             "window_end", F.col("window_end").cast("timestamp_ntz"))
         assert got.count() == exp.count()
         assert got.exceptAll(exp).count() == 0
+
+
+def test_default_trigger_job_runs_until_stopped(spark, workdir):
+    from verdant.options import JobOptions
+    from verdant.sinks.publish import to_keyed_records, write_records
+    from verdant.sources.tables import read_table
+    from verdant.sources.testdata import sensor_events
+    from verdant.streaming.job import run_streaming_job
+    from tests.conftest import SF001
+    ev = sensor_events(spark, SF001, with_text_time=True).withColumn("event_id", F.col("event_id").try_cast("int"))
+    write_records(to_keyed_records(ev), fmt="parquet", path=workdir + "/landing")
+    opts = JobOptions(table_root=workdir + "/tables", checkpoint_root=workdir + "/ck")
+    qs = run_streaming_job(spark, opts, fmt="parquet", path=workdir + "/landing", wait=True, wait_timeout=1)
+    try:
+        deadline = time.time() + 60
+        while time.time() < deadline and not all(
+                any(p.numInputRows > 0 for p in q.recentProgress) for q in qs.values()):
+            time.sleep(0.5)
+        for q in qs.values():
+            q.processAllAvailable()
+    finally:
+        for q in qs.values():
+            q.stop()
+    total = ev.count()
+    for name in ("window_metrics", "window_metrics_by_source"):
+        assert read_table(spark, workdir + "/tables", name).groupBy().sum("event_count").first()[0] == total

@@ -80,7 +80,8 @@ def start_rejects_query(decoded: DataFrame, path: str, checkpoint: str, trigger:
 
 
 def run_streaming_job(spark: SparkSession, opts: JobOptions | None = None, fmt: str = "kafka",
-                      path: str | None = None, trigger: str | None = None, wait: bool = True) -> dict:
+                      path: str | None = None, trigger: str | None = None, wait: bool = True,
+                      wait_timeout: float | None = None) -> dict:
     """Entry point: topics (or landed record files) -> both aggregate tables.
 
     Each query reads the source itself (Spark does not share a source
@@ -97,7 +98,11 @@ def run_streaming_job(spark: SparkSession, opts: JobOptions | None = None, fmt:
         queries["rejects"] = start_rejects_query(decoded, f"{table_root}/rejects", f"{checkpoint_root}/rejects",
                                                  trigger, opts)
     if wait:
-        spark.streams.awaitAnyTermination()
+        # blocks until any query ends (or the timeout passes); a failed query raises here
+        if wait_timeout is None:
+            spark.streams.awaitAnyTermination()
+        else:
+            spark.streams.awaitAnyTermination(wait_timeout)
     return queries
 
 
