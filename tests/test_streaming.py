@@ -69,8 +69,11 @@ def test_f8_golden_trace(spark, workdir):
     assert out[2] == [("12:05", 4.0, 3), ("12:20", 9.0, 1)]
     assert out[3] == [("12:05", 5.0, 4)]
     assert out[4] == [("12:15", 3.0, 1)]
-    dropped = [b["late_rows_dropped"] for b in batch_summary(q)][:5]
-    assert dropped == [0, 0, 1, 0, 1]
+    summary = batch_summary(q)[:5]
+    assert [b["late_rows_dropped"] for b in summary] == [0, 0, 1, 0, 1]
+    marks = [b["watermark"][11:16] for b in summary]
+    assert summary[0]["watermark"].startswith("1970-01-01")
+    assert marks[1:] == ["12:06", "12:06", "12:18", "12:18"]
 
 
 def test_upsert_tables_after_restart(spark, workdir):
