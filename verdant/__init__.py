@@ -1,0 +1,3 @@
+"""verdant: sensor telemetry analytics on Apache Spark (DataFrame / SQL / Structured Streaming)."""
+
+__version__ = "0.1.0"

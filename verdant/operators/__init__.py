@@ -10,7 +10,7 @@ from verdant.operators.normalize import (  # noqa: F401
     normalize_observations,
     valid_events,
 )
-from verdant.operators.ordinals import with_file_ordinals  # noqa: F401
+from verdant.operators.ordinals import number_rows_in_files, split_columns, with_file_ordinals  # noqa: F401
 from verdant.operators.serving import (  # noqa: F401
     cap_rows,
     column_sums,
@@ -24,4 +24,10 @@ from verdant.operators.serving import (  # noqa: F401
     with_band,
 )
 from verdant.operators.union import union_sources  # noqa: F401
-from verdant.operators.windows import window_metrics, window_metrics_by_source  # noqa: F401
+from verdant.operators.windows import (  # noqa: F401
+    finish_window_sums,
+    rollup_window_sums,
+    window_metrics,
+    window_metrics_by_source,
+    window_sums,
+)
