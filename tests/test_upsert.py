@@ -144,3 +144,10 @@ def test_latest_after_compaction_skips_base_shuffle_and_matches_full_rank(spark,
     assert fast.exceptAll(full).count() == 0
     got = {(r["data_source"], r["greenhouse_id"]): r["event_count"] for r in fast.collect()}
     assert got == {("s", "gh-0"): 1, ("s", None): 2, (None, "gh-1"): 3, ("s", "gh-2"): 1, ("s", "gh-9"): 4}
+
+
+def test_in_table_order_is_total(spark, workdir):
+    from verdant.sources.tables import in_table_order
+    rows = [("csv", "topic.b", "gh-0", T0, T1, 1.0, 1.0, 1.0, 1), ("csv", "topic.a", "gh-0", T0, T1, 1.0, 1.0, 1.0, 2)]
+    df = spark.createDataFrame(rows, S.WINDOW_METRICS_BY_SOURCE_SCHEMA)
+    assert [r["source_topic"] for r in in_table_order(df, S.WINDOW_METRICS_BY_SOURCE).collect()] == ["topic.a", "topic.b"]

@@ -1,3 +1,8 @@
 """verdant: sensor telemetry analytics on Apache Spark (DataFrame / SQL / Structured Streaming)."""
 
-__version__ = "0.1.0"
+try:
+    from importlib.metadata import PackageNotFoundError, version
+
+    __version__ = version("verdant")
+except PackageNotFoundError:  # running from a source checkout
+    __version__ = "0.1.0"

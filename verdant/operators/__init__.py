@@ -25,6 +25,8 @@ from verdant.operators.serving import (  # noqa: F401
 )
 from verdant.operators.union import union_sources  # noqa: F401
 from verdant.operators.windows import (  # noqa: F401
+    GREENHOUSE_KEYS,
+    SOURCE_KEYS,
     finish_window_sums,
     rollup_window_sums,
     window_metrics,

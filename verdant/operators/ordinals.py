@@ -78,12 +78,13 @@ def split_columns() -> list:
             F.col("_metadata.file_block_start").alias("_split_start")]
 
 
-def number_rows_in_files(batch: DataFrame, name: str = "event_id", max_splits: int | None = None) -> DataFrame:
+def number_rows_in_files(batch: DataFrame, name: str = "event_id") -> DataFrame:
     """Per-file 1-based row numbers for a micro-batch that carries :func:`split_columns`.
 
-    Call on a persisted micro-batch: its partitions are fixed, so both
-    passes see the same rows in the same order.  The split table is
-    broadcast when ``max_splits`` (e.g. files per trigger) bounds it.
+    Call on a persisted micro-batch: its partitions are fixed, so every
+    pass sees the same rows in the same order.  The split table is
+    broadcast only when its measured size (one small aggregate over the
+    cached batch) is within ``BROADCAST_SPLIT_LIMIT``.
     """
-    ok = max_splits is not None and max_splits <= BROADCAST_SPLIT_LIMIT
-    return _number_tagged(batch, name, per_file=True, broadcast_ok=ok)
+    n_splits = batch.select("_split_file", "_split_start").distinct().count()
+    return _number_tagged(batch, name, per_file=True, broadcast_ok=n_splits <= BROADCAST_SPLIT_LIMIT)

@@ -52,13 +52,19 @@ def window_metrics_by_source(events: DataFrame, time_col: str = "event_time", wi
 _SUM_SPECS = (("temperature_c", "avg_temperature"), ("humidity_pct", "avg_humidity"), ("co2_ppm", "avg_co2"))
 
 
+SUM_COLUMNS = tuple(c for _, out in _SUM_SPECS for c in (f"sum_{out}", f"n_{out}")) + ("event_count",)
+
+
 def window_sums(events: DataFrame, keys: Sequence[str] = SOURCE_KEYS, time_col: str = "event_time",
-                window: str = S.WINDOW_DURATION) -> DataFrame:
+                window: str = S.WINDOW_DURATION, watermark: str | None = None) -> DataFrame:
     """Re-aggregatable window state: per metric the sum and the non-NULL count, plus the row count.
 
-    Coarser key sets are exact roll-ups of it (``rollup_window_sums``), so
-    one scan of the events serves every table.
+    Coarser key sets are roll-ups of it (``rollup_window_sums``): counts are
+    exact, averages equal the direct ones up to the order in which floating
+    point sums are added.  One scan of the events serves every table.
     """
+    if watermark:
+        events = events.withWatermark(time_col, watermark)
     aggs = []
     for src, out in _SUM_SPECS:
         aggs += [F.sum(src).alias(f"sum_{out}"), F.count(src).alias(f"n_{out}")]
@@ -70,8 +76,7 @@ def window_sums(events: DataFrame, keys: Sequence[str] = SOURCE_KEYS, time_col:
 
 def rollup_window_sums(sums: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Window sums re-aggregated to a coarser key set (same windows)."""
-    value_cols = [c for c in sums.columns if c.startswith(("sum_", "n_"))] + ["event_count"]
-    return sums.groupBy(*keys, "window_start", "window_end").agg(*[F.sum(c).alias(c) for c in value_cols])
+    return sums.groupBy(*keys, "window_start", "window_end").agg(*[F.sum(c).alias(c) for c in SUM_COLUMNS])
 
 
 def finish_window_sums(sums: DataFrame, keys: Sequence[str]) -> DataFrame:

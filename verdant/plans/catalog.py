@@ -30,6 +30,7 @@ from verdant.operators.ordinals import with_file_ordinals
 from verdant.operators.serving import column_sums, table_count, table_head, weighted_rollup
 from verdant.operators.union import union_sources
 from verdant.operators.windows import (
+    GREENHOUSE_KEYS,
     finish_window_sums,
     rollup_window_sums,
     window_metrics,
@@ -183,7 +184,7 @@ def q_batch_millis_window_metrics(spark, sf):
 def q_window_metrics_rollup(spark, sf):
     """Greenhouse windows derived from the finest (source x topic x greenhouse) window sums."""
     fine = window_sums(sensor_events(spark, sf))
-    return _round_doubles(finish_window_sums(rollup_window_sums(fine, ("greenhouse_id",)), ("greenhouse_id",)))
+    return _round_doubles(finish_window_sums(rollup_window_sums(fine, GREENHOUSE_KEYS), GREENHOUSE_KEYS))
 
 
 def q_epoch_millis_time(spark, sf):

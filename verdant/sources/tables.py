@@ -25,4 +25,7 @@ def in_table_order(df: DataFrame, spec: TableSpec) -> DataFrame:
     (window_metrics: newest window first; by-source: newest first, then greenhouse)."""
     order = [F.col(spec.partition_column).asc()] + [
         F.col(c).asc() if asc else F.col(c).desc() for c, asc in spec.sort_order]
+    used = {spec.partition_column, *(c for c, _ in spec.sort_order)}
+    # the rest of the primary key makes the order total
+    order += [F.col(c).asc() for c in spec.primary_key if c not in used]
     return df.orderBy(*order)

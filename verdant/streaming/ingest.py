@@ -62,7 +62,7 @@ def start_crop_ingest(spark: SparkSession, folder: str, checkpoint: str, fmt: st
     def batch(df: DataFrame, batch_id: int) -> None:
         df.persist()
         try:
-            numbered = number_rows_in_files(df, "event_id", max_splits=max_files_per_trigger)
+            numbered = number_rows_in_files(df, "event_id")
             events = normalize_crop_rows(numbered, ingest_time=ingest_time)
             _publish(events, S.TOPIC_CSV, batch_id, fmt, path, options, rejects_path)
         finally:
