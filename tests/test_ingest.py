@@ -60,3 +60,16 @@ def test_per_file_ordinals_batch(spark, workdir):
     df = with_file_ordinals(spark.read.option("header", True).csv(workdir), "n", per_file=True)
     got = sorted((r["x"], r["n"]) for r in df.collect())
     assert got == [("a.csv0", 1), ("a.csv1", 2), ("a.csv2", 3), ("b.csv0", 1), ("b.csv1", 2)]
+
+
+def test_replayed_ingest_batch_is_not_written_twice(spark, workdir):
+    from verdant.streaming.ingest import _publish
+    from verdant.operators.normalize import normalize_observations
+    from verdant.sources.observations import parse_observation_array
+    df = spark.createDataFrame([(1, '[{"idema":"S1","ta":"20"}]'), (2, '[{"ta":"21"}]')], "event_id int, payload string")
+    events = normalize_observations(df.select("event_id", parse_observation_array("payload").alias("observations")))
+    _publish(events, S.TOPIC_WEATHER, 0, "parquet", workdir + "/rec", None, workdir + "/rej")
+    first = sorted(os.listdir(workdir + "/rec/batch_id=0"))
+    _publish(events, S.TOPIC_WEATHER, 0, "parquet", workdir + "/rec", None, workdir + "/rej")  # replay
+    assert sorted(os.listdir(workdir + "/rec/batch_id=0")) == first
+    assert [r["reject_reason"] for r in spark.read.parquet(workdir + "/rej").collect()] == ["missing_station"]

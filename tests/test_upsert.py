@@ -151,3 +151,23 @@ def test_in_table_order_is_total(spark, workdir):
     rows = [("csv", "topic.b", "gh-0", T0, T1, 1.0, 1.0, 1.0, 1), ("csv", "topic.a", "gh-0", T0, T1, 1.0, 1.0, 1.0, 2)]
     df = spark.createDataFrame(rows, S.WINDOW_METRICS_BY_SOURCE_SCHEMA)
     assert [r["source_topic"] for r in in_table_order(df, S.WINDOW_METRICS_BY_SOURCE).collect()] == ["topic.a", "topic.b"]
+
+
+def test_compaction_is_a_noop_without_newer_batches(spark, workdir):
+    t = UpsertTable(workdir + "/wm", S.WINDOW_METRICS, run_id="r1")
+    t.write_batch(_wm(spark, [("gh-0", T0, T1, 1.0, 1.0, 1.0, 1)]), 0)
+    assert t.compact(spark) == ("r1", 0)
+    assert t.compact(spark) == ("r1", 0)  # nothing newer: the base being read is left alone
+    assert t.latest(spark).first()["event_count"] == 1
+
+
+def test_uncommitted_base_or_batch_is_ignored(spark, workdir):
+    import os
+    t = UpsertTable(workdir + "/wm", S.WINDOW_METRICS, run_id="r1")
+    t.write_batch(_wm(spark, [("gh-0", T0, T1, 1.0, 1.0, 1.0, 1)]), 0)
+    os.makedirs(workdir + "/wm/run_id=r1/batch_id=7")  # a batch folder still being written
+    os.makedirs(workdir + "/wm/_base/version=r9__00000000000000000009")  # a base whose write never committed
+    assert t.current_base(spark) is None
+    assert t.newest_committed_batch(spark) == ("r1", 0)
+    assert t.compact(spark) == ("r1", 0)
+    assert t.latest(spark).first()["event_count"] == 1

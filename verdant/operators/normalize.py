@@ -114,13 +114,13 @@ def latest_observation(observations) -> Column:
 def normalize_observations(obs: DataFrame, observations_col: str = "observations", id_col: str = "event_id",
                            station: Column | None = None, greenhouse_id: str | Column = "alm-poniente",
                            ingest_time: Column | None = None, source: str = S.SOURCE_WEATHER,
-                           topic: str = S.TOPIC_WEATHER) -> DataFrame:
+                           topic: str = S.TOPIC_WEATHER, impute_keys: Sequence[Column] | None = None) -> DataFrame:
     """Weather responses (one array of observations per row) -> one event per response.
 
     The last observation is used.  Each reading is the first candidate key
     that parses as a number (decimal comma accepted), else a fixed default;
-    light is scaled x100.  CO2 and soil are imputed.  An empty or missing
-    array is a reject.
+    light is scaled x100.  CO2 and soil are imputed (keyed by ``impute_keys``,
+    default the id).  An empty or missing array, or no station id, is a reject.
     """
     last = latest_observation(observations_col)
     station = last["idema"] if station is None else station
@@ -130,7 +130,8 @@ def normalize_observations(obs: DataFrame, observations_col: str = "observations
     light = first_number([last[k] for k in S.WEATHER_LIGHT_KEYS])
     co2_lo, co2_hi = S.WEATHER_IMPUTE["co2_ppm"]
     soil_lo, soil_hi = S.WEATHER_IMPUTE["soil_moisture_pct"]
-    reason = F.when(last.isNull(), F.lit("empty_observations"))
+    keys = list(impute_keys) if impute_keys else [key]
+    reason = F.when(last.isNull(), F.lit("empty_observations")).when(station.isNull(), F.lit("missing_station"))
     imputed = F.array_compact(F.array(
         F.when(temperature.isNull(), F.lit("temperature_c")),
         F.when(humidity.isNull(), F.lit("humidity_pct")),
@@ -145,8 +146,8 @@ def normalize_observations(obs: DataFrame, observations_col: str = "observations
         F.lit(S.WEATHER_ZONE).alias("zone"),
         round_half_away(F.coalesce(temperature, F.lit(S.WEATHER_TEMPERATURE_DEFAULT)), 2).alias("temperature_c"),
         round_half_away(F.coalesce(humidity, F.lit(S.WEATHER_HUMIDITY_DEFAULT)), 2).alias("humidity_pct"),
-        impute_between("co2_ppm", co2_lo, co2_hi, key).alias("co2_ppm"),
-        impute_between("soil_moisture_pct", soil_lo, soil_hi, key).alias("soil_moisture_pct"),
+        impute_between("co2_ppm", co2_lo, co2_hi, *keys).alias("co2_ppm"),
+        impute_between("soil_moisture_pct", soil_lo, soil_hi, *keys).alias("soil_moisture_pct"),
         round_half_away(F.coalesce(light, F.lit(S.WEATHER_LIGHT_DEFAULT)) * F.lit(S.WEATHER_LIGHT_SCALE), 2)
         .alias("light_lux"),
         F.lit(source).alias("data_source"),

@@ -29,6 +29,8 @@ class JobOptions:
     max_offsets_per_trigger: int | None = None
     # A rejects query reads the source a third time; opt in.
     write_rejects: bool = False
+    # Compact each table after every N-th micro-batch (None: never from the stream).
+    compact_every: int | None = None
     extra_source_options: Mapping[str, str] = field(default_factory=dict)
 
     @classmethod
@@ -46,4 +48,5 @@ class JobOptions:
             watermark=env.get("WATERMARK_DELAY", base.watermark),
             processing_time=env.get("TRIGGER_INTERVAL", base.processing_time),
             write_rejects=env.get("WRITE_REJECTS", "0").lower() in ("1", "true", "yes"),
+            compact_every=int(env["COMPACT_EVERY"]) if env.get("COMPACT_EVERY") else None,
         )

@@ -7,10 +7,12 @@ which keeps per primary key the row of the greatest (run_id, batch_id),
 i.e. last write wins, as an overwrite-by-key store does.
 
 :meth:`UpsertTable.compact` rewrites the current content as a base version
-``<root>/_base/version=<run>__<batch>/`` and records it in ``_base/_CURRENT``;
-readers then take the base plus only the batch folders newer than it
-(partition pruning skips the rest), so reads stop growing with the number of
-micro-batches.  Folders starting with ``_`` are invisible to the batch scan.
+``<root>/_base/version=<run>__<batch, 20 digits>/``.  A base counts once Spark
+has committed it (its ``_SUCCESS`` marker exists) and the newest committed
+base wins, so switching bases is atomic and never rewrites a folder that is
+being read.  Readers take the base plus only the batch folders newer than it
+(partition pruning skips the rest).  Folders starting with ``_`` are
+invisible to the batch scan.
 """
 
 from __future__ import annotations
@@ -31,6 +33,10 @@ log = logging.getLogger(__name__)
 
 VERSION_FIELDS = [T.StructField("run_id", T.StringType()), T.StructField("batch_id", T.LongType())]
 
+# Newer batches hold at most this many rows for their touched keys to be broadcast
+# (a key is a few short columns: ~100 MB at the limit).
+DELTA_BROADCAST_ROWS = 1_000_000
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -43,32 +49,31 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
-def _write_small_text(spark: SparkSession, path: str, text: str) -> None:
-    """Replace a small marker file (write a new file, then rename over the old one)."""
+def _list_dirs(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    """Names after ``prefix`` of the sub-folders of ``path`` (one listing, no recursion)."""
     hpath, fs = _fs(spark, path)
-    tmp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path + "." + new_run_id())
-    out = fs.create(tmp, True)
-    out.write(bytearray(text.encode("utf-8")))
-    out.close()
-    if fs.exists(hpath):
-        fs.delete(hpath, False)
-    fs.rename(tmp, hpath)
+    if not fs.exists(hpath):
+        return []
+    return [st.getPath().getName()[len(prefix):] for st in fs.listStatus(hpath)
+            if st.isDirectory() and st.getPath().getName().startswith(prefix)]
 
 
-def _read_small_text(spark: SparkSession, path: str) -> str:
-    hpath, fs = _fs(spark, path)
-    stream = fs.open(hpath)
-    try:
-        reader = spark.sparkContext._jvm.java.io.BufferedReader(
-            spark.sparkContext._jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        return reader.readLine() or ""
-    finally:
-        stream.close()
+def _committed(spark: SparkSession, path: str) -> bool:
+    return path_exists(spark, f"{path}/_SUCCESS")
 
 
-# Newer batches hold at most this many rows for their touched keys to be broadcast
-# (a key is a few short columns: ~100 MB at the limit).
-DELTA_BROADCAST_ROWS = 1_000_000
+def _list_run_ids(spark: SparkSession, root: str) -> list[str]:
+    """Run ids present under ``root`` (a listing of the top-level run folders only)."""
+    return _list_dirs(spark, root, "run_id=")
+
+
+def _base_tag(run_id: str, batch_id: int) -> str:
+    return f"{run_id}__{int(batch_id):020d}"
+
+
+def _parse_base_tag(tag: str) -> tuple[str, int]:
+    run_id, batch_id = tag.rsplit("__", 1)
+    return run_id, int(batch_id)
 
 
 def _newer_than(run_id: str, batch_id: int):
@@ -76,19 +81,6 @@ def _newer_than(run_id: str, batch_id: int):
     return (F.col("run_id") > F.lit(run_id)) | ((F.col("run_id") == F.lit(run_id)) & (F.col("batch_id") > F.lit(batch_id)))
 
 
-def _list_run_ids(spark: SparkSession, root: str) -> list[str]:
-    """Run ids present under ``root`` (a listing of the top-level run folders only)."""
-    hpath, fs = _fs(spark, root)
-    if not fs.exists(hpath):
-        return []
-    out = []
-    for st in fs.listStatus(hpath):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("run_id="):
-            out.append(name[len("run_id="):])
-    return out
-
-
 class UpsertTable:
     def __init__(self, root: str, spec: TableSpec, run_id: str | None = None,
                  report: Callable[[str, int, int], None] | None = None, compact_every: int | None = None):
@@ -126,6 +118,8 @@ class UpsertTable:
     def batch_path(self, batch_id: int) -> str:
         return f"{self.root}/run_id={self._run_id}/batch_id={int(batch_id)}"
 
+    # ------------------------------------------------------------ writes
+
     def write_batch(self, df: DataFrame, batch_id: int) -> None:
         """Write one batch (overwrite of its own folder only), sorted per partition value
         so each file's min/max on the time column lets time-range reads skip row groups."""
@@ -175,92 +169,67 @@ class UpsertTable:
     def base_root(self) -> str:
         return f"{self.root}/_base"
 
+    def base_path(self, version: tuple[str, int]) -> str:
+        return f"{self.base_root}/version={_base_tag(*version)}"
+
     def current_base(self, spark: SparkSession) -> tuple[str, int] | None:
-        """(run_id, batch_id) covered by the current base version, if any."""
-        marker = f"{self.base_root}/_CURRENT"
-        if not path_exists(spark, marker):
-            return None
-        text = _read_small_text(spark, marker).strip()
-        run_id, batch_id = text.rsplit("__", 1)
-        return run_id, int(batch_id)
+        """(run_id, batch_id) covered by the newest committed base version, if any."""
+        versions = sorted((_parse_base_tag(t) for t in _list_dirs(spark, self.base_root, "version=")), reverse=True)
+        for v in versions:
+            if _committed(spark, self.base_path(v)):
+                return v
+        return None
+
+    def newest_committed_batch(self, spark: SparkSession) -> tuple[str, int] | None:
+        """Newest (run_id, batch_id) whose batch folder is committed (folder listings only)."""
+        for run_id in sorted(_list_run_ids(spark, self.root), reverse=True):
+            batches = sorted((int(b) for b in _list_dirs(spark, f"{self.root}/run_id={run_id}", "batch_id=")),
+                             reverse=True)
+            for b in batches:
+                if _committed(spark, f"{self.root}/run_id={run_id}/batch_id={b}"):
+                    return run_id, b
+        return None
 
     def _delta_versions(self, spark: SparkSession) -> DataFrame | None:
-        if not path_exists(spark, self.root):
+        if not _list_run_ids(spark, self.root):
             return None
-        try:
-            return spark.read.schema(self.version_schema).parquet(self.root)
-        except Exception as e:  # noqa: BLE001 - a root holding only the base folder has no data files
-            if "UNABLE_TO_INFER_SCHEMA" in str(e) or "PATH_NOT_FOUND" in str(e):
-                return None
-            raise
+        return spark.read.schema(self.version_schema).parquet(self.root)
+
+    def _base_rows(self, spark: SparkSession, base: tuple[str, int]) -> DataFrame:
+        # base rows keep the (run_id, batch_id) they were written with
+        return spark.read.schema(self.version_schema).parquet(self.base_path(base))
 
     def versions(self, spark: SparkSession) -> DataFrame:
         """Every live row with its run_id and batch_id (base version + newer batches)."""
         deltas = self._delta_versions(spark)
         base = self.current_base(spark)
         if base is not None:
-            run_id, batch_id = base
-            newer = _newer_than(run_id, batch_id)
-            # base rows keep the (run_id, batch_id) they were written with
-            base_rows = spark.read.schema(self.version_schema).parquet(
-                f"{self.base_root}/version={run_id}__{batch_id}")
-            if deltas is None:
-                return base_rows
-            return base_rows.unionByName(deltas.filter(newer))
+            base_rows = self._base_rows(spark, base)
+            return base_rows if deltas is None else base_rows.unionByName(deltas.filter(_newer_than(*base)))
         if deltas is None:
             return spark.createDataFrame([], self.version_schema)
         return deltas
 
-    def compact(self, spark: SparkSession) -> tuple[str, int] | None:
-        """Rewrite the current content as a new base version; returns the version it covers.
-
-        The newest (run_id, batch_id) is read from partition values only; the
-        latest view is written once, sorted per partition value, then the
-        marker is switched.  A batch landing meanwhile is newer than the tag
-        and stays visible; a replayed older batch carries content the base
-        already has.
-        """
-        versions = self.versions(spark)
-        top = versions.select(F.max(F.struct("run_id", "batch_id")).alias("v")).first()["v"]
-        if top is None:
-            return None
-        tag = f"{top['run_id']}__{int(top['batch_id'])}"
-        latest = latest_by_key(versions, self.spec.primary_key, keep_version=True).select(
-            *self.spec.columns, "run_id", "batch_id")
-        spec = self.spec
-        order = [F.col(spec.partition_column)] + [
-            F.col(c).asc() if asc else F.col(c).desc() for c, asc in spec.sort_order
-        ]
-        (latest.repartition(F.col(spec.partition_column), F.col(spec.primary_key[-1]))
-               .sortWithinPartitions(*order)
-               .write.mode("overwrite").partitionBy(spec.partition_column)
-               .parquet(f"{self.base_root}/version={tag}"))
-        _write_small_text(spark, f"{self.base_root}/_CURRENT", tag)
-        return top["run_id"], int(top["batch_id"])
-
-    def latest(self, spark: SparkSession, key: Sequence[str] | None = None, tie: Sequence[str] = ()) -> DataFrame:
-        """Current table content: newest version per primary key.
-
-        With a compacted base (already one row per primary key) only the keys
-        that newer batches touch are re-ranked: base rows of other keys pass
-        through a broadcast anti-join against the touched keys, so a read
-        does not shuffle the base.  The touched-key set is broadcast only
-        when the newer batches hold at most ``DELTA_BROADCAST_ROWS`` rows.
-        """
-        cols = list(self.spec.columns)
+    def _latest_rows(self, spark: SparkSession, key: Sequence[str] | None = None, tie: Sequence[str] = (),
+                     keep_version: bool = False) -> DataFrame:
+        """Newest row per key.  With a committed base (already one row per primary
+        key) only the keys that newer batches touch are re-ranked: base rows of
+        other keys pass through a broadcast anti-join against the touched keys,
+        so the base is not shuffled.  The touched-key set is broadcast only when
+        the newer batches hold at most ``DELTA_BROADCAST_ROWS`` rows."""
+        cols = list(self.spec.columns) + (["run_id", "batch_id"] if keep_version else [])
         key = tuple(key or self.spec.primary_key)
         base_info = self.current_base(spark)
         if base_info is None or key != self.spec.primary_key:
-            return latest_by_key(self.versions(spark), key, tie=tie).select(*cols)
-        base = spark.read.schema(self.version_schema).parquet(
-            f"{self.base_root}/version={base_info[0]}__{base_info[1]}")
+            return latest_by_key(self.versions(spark), key, tie=tie, keep_version=keep_version).select(*cols)
+        base = self._base_rows(spark, base_info)
         deltas = self._delta_versions(spark)
         newer = None if deltas is None else deltas.filter(_newer_than(*base_info))
-        n_newer = 0 if newer is None else newer.count()  # parquet footers only, newer folders only
+        n_newer = 0 if newer is None else newer.count()  # parquet footers of the newer folders only
         if n_newer == 0:
             return base.select(*cols)
         if n_newer > DELTA_BROADCAST_ROWS:
-            return latest_by_key(base.unionByName(newer), key, tie=tie).select(*cols)
+            return latest_by_key(base.unionByName(newer), key, tie=tie, keep_version=keep_version).select(*cols)
         touched = F.broadcast(newer.select(*[F.col(k).alias(f"_t_{k}") for k in key]).distinct())
         match = None
         for k in key:
@@ -268,4 +237,33 @@ class UpsertTable:
             match = cond if match is None else match & cond
         untouched = base.join(touched, match, "left_anti")
         rerank = newer.unionByName(base.join(touched, match, "left_semi"))
-        return untouched.select(*cols).unionByName(latest_by_key(rerank, key, tie=tie).select(*cols))
+        return untouched.select(*cols).unionByName(
+            latest_by_key(rerank, key, tie=tie, keep_version=keep_version).select(*cols))
+
+    def latest(self, spark: SparkSession, key: Sequence[str] | None = None, tie: Sequence[str] = ()) -> DataFrame:
+        """Current table content: newest version per primary key (or per ``key``, ties by ``tie``)."""
+        return self._latest_rows(spark, key, tie)
+
+    def compact(self, spark: SparkSession) -> tuple[str, int] | None:
+        """Write the current content as a new base version; returns the version it covers.
+
+        The version is the newest *committed* batch (folder listings only), so
+        a batch still being written is never claimed; it stays newer than the
+        base and visible.  Nothing newer than the current base: no-op.  The new
+        base folder is never the one being read, and it only takes effect
+        once Spark commits it.
+        """
+        top = self.newest_committed_batch(spark)
+        base = self.current_base(spark)
+        if top is None or (base is not None and top <= base):
+            return base
+        latest = self._latest_rows(spark, keep_version=True)
+        spec = self.spec
+        order = [F.col(spec.partition_column)] + [
+            F.col(c).asc() if asc else F.col(c).desc() for c, asc in spec.sort_order
+        ]
+        (latest.repartition(F.col(spec.partition_column), F.col(spec.primary_key[-1]))
+               .sortWithinPartitions(*order)
+               .write.mode("overwrite").partitionBy(spec.partition_column)
+               .parquet(self.base_path(top)))
+        return top

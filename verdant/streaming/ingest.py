@@ -19,24 +19,43 @@ from pyspark.sql.streaming import StreamingQuery
 from verdant import schemas as S
 from verdant.operators.normalize import normalize_crop_rows, normalize_observations
 from verdant.operators.ordinals import number_rows_in_files, split_columns
-from verdant.sinks.publish import to_keyed_records
+from verdant.sinks.publish import to_keyed_records, write_records
+from verdant.sinks.upsert import path_exists
 from verdant.sources.observations import parse_observation_array
 
 REJECT_COLUMNS = ("event_id", "sensor_id", "reject_reason")
 
 
+def _write_once(spark: SparkSession, df: DataFrame, fmt: str, out: str, options) -> None:
+    """Write a batch folder unless it is already committed.
+
+    A replayed micro-batch holds the same rows (same input files, same
+    numbering); rewriting it would give the rows new file names, and a file
+    stream reading ``out``'s parent would take them in a second time.
+    """
+    if path_exists(spark, f"{out}/_SUCCESS"):
+        return
+    write_records(df, fmt, out, options, mode="overwrite")
+
+
 def _publish(events: DataFrame, topic: str, batch_id: int, fmt: str, path: str | None,
              options: Mapping[str, str] | None, rejects_path: str | None) -> None:
-    valid = events.filter(F.col("reject_reason").isNull()).select(*S.STREAM_EVENT_FIELDS)
-    records = to_keyed_records(valid, topic)
-    if fmt == "kafka":
-        records.write.format("kafka").options(**dict(options or {})).save()
-    else:
-        # one folder per micro-batch: a replayed batch overwrites its own output
-        records.write.mode("overwrite").format(fmt).save(f"{path}/batch_id={batch_id}")
-    if rejects_path:
-        (events.filter(F.col("reject_reason").isNotNull()).select(*REJECT_COLUMNS)
-         .write.mode("overwrite").parquet(f"{rejects_path}/batch_id={batch_id}"))
+    """Valid events as records (Kafka: at-least-once on replay; files: once per batch), rejects aside.
+    The batch is persisted so both writes share one read and one parse of the input."""
+    spark = events.sparkSession
+    events.persist()
+    try:
+        valid = events.filter(F.col("reject_reason").isNull()).select(*S.STREAM_EVENT_FIELDS)
+        records = to_keyed_records(valid, topic)
+        if fmt == "kafka":
+            write_records(records, "kafka", options=options)
+        else:
+            _write_once(spark, records, fmt, f"{path}/batch_id={batch_id}", options)
+        if rejects_path:
+            rej = events.filter(F.col("reject_reason").isNotNull()).select(*REJECT_COLUMNS)
+            _write_once(spark, rej, "parquet", f"{rejects_path}/batch_id={batch_id}", None)
+    finally:
+        events.unpersist()
 
 
 def crop_file_stream(spark: SparkSession, folder: str, header_columns: Sequence[str] = S.CROP_CSV_COLUMNS,
@@ -84,9 +103,12 @@ def weather_events_stream(spark: SparkSession, folder: str, greenhouse_id: str =
     raw = spark.readStream.option("wholetext", True).text(folder)
     obs = raw.select(
         F.unix_seconds(F.col("_metadata.file_modification_time")).alias("event_id"),
+        F.col("_metadata.file_path").alias("file"),
         parse_observation_array("value").alias("observations"),
     )
-    return normalize_observations(obs, greenhouse_id=greenhouse_id, ingest_time=ingest_time)
+    # two responses landing in the same second share an id, not their imputed readings
+    return normalize_observations(obs, greenhouse_id=greenhouse_id, ingest_time=ingest_time,
+                                  impute_keys=[F.col("event_id"), F.col("file")])
 
 
 def start_weather_ingest(spark: SparkSession, folder: str, checkpoint: str, fmt: str = "parquet",

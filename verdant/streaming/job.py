@@ -9,6 +9,7 @@ watermark is evicted, so state stays bounded by the watermark horizon.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,13 +59,15 @@ def start_table_queries(events: DataFrame, table_root: str, checkpoint_root: str
     every run already in it, so a restart's writes always win.
     """
     opts = opts or JobOptions()
+    compact_every = compact_every if compact_every is not None else opts.compact_every
     aggs = stream_aggregates(events, opts)
+    suffix = uuid.uuid4().hex[:6]
     started = {}
     for name in tables:
         spec, _ = TABLE_KEYS[name]
         table = UpsertTable(f"{table_root}/{name}", spec, run_id=run_id, report=report,
                             compact_every=compact_every)
-        writer = (aggs[name].writeStream.outputMode("update")
+        writer = (aggs[name].writeStream.outputMode("update").queryName(f"{name}-{suffix}")
                   .option("checkpointLocation", f"{checkpoint_root}/{name}")
                   .foreachBatch(table.foreach_batch()))
         started[name] = _apply_trigger(writer, trigger, opts).start()
@@ -98,11 +101,19 @@ def run_streaming_job(spark: SparkSession, opts: JobOptions | None = None, fmt:
         queries["rejects"] = start_rejects_query(decoded, f"{table_root}/rejects", f"{checkpoint_root}/rejects",
                                                  trigger, opts)
     if wait:
-        # blocks until any query ends (or the timeout passes); a failed query raises here
-        if wait_timeout is None:
-            spark.streams.awaitAnyTermination()
+        if trigger in ("availableNow", "once"):
+            # each query drains what is there and stops: wait for all of them
+            for q in queries.values():
+                q.awaitTermination()
+                if q.exception() is not None:
+                    raise RuntimeError(f"query {q.name} failed: {q.exception()}")
         else:
-            spark.streams.awaitAnyTermination(wait_timeout)
+            # block until any query ends (or the timeout passes); a failed query raises here
+            spark.streams.resetTerminated()
+            if wait_timeout is None:
+                spark.streams.awaitAnyTermination()
+            else:
+                spark.streams.awaitAnyTermination(wait_timeout)
     return queries
 
 
