@@ -49,3 +49,9 @@ def test_formatted_rows(spark):
     t = dt.datetime(2026, 1, 1, 12, 0)
     df = spark.createDataFrame([("gh-a", t, t, 21.456, 1.0, 1.0, 7)], S.WINDOW_METRICS_SCHEMA)
     assert formatted_rows(df).first()["line"] == "  gh-a: 2026-01-01 12:00:00 - avg_temp=21.46°C, events=7"
+
+
+def test_fixed2_large_and_infinite(spark):
+    df = spark.createDataFrame([(12345678901234.5,), (float("inf"),), (float("-inf"),)], "x double")
+    got = [r[0] for r in df.select(fixed2_text("x")).collect()]
+    assert got == ["12345678901234.50", "inf", "-inf"]

@@ -46,3 +46,19 @@ def test_queries_same_in_any_zone(spark, name):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert utc_rows == other
+
+
+def test_conversions_exact_across_daylight_saving_fall_back(new_york):
+    # 05:30Z and 06:30Z are both 01:30 local time in New York on 2026-11-01
+    df = new_york.createDataFrame([(dt.datetime(2026, 11, 1, 5, 30),), (dt.datetime(2026, 11, 1, 6, 30),)],
+                                  "w timestamp_ntz")
+    got = [r[0] for r in df.select(timestamp_to_iso_text(utc_instant("w")).alias("t")).orderBy("t").collect()]
+    assert got == ["2026-11-01T05:30:00.000000+00:00", "2026-11-01T06:30:00.000000+00:00"]
+
+
+def test_string_bound_with_offset(spark):
+    from verdant.operators.serving import time_range
+    df = spark.createDataFrame([(dt.datetime(2025, 12, 31, 22, 30),), (dt.datetime(2025, 12, 31, 23, 30),)],
+                               "t timestamp_ntz")
+    got = [r[0] for r in time_range(df, "t", "2026-01-01T00:00:00+01:00", None).collect()]
+    assert got == [dt.datetime(2025, 12, 31, 23, 30)]

@@ -1,0 +1,11 @@
+"""Small shared helpers for the expression modules."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def col_of(c) -> Column:
+    """A column name or a Column -> Column."""
+    return F.col(c) if isinstance(c, str) else c

@@ -6,9 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-
-def _c(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+from verdant.functions.common import col_of as _c
 
 
 def value_as_text(c="value") -> Column:
@@ -40,17 +38,22 @@ def iso_text_to_timestamp(c) -> Column:
 
 # Time-zone policy: a timestamp without zone (TIMESTAMP_NTZ) is a UTC wall
 # clock; an instant (TIMESTAMP) is rendered and converted through UTC.  The
-# two helpers below convert between them independently of the session zone.
+# two helpers below convert between them through epoch microseconds, never
+# through the session zone's wall clock (which repeats or skips an hour at
+# daylight-saving changes).
+
+def _epoch_ntz() -> Column:
+    return F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00"))
+
 
 def utc_instant(ntz) -> Column:
     """UTC wall clock (TIMESTAMP_NTZ) -> the instant (TIMESTAMP)."""
-    wall_here = F.convert_timezone(F.lit("UTC"), F.current_timezone(), _c(ntz))
-    return wall_here.cast("timestamp")
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch_ntz(), _c(ntz)))
 
 
 def utc_wall_clock(ts) -> Column:
     """Instant (TIMESTAMP) -> its UTC wall clock (TIMESTAMP_NTZ)."""
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), _c(ts).cast("timestamp_ntz"))
+    return F.timestamp_add("MICROSECOND", F.unix_micros(_c(ts)), _epoch_ntz())
 
 
 def timestamp_to_iso_text(c, is_utc_wall_clock: bool = False) -> Column:

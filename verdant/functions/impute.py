@@ -13,18 +13,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from verdant.functions.numeric import round_half_away
+from verdant.functions.common import col_of as _c
+from verdant.functions.numeric import cycle_pick, round_half_away
 
 _TWO_32 = 4294967296.0
 
 
-def _c(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 def hash_u32(salt: str, *keys) -> Column:
     """First 32 bits of md5("salt:key1:key2...") as a non-negative long."""
-    text = F.concat_ws(":", F.lit(salt), *[_c(k).cast("string") for k in keys])
+    # a NULL key part is the empty string, so (NULL, "a") and ("a", NULL) differ
+    text = F.concat_ws(":", F.lit(salt), *[F.coalesce(_c(k).cast("string"), F.lit("")) for k in keys])
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
 
 
@@ -40,5 +38,4 @@ def impute_between(salt: str, lo: float, hi: float, *keys) -> Column:
 
 def hash_pick(values: Sequence[str], salt: str, *keys) -> Column:
     """One of ``values`` chosen by the key's hash."""
-    arr = F.array(*[F.lit(v) for v in values])
-    return F.element_at(arr, (F.pmod(hash_u32(salt, *keys), F.lit(len(values))) + 1).cast("int"))
+    return cycle_pick(values, hash_u32(salt, *keys) + 1)

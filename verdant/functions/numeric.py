@@ -7,9 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-
-def _c(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+from verdant.functions.common import col_of as _c
 
 
 def int_prefix(c, default: int = 1, floor: int = 1) -> Column:
@@ -67,8 +65,11 @@ def round_half_away(x, digits: int = 2) -> Column:
 def fixed2_text(x) -> Column:
     """``%.2f`` text built from integer hundredths (engine-independent rounding)."""
     x = _c(x)
-    cents = F.round(F.abs(x) * F.lit(100.0)).try_cast("long")
+    cents = F.round(F.abs(x) * F.lit(100.0)).try_cast("decimal(38,0)")
     sign = F.when((x < 0) & (cents > 0), F.lit("-")).otherwise(F.lit(""))
-    text = F.concat(sign, (cents / 100).cast("long").cast("string"), F.lit("."),
-                    F.lpad((cents % 100).cast("string"), 2, "0"))
-    return F.when(F.isnan(x), F.lit("nan")).otherwise(text)
+    whole = F.floor(cents / F.lit(100)).cast("string")  # exact: decimal arithmetic
+    text = F.concat(sign, whole, F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0"))
+    return (F.when(F.isnan(x), F.lit("nan"))
+            .when(x == float("inf"), F.lit("inf"))
+            .when(x == float("-inf"), F.lit("-inf"))
+            .otherwise(text))

@@ -70,7 +70,7 @@ PANELS: dict[int, PanelSpec] = {
     10: PanelSpec(10, "events by source", "window_metrics_by_source", "data_source", "event_count", "data_source",
                   bands=SOURCE_EVENTS_BANDS, tie=SOURCE_TIE),
     11: PanelSpec(11, "CO2 by topic", "window_metrics_by_source", "source_topic", "avg_co2", "data_source",
-                  tie=("greenhouse_id",)),
+                  tie=("greenhouse_id", "data_source")),
 }
 
 DETAIL_COLUMNS = ("greenhouse_id", "window_start", "avg_temperature", "avg_humidity", "avg_co2", "event_count")

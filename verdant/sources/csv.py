@@ -9,21 +9,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from verdant import schemas as S
-from verdant.operators.ordinals import with_file_ordinals
+from verdant.operators.ordinals import split_columns, with_file_ordinals
 
 
 def read_crop_csv(spark: SparkSession, path: str, ordinal_col: str | None = "event_id") -> DataFrame:
     """Header-driven, all-text read (no type inference).
 
     Columns are matched by header *name* (a user schema would be applied by
-    position); a column the files lack is NULL, empty and missing trailing
-    fields are NULL, extra fields are dropped.  With ``ordinal_col`` each
+    position); a column the header lacks is NULL, empty and missing trailing
+    fields are NULL, extra fields are dropped.  All files of one call share
+    one header layout.  With ``ordinal_col`` each
     row gets its 1-based position in file order (the producer's running id).
     """
     # Column names come from the first file's header; every other file is
     # checked against it (enforceSchema=false), so a file with another
-    # column order fails the read instead of being mapped by position.
-    # Read each header layout separately and union them by name.
+    # column layout fails the read instead of being mapped by position.
+    # Folders mixing layouts: call once per layout and union_sources() them.
     raw = (spark.read.option("header", True).option("mode", "PERMISSIVE")
            .option("enforceSchema", False).csv(path))
     if ordinal_col:
@@ -35,17 +36,22 @@ def read_crop_csv(spark: SparkSession, path: str, ordinal_col: str | None = "eve
 
 
 def stream_crop_csv(spark: SparkSession, folder: str, header_columns: Sequence[str] = S.CROP_CSV_COLUMNS,
-                    max_files_per_trigger: int | None = None) -> DataFrame:
+                    max_files_per_trigger: int | None = None, with_split_columns: bool = False) -> DataFrame:
     """New CSV files landing in ``folder`` as a stream (each file read once).
 
     A stream needs its schema up front, so the files' header layout is given
-    as ``header_columns`` (all text); columns the crop mapping does not read
-    are dropped, columns it reads but the layout lacks are NULL.
+    as ``header_columns`` (all text; each file's header is checked against
+    it).  Columns the crop mapping does not read are dropped, columns it
+    reads but the layout lacks are NULL; names match case-insensitively, as
+    in :func:`read_crop_csv`.  ``with_split_columns`` adds the file/split
+    columns that per-file row numbering needs.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in header_columns])
     reader = spark.readStream.option("header", True).option("enforceSchema", False).schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     raw = reader.csv(folder)
-    return raw.select(*[F.col(c) if c in header_columns else F.lit(None).cast("string").alias(c)
-                        for c in S.CROP_CSV_COLUMNS])
+    present = {c.lower(): c for c in header_columns}
+    cols = [F.col(present[c.lower()]).alias(c) if c.lower() in present else F.lit(None).cast("string").alias(c)
+            for c in S.CROP_CSV_COLUMNS]
+    return raw.select(*(split_columns() if with_split_columns else []), *cols)

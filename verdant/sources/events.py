@@ -36,6 +36,8 @@ def read_events_stream(spark: SparkSession, opts: JobOptions | None = None, fmt:
         for k, v in opts.extra_source_options.items():
             reader = reader.option(k, v)
         return reader.load()
+    if not path:
+        raise ValueError(f"a path is needed to stream {fmt!r} record files")
     reader = spark.readStream.format(fmt).schema(RECORD_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))

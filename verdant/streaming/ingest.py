@@ -13,14 +13,14 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from verdant import schemas as S
 from verdant.operators.normalize import normalize_crop_rows, normalize_observations
-from verdant.operators.ordinals import number_rows_in_files, split_columns
+from verdant.operators.ordinals import number_rows_in_files
 from verdant.sinks.publish import to_keyed_records, write_records
 from verdant.sinks.upsert import path_exists
+from verdant.sources.csv import stream_crop_csv
 from verdant.sources.observations import parse_observation_array
 
 REJECT_COLUMNS = ("event_id", "sensor_id", "reject_reason")
@@ -58,25 +58,13 @@ def _publish(events: DataFrame, topic: str, batch_id: int, fmt: str, path: str |
         events.unpersist()
 
 
-def crop_file_stream(spark: SparkSession, folder: str, header_columns: Sequence[str] = S.CROP_CSV_COLUMNS,
-                     max_files_per_trigger: int | None = None) -> DataFrame:
-    """New crop CSV files as a stream of text rows plus their split columns."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in header_columns])
-    reader = spark.readStream.option("header", True).option("enforceSchema", False).schema(schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    raw = reader.csv(folder)
-    cols = [F.col(c) if c in header_columns else F.lit(None).cast("string").alias(c) for c in S.CROP_CSV_COLUMNS]
-    return raw.select(*split_columns(), *cols)
-
-
 def start_crop_ingest(spark: SparkSession, folder: str, checkpoint: str, fmt: str = "parquet",
                       path: str | None = None, options: Mapping[str, str] | None = None,
                       rejects_path: str | None = None, max_files_per_trigger: int | None = 100,
                       header_columns: Sequence[str] = S.CROP_CSV_COLUMNS,
                       ingest_time: Column | None = None, trigger_available_now: bool = False) -> StreamingQuery:
     """Each new CSV file -> events numbered 1..n within the file -> records on the CSV topic."""
-    stream = crop_file_stream(spark, folder, header_columns, max_files_per_trigger)
+    stream = stream_crop_csv(spark, folder, header_columns, max_files_per_trigger, with_split_columns=True)
 
     def batch(df: DataFrame, batch_id: int) -> None:
         df.persist()
