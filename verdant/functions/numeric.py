@@ -30,6 +30,8 @@ def cycle_pick(values: Sequence[str], n) -> Column:
     arr = F.array(*[F.lit(v) for v in values])
     n = _c(n)
     pick = F.element_at(arr, (F.pmod(n - 1, F.lit(len(values))) + 1).cast("int"))
+    # guarded: element_at on a literal array returns its last element for a
+    # NULL computed index (observed on Spark 4.1.2)
     return F.when(n.isNotNull(), pick)
 
 

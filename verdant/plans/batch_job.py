@@ -69,5 +69,8 @@ if __name__ == "__main__":
     path = sys.argv[1]
     fmt = "json" if path.endswith(".json") else "parquet"
     rows = spark.read.format(fmt).schema(BATCH_EVENT_SCHEMA).load(path)
-    table = run_batch_job(spark, rows, batch_id=int(sys.argv[2]) if len(sys.argv) > 2 else 0, millis_col="event_ts")
+    from verdant.options import JobOptions
+
+    table = run_batch_job(spark, rows, table_root=JobOptions.from_env().table_root,
+                          batch_id=int(sys.argv[2]) if len(sys.argv) > 2 else 0, millis_col="event_ts")
     formatted_rows(table.latest(spark)).show(truncate=False)

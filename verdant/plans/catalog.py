@@ -46,6 +46,7 @@ from verdant.sinks.upsert import UpsertTable
 from verdant.sources.csv import read_crop_csv
 from verdant.sources.events import read_events_stream
 from verdant.sources.observations import parse_observation_array
+from verdant.sources.tables import read_table
 from verdant.sources.testdata import SENSOR_VIEW_SQL, load_table, sensor_events
 from verdant.streaming.job import start_table_queries
 
@@ -132,8 +133,9 @@ def sql_band(expr: str, steps) -> str:
 
 
 def sql_fixed2(expr: str) -> str:
-    cents = f"CAST(round(abs({expr}) * {_d(100)}) AS BIGINT)"
-    return (f"CASE WHEN isnan({expr}) THEN 'nan' ELSE "
+    cents = f"TRY_CAST(round(abs({expr}) * {_d(100)}) AS HUGEINT)"
+    return (f"CASE WHEN isnan({expr}) THEN 'nan' WHEN ({expr}) = 'inf'::DOUBLE THEN 'inf' "
+            f"WHEN ({expr}) = '-inf'::DOUBLE THEN '-inf' ELSE "
             f"(CASE WHEN ({expr}) < 0 AND {cents} > 0 THEN '-' ELSE '' END) || CAST({cents} // 100 AS VARCHAR)"
             f" || '.' || lpad(CAST({cents} % 100 AS VARCHAR), 2, '0') END")
 
@@ -161,6 +163,10 @@ GROUP BY ALL"""
 WM_SQL = metrics_sql(("greenhouse_id",))
 WMS_SQL = metrics_sql(("data_source", "source_topic", "greenhouse_id"))
 WM_RAW_SQL = metrics_sql(("greenhouse_id",), rounded=False)
+# A stream's first watermark is the epoch: a window ending at or before
+# 1970-01-01 00:00 is late from the start and never counted.
+STREAM_WM_SQL = f"SELECT * FROM ({WM_SQL}) w WHERE window_end > TIMESTAMP '1970-01-01 00:00:00'"
+STREAM_WMS_SQL = f"SELECT * FROM ({WMS_SQL}) w WHERE window_end > TIMESTAMP '1970-01-01 00:00:00'"
 WMS_RAW_SQL = metrics_sql(("data_source", "source_topic", "greenhouse_id"), rounded=False)
 
 
@@ -197,6 +203,12 @@ def q_epoch_millis_time(spark, sf):
     )
 
 
+# floor division to milliseconds, also before 1970 (DuckDB // truncates toward zero)
+_FLOOR_MS = "((epoch_us(ts) - ((epoch_us(ts) % 1000) + 1000) % 1000) // 1000)"
+EPOCH_MILLIS_SQL = (f"SELECT event_id, {_FLOOR_MS} AS event_ts, make_timestamp({_FLOOR_MS} * 1000) AS event_time "
+                    f"FROM events")
+
+
 # ------------------------------------------------------------ decode path
 
 def _published(spark, sf) -> DataFrame:
@@ -235,14 +247,16 @@ SELECT event_id, sensor_id, greenhouse_id, zone, temperature_c,
        CASE WHEN data_source = 'purchase' THEN NULL ELSE humidity_pct END AS humidity_pct,
        co2_ppm, soil_moisture_pct, light_lux, data_source, source_topic, event_time
 FROM ({SENSOR_VIEW_SQL}) s
-WHERE data_source NOT IN ('error', 'signup')"""
+WHERE (data_source IS NULL OR data_source NOT IN ('error', 'signup')) AND event_time IS NOT NULL"""
 
 DECODE_REJECTS_SQL = f"""
-SELECT source_topic AS topic,
-       CASE WHEN data_source = 'error' THEN 'unparseable_payload' ELSE 'bad_event_ts' END AS reject_reason,
-       count(*) AS rows
-FROM ({SENSOR_VIEW_SQL}) s
-WHERE data_source IN ('error', 'signup')
+SELECT topic, reject_reason, count(*) AS rows FROM (
+  SELECT source_topic AS topic,
+         CASE WHEN data_source = 'error' THEN 'unparseable_payload'
+              WHEN data_source = 'signup' THEN 'bad_event_ts'
+              WHEN event_time IS NULL THEN 'missing_event_ts' END AS reject_reason
+  FROM ({SENSOR_VIEW_SQL}) s) r
+WHERE reject_reason IS NOT NULL
 GROUP BY ALL"""
 
 
@@ -278,8 +292,9 @@ SELECT json_object('topic', source_topic, 'event_id', event_id, 'data_source', d
 FROM ({SENSOR_VIEW_SQL}) s"""
 
 FORMATTED_SQL = f"""
-SELECT printf('  %s: %s - avg_temp=%s°C, events=%d', greenhouse_id, strftime(window_start, '%Y-%m-%d %H:%M:%S'),
-              {sql_fixed2('avg_temperature')}, event_count) AS line
+SELECT printf('  %s: %s - avg_temp=%s°C, events=%d', coalesce(greenhouse_id, 'null'),
+              strftime(window_start, '%Y-%m-%d %H:%M:%S'),
+              coalesce({sql_fixed2('avg_temperature')}, 'null'), event_count) AS line
 FROM ({WM_RAW_SQL}) w"""
 
 
@@ -344,11 +359,15 @@ FROM p"""
 CROP_SQL = _crop_sql()
 
 
-def _weather_events(spark, sf) -> DataFrame:
+def _parsed_responses(spark, sf) -> DataFrame:
+    """(response_id, observations array) from the weather-response texts derived from ``events``."""
     responses = FX.observation_responses(load_table(spark, sf, "events"))
-    obs = responses.select("response_id", parse_observation_array("payload").alias("observations"))
-    return normalize_observations(obs, id_col="response_id", greenhouse_id=FX.response_greenhouse(),
-                                  ingest_time=_ingest())
+    return responses.select("response_id", parse_observation_array("payload").alias("observations"))
+
+
+def _weather_events(spark, sf) -> DataFrame:
+    return normalize_observations(_parsed_responses(spark, sf), id_col="response_id",
+                                  greenhouse_id=FX.response_greenhouse(), ingest_time=_ingest())
 
 
 WEATHER_COLUMNS = ("event_id", "sensor_id", "greenhouse_id", "zone", "temperature_c", "humidity_pct", "co2_ppm",
@@ -361,11 +380,15 @@ def q_weather_events(spark, sf):
                      F.array_join("imputed", ",").alias("imputed"), "reject_reason")
 
 
-def _weather_sql() -> str:
-    def first(keys):
-        return "coalesce(" + ", ".join(f"TRY_CAST(replace({k}, ',', '.') AS DOUBLE)" for k in keys) + ")"
+def _first_sql(keys) -> str:
+    present = [k for k in keys if k in ("ta", "t", "hr", "hrMedia", "sol", "vis")]
+    return "coalesce(" + ", ".join(f"TRY_CAST(replace({k}, ',', '.') AS DOUBLE)" for k in present) + ")"
+
 
-    temp, hum, light = first(("ta", "t")), first(("hr", "hrMedia")), first(("sol", "vis"))
+def _weather_sql() -> str:
+    temp = _first_sql(S.WEATHER_TEMPERATURE_KEYS)
+    hum = _first_sql(S.WEATHER_HUMIDITY_KEYS)
+    light = _first_sql(S.WEATHER_LIGHT_KEYS)
     co2_lo, co2_hi = S.WEATHER_IMPUTE["co2_ppm"]
     soil_lo, soil_hi = S.WEATHER_IMPUTE["soil_moisture_pct"]
     return f"""
@@ -410,9 +433,7 @@ def q_impute_flags(spark, sf):
 
 
 def _last_observations(spark, sf) -> DataFrame:
-    responses = FX.observation_responses(load_table(spark, sf, "events"))
-    obs = responses.select("response_id", parse_observation_array("payload").alias("observations"))
-    return obs.select("response_id", latest_observation("observations").alias("last"))
+    return _parsed_responses(spark, sf).select("response_id", latest_observation("observations").alias("last"))
 
 
 def q_latest_observation(spark, sf):
@@ -449,11 +470,6 @@ def q_member_fallback(spark, sf):
     )
 
 
-def _first_sql(keys) -> str:
-    present = [k for k in keys if k in ("ta", "t", "hr", "hrMedia", "sol", "vis")]
-    return "coalesce(" + ", ".join(f"TRY_CAST(replace({k}, ',', '.') AS DOUBLE)" for k in present) + ")"
-
-
 LATEST_OBSERVATION_SQL = f"""
 SELECT response_id, idema,
        {', '.join(f"TRY_CAST(replace({k}, ',', '.') AS DOUBLE) AS {k}" for k in ("ta", "t", "hr", "hrMedia", "sol", "vis"))}
@@ -549,7 +565,8 @@ def q_table_head(spark, sf):
 
 
 TABLE_COUNT_SQL = f"SELECT count(*) AS row_count FROM ({WM_SQL}) w"
-TABLE_HEAD_SQL = f"SELECT * FROM ({WM_SQL}) w ORDER BY greenhouse_id ASC, window_start DESC LIMIT 5"
+TABLE_HEAD_SQL = (f"SELECT * FROM ({WM_SQL}) w "
+                  f"ORDER BY greenhouse_id ASC NULLS FIRST, window_start DESC NULLS LAST LIMIT 5")
 
 
 # ------------------------------------------------------ streaming job, end to end
@@ -568,9 +585,7 @@ def _stream_table(spark: SparkSession, sf: str, table: str) -> DataFrame:
         q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(f"stream {table} failed: {q.exception()}")
-    spec = S.WINDOW_METRICS if table == S.WINDOW_METRICS.name else S.WINDOW_METRICS_BY_SOURCE
-    latest = UpsertTable(f"{base}/tables/{table}", spec).latest(spark)
-    return _ntz(_round_doubles(latest))
+    return _ntz(_round_doubles(read_table(spark, f"{base}/tables", table)))
 
 
 def q_stream_window_metrics(spark, sf):
@@ -626,7 +641,6 @@ FROM a LEFT JOIN l ON a.series = l.series"""
 
 def q_table_panel_01(spark, sf):
     """Panel 1 through the stored table: AGG1 written as a batch, read back via the latest view."""
-    from verdant.sources.tables import read_table
     from verdant.plans.batch_job import run_batch_job
     root = scratch_path(spark, "tables")
     run_batch_job(spark, sensor_events(spark, sf), table_root=root, batch_id=0)
@@ -734,8 +748,7 @@ def oracle_sql() -> dict[str, str]:
         "window_metrics_by_source": WMS_SQL,
         "batch_millis_window_metrics": WM_SQL,
         "window_metrics_rollup": WM_SQL,
-        "epoch_millis_time": ("SELECT event_id, epoch_us(ts) // 1000 AS event_ts, "
-                              "make_timestamp((epoch_us(ts) // 1000) * 1000) AS event_time FROM events"),
+        "epoch_millis_time": EPOCH_MILLIS_SQL,
         "decode_events": DECODE_EVENTS_SQL,
         "decode_rejects": DECODE_REJECTS_SQL,
         "publish_records": PUBLISH_SQL,
@@ -757,8 +770,8 @@ def oracle_sql() -> dict[str, str]:
         "upsert_latest_legacy_key": LEGACY_SQL,
         "table_count": TABLE_COUNT_SQL,
         "table_head": TABLE_HEAD_SQL,
-        "stream_window_metrics": WM_SQL,
-        "stream_window_metrics_by_source": WMS_SQL,
+        "stream_window_metrics": STREAM_WM_SQL,
+        "stream_window_metrics_by_source": STREAM_WMS_SQL,
     }
     for pid in sorted(PANELS):
         out[f"panel_{pid:02d}"] = _panel_sql(pid)

@@ -46,12 +46,13 @@ def shared_root(spark: SparkSession) -> str:
     folder is created and registered as the checkpoint dir.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="verdant-")
-        spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
+    if root:
+        return root.rstrip("/")
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="verdant-"))
+    # getCheckpointDir() is "<configured dir>/<application uuid>": use the
+    # configured dir, which stays the same across applications and restarts
+    return spark.sparkContext.getCheckpointDir().rstrip("/").rsplit("/", 1)[0]
 
 
 def new_run_id() -> str:

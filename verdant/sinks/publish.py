@@ -6,9 +6,10 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from verdant import schemas as S
-from verdant.functions.decode import json_text
+from verdant.functions.decode import json_text, utc_wall_clock
 from verdant.functions.numeric import fixed2_text
 
 SENT_FIELDS = ("topic", "event_id", "data_source", "greenhouse_id", "temperature_c", "humidity_pct")
@@ -45,21 +46,24 @@ def write_records(records: DataFrame, fmt: str = "kafka", path: str | None = Non
 def sent_log(events: DataFrame, topic: str | Column | None = None) -> DataFrame:
     """The per-event "sent" line: a JSON object with 6 of the event fields."""
     return events.select(
-        F.to_json(F.struct(
-            _topic(topic).alias("topic"),
-            F.col("event_id"), F.col("data_source"), F.col("greenhouse_id"),
-            F.col("temperature_c"), F.col("humidity_pct"),
-        )).alias("sent")
+        json_text(_topic(topic).alias("topic"), "event_id", "data_source", "greenhouse_id",
+                  "temperature_c", "humidity_pct").alias("sent")
     )
 
 
 def formatted_rows(metrics: DataFrame) -> DataFrame:
-    """One printable line per window row: ``gh: start - avg_temp=12.34°C, events=7``."""
+    """One printable line per window row: ``gh: start - avg_temp=12.34°C, events=7``.
+
+    Window starts print as UTC wall clock; a NULL average prints as ``null``.
+    """
+    start = F.col("window_start")
+    if isinstance(metrics.schema["window_start"].dataType, T.TimestampType):
+        start = utc_wall_clock(start)
     line = F.format_string(
         "  %s: %s - avg_temp=%s°C, events=%d",
         F.col("greenhouse_id"),
-        F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"),
-        fixed2_text("avg_temperature"),
+        F.date_format(start, "yyyy-MM-dd HH:mm:ss"),
+        F.coalesce(fixed2_text("avg_temperature"), F.lit("null")),
         F.col("event_count"),
     )
     return metrics.select(line.alias("line"))

@@ -30,9 +30,11 @@ def sensor_view(events: DataFrame, with_text_time: bool = False) -> DataFrame:
     uid = F.col("user_id")
     cols = [
         F.col("event_id"),
-        F.format_string("sensor-%03d", uid % 80 + 1).alias("sensor_id"),
+        F.when(uid.isNotNull(), F.format_string("sensor-%03d", uid % 80 + 1)).alias("sensor_id"),
         F.concat(F.lit("gh-"), (uid % 3).cast("string")).alias("greenhouse_id"),
-        F.element_at(zones, (uid % 4 + 1).try_cast("int")).alias("zone"),
+        # guarded: element_at on a literal array returns its last element for a
+        # NULL computed index (observed on Spark 4.1.2)
+        F.when(uid.isNotNull(), F.element_at(zones, (uid % 4 + 1).try_cast("int"))).alias("zone"),
         F.col("value").alias("temperature_c"),
         F.get_json_object("props", "$.k").try_cast("double").alias("humidity_pct"),
         (F.lit(350.0) + F.lit(2.0) * F.col("value")).alias("co2_ppm"),
