@@ -171,3 +171,12 @@ def test_uncommitted_base_or_batch_is_ignored(spark, workdir):
     assert t.newest_committed_batch(spark) == ("r1", 0)
     assert t.compact(spark) == ("r1", 0)
     assert t.latest(spark).first()["event_count"] == 1
+
+
+def test_micro_batch_written_in_few_files(spark, workdir):
+    import glob
+    t = UpsertTable(workdir + "/wm", S.WINDOW_METRICS)
+    df = _wm(spark, [("gh-0", T0 + dt.timedelta(minutes=5 * i), T1, 1.0, 1.0, 1.0, i) for i in range(50)]).repartition(8)
+    t.foreach_batch()(df, 0)
+    files = glob.glob(workdir + "/wm/**/*.parquet", recursive=True)
+    assert len(files) == 1 and t.latest(spark).count() == 50

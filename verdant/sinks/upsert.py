@@ -36,6 +36,9 @@ VERSION_FIELDS = [T.StructField("run_id", T.StringType()), T.StructField("batch_
 # Newer batches hold at most this many rows for their touched keys to be broadcast
 # (a key is a few short columns: ~100 MB at the limit).
 DELTA_BROADCAST_ROWS = 1_000_000
+# Rows per write task of a micro-batch (streams run without AQE, so the batch
+# arrives in spark.sql.shuffle.partitions pieces, mostly tiny).
+ROWS_PER_WRITE_TASK = 1_000_000
 
 
 def _fs(spark: SparkSession, path: str):
@@ -152,7 +155,9 @@ class UpsertTable:
                 rows = batch_df.count()
                 if rows == 0:
                     return
-                self.write_batch(batch_df, batch_id)
+                # fewer, larger files: merge the cached partitions (no shuffle),
+                # at most ROWS_PER_WRITE_TASK rows per write task
+                self.write_batch(batch_df.coalesce(max(1, -(-rows // ROWS_PER_WRITE_TASK))), batch_id)
                 log.info("table=%s batch=%s rows=%s persisted", self.spec.name, batch_id, rows)
                 if self.report is not None:
                     self.report(self.spec.name, int(batch_id), int(rows))
