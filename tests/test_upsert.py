@@ -180,3 +180,8 @@ def test_micro_batch_written_in_few_files(spark, workdir):
     t.foreach_batch()(df, 0)
     files = glob.glob(workdir + "/wm/**/*.parquet", recursive=True)
     assert len(files) == 1 and t.latest(spark).count() == 50
+
+
+def test_write_batch_reports_rows(spark, workdir):
+    t = UpsertTable(workdir + "/wm", S.WINDOW_METRICS)
+    assert t.write_batch(_wm(spark, [("gh-0", T0, T1, 1.0, 1.0, 1.0, 1), ("gh-1", T0, T1, 1.0, 1.0, 1.0, 1)]), 0) == 2

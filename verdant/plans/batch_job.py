@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 
 from verdant.operators.decode import batch_events_with_time
@@ -18,6 +20,8 @@ from verdant.session import shared_root
 from verdant.sinks.publish import formatted_rows
 from verdant.sinks.upsert import UpsertTable
 
+log = logging.getLogger(__name__)
+
 
 def batch_window_metrics(events: DataFrame, millis_col: str | None = None) -> DataFrame:
     """Window metrics of batch rows; rows with epoch-millisecond time get ``event_time`` first."""
@@ -55,7 +59,8 @@ def run_batch_job(spark: SparkSession, events: DataFrame, table_root: str | None
     (computed once, written once; nothing is collected to the driver)."""
     table_root = table_root or f"{shared_root(spark)}/verdant/tables"
     table = UpsertTable(f"{table_root}/{WINDOW_METRICS.name}", WINDOW_METRICS, run_id=run_id)
-    table.write_batch(batch_window_metrics(events, millis_col), batch_id)
+    rows = table.write_batch(batch_window_metrics(events, millis_col), batch_id)
+    log.info("wrote %s window aggregates to %s (batch %s)", rows, table.root, batch_id)
     return table
 
 

@@ -20,7 +20,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -123,9 +123,10 @@ class UpsertTable:
 
     # ------------------------------------------------------------ writes
 
-    def write_batch(self, df: DataFrame, batch_id: int) -> None:
+    def write_batch(self, df: DataFrame, batch_id: int) -> int:
         """Write one batch (overwrite of its own folder only), sorted per partition value
-        so each file's min/max on the time column lets time-range reads skip row groups."""
+        so each file's min/max on the time column lets time-range reads skip row groups.
+        Returns the number of rows written (observed during the write, no extra job)."""
         spec = self.spec
         self._ensure_run_id(df.sparkSession)
         order = [F.col(spec.partition_column)] + [
@@ -137,11 +138,14 @@ class UpsertTable:
             if isinstance(f.dataType, T.TimestampType) and isinstance(df.schema[f.name].dataType, T.TimestampNTZType):
                 c = utc_instant(c)  # a naive time is a UTC wall clock
             typed.append(c.cast(f.dataType).alias(f.name))
+        observed = Observation(f"rows_{spec.name}")
         (df.select(*typed)
+           .observe(observed, F.count(F.lit(1)).alias("rows"))
            .sortWithinPartitions(*order)
            .write.mode("overwrite")
            .partitionBy(spec.partition_column)
            .parquet(self.batch_path(batch_id)))
+        return int(observed.get["rows"])
 
     def foreach_batch(self) -> Callable[[DataFrame, int], None]:
         """Micro-batch callback: skip empty batches, write once, report the row count.
