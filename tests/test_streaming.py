@@ -226,3 +226,28 @@ def test_default_trigger_job_runs_until_stopped(spark, workdir):
     total = ev.count()
     for name in ("window_metrics", "window_metrics_by_source"):
         assert read_table(spark, workdir + "/tables", name).groupBy().sum("event_count").first()[0] == total
+
+
+def test_crash_after_write_then_replay_is_idempotent(spark, workdir):
+    _land(workdir + "/in", BATCHES)
+    tables, ck = workdir + "/tables", workdir + "/ck"
+    crashed = []
+
+    def crash_once(name, batch_id, rows):
+        if batch_id == 2 and not crashed:
+            crashed.append(batch_id)
+            raise RuntimeError("driver lost after writing batch 2")
+
+    qs = start_table_queries(_stream(spark, workdir + "/in"), tables, ck, trigger="availableNow",
+                             tables=("window_metrics",), report=crash_once)
+    try:
+        qs["window_metrics"].awaitTermination()
+    except Exception:  # noqa: BLE001 - the injected failure
+        pass
+    assert crashed == [2]
+    qs = start_table_queries(_stream(spark, workdir + "/in"), tables, ck, trigger="availableNow",
+                             tables=("window_metrics",))
+    qs["window_metrics"].awaitTermination()
+    latest = UpsertTable(tables + "/window_metrics", WINDOW_METRICS).latest(spark)
+    got = sorted((_hm(r["window_start"]), r["avg_temperature"], r["event_count"]) for r in latest.collect())
+    assert got == [("12:00", 50.5, 2), ("12:05", 5.0, 4), ("12:15", 3.0, 1), ("12:20", 9.0, 1)]
