@@ -2,7 +2,6 @@
 
 import os
 
-from pyspark.sql import functions as F
 
 from verdant import schemas as S
 from verdant.operators.decode import accepted, decode_events

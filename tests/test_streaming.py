@@ -1,6 +1,5 @@
 """Structured Streaming: golden trace (F8), restart from checkpoint, stream == batch."""
 
-import datetime as dt
 import json
 import os
 import time
