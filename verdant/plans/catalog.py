@@ -531,7 +531,8 @@ def _upserted_by_source(spark, sf) -> UpsertTable:
     table = UpsertTable(scratch_path(spark, "tables", "window_metrics_by_source"), S.WINDOW_METRICS_BY_SOURCE)
     events = sensor_events(spark, sf)
     table.write_batch(window_metrics_by_source(events.filter(F.col("data_source") != "click")), 0)
-    full = window_metrics_by_source(events)
+    # computed once, read by both writes: a reliable checkpoint in the shared folder
+    full = window_metrics_by_source(events).checkpoint(eager=True)
     table.write_batch(full, 1)
     table.write_batch(full, 1)
     return table
