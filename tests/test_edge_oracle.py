@@ -29,6 +29,8 @@ def _events():
         dict(event_id=1003, ts=T0, user_id=3, event_type=None, value=3.0, props=None),
         dict(event_id=1004, ts=T0 + dt.timedelta(hours=3), user_id=4, event_type="purchase", value=None,
              props='{"k": null}'),
+        dict(event_id=1005, ts=T0 + dt.timedelta(hours=1), user_id=-5, event_type="view", value=5.5,
+             props='{"k": 5}'),
     ]
     schema = pa.schema([("event_id", pa.int64()), ("ts", pa.timestamp("us")), ("user_id", pa.int64()),
                         ("event_type", pa.string()), ("value", pa.float64()), ("props", pa.string())])

@@ -55,3 +55,9 @@ def test_fixed2_large_and_infinite(spark):
     df = spark.createDataFrame([(12345678901234.5,), (float("inf"),), (float("-inf"),)], "x double")
     got = [r[0] for r in df.select(fixed2_text("x")).collect()]
     assert got == ["12345678901234.50", "inf", "-inf"]
+
+
+def test_fixed2_beyond_decimal_division_range(spark):
+    df = spark.createDataFrame([(1e35,), (0.05,), (-0.5,)], "x double")
+    got = [r[0] for r in df.select(fixed2_text("x")).collect()]
+    assert got == ["100000000000000000000000000000000000.00", "0.05", "-0.50"]

@@ -62,3 +62,19 @@ def test_string_bound_with_offset(spark):
                                "t timestamp_ntz")
     got = [r[0] for r in time_range(df, "t", "2026-01-01T00:00:00+01:00", None).collect()]
     assert got == [dt.datetime(2025, 12, 31, 23, 30)]
+
+
+@pytest.mark.parametrize("bound", ["2026-01-01T00:00:00+01:00", "2026-01-01T00:00:00+01", "2026-01-01 00:00:00+0100",
+                                   "2025-12-31T23:00:00Z"])
+def test_bound_spellings(spark, bound):
+    from verdant.operators.serving import time_range
+    df = spark.createDataFrame([(dt.datetime(2025, 12, 31, 22, 30),), (dt.datetime(2025, 12, 31, 23, 30),)],
+                               "t timestamp_ntz")
+    assert [r[0] for r in time_range(df, "t", bound, None).collect()] == [dt.datetime(2025, 12, 31, 23, 30)]
+
+
+def test_unreadable_bound_is_an_error(spark):
+    from verdant.operators.serving import time_range
+    df = spark.createDataFrame([(dt.datetime(2025, 12, 31, 22, 30),)], "t timestamp_ntz")
+    with pytest.raises(ValueError):
+        time_range(df, "t", "2026-01-01 00:00:00 CET", None)

@@ -7,13 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from verdant.functions.common import col_of
+
 
 def band(c, steps: Sequence[tuple[float | None, str]]) -> Column:
     """``steps`` = [(None, base), (t1, label1), (t2, label2), ...], ascending.
 
     NULL and NaN get no band.
     """
-    x = F.col(c) if isinstance(c, str) else c
+    x = col_of(c)
     base = steps[0][1]
     expr = None
     for threshold, label in reversed(steps[1:]):

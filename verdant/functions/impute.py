@@ -17,12 +17,13 @@ from verdant.functions.common import col_of as _c
 from verdant.functions.numeric import cycle_pick, round_half_away
 
 _TWO_32 = 4294967296.0
+NULL_KEY = "\\N"
 
 
 def hash_u32(salt: str, *keys) -> Column:
     """First 32 bits of md5("salt:key1:key2...") as a non-negative long."""
-    # a NULL key part is the empty string, so (NULL, "a") and ("a", NULL) differ
-    text = F.concat_ws(":", F.lit(salt), *[F.coalesce(_c(k).cast("string"), F.lit("")) for k in keys])
+    # a NULL key part is written \N (so (NULL, "a"), ("a", NULL) and ("", "a") all differ)
+    text = F.concat_ws(":", F.lit(salt), *[F.coalesce(_c(k).cast("string"), F.lit(NULL_KEY)) for k in keys])
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
 
 

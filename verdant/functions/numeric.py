@@ -68,9 +68,15 @@ def fixed2_text(x) -> Column:
     """``%.2f`` text built from integer hundredths (engine-independent rounding)."""
     x = _c(x)
     cents = F.round(F.abs(x) * F.lit(100.0)).try_cast("decimal(38,0)")
+    # integer and fractional parts from the digits of the cents (no division,
+    # so no precision or range limit below the decimal(38,0) bound itself)
+    raw = cents.cast("string")
+    digits = F.when(F.length(raw) < 3, F.lpad(raw, 3, "0")).otherwise(raw)  # lpad would cut longer text
+    n = F.length(digits)
+    whole = F.substring(digits, F.lit(1), n - 2)
+    frac = F.substring(digits, n - 1, F.lit(2))
     sign = F.when((x < 0) & (cents > 0), F.lit("-")).otherwise(F.lit(""))
-    whole = F.floor(cents / F.lit(100)).cast("string")  # exact: decimal arithmetic
-    text = F.concat(sign, whole, F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0"))
+    text = F.concat(sign, whole, F.lit("."), frac)
     return (F.when(F.isnan(x), F.lit("nan"))
             .when(x == float("inf"), F.lit("inf"))
             .when(x == float("-inf"), F.lit("-inf"))

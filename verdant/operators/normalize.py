@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from verdant import schemas as S
+from verdant.functions.common import col_of
 from verdant.functions.decode import timestamp_to_iso_text
 from verdant.functions.impute import hash_pick, impute_between
 from verdant.functions.numeric import (
@@ -107,8 +108,7 @@ def normalize_crop_rows(rows: DataFrame, id_col: str = "event_id", ingest_time:
 
 def latest_observation(observations) -> Column:
     """Last element of the observation array (by position); NULL for an empty or NULL array."""
-    arr = F.col(observations) if isinstance(observations, str) else observations
-    return F.try_element_at(arr, F.lit(-1))
+    return F.try_element_at(col_of(observations), F.lit(-1))
 
 
 def normalize_observations(obs: DataFrame, observations_col: str = "observations", id_col: str = "event_id",

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from datetime import datetime, timedelta, timezone
 
@@ -11,21 +10,27 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from verdant.functions.bands import band
-from verdant.functions.decode import utc_instant, utc_wall_clock
+from verdant.functions.decode import utc_instant
 
 REDUCERS = ("last", "mean", "max", "sum")
-_OFFSET = re.compile(r"(Z|[+-]\d{2}:?\d{2})$")
 
 
-def _time_literal(value: datetime | str, like: T.DataType) -> Column:
-    """A naive bound is a UTC wall clock; compared with instants it is converted as such."""
-    if isinstance(value, datetime) and value.tzinfo is not None:
+def _utc_naive(value: datetime | str) -> datetime:
+    """A bound as a naive UTC datetime: aware values and ISO texts with an offset
+    are converted; naive ones already are UTC wall clock."""
+    if isinstance(value, str):
+        try:
+            value = datetime.fromisoformat(value.strip())
+        except ValueError as e:
+            raise ValueError(f"time bound {value!r} is not ISO-8601 (offset optional)") from e
+    if value.tzinfo is not None:
         value = value.astimezone(timezone.utc).replace(tzinfo=None)
-    if isinstance(value, str) and _OFFSET.search(value.strip()):
-        instant = F.to_timestamp(F.lit(value.strip()))  # the text names its own offset
-        return instant if isinstance(like, T.TimestampType) else utc_wall_clock(instant)
-    text = value if isinstance(value, str) else value.strftime("%Y-%m-%d %H:%M:%S.%f")
-    wall = F.lit(text).cast("timestamp_ntz")
+    return value
+
+
+def _time_literal(value: datetime | str, like: T.DataType) -> Column:
+    """A bound as a literal of the column's type (naive bounds are UTC wall clock)."""
+    wall = F.lit(_utc_naive(value).strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
     return utc_instant(wall) if isinstance(like, T.TimestampType) else wall
 
 

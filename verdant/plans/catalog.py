@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from verdant import schemas as S
+from verdant.functions.common import col_of
 from verdant.functions.decode import epoch_millis_to_timestamp, utc_instant, utc_wall_clock
 from verdant.functions.numeric import first_number, round_half_away
 from verdant.operators.decode import accepted, decode_events, rejects
@@ -66,7 +67,7 @@ AVG_COLUMNS = ("avg_temperature", "avg_humidity", "avg_co2")
 # ----------------------------------------------------------------- helpers
 
 def r6(c) -> Column:
-    return round_half_away(F.col(c) if isinstance(c, str) else c, 6)
+    return round_half_away(col_of(c), 6)
 
 
 def _round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -117,7 +118,8 @@ def sql_r6(expr: str) -> str:
 
 
 def sql_hash_u32(salt: str, key_sql: str) -> str:
-    return f"CAST(('0x' || substr(md5('{salt}:' || CAST({key_sql} AS VARCHAR)), 1, 8)) AS BIGINT)"
+    key = f"coalesce(CAST({key_sql} AS VARCHAR), '\\N')"
+    return f"CAST(('0x' || substr(md5('{salt}:' || {key}), 1, 8)) AS BIGINT)"
 
 
 def sql_impute(salt: str, lo: float, hi: float, key_sql: str) -> str:
@@ -381,6 +383,8 @@ def q_weather_events(spark, sf):
 
 
 def _first_sql(keys) -> str:
+    # the derived observations carry ta, t, hr, hrMedia, sol, vis; the other
+    # candidate keys are absent on both sides (NULL), so they are left out here
     present = [k for k in keys if k in ("ta", "t", "hr", "hrMedia", "sol", "vis")]
     return "coalesce(" + ", ".join(f"TRY_CAST(replace({k}, ',', '.') AS DOUBLE)" for k in present) + ")"
 

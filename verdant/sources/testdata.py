@@ -3,8 +3,8 @@
 ``events(event_id, ts, user_id, event_type, value, props)`` is mapped onto
 the 12-field sensor event so that every operator runs on the real table:
 
-* greenhouse ``gh-<user_id mod 3>``, sensor ``sensor-<user_id mod 80 + 1, 3 digits>``,
-  zone = zones[user_id mod 4]
+* greenhouse ``gh-<user_id % 3>``, sensor ``sensor-<user_id % 80 + 1, 3 digits>``,
+  zone = zones[pmod(user_id, 4)]
 * data_source = event_type; source_topic = ``<event_type>.<event_id mod 2>``
 * temperature = value, humidity = props.k, co2 = 350 + 2 * value,
   soil = value / 4, light = value * 100
@@ -34,7 +34,7 @@ def sensor_view(events: DataFrame, with_text_time: bool = False) -> DataFrame:
         F.concat(F.lit("gh-"), (uid % 3).cast("string")).alias("greenhouse_id"),
         # guarded: element_at on a literal array returns its last element for a
         # NULL computed index (observed on Spark 4.1.2)
-        F.when(uid.isNotNull(), F.element_at(zones, (uid % 4 + 1).try_cast("int"))).alias("zone"),
+        F.when(uid.isNotNull(), F.element_at(zones, (F.pmod(uid, F.lit(4)) + 1).try_cast("int"))).alias("zone"),
         F.col("value").alias("temperature_c"),
         F.get_json_object("props", "$.k").try_cast("double").alias("humidity_pct"),
         (F.lit(350.0) + F.lit(2.0) * F.col("value")).alias("co2_ppm"),
@@ -58,7 +58,7 @@ SENSOR_VIEW_SQL = """
 SELECT event_id,
        printf('sensor-%03d', user_id % 80 + 1) AS sensor_id,
        'gh-' || CAST(user_id % 3 AS VARCHAR) AS greenhouse_id,
-       ['el-ejido', 'roquetas', 'nijar', 'adra'][user_id % 4 + 1] AS zone,
+       ['el-ejido', 'roquetas', 'nijar', 'adra'][((user_id % 4) + 4) % 4 + 1] AS zone,
        value AS temperature_c,
        TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS humidity_pct,
        350.0 + 2.0 * value AS co2_ppm,
