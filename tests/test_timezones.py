@@ -78,3 +78,11 @@ def test_unreadable_bound_is_an_error(spark):
     df = spark.createDataFrame([(dt.datetime(2025, 12, 31, 22, 30),)], "t timestamp_ntz")
     with pytest.raises(ValueError):
         time_range(df, "t", "2026-01-01 00:00:00 CET", None)
+
+
+@pytest.mark.parametrize("bound,expected", [("2026-01", 1), ("0001-01-01T00:00:00", 2)])
+def test_short_and_early_bounds(spark, bound, expected):
+    from verdant.operators.serving import time_range
+    df = spark.createDataFrame([(dt.datetime(2025, 12, 31, 22, 30),), (dt.datetime(2026, 1, 1, 0, 30),)],
+                               "t timestamp_ntz")
+    assert time_range(df, "t", bound, None).count() == expected

@@ -22,7 +22,8 @@ NULL_KEY = "\\N"
 
 def hash_u32(salt: str, *keys) -> Column:
     """First 32 bits of md5("salt:key1:key2...") as a non-negative long."""
-    # a NULL key part is written \N (so (NULL, "a"), ("a", NULL) and ("", "a") all differ)
+    # a NULL key part is written \N (the usual NULL text): (NULL, "a"), ("a", NULL) and
+    # ("", "a") differ, while a key whose text is \N hashes like NULL
     text = F.concat_ws(":", F.lit(salt), *[F.coalesce(_c(k).cast("string"), F.lit(NULL_KEY)) for k in keys])
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
 

@@ -68,8 +68,8 @@ def fixed2_text(x) -> Column:
     """``%.2f`` text built from integer hundredths (engine-independent rounding)."""
     x = _c(x)
     cents = F.round(F.abs(x) * F.lit(100.0)).try_cast("decimal(38,0)")
-    # integer and fractional parts from the digits of the cents (no division,
-    # so no precision or range limit below the decimal(38,0) bound itself)
+    # integer and fractional parts from the digits of the cents (no division);
+    # below 2^53 the cents fit decimal(38,0) with room to spare
     raw = cents.cast("string")
     digits = F.when(F.length(raw) < 3, F.lpad(raw, 3, "0")).otherwise(raw)  # lpad would cut longer text
     n = F.length(digits)
@@ -80,4 +80,8 @@ def fixed2_text(x) -> Column:
     return (F.when(F.isnan(x), F.lit("nan"))
             .when(x == float("inf"), F.lit("inf"))
             .when(x == float("-inf"), F.lit("-inf"))
+            # from 2^53 up every double is an integer: no rounding; digits are the
+            # shortest round-trip decimal (exact up to ~1e17, Python prints the
+            # full binary expansion beyond that)
+            .when(F.abs(x) >= F.lit(2.0 ** 53), F.format_string("%.2f", x))
             .otherwise(text))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from datetime import datetime, timedelta, timezone
 
@@ -15,22 +16,30 @@ from verdant.functions.decode import utc_instant
 REDUCERS = ("last", "mean", "max", "sum")
 
 
-def _utc_naive(value: datetime | str) -> datetime:
-    """A bound as a naive UTC datetime: aware values and ISO texts with an offset
-    are converted; naive ones already are UTC wall clock."""
+# Spark's short date/time forms without a zone ("2026-01", "2026-1-5 7:00")
+_PLAIN_TIME = re.compile(r"^\d{4}(-\d{1,2}(-\d{1,2}([ T]\d{1,2}(:\d{1,2}(:\d{1,2}(\.\d+)?)?)?)?)?)?$")
+
+
+def _time_literal(value: datetime | str, like: T.DataType) -> Column:
+    """A bound as a literal of the column's type.
+
+    Naive bounds are UTC wall clock; aware datetimes and ISO-8601 texts with
+    an offset are converted to UTC first.  Zone-less short forms Spark
+    accepts ("2026-01") are cast by Spark; other text is an error rather
+    than a silently dropped zone.
+    """
     if isinstance(value, str):
+        text = value.strip()
         try:
-            value = datetime.fromisoformat(value.strip())
-        except ValueError as e:
-            raise ValueError(f"time bound {value!r} is not ISO-8601 (offset optional)") from e
+            value = datetime.fromisoformat(text)
+        except ValueError:
+            if not _PLAIN_TIME.match(text):
+                raise ValueError(f"time bound {text!r}: use ISO-8601 (offset optional)") from None
+            wall = F.lit(text).cast("timestamp_ntz")
+            return utc_instant(wall) if isinstance(like, T.TimestampType) else wall
     if value.tzinfo is not None:
         value = value.astimezone(timezone.utc).replace(tzinfo=None)
-    return value
-
-
-def _time_literal(value: datetime | str, like: T.DataType) -> Column:
-    """A bound as a literal of the column's type (naive bounds are UTC wall clock)."""
-    wall = F.lit(_utc_naive(value).strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+    wall = F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
     return utc_instant(wall) if isinstance(like, T.TimestampType) else wall
 
 

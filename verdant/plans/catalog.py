@@ -137,7 +137,8 @@ def sql_band(expr: str, steps) -> str:
 def sql_fixed2(expr: str) -> str:
     cents = f"TRY_CAST(round(abs({expr}) * {_d(100)}) AS HUGEINT)"
     return (f"CASE WHEN isnan({expr}) THEN 'nan' WHEN ({expr}) = 'inf'::DOUBLE THEN 'inf' "
-            f"WHEN ({expr}) = '-inf'::DOUBLE THEN '-inf' ELSE "
+            f"WHEN ({expr}) = '-inf'::DOUBLE THEN '-inf' "
+            f"WHEN abs({expr}) >= {_d(2.0 ** 53)} THEN printf('%.2f', {expr}) ELSE "
             f"(CASE WHEN ({expr}) < 0 AND {cents} > 0 THEN '-' ELSE '' END) || CAST({cents} // 100 AS VARCHAR)"
             f" || '.' || lpad(CAST({cents} % 100 AS VARCHAR), 2, '0') END")
 
@@ -386,6 +387,8 @@ def _first_sql(keys) -> str:
     # the derived observations carry ta, t, hr, hrMedia, sol, vis; the other
     # candidate keys are absent on both sides (NULL), so they are left out here
     present = [k for k in keys if k in ("ta", "t", "hr", "hrMedia", "sol", "vis")]
+    if not present:
+        return "CAST(NULL AS DOUBLE)"
     return "coalesce(" + ", ".join(f"TRY_CAST(replace({k}, ',', '.') AS DOUBLE)" for k in present) + ")"
 
 
@@ -535,8 +538,8 @@ def _upserted_by_source(spark, sf) -> UpsertTable:
     table = UpsertTable(scratch_path(spark, "tables", "window_metrics_by_source"), S.WINDOW_METRICS_BY_SOURCE)
     events = sensor_events(spark, sf)
     table.write_batch(window_metrics_by_source(events.filter(F.col("data_source") != "click")), 0)
-    # computed once, read by both writes: a reliable checkpoint in the shared folder
-    full = window_metrics_by_source(events).checkpoint(eager=True)
+    # the replay recomputes the batch from the same input, as a restarted stream does
+    full = window_metrics_by_source(events)
     table.write_batch(full, 1)
     table.write_batch(full, 1)
     return table

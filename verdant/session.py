@@ -18,7 +18,8 @@ DEFAULT_CONF = {
     # Streaming state in RocksDB: state larger than executor memory spills to disk.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    # Reliable checkpoints (lineage cuts) are removed once no longer referenced.
+    # Reliable checkpoints (lineage cuts) are removed once no longer referenced
+    # (a context setting: applies when this builder creates the context).
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Each micro-batch uploads its state changes, not a full snapshot.
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",

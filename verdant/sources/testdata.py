@@ -3,7 +3,7 @@
 ``events(event_id, ts, user_id, event_type, value, props)`` is mapped onto
 the 12-field sensor event so that every operator runs on the real table:
 
-* greenhouse ``gh-<user_id % 3>``, sensor ``sensor-<user_id % 80 + 1, 3 digits>``,
+* greenhouse ``gh-<pmod(user_id, 3)>``, sensor ``sensor-<pmod(user_id, 80) + 1, 3 digits>``,
   zone = zones[pmod(user_id, 4)]
 * data_source = event_type; source_topic = ``<event_type>.<event_id mod 2>``
 * temperature = value, humidity = props.k, co2 = 350 + 2 * value,
@@ -30,8 +30,8 @@ def sensor_view(events: DataFrame, with_text_time: bool = False) -> DataFrame:
     uid = F.col("user_id")
     cols = [
         F.col("event_id"),
-        F.when(uid.isNotNull(), F.format_string("sensor-%03d", uid % 80 + 1)).alias("sensor_id"),
-        F.concat(F.lit("gh-"), (uid % 3).cast("string")).alias("greenhouse_id"),
+        F.when(uid.isNotNull(), F.format_string("sensor-%03d", F.pmod(uid, F.lit(80)) + 1)).alias("sensor_id"),
+        F.concat(F.lit("gh-"), F.pmod(uid, F.lit(3)).cast("string")).alias("greenhouse_id"),
         # guarded: element_at on a literal array returns its last element for a
         # NULL computed index (observed on Spark 4.1.2)
         F.when(uid.isNotNull(), F.element_at(zones, (F.pmod(uid, F.lit(4)) + 1).try_cast("int"))).alias("zone"),
@@ -56,8 +56,8 @@ def sensor_events(spark: SparkSession, sf_dir: str, with_text_time: bool = False
 # The same view in DuckDB SQL, for the oracle queries.
 SENSOR_VIEW_SQL = """
 SELECT event_id,
-       printf('sensor-%03d', user_id % 80 + 1) AS sensor_id,
-       'gh-' || CAST(user_id % 3 AS VARCHAR) AS greenhouse_id,
+       printf('sensor-%03d', ((user_id % 80) + 80) % 80 + 1) AS sensor_id,
+       'gh-' || CAST(((user_id % 3) + 3) % 3 AS VARCHAR) AS greenhouse_id,
        ['el-ejido', 'roquetas', 'nijar', 'adra'][((user_id % 4) + 4) % 4 + 1] AS zone,
        value AS temperature_c,
        TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS humidity_pct,
