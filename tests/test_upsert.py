@@ -185,3 +185,10 @@ def test_micro_batch_written_in_few_files(spark, workdir):
 def test_write_batch_reports_rows(spark, workdir):
     t = UpsertTable(workdir + "/wm", S.WINDOW_METRICS)
     assert t.write_batch(_wm(spark, [("gh-0", T0, T1, 1.0, 1.0, 1.0, 1), ("gh-1", T0, T1, 1.0, 1.0, 1.0, 1)]), 0) == 2
+
+
+def test_compact_tables_job(spark, workdir):
+    from verdant.plans.maintenance import compact_tables
+    t = UpsertTable(workdir + "/window_metrics", S.WINDOW_METRICS, run_id="r1")
+    t.write_batch(_wm(spark, [("gh-0", T0, T1, 1.0, 1.0, 1.0, 1)]), 3)
+    assert compact_tables(spark, workdir) == {"window_metrics": ("r1", 3), "window_metrics_by_source": None}
