@@ -1 +1 @@
-"""Composed plans: batch job, dashboard panels, the registered query catalog."""
+"""Composed plans: batch job, dashboard panels, table maintenance, the registered query catalog."""
