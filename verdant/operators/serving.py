@@ -96,7 +96,7 @@ def reduce_series(df: DataFrame, series: str, value: str, time: str = "window_st
         elif r == "sum":
             aggs.append(F.sum(v).alias("sum_value"))
         else:
-            raise ValueError(f"unknown reducer {r!r}")
+            raise ValueError(f"unknown reducer {r!r}; known: {', '.join(REDUCERS)}")
     return df.groupBy(F.col(series).alias("series")).agg(*aggs)
 
 

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from verdant import schemas as S
-from verdant.functions.common import col_of
 from verdant.functions.decode import epoch_millis_to_timestamp, utc_instant, utc_wall_clock
 from verdant.functions.numeric import first_number, round_half_away
 from verdant.operators.decode import accepted, decode_events, rejects
@@ -61,15 +60,8 @@ SELECTED_SOURCES = ("click", "view", "purchase")
 # Fixed ingest time stamped on normalised source rows in the registered queries.
 INGEST_TIME = "2024-02-01 00:00:00"
 
-AVG_COLUMNS = ("avg_temperature", "avg_humidity", "avg_co2")
-
-
 # ----------------------------------------------------------------- helpers
 
-def r6(c) -> Column:
-    return round_half_away(col_of(c), 6)
-
-
 def _round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     out = []
     for f in df.schema.fields:

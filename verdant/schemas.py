@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 TOPIC_SIMULATED = "greenhouse.sensors.simulated"
 TOPIC_CSV = "greenhouse.sensors.csv"
 TOPIC_WEATHER = "greenhouse.sensors.aemet"
-TOPIC_LEGACY = "greenhouse.sensors"
+TOPIC_LEGACY = "greenhouse.sensors"  # older producer's topic: not subscribed by default
 
 SOURCE_SIMULATED = "simulated"
 SOURCE_CSV = "csv"
@@ -57,13 +57,6 @@ WATERMARK_DELAY = "2 minutes"
 # ---------------------------------------------------------------------------
 
 ALL_TOPICS = (TOPIC_SIMULATED, TOPIC_CSV, TOPIC_WEATHER)
-SOURCE_TOPICS = {
-    SOURCE_SIMULATED: TOPIC_SIMULATED,
-    SOURCE_CSV: TOPIC_CSV,
-    SOURCE_WEATHER: TOPIC_WEATHER,
-}
-
-METRIC_COLUMNS = ("temperature_c", "humidity_pct", "co2_ppm")
 
 # Keyed JSON event as carried on a topic (all fields nullable in practice:
 # from_json never enforces nullability).
@@ -137,8 +130,6 @@ WINDOW_METRICS_BY_SOURCE_SCHEMA = T.StructType(
     + _AGG_VALUE_FIELDS
 )
 
-AGG_VALUE_COLUMNS = ("avg_temperature", "avg_humidity", "avg_co2", "event_count")
-
 
 class TableSpec:
     """Keyed aggregate table: primary key, storage partition column, sort order."""

@@ -45,10 +45,8 @@ def write_records(records: DataFrame, fmt: str = "kafka", path: str | None = Non
 
 def sent_log(events: DataFrame, topic: str | Column | None = None) -> DataFrame:
     """The per-event "sent" line: a JSON object with 6 of the event fields."""
-    return events.select(
-        json_text(_topic(topic).alias("topic"), "event_id", "data_source", "greenhouse_id",
-                  "temperature_c", "humidity_pct").alias("sent")
-    )
+    fields = [_topic(topic).alias("topic") if f == "topic" else F.col(f) for f in SENT_FIELDS]
+    return events.select(json_text(*fields).alias("sent"))
 
 
 def formatted_rows(metrics: DataFrame) -> DataFrame:
