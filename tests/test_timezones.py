@@ -86,3 +86,11 @@ def test_short_and_early_bounds(spark, bound, expected):
     df = spark.createDataFrame([(dt.datetime(2025, 12, 31, 22, 30),), (dt.datetime(2026, 1, 1, 0, 30),)],
                                "t timestamp_ntz")
     assert time_range(df, "t", bound, None).count() == expected
+
+
+@pytest.mark.parametrize("bound", ["2026-02-30", "2026-13", "yesterday"])
+def test_impossible_bounds_fail_at_once(spark, bound):
+    from verdant.operators.serving import time_range
+    df = spark.createDataFrame([(dt.datetime(2025, 12, 31, 22, 30),)], "t timestamp_ntz")
+    with pytest.raises(ValueError):
+        time_range(df, "t", bound, None)

@@ -192,3 +192,17 @@ def test_compact_tables_job(spark, workdir):
     t = UpsertTable(workdir + "/window_metrics", S.WINDOW_METRICS, run_id="r1")
     t.write_batch(_wm(spark, [("gh-0", T0, T1, 1.0, 1.0, 1.0, 1)]), 3)
     assert compact_tables(spark, workdir) == {"window_metrics": ("r1", 3), "window_metrics_by_source": None}
+
+
+def test_two_compactions_of_one_version_do_not_clash(spark, workdir):
+    import os
+    a = UpsertTable(workdir + "/wm", S.WINDOW_METRICS, run_id="r1")
+    a.write_batch(_wm(spark, [("gh-0", T0, T1, 1.0, 1.0, 1.0, 1)]), 0)
+    b = UpsertTable(workdir + "/wm", S.WINDOW_METRICS, run_id="r1")
+    # two maintenance jobs that both decided to compact version (r1, 0)
+    a._current_base_dir = lambda spark: None
+    b._current_base_dir = lambda spark: None
+    assert a.compact(spark) == ("r1", 0) and b.compact(spark) == ("r1", 0)
+    assert len(os.listdir(workdir + "/wm/_base")) == 2
+    c = UpsertTable(workdir + "/wm", S.WINDOW_METRICS)
+    assert c.current_base(spark) == ("r1", 0) and c.latest(spark).count() == 1

@@ -31,11 +31,17 @@ def main():
         print(f"{name}: {time.perf_counter() - t0:.2f} s")
     spark.stop()
     stages = []
-    for path in glob.glob(f"{log_dir}/**/events_*", recursive=True):
+    for path in glob.glob(f"{log_dir}/**/*", recursive=True):
+        name = Path(path).name
+        if Path(path).is_dir() or name.startswith(".") or name.startswith("appstatus"):
+            continue
         raw = Path(path).read_bytes()
-        if path.endswith(".zstd"):  # rolling event logs are zstd-compressed by default
+        if name.endswith(".zstd"):  # event logs are zstd-compressed by default
             import zstandard
             raw = zstandard.ZstdDecompressor().stream_reader(raw).read()
+        elif name.endswith((".lz4", ".lzf", ".snappy")):
+            print(f"skipped {path}: set spark.eventLog.compression.codec=zstd or disable compression")
+            continue
         for line in raw.decode("utf-8").splitlines():
             if line.strip():
                 ev = json.loads(line)

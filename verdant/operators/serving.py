@@ -16,27 +16,30 @@ from verdant.functions.decode import utc_instant
 REDUCERS = ("last", "mean", "max", "sum")
 
 
-# Spark's short date/time forms without a zone ("2026-01", "2026-1-5 7:00")
-_PLAIN_TIME = re.compile(r"^\d{4}(-\d{1,2}(-\d{1,2}([ T]\d{1,2}(:\d{1,2}(:\d{1,2}(\.\d+)?)?)?)?)?)?$")
+# Short zone-less forms ("2026-01", "2026-1-5 7:00") on top of ISO-8601
+_SHORT_TIME = re.compile(r"^(\d{4})(?:-(\d{1,2})(?:-(\d{1,2})(?:[ T](\d{1,2})(?::(\d{1,2})(?::(\d{1,2}))?)?)?)?)?$")
+
+
+def _parse_bound(text: str) -> datetime:
+    try:
+        return datetime.fromisoformat(text)
+    except ValueError:
+        m = _SHORT_TIME.match(text)
+        if not m:
+            raise ValueError(f"time bound {text!r}: use ISO-8601 (offset optional)") from None
+        parts = [int(g) if g else d for g, d in zip(m.groups(), (None, 1, 1, 0, 0, 0))]
+        return datetime(*parts)  # raises ValueError for impossible dates such as 2026-02-30
 
 
 def _time_literal(value: datetime | str, like: T.DataType) -> Column:
     """A bound as a literal of the column's type.
 
     Naive bounds are UTC wall clock; aware datetimes and ISO-8601 texts with
-    an offset are converted to UTC first.  Zone-less short forms Spark
-    accepts ("2026-01") are cast by Spark; other text is an error rather
-    than a silently dropped zone.
+    an offset are converted to UTC first.  Bounds are parsed here, on the
+    driver, so a bad one fails at once instead of turning into a NULL filter.
     """
     if isinstance(value, str):
-        text = value.strip()
-        try:
-            value = datetime.fromisoformat(text)
-        except ValueError:
-            if not _PLAIN_TIME.match(text):
-                raise ValueError(f"time bound {text!r}: use ISO-8601 (offset optional)") from None
-            wall = F.lit(text).cast("timestamp_ntz")
-            return utc_instant(wall) if isinstance(like, T.TimestampType) else wall
+        value = _parse_bound(value.strip())
     if value.tzinfo is not None:
         value = value.astimezone(timezone.utc).replace(tzinfo=None)
     wall = F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")

@@ -24,10 +24,14 @@ if __name__ == "__main__":
     import sys
 
     from verdant.options import JobOptions
-    from verdant.session import build_session, shared_root
+    from verdant.session import build_session
 
     # usage: python -m verdant.plans.maintenance [table_root]
     spark = build_session(app_name="verdant-compaction")
-    root = sys.argv[1] if len(sys.argv) > 1 else (JobOptions.from_env().table_root
-                                                  or f"{shared_root(spark)}/verdant/tables")
+    root = sys.argv[1] if len(sys.argv) > 1 else JobOptions.from_env().table_root
+    if not root:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            sys.exit("no table root: pass it, set TABLE_ROOT, or set spark.checkpoint.dir")
+        root = f"{configured.rstrip('/')}/verdant/tables"
     print(compact_tables(spark, root))

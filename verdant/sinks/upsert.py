@@ -7,7 +7,7 @@ which keeps per primary key the row of the greatest (run_id, batch_id),
 i.e. last write wins, as an overwrite-by-key store does.
 
 :meth:`UpsertTable.compact` rewrites the current content as a base version
-``<root>/_base/version=<run>__<batch, 20 digits>/``.  A base counts once Spark
+``<root>/_base/version=<run>__<batch, 20 digits>__<writer>/``.  A base counts once Spark
 has committed it (its ``_SUCCESS`` marker exists) and the newest committed
 base wins, so switching bases is atomic and never rewrites a folder that is
 being read.  Readers take the base plus only the batch folders newer than it
@@ -18,6 +18,7 @@ invisible to the batch scan.
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -75,6 +76,10 @@ def _base_tag(run_id: str, batch_id: int) -> str:
 
 
 def _parse_base_tag(tag: str) -> tuple[str, int]:
+    """``<run>__<batch>[__<writer>]`` -> (run, batch)."""
+    parts = tag.rsplit("__", 2)
+    if len(parts) == 3 and parts[1].isdigit():
+        return parts[0], int(parts[1])
     run_id, batch_id = tag.rsplit("__", 1)
     return run_id, int(batch_id)
 
@@ -178,16 +183,26 @@ class UpsertTable:
     def base_root(self) -> str:
         return f"{self.root}/_base"
 
-    def base_path(self, version: tuple[str, int]) -> str:
-        return f"{self.base_root}/version={_base_tag(*version)}"
+    def _base_dirs(self, spark: SparkSession) -> list[tuple[tuple[str, int], str]]:
+        """Base folders, newest version first (several writers may have written one version)."""
+        out = []
+        for name in _list_dirs(spark, self.base_root, "version="):
+            try:
+                out.append((_parse_base_tag(name), f"{self.base_root}/version={name}"))
+            except ValueError:
+                continue
+        return sorted(out, reverse=True)
+
+    def _current_base_dir(self, spark: SparkSession) -> tuple[tuple[str, int], str] | None:
+        for version, path in self._base_dirs(spark):
+            if _committed(spark, path):
+                return version, path
+        return None
 
     def current_base(self, spark: SparkSession) -> tuple[str, int] | None:
         """(run_id, batch_id) covered by the newest committed base version, if any."""
-        versions = sorted((_parse_base_tag(t) for t in _list_dirs(spark, self.base_root, "version=")), reverse=True)
-        for v in versions:
-            if _committed(spark, self.base_path(v)):
-                return v
-        return None
+        current = self._current_base_dir(spark)
+        return current[0] if current else None
 
     def newest_committed_batch(self, spark: SparkSession) -> tuple[str, int] | None:
         """Newest (run_id, batch_id) whose batch folder is committed (folder listings only)."""
@@ -204,16 +219,17 @@ class UpsertTable:
             return None
         return spark.read.schema(self.version_schema).parquet(self.root)
 
-    def _base_rows(self, spark: SparkSession, base: tuple[str, int]) -> DataFrame:
+    def _base_rows(self, spark: SparkSession, path: str) -> DataFrame:
         # base rows keep the (run_id, batch_id) they were written with
-        return spark.read.schema(self.version_schema).parquet(self.base_path(base))
+        return spark.read.schema(self.version_schema).parquet(path)
 
     def versions(self, spark: SparkSession) -> DataFrame:
         """Every live row with its run_id and batch_id (base version + newer batches)."""
         deltas = self._delta_versions(spark)
-        base = self.current_base(spark)
-        if base is not None:
-            base_rows = self._base_rows(spark, base)
+        current = self._current_base_dir(spark)
+        if current is not None:
+            base, path = current
+            base_rows = self._base_rows(spark, path)
             return base_rows if deltas is None else base_rows.unionByName(deltas.filter(_newer_than(*base)))
         if deltas is None:
             return spark.createDataFrame([], self.version_schema)
@@ -228,10 +244,11 @@ class UpsertTable:
         the newer batches hold at most ``DELTA_BROADCAST_ROWS`` rows."""
         cols = list(self.spec.columns) + (["run_id", "batch_id"] if keep_version else [])
         key = tuple(key or self.spec.primary_key)
-        base_info = self.current_base(spark)
-        if base_info is None or key != self.spec.primary_key:
+        current = self._current_base_dir(spark)
+        if current is None or key != self.spec.primary_key:
             return latest_by_key(self.versions(spark), key, tie=tie, keep_version=keep_version).select(*cols)
-        base = self._base_rows(spark, base_info)
+        base_info, base_path = current
+        base = self._base_rows(spark, base_path)
         deltas = self._delta_versions(spark)
         newer = None if deltas is None else deltas.filter(_newer_than(*base_info))
         n_newer = 0 if newer is None else newer.count()  # parquet footers of the newer folders only
@@ -260,7 +277,8 @@ class UpsertTable:
         a batch still being written is never claimed; it stays newer than the
         base and visible.  Nothing newer than the current base: no-op.  The new
         base folder is never the one being read, and it only takes effect
-        once Spark commits it.
+        once Spark commits it.  Each compaction writes its own folder, so two
+        running at once never overwrite each other's committed base.
         """
         top = self.newest_committed_batch(spark)
         base = self.current_base(spark)
@@ -274,5 +292,5 @@ class UpsertTable:
         (latest.repartition(F.col(spec.partition_column), F.col(spec.primary_key[-1]))
                .sortWithinPartitions(*order)
                .write.mode("overwrite").partitionBy(spec.partition_column)
-               .parquet(self.base_path(top)))
+               .parquet(f"{self.base_root}/version={_base_tag(*top)}__{uuid.uuid4().hex[:8]}"))
         return top
