@@ -72,3 +72,10 @@ def test_replayed_ingest_batch_is_not_written_twice(spark, workdir):
     _publish(events, S.TOPIC_WEATHER, 0, "parquet", workdir + "/rec", None, workdir + "/rej")  # replay
     assert sorted(os.listdir(workdir + "/rec/batch_id=0")) == first
     assert [r["reject_reason"] for r in spark.read.parquet(workdir + "/rej").collect()] == ["missing_station"]
+
+
+def test_ingest_needs_a_target(spark, workdir):
+    import pytest
+    from verdant.streaming.ingest import start_weather_ingest
+    with pytest.raises(ValueError):
+        start_weather_ingest(spark, workdir, workdir + "/ck")  # parquet records but no path

@@ -128,7 +128,7 @@ class UpsertTable:
 
     # ------------------------------------------------------------ writes
 
-    def write_batch(self, df: DataFrame, batch_id: int) -> int:
+    def write_batch(self, df: DataFrame, batch_id: int, observe: bool = True) -> int | None:
         """Write one batch (overwrite of its own folder only), sorted per partition value
         so each file's min/max on the time column lets time-range reads skip row groups.
         Returns the number of rows written (observed during the write, no extra job)."""
@@ -143,14 +143,15 @@ class UpsertTable:
             if isinstance(f.dataType, T.TimestampType) and isinstance(df.schema[f.name].dataType, T.TimestampNTZType):
                 c = utc_instant(c)  # a naive time is a UTC wall clock
             typed.append(c.cast(f.dataType).alias(f.name))
-        observed = Observation(f"rows_{spec.name}")
-        (df.select(*typed)
-           .observe(observed, F.count(F.lit(1)).alias("rows"))
-           .sortWithinPartitions(*order)
-           .write.mode("overwrite")
-           .partitionBy(spec.partition_column)
-           .parquet(self.batch_path(batch_id)))
-        return int(observed.get["rows"])
+        out = df.select(*typed)
+        observed = Observation(f"rows_{spec.name}") if observe else None
+        if observed is not None:
+            out = out.observe(observed, F.count(F.lit(1)).alias("rows"))
+        (out.sortWithinPartitions(*order)
+            .write.mode("overwrite")
+            .partitionBy(spec.partition_column)
+            .parquet(self.batch_path(batch_id)))
+        return int(observed.get["rows"]) if observed is not None else None
 
     def foreach_batch(self) -> Callable[[DataFrame, int], None]:
         """Micro-batch callback: skip empty batches, write once, report the row count.
@@ -162,18 +163,21 @@ class UpsertTable:
             batch_df.persist()
             try:
                 rows = batch_df.count()
-                if rows == 0:
-                    return
-                # fewer, larger files: merge the cached partitions (no shuffle),
-                # at most ROWS_PER_WRITE_TASK rows per write task
-                self.write_batch(batch_df.coalesce(max(1, -(-rows // ROWS_PER_WRITE_TASK))), batch_id)
-                log.info("table=%s batch=%s rows=%s persisted", self.spec.name, batch_id, rows)
-                if self.report is not None:
-                    self.report(self.spec.name, int(batch_id), int(rows))
+                if rows > 0:
+                    # fewer, larger files: merge the cached partitions (no shuffle),
+                    # at most ROWS_PER_WRITE_TASK rows per write task
+                    self.write_batch(batch_df.coalesce(max(1, -(-rows // ROWS_PER_WRITE_TASK))), batch_id,
+                                     observe=False)
+                    log.info("table=%s batch=%s rows=%s persisted", self.spec.name, batch_id, rows)
+                    if self.report is not None:
+                        self.report(self.spec.name, int(batch_id), int(rows))
             finally:
                 batch_df.unpersist()
             if self.compact_every and (int(batch_id) + 1) % self.compact_every == 0:
-                self.compact(batch_df.sparkSession)
+                try:
+                    self.compact(batch_df.sparkSession)
+                except Exception:  # noqa: BLE001 - the batch is written; the next compaction retries
+                    log.exception("table=%s compaction after batch %s failed", self.spec.name, batch_id)
 
         return write
 
@@ -214,10 +218,29 @@ class UpsertTable:
                     return run_id, b
         return None
 
-    def _delta_versions(self, spark: SparkSession) -> DataFrame | None:
-        if not _list_run_ids(spark, self.root):
+    def _delta_versions(self, spark: SparkSession, after: tuple[str, int] | None = None) -> DataFrame | None:
+        """Batch rows, all of them or only those newer than ``after``.
+
+        With ``after`` only the newer run/batch folders are listed and read
+        (folder listings on the driver), so the file listing does not grow
+        with the batches a base already covers.
+        """
+        runs = _list_run_ids(spark, self.root)
+        if not runs:
+            return None
+        reader = spark.read.schema(self.version_schema)
+        if after is None:
+            return reader.parquet(self.root)
+        paths = []
+        for run_id in runs:
+            if run_id < after[0]:
+                continue
+            for b in _list_dirs(spark, f"{self.root}/run_id={run_id}", "batch_id="):
+                if (run_id, int(b)) > after:
+                    paths.append(f"{self.root}/run_id={run_id}/batch_id={b}")
+        if not paths:
             return None
-        return spark.read.schema(self.version_schema).parquet(self.root)
+        return reader.option("basePath", self.root).parquet(*paths)
 
     def _base_rows(self, spark: SparkSession, path: str) -> DataFrame:
         # base rows keep the (run_id, batch_id) they were written with
@@ -225,12 +248,13 @@ class UpsertTable:
 
     def versions(self, spark: SparkSession) -> DataFrame:
         """Every live row with its run_id and batch_id (base version + newer batches)."""
-        deltas = self._delta_versions(spark)
         current = self._current_base_dir(spark)
         if current is not None:
             base, path = current
             base_rows = self._base_rows(spark, path)
+            deltas = self._delta_versions(spark, after=base)
             return base_rows if deltas is None else base_rows.unionByName(deltas.filter(_newer_than(*base)))
+        deltas = self._delta_versions(spark)
         if deltas is None:
             return spark.createDataFrame([], self.version_schema)
         return deltas
@@ -249,7 +273,7 @@ class UpsertTable:
             return latest_by_key(self.versions(spark), key, tie=tie, keep_version=keep_version).select(*cols)
         base_info, base_path = current
         base = self._base_rows(spark, base_path)
-        deltas = self._delta_versions(spark)
+        deltas = self._delta_versions(spark, after=base_info)
         newer = None if deltas is None else deltas.filter(_newer_than(*base_info))
         n_newer = 0 if newer is None else newer.count()  # parquet footers of the newer folders only
         if n_newer == 0:

@@ -9,6 +9,7 @@ records to Kafka or to a record folder the streaming job reads.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,23 +28,33 @@ REJECT_COLUMNS = ("event_id", "sensor_id", "reject_reason")
 
 
 def _write_once(spark: SparkSession, df: DataFrame, fmt: str, out: str, options) -> None:
-    """Write a batch folder unless it is already committed.
+    """Publish a batch folder exactly once.
 
-    A replayed micro-batch holds the same rows (same input files, same
-    numbering); rewriting it would give the rows new file names, and a file
-    stream reading ``out``'s parent would take them in a second time.
+    The batch is written to a hidden staging folder and renamed into place
+    after Spark committed it, so a reader (e.g. a file stream over the
+    parent folder) never sees a partly written batch.  A replayed batch
+    whose folder is already in place is skipped: its rows are never offered
+    twice under new file names.
     """
-    if path_exists(spark, f"{out}/_SUCCESS"):
+    if path_exists(spark, out):
         return
-    write_records(df, fmt, out, options, mode="overwrite")
+    parent, name = out.rstrip("/").rsplit("/", 1)
+    staging = f"{parent}/_staging/{name}-{uuid.uuid4().hex[:8]}"
+    write_records(df, fmt, staging, options, mode="overwrite")
+    jvm = spark.sparkContext._jvm
+    src = jvm.org.apache.hadoop.fs.Path(staging)
+    fs = src.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.rename(src, jvm.org.apache.hadoop.fs.Path(out)) and not path_exists(spark, out):
+        raise RuntimeError(f"could not move {staging} to {out}")
 
 
 def _publish(events: DataFrame, topic: str, batch_id: int, fmt: str, path: str | None,
-             options: Mapping[str, str] | None, rejects_path: str | None) -> None:
+             options: Mapping[str, str] | None, rejects_path: str | None, cache: bool = True) -> None:
     """Valid events as records (Kafka: at-least-once on replay; files: once per batch), rejects aside.
-    The batch is persisted so both writes share one read and one parse of the input."""
+    The events are cached (unless the caller did) so both writes share one read and one parse."""
     spark = events.sparkSession
-    events.persist()
+    if cache:
+        events.persist()
     try:
         valid = events.filter(F.col("reject_reason").isNull()).select(*S.STREAM_EVENT_FIELDS)
         records = to_keyed_records(valid, topic)
@@ -55,7 +66,16 @@ def _publish(events: DataFrame, topic: str, batch_id: int, fmt: str, path: str |
             rej = events.filter(F.col("reject_reason").isNotNull()).select(*REJECT_COLUMNS)
             _write_once(spark, rej, "parquet", f"{rejects_path}/batch_id={batch_id}", None)
     finally:
-        events.unpersist()
+        if cache:
+            events.unpersist()
+
+
+def _check_target(fmt: str, path: str | None, options: Mapping[str, str] | None) -> None:
+    if fmt == "kafka":
+        if not (options or {}).get("kafka.bootstrap.servers"):
+            raise ValueError("kafka output needs options['kafka.bootstrap.servers'] (and a topic column)")
+    elif not path:
+        raise ValueError(f"a path is needed to write {fmt!r} records")
 
 
 def start_crop_ingest(spark: SparkSession, folder: str, checkpoint: str, fmt: str = "parquet",
@@ -64,16 +84,22 @@ def start_crop_ingest(spark: SparkSession, folder: str, checkpoint: str, fmt: st
                       header_columns: Sequence[str] = S.CROP_CSV_COLUMNS,
                       ingest_time: Column | None = None, trigger_available_now: bool = False) -> StreamingQuery:
     """Each new CSV file -> events numbered 1..n within the file -> records on the CSV topic."""
+    _check_target(fmt, path, options)
     stream = stream_crop_csv(spark, folder, header_columns, max_files_per_trigger, with_split_columns=True)
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        df.persist()
+        df.persist()  # numbering reads the batch twice; both passes must see the same rows
+        events = None
         try:
             numbered = number_rows_in_files(df, "event_id")
-            events = normalize_crop_rows(numbered, ingest_time=ingest_time)
-            _publish(events, S.TOPIC_CSV, batch_id, fmt, path, options, rejects_path)
+            events = normalize_crop_rows(numbered, ingest_time=ingest_time).persist()
+            events.count()  # materialise the events, then the raw rows can go
+            df.unpersist()
+            _publish(events, S.TOPIC_CSV, batch_id, fmt, path, options, rejects_path, cache=False)
         finally:
             df.unpersist()
+            if events is not None:
+                events.unpersist()
 
     writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(batch)
     if trigger_available_now:
@@ -82,13 +108,16 @@ def start_crop_ingest(spark: SparkSession, folder: str, checkpoint: str, fmt: st
 
 
 def weather_events_stream(spark: SparkSession, folder: str, greenhouse_id: str = S.GREENHOUSES[0],
-                          ingest_time: Column | None = None) -> DataFrame:
+                          ingest_time: Column | None = None, max_files_per_trigger: int | None = 1000) -> DataFrame:
     """Each new response file (one JSON array) -> one weather event.
 
     The event id is the file's modification time in epoch seconds (the
     upstream producer numbers polls from the clock).
     """
-    raw = spark.readStream.option("wholetext", True).text(folder)
+    reader = spark.readStream.option("wholetext", True)
+    if max_files_per_trigger:  # a backlog after downtime is taken in bounded batches
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    raw = reader.text(folder)
     obs = raw.select(
         F.unix_seconds(F.col("_metadata.file_modification_time")).alias("event_id"),
         F.col("_metadata.file_path").alias("file"),
@@ -102,9 +131,11 @@ def weather_events_stream(spark: SparkSession, folder: str, greenhouse_id: str =
 def start_weather_ingest(spark: SparkSession, folder: str, checkpoint: str, fmt: str = "parquet",
                          path: str | None = None, options: Mapping[str, str] | None = None,
                          greenhouse_id: str = S.GREENHOUSES[0], rejects_path: str | None = None,
-                         ingest_time: Column | None = None, trigger_available_now: bool = False) -> StreamingQuery:
+                         ingest_time: Column | None = None, trigger_available_now: bool = False,
+                         max_files_per_trigger: int | None = 1000) -> StreamingQuery:
     """Weather responses -> records on the weather topic (no state, no shuffle)."""
-    events = weather_events_stream(spark, folder, greenhouse_id, ingest_time)
+    _check_target(fmt, path, options)
+    events = weather_events_stream(spark, folder, greenhouse_id, ingest_time, max_files_per_trigger)
 
     def batch(df: DataFrame, batch_id: int) -> None:
         _publish(df, S.TOPIC_WEATHER, batch_id, fmt, path, options, rejects_path)

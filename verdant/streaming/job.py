@@ -91,6 +91,9 @@ def run_streaming_job(spark: SparkSession, opts: JobOptions | None = None, fmt:
     between queries): two reads, three with ``opts.write_rejects``.
     """
     opts = opts or JobOptions.from_env()
+    # forget queries that ended earlier in this session, before starting ours,
+    # so a failure of one of ours is never cleared
+    spark.streams.resetTerminated()
     root = shared_root(spark)
     table_root = opts.table_root or f"{root}/verdant/tables"
     checkpoint_root = opts.checkpoint_root or f"{root}/verdant/streams"
@@ -101,19 +104,21 @@ def run_streaming_job(spark: SparkSession, opts: JobOptions | None = None, fmt:
         queries["rejects"] = start_rejects_query(decoded, f"{table_root}/rejects", f"{checkpoint_root}/rejects",
                                                  trigger, opts)
     if wait:
-        if trigger in ("availableNow", "once"):
-            # each query drains what is there and stops: wait for all of them
-            for q in queries.values():
-                q.awaitTermination()
-                if q.exception() is not None:
-                    raise RuntimeError(f"query {q.name} failed: {q.exception()}")
-        else:
-            # block until any query ends (or the timeout passes); a failed query raises here
-            spark.streams.resetTerminated()
-            if wait_timeout is None:
+        try:
+            if trigger in ("availableNow", "once"):
+                # each query drains what is there and stops: wait for all of them
+                for q in queries.values():
+                    q.awaitTermination()
+            elif wait_timeout is None:
+                # block until any query ends; a failed query raises here
                 spark.streams.awaitAnyTermination()
             else:
                 spark.streams.awaitAnyTermination(wait_timeout)
+        except Exception:
+            for q in queries.values():  # do not leave the sibling queries running unattended
+                if q.isActive:
+                    q.stop()
+            raise
     return queries
 
 
