@@ -41,6 +41,9 @@ def _customer():
     segs = ["HOUSEHOLD", "BUILDING", None, "MACHINERY"]
     rows = [dict(c_custkey=k, c_name=f"C{k}", c_nationkey=(k * 7) % 25,
                  c_acctbal=round(-999.99 + (k * 37.77) % 11000, 2), c_mktsegment=segs[k % 4]) for k in range(300)]
+    rows += [dict(c_custkey=300, c_name="C300", c_nationkey=None, c_acctbal=12.5, c_mktsegment="HOUSEHOLD"),
+             dict(c_custkey=301, c_name="C301", c_nationkey=3, c_acctbal=None, c_mktsegment="MACHINERY"),
+             dict(c_custkey=302, c_name="C302", c_nationkey=None, c_acctbal=None, c_mktsegment=None)]
     schema = pa.schema([("c_custkey", pa.int64()), ("c_name", pa.string()), ("c_nationkey", pa.int32()),
                         ("c_acctbal", pa.float64()), ("c_mktsegment", pa.string())])
     return pa.Table.from_pylist(rows, schema=schema)
