@@ -15,11 +15,11 @@ SETTINGS = settings(max_examples=15, deadline=None, suppress_health_check=[Healt
 
 
 def model_int_prefix(text):
-    head = (text or "").split(".")[0].strip()
+    head = (text or "").split(".")[0]
     if head == "":
         return 1
     try:
-        return max(1, int(head))
+        return max(1, int(head))  # int() strips blanks itself and raises on blank-only text
     except ValueError:
         return None  # the upstream producer raises: a reject here
 

@@ -19,7 +19,7 @@ def int_prefix(c, default: int = 1, floor: int = 1) -> Column:
     head = F.split_part(F.coalesce(_c(c), F.lit("")), F.lit("."), F.lit(1))
     n = F.trim(head).try_cast("int")
     return (
-        F.when(F.trim(head) == "", F.lit(default))
+        F.when(head == "", F.lit(default))  # "" or ".5": the default; blanks alone are not a number
         .when(n.isNull(), F.lit(None).cast("int"))
         .otherwise(F.greatest(F.lit(floor), n))
     )
@@ -35,9 +35,19 @@ def cycle_pick(values: Sequence[str], n) -> Column:
     return F.when(n.isNotNull(), pick)
 
 
+# Decimal, exponent and nan/inf spellings (Python float() syntax without
+# underscores); Java-only forms such as "1d" or "0x1p3" are not numbers here.
+NUMBER_TEXT = r"(?i)^[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|nan|inf|infinity)$"
+
+
+def _to_double(text: Column) -> Column:
+    t = F.trim(text)
+    return F.when(t.rlike(NUMBER_TEXT), t.try_cast("double"))
+
+
 def text_to_double(c) -> Column:
     """Numeric text -> double; empty/NULL -> NULL; unparseable -> NULL."""
-    return F.nullif(F.trim(_c(c)), F.lit("")).try_cast("double")
+    return _to_double(F.nullif(F.trim(_c(c)), F.lit("")))
 
 
 def clamp(x, lo: float, hi: float) -> Column:
@@ -50,7 +60,7 @@ def clamp(x, lo: float, hi: float) -> Column:
 
 def first_number(cols: Sequence) -> Column:
     """First candidate that parses as a number; a decimal comma counts as a point."""
-    return F.coalesce(*[F.replace(_c(c), F.lit(","), F.lit(".")).try_cast("double") for c in cols])
+    return F.coalesce(*[_to_double(F.replace(_c(c), F.lit(","), F.lit("."))) for c in cols])
 
 
 def round_half_away(x, digits: int = 2) -> Column:

@@ -45,7 +45,8 @@ def _ingest_text(ingest_time) -> Column:
 
 
 def normalize_crop_rows(rows: DataFrame, id_col: str = "event_id", ingest_time: Column | None = None,
-                        source: str = S.SOURCE_CSV, topic: str = S.TOPIC_CSV) -> DataFrame:
+                        source: str = S.SOURCE_CSV, topic: str = S.TOPIC_CSV,
+                        impute_keys: Sequence[Column] | None = None) -> DataFrame:
     """Crop CSV rows (all text) with a 1-based row ordinal -> events.
 
     * greenhouse: integer part of the id text, floored at 1, mapped round-robin
@@ -55,6 +56,8 @@ def normalize_crop_rows(rows: DataFrame, id_col: str = "event_id", ingest_time:
     * soil moisture: irrigation x6 clamped to [5, 90], else imputed.
     * sensor id ``crop-<crop type, lower case>-<ordinal, 4+ digits>``; a
       missing or empty crop type gives ``sensor``.
+    * imputed values and the zone are keyed by ``impute_keys`` (default the
+      ordinal; per-file ordinals need the file as well).
     """
     present = set(rows.columns)
 
@@ -62,12 +65,13 @@ def normalize_crop_rows(rows: DataFrame, id_col: str = "event_id", ingest_time:
         return F.col(c) if c in present else F.lit(None).cast("string")
 
     key = F.col(id_col)
-    readings = {
+    keys = list(impute_keys) if impute_keys else [key]
+    readings = {  # in event field order
         "temperature_c": "avg_temperature_C",
         "humidity_pct": "humidity_percent",
         "co2_ppm": "co2_ppm",
-        "light_lux": "light_intensity_lux",
         "soil_moisture_pct": "irrigation_mm",
+        "light_lux": "light_intensity_lux",
     }
     parsed = {out: text_to_double(text(src)) for out, src in readings.items()}
     missing = {out: F.nullif(F.trim(text(src)), F.lit("")).isNull() for out, src in readings.items()}
@@ -79,7 +83,7 @@ def normalize_crop_rows(rows: DataFrame, id_col: str = "event_id", ingest_time:
         given = parsed[out]
         if out == "soil_moisture_pct":
             given = clamp(given * F.lit(S.IRRIGATION_SCALE), S.SOIL_MIN, S.SOIL_MAX)
-        values[out] = round_half_away(F.when(missing[out], impute_between(out, lo, hi, key)).otherwise(given), 2)
+        values[out] = round_half_away(F.when(missing[out], impute_between(out, lo, hi, *keys)).otherwise(given), 2)
 
     gh_num = int_prefix(text("greenhouse_id"))
     crop_type = F.lower(F.coalesce(F.nullif(F.trim(text("crop_type")), F.lit("")), F.lit(S.CROP_TYPE_DEFAULT)))
@@ -92,7 +96,7 @@ def normalize_crop_rows(rows: DataFrame, id_col: str = "event_id", ingest_time:
         key.try_cast("int").alias("event_id"),
         F.format_string(S.CROP_SENSOR_PREFIX + "%s-%04d", crop_type, key).alias("sensor_id"),
         cycle_pick(S.GREENHOUSES, gh_num).alias("greenhouse_id"),
-        hash_pick(S.ZONES, "zone", key).alias("zone"),
+        hash_pick(S.ZONES, "zone", *keys).alias("zone"),
         values["temperature_c"].alias("temperature_c"),
         values["humidity_pct"].alias("humidity_pct"),
         values["co2_ppm"].alias("co2_ppm"),
@@ -131,7 +135,8 @@ def normalize_observations(obs: DataFrame, observations_col: str = "observations
     co2_lo, co2_hi = S.WEATHER_IMPUTE["co2_ppm"]
     soil_lo, soil_hi = S.WEATHER_IMPUTE["soil_moisture_pct"]
     keys = list(impute_keys) if impute_keys else [key]
-    reason = F.when(last.isNull(), F.lit("empty_observations")).when(station.isNull(), F.lit("missing_station"))
+    reason = (F.when(last.isNull(), F.lit("empty_observations"))
+              .when(station.isNull() | (F.trim(station.cast("string")) == ""), F.lit("missing_station")))
     imputed = F.array_compact(F.array(
         F.when(temperature.isNull(), F.lit("temperature_c")),
         F.when(humidity.isNull(), F.lit("humidity_pct")),

@@ -316,7 +316,7 @@ def q_crop_events(spark, sf):
 def _crop_sql() -> str:
     lo_hi = S.CROP_IMPUTE
     src = {"temperature_c": "avg_temperature_C", "humidity_pct": "humidity_percent", "co2_ppm": "co2_ppm",
-           "light_lux": "light_intensity_lux", "soil_moisture_pct": "irrigation_mm"}
+           "soil_moisture_pct": "irrigation_mm", "light_lux": "light_intensity_lux"}
     vals, miss, bad = [], [], []
     for out, col in src.items():
         parsed = f"TRY_CAST(nullif(trim({col}), '') AS DOUBLE)"

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from verdant import schemas as S
 from verdant.functions.decode import timestamp_to_iso_text
@@ -44,7 +45,8 @@ def sensor_view(events: DataFrame, with_text_time: bool = False) -> DataFrame:
         F.concat(F.col("event_type"), F.lit("."), (F.col("event_id") % 2).cast("string")).alias("source_topic"),
     ]
     if with_text_time:
-        cols.append(timestamp_to_iso_text(F.col("ts"), is_utc_wall_clock=True).alias("event_ts"))
+        naive = not isinstance(events.schema["ts"].dataType, T.TimestampType)
+        cols.append(timestamp_to_iso_text(F.col("ts"), is_utc_wall_clock=naive).alias("event_ts"))
     cols.append(F.col("ts").alias("event_time"))
     return events.select(*cols)
 

@@ -91,8 +91,10 @@ def start_crop_ingest(spark: SparkSession, folder: str, checkpoint: str, fmt: st
         df.persist()  # numbering reads the batch twice; both passes must see the same rows
         events = None
         try:
-            numbered = number_rows_in_files(df, "event_id")
-            events = normalize_crop_rows(numbered, ingest_time=ingest_time).persist()
+            numbered = number_rows_in_files(df.withColumn("_file", F.col("_split_file")), "event_id")
+            # ordinals restart in every file: the file is part of the imputation key
+            events = normalize_crop_rows(numbered, ingest_time=ingest_time,
+                                         impute_keys=[F.col("event_id"), F.col("_file")]).persist()
             events.count()  # materialise the events, then the raw rows can go
             df.unpersist()
             _publish(events, S.TOPIC_CSV, batch_id, fmt, path, options, rejects_path, cache=False)
