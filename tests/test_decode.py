@@ -72,3 +72,9 @@ def test_f2_epoch_millis_boundary(spark):
     # milliseconds are kept
     t = batch_events_with_time(df).orderBy("event_ts").first()["event_time"]
     assert t.microsecond == 999000
+
+
+def test_epoch_millis_out_of_range_is_null(spark):
+    df = spark.createDataFrame([(9223372036854775807,), (1767225600000,)], "event_ts long")
+    got = [r["event_time"] for r in batch_events_with_time(df).orderBy("event_ts").collect()]
+    assert got[0] is not None and got[1] is None

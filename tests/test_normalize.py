@@ -145,3 +145,17 @@ def test_mixed_header_layouts_fail_instead_of_misassigning(spark, workdir):
     _write(os.path.join(workdir, "b.csv"), "crop_type,greenhouse_id\nPepper,2\n")
     with pytest.raises(Exception):
         read_crop_csv(spark, workdir).collect()
+
+
+def test_java_only_number_spellings_are_not_numbers(spark):
+    from verdant.functions.numeric import first_number, text_to_double
+    df = spark.createDataFrame([("1d",), ("0x1p3",), ("1e5",), (" .5 ",), ("nan",)], "s string")
+    got = [r[0] for r in df.select(text_to_double("s")).collect()]
+    assert got[:4] == [None, None, 100000.0, 0.5] and got[4] != got[4]
+    assert df.select(first_number(["s"])).first()[0] is None
+
+
+def test_blank_station_is_rejected(spark):
+    df = spark.createDataFrame([(1, '[{"idema":"  ","ta":"20"}]')], "event_id int, payload string")
+    obs = df.select("event_id", parse_observation_array("payload").alias("observations"))
+    assert normalize_observations(obs).first()["reject_reason"] == "missing_station"
