@@ -78,3 +78,12 @@ def test_epoch_millis_out_of_range_is_null(spark):
     df = spark.createDataFrame([(9223372036854775807,), (1767225600000,)], "event_ts long")
     got = [r["event_time"] for r in batch_events_with_time(df).orderBy("event_ts").collect()]
     assert got[0] is not None and got[1] is None
+
+
+def test_extreme_epoch_millis_do_not_fail_the_window_job(spark):
+    from verdant.operators.windows import window_metrics
+    df = spark.createDataFrame([(9223372036854775,), (253402300799999,), (1767225600000,)], "event_ts long")
+    rows = window_metrics(batch_events_with_time(df).withColumns(
+        {"greenhouse_id": F.lit("g"), "temperature_c": F.lit(1.0), "humidity_pct": F.lit(1.0),
+         "co2_ppm": F.lit(1.0)})).select("event_count").collect()  # (a year-10000 window end has no Python datetime)
+    assert sorted(r["event_count"] for r in rows) == [1, 1]

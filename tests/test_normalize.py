@@ -159,3 +159,11 @@ def test_blank_station_is_rejected(spark):
     df = spark.createDataFrame([(1, '[{"idema":"  ","ta":"20"}]')], "event_id int, payload string")
     obs = df.select("event_id", parse_observation_array("payload").alias("observations"))
     assert normalize_observations(obs).first()["reject_reason"] == "missing_station"
+
+
+def test_whitespace_like_python_strip(spark):
+    from verdant.functions.numeric import int_prefix, text_to_double
+    df = spark.createDataFrame([("20\t",), ("\t2.0\n",), ("-nan",), ("\t",)], "s string")
+    got = df.select(text_to_double("s").alias("d"), int_prefix("s").alias("n")).collect()
+    assert got[0]["d"] == 20.0 and got[1]["d"] == 2.0 and got[2]["d"] != got[2]["d"] and got[3]["d"] is None
+    assert [r["n"] for r in got] == [20, 2, None, None]

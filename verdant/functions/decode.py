@@ -66,15 +66,17 @@ def timestamp_to_iso_text(c, is_utc_wall_clock: bool = False) -> Column:
     return F.concat(F.date_format(wall, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
 
 
-# Largest |epoch ms| a timestamp (microseconds in a long) can hold.
-_MAX_EPOCH_MS = 9_223_372_036_854_775
+# Epoch milliseconds of 0001-01-01 00:00:00 and 9999-12-31 23:59:59.999 UTC:
+# Spark's timestamp range, with room for window arithmetic on top.
+_MIN_EPOCH_MS = -62_135_596_800_000
+_MAX_EPOCH_MS = 253_402_300_799_999
 
 
 def epoch_millis_to_timestamp(c) -> Column:
     """Epoch milliseconds -> timestamp, keeping the milliseconds, no zone round trip.
-    Out-of-range values give NULL (a reject) instead of failing the job."""
+    Values outside years 0001-9999 give NULL (a reject) instead of failing the job."""
     ms = _c(c)
-    return F.when(ms.between(-_MAX_EPOCH_MS, _MAX_EPOCH_MS), F.timestamp_millis(ms))
+    return F.when(ms.between(_MIN_EPOCH_MS, _MAX_EPOCH_MS), F.timestamp_millis(ms))
 
 
 def json_text(*cols, keep_nulls: bool = True) -> Column:

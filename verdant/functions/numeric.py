@@ -17,7 +17,7 @@ def int_prefix(c, default: int = 1, floor: int = 1) -> Column:
     caller can route the row to rejects.
     """
     head = F.split_part(F.coalesce(_c(c), F.lit("")), F.lit("."), F.lit(1))
-    n = F.trim(head).try_cast("int")
+    n = strip_ws(head).try_cast("int")
     return (
         F.when(head == "", F.lit(default))  # "" or ".5": the default; blanks alone are not a number
         .when(n.isNull(), F.lit(None).cast("int"))
@@ -40,14 +40,21 @@ def cycle_pick(values: Sequence[str], n) -> Column:
 NUMBER_TEXT = r"(?i)^[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|nan|inf|infinity)$"
 
 
+def strip_ws(c) -> Column:
+    """Text without leading/trailing whitespace (tabs and newlines too, as Python's strip())."""
+    return F.regexp_replace(_c(c), r"^\s+|\s+$", "")
+
+
 def _to_double(text: Column) -> Column:
-    t = F.trim(text)
+    t = strip_ws(text)
+    # Python reads a signed nan as nan; Spark's cast only the bare word
+    t = F.regexp_replace(t, r"(?i)^[+-](nan)$", "$1")
     return F.when(t.rlike(NUMBER_TEXT), t.try_cast("double"))
 
 
 def text_to_double(c) -> Column:
-    """Numeric text -> double; empty/NULL -> NULL; unparseable -> NULL."""
-    return _to_double(F.nullif(F.trim(_c(c)), F.lit("")))
+    """Numeric text -> double; empty, blank or NULL -> NULL; unparseable -> NULL."""
+    return _to_double(_c(c))
 
 
 def clamp(x, lo: float, hi: float) -> Column:

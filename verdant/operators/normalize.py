@@ -22,6 +22,7 @@ from verdant.functions.numeric import (
     first_number,
     int_prefix,
     round_half_away,
+    strip_ws,
     text_to_double,
 )
 
@@ -74,7 +75,7 @@ def normalize_crop_rows(rows: DataFrame, id_col: str = "event_id", ingest_time:
         "light_lux": "light_intensity_lux",
     }
     parsed = {out: text_to_double(text(src)) for out, src in readings.items()}
-    missing = {out: F.nullif(F.trim(text(src)), F.lit("")).isNull() for out, src in readings.items()}
+    missing = {out: F.nullif(strip_ws(text(src)), F.lit("")).isNull() for out, src in readings.items()}
     bad = {out: (~missing[out]) & parsed[out].isNull() for out in readings}
 
     values = {}
@@ -86,7 +87,7 @@ def normalize_crop_rows(rows: DataFrame, id_col: str = "event_id", ingest_time:
         values[out] = round_half_away(F.when(missing[out], impute_between(out, lo, hi, *keys)).otherwise(given), 2)
 
     gh_num = int_prefix(text("greenhouse_id"))
-    crop_type = F.lower(F.coalesce(F.nullif(F.trim(text("crop_type")), F.lit("")), F.lit(S.CROP_TYPE_DEFAULT)))
+    crop_type = F.lower(F.coalesce(F.nullif(strip_ws(text("crop_type")), F.lit("")), F.lit(S.CROP_TYPE_DEFAULT)))
     reason = F.when(gh_num.isNull(), F.lit("bad_greenhouse_id"))
     for out in readings:
         reason = reason.when(bad[out], F.lit(f"bad_number:{readings[out]}"))
@@ -136,7 +137,7 @@ def normalize_observations(obs: DataFrame, observations_col: str = "observations
     soil_lo, soil_hi = S.WEATHER_IMPUTE["soil_moisture_pct"]
     keys = list(impute_keys) if impute_keys else [key]
     reason = (F.when(last.isNull(), F.lit("empty_observations"))
-              .when(station.isNull() | (F.trim(station.cast("string")) == ""), F.lit("missing_station")))
+              .when(station.isNull() | (strip_ws(station.cast("string")) == ""), F.lit("missing_station")))
     imputed = F.array_compact(F.array(
         F.when(temperature.isNull(), F.lit("temperature_c")),
         F.when(humidity.isNull(), F.lit("humidity_pct")),

@@ -318,9 +318,12 @@ def _crop_sql() -> str:
     src = {"temperature_c": "avg_temperature_C", "humidity_pct": "humidity_percent", "co2_ppm": "co2_ppm",
            "soil_moisture_pct": "irrigation_mm", "light_lux": "light_intensity_lux"}
     vals, miss, bad = [], [], []
+    def strip(x):  # Python strip(): all leading/trailing whitespace
+        return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+
     for out, col in src.items():
-        parsed = f"TRY_CAST(nullif(trim({col}), '') AS DOUBLE)"
-        missing = f"(nullif(trim({col}), '') IS NULL)"
+        parsed = f"TRY_CAST(nullif({strip(col)}, '') AS DOUBLE)"
+        missing = f"(nullif({strip(col)}, '') IS NULL)"
         given = parsed
         if out == "soil_moisture_pct":
             given = (f"CASE WHEN {parsed} IS NULL THEN NULL ELSE greatest({_d(S.SOIL_MIN)}, "
@@ -330,12 +333,12 @@ def _crop_sql() -> str:
                     f" AS {out}")
         miss.append(f"CASE WHEN {missing} THEN '{out}' END")
         bad.append(f"WHEN NOT {missing} AND {parsed} IS NULL THEN 'bad_number:{col}'")
-    head = "trim(split_part(coalesce(greenhouse_id, ''), '.', 1))"
-    gh_num = (f"CASE WHEN {head} = '' THEN 1 WHEN TRY_CAST({head} AS INTEGER) IS NULL THEN NULL "
-              f"ELSE greatest(1, TRY_CAST({head} AS INTEGER)) END")
+    head = "split_part(coalesce(greenhouse_id, ''), '.', 1)"
+    num = f"TRY_CAST({strip(head)} AS INTEGER)"
+    gh_num = f"CASE WHEN {head} = '' THEN 1 WHEN {num} IS NULL THEN NULL ELSE greatest(1, {num}) END"
     greenhouses = "[" + ", ".join(f"'{g}'" for g in S.GREENHOUSES) + "]"
     zones = "[" + ", ".join(f"'{z}'" for z in S.ZONES) + "]"
-    crop_type = f"lower(coalesce(nullif(trim(crop_type), ''), '{S.CROP_TYPE_DEFAULT}'))"
+    crop_type = f"lower(coalesce(nullif({strip('crop_type')}, ''), '{S.CROP_TYPE_DEFAULT}'))"
     return f"""
 WITH raw AS ({FX.CROP_CSV_SQL}),
 p AS (SELECT *, {gh_num} AS gh_num FROM raw)

@@ -91,7 +91,9 @@ def start_crop_ingest(spark: SparkSession, folder: str, checkpoint: str, fmt: st
         df.persist()  # numbering reads the batch twice; both passes must see the same rows
         events = None
         try:
-            numbered = number_rows_in_files(df.withColumn("_file", F.col("_split_file")), "event_id")
+            # the file's name (not its full location) joins the key, so a moved folder keeps its values
+            numbered = number_rows_in_files(
+                df.withColumn("_file", F.element_at(F.split(F.col("_split_file"), "/"), -1)), "event_id")
             # ordinals restart in every file: the file is part of the imputation key
             events = normalize_crop_rows(numbered, ingest_time=ingest_time,
                                          impute_keys=[F.col("event_id"), F.col("_file")]).persist()
