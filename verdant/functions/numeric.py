@@ -13,8 +13,9 @@ from verdant.functions.common import col_of as _c
 def int_prefix(c, default: int = 1, floor: int = 1) -> Column:
     """Integer part of a numeric text ("2.0" -> 2), floored at ``floor``.
 
-    Empty or NULL text -> ``default``; a non-numeric prefix -> NULL so the
-    caller can route the row to rejects.
+    Empty or NULL text, or an empty integer part (".5") -> ``default``; a
+    blank or non-numeric integer part -> NULL so the caller can route the
+    row to rejects (the upstream ``int()`` raises there).
     """
     head = F.split_part(F.coalesce(_c(c), F.lit("")), F.lit("."), F.lit(1))
     n = strip_ws(head).try_cast("int")
