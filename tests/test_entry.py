@@ -22,3 +22,21 @@ def test_options_from_env():
     o = JobOptions.from_env({"KAFKA_TOPICS": "a, b", "KAFKA_BOOTSTRAP": "k:1", "CHECKPOINT_DIR": "/c"})
     assert o.topics == ("a", "b") and o.bootstrap_servers == "k:1" and o.checkpoint_root == "/c"
     assert JobOptions.from_env({}).watermark == "2 minutes"
+
+
+def test_empty_env_values_fall_back_and_kafka_limits():
+    from verdant.options import JobOptions
+    o = JobOptions.from_env({"WINDOW_DURATION": "", "KAFKA_TOPICS": " , ", "MAX_OFFSETS_PER_TRIGGER": "5000",
+                             "KAFKA_MIN_PARTITIONS": "64"})
+    assert o.window == "5 minutes" and len(o.topics) == 3
+    assert o.max_offsets_per_trigger == 5000 and o.extra_source_options == {"minPartitions": "64"}
+    hash(o)
+
+
+def test_listener_keep_zero_keeps_nothing():
+    from types import SimpleNamespace
+    from verdant.streaming.progress import BatchReportListener
+    listener = BatchReportListener(keep=0)
+    progress = SimpleNamespace(name="q", batchId=0, numInputRows=1, eventTime={}, stateOperators=[])
+    listener.onQueryProgress(SimpleNamespace(progress=progress))
+    assert listener.reports == []

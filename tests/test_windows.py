@@ -92,3 +92,22 @@ def test_by_source_rollup_equals_greenhouse_counts_per_window(spark):
     b = (window_metrics_by_source(ev).groupBy("greenhouse_id", "window_start")
          .agg(F.sum("event_count").alias("event_count")))
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_backfill_of_batch_rows_never_outranks_the_stream(spark, workdir):
+    import datetime as dt
+    from verdant.plans.batch_job import run_batch_tables
+    from verdant.schemas import BATCH_EVENT_SCHEMA, WINDOW_METRICS
+    from verdant.sinks.upsert import UpsertTable
+    t0 = dt.datetime(2026, 1, 1, 12, 0)
+    live = UpsertTable(workdir + "/tables/window_metrics", WINDOW_METRICS)
+    live.write_batch(spark.createDataFrame([("gh-a", t0, t0 + dt.timedelta(minutes=5), 9.0, 9.0, 9.0, 9)],
+                                           WINDOW_METRICS.schema), 0)
+    rows = [("s1", "gh-a", "north", 20.0, 50.0, 400.0, 30.0, 1000.0, 1767268800000),   # 12:00 window
+            ("s2", "gh-b", "south", 22.0, 52.0, 420.0, 30.0, 1000.0, 1767268800000)]
+    tables = run_batch_tables(spark, spark.createDataFrame(rows, BATCH_EVENT_SCHEMA), workdir + "/tables",
+                              millis_col="event_ts")
+    got = {r["greenhouse_id"]: r["event_count"] for r in tables["window_metrics"].latest(spark).collect()}
+    assert got == {"gh-a": 9, "gh-b": 1}  # the live row stays; the backfill fills the rest
+    src = tables["window_metrics_by_source"].latest(spark).collect()
+    assert {r["data_source"] for r in src} == {None}

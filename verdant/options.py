@@ -31,22 +31,32 @@ class JobOptions:
     write_rejects: bool = False
     # Compact each table after every N-th micro-batch (None: never from the stream).
     compact_every: int | None = None
-    extra_source_options: Mapping[str, str] = field(default_factory=dict)
+    extra_source_options: Mapping[str, str] = field(default_factory=dict, hash=False)
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] | None = None) -> JobOptions:
         env = os.environ if env is None else env
         base = cls()
+
+        def get(name, default):  # an empty variable counts as unset
+            value = (env.get(name) or "").strip()
+            return value or default
+
+        extra = {}
+        if get("KAFKA_MIN_PARTITIONS", None):
+            extra["minPartitions"] = get("KAFKA_MIN_PARTITIONS", None)
         return replace(
             base,
-            bootstrap_servers=env.get("KAFKA_BOOTSTRAP", base.bootstrap_servers),
-            topics=_split(env["KAFKA_TOPICS"]) if env.get("KAFKA_TOPICS") else base.topics,
-            starting_offsets=env.get("STARTING_OFFSETS", base.starting_offsets),
-            checkpoint_root=env.get("CHECKPOINT_DIR", base.checkpoint_root),
-            table_root=env.get("TABLE_ROOT", base.table_root),
-            window=env.get("WINDOW_DURATION", base.window),
-            watermark=env.get("WATERMARK_DELAY", base.watermark),
-            processing_time=env.get("TRIGGER_INTERVAL", base.processing_time),
-            write_rejects=env.get("WRITE_REJECTS", "0").lower() in ("1", "true", "yes"),
-            compact_every=int(env["COMPACT_EVERY"]) if env.get("COMPACT_EVERY") else None,
+            bootstrap_servers=get("KAFKA_BOOTSTRAP", base.bootstrap_servers),
+            topics=_split(get("KAFKA_TOPICS", "")) or base.topics,
+            starting_offsets=get("STARTING_OFFSETS", base.starting_offsets),
+            checkpoint_root=get("CHECKPOINT_DIR", base.checkpoint_root),
+            table_root=get("TABLE_ROOT", base.table_root),
+            window=get("WINDOW_DURATION", base.window),
+            watermark=get("WATERMARK_DELAY", base.watermark),
+            processing_time=get("TRIGGER_INTERVAL", base.processing_time),
+            max_offsets_per_trigger=int(get("MAX_OFFSETS_PER_TRIGGER", 0)) or None,
+            write_rejects=get("WRITE_REJECTS", "0").lower() in ("1", "true", "yes"),
+            compact_every=int(get("COMPACT_EVERY", 0)) or None,
+            extra_source_options=extra,
         )

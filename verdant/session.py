@@ -80,3 +80,8 @@ def local_dir(path: str) -> str:
 def ensure_local_dir(path: str) -> None:
     if is_local_path(path):
         os.makedirs(local_dir(path), exist_ok=True)
+
+
+def default_table_root(spark: SparkSession) -> str:
+    """Where the keyed tables live unless configured: ``<shared root>/verdant/tables``."""
+    return f"{shared_root(spark)}/verdant/tables"

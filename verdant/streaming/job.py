@@ -19,7 +19,7 @@ from verdant.operators.decode import accepted, decode_events, rejects
 from verdant.operators.windows import GREENHOUSE_KEYS, SOURCE_KEYS, window_metrics
 from verdant.options import JobOptions
 from verdant.schemas import WINDOW_METRICS, WINDOW_METRICS_BY_SOURCE
-from verdant.session import shared_root
+from verdant.session import default_table_root, shared_root
 from verdant.sinks.upsert import UpsertTable
 from verdant.sources.events import read_events_stream
 
@@ -95,7 +95,7 @@ def run_streaming_job(spark: SparkSession, opts: JobOptions | None = None, fmt:
     # so a failure of one of ours is never cleared
     spark.streams.resetTerminated()
     root = shared_root(spark)
-    table_root = opts.table_root or f"{root}/verdant/tables"
+    table_root = opts.table_root or default_table_root(spark)
     checkpoint_root = opts.checkpoint_root or f"{root}/verdant/streams"
     raw = read_events_stream(spark, opts, fmt=fmt, path=path)
     decoded = decode_events(raw, keep=("topic",))

@@ -11,14 +11,15 @@ log = logging.getLogger(__name__)
 
 
 def _summary(p) -> dict:
-    state = p.stateOperators[0] if p.stateOperators else None
+    ops = p.stateOperators or []
     return {
         "name": p.name,
         "batch_id": p.batchId,
         "input_rows": p.numInputRows,
         "watermark": (p.eventTime or {}).get("watermark"),
-        "late_rows_dropped": state.numRowsDroppedByWatermark if state else 0,
-        "state_rows": state.numRowsTotal if state else 0,
+        # rows (after the partial aggregate) dropped as late, over all stateful operators
+        "late_rows_dropped": sum(op.numRowsDroppedByWatermark for op in ops),
+        "state_rows": sum(op.numRowsTotal for op in ops),
     }
 
 
@@ -45,7 +46,10 @@ class BatchReportListener(StreamingQueryListener):
                  s["watermark"], s["late_rows_dropped"])
         with self._lock:
             self.reports.append(s)
-            del self.reports[:-self.keep]
+            if self.keep <= 0:
+                self.reports.clear()
+            else:
+                del self.reports[:-self.keep]
 
     def onQueryIdle(self, event):
         pass
