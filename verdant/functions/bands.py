@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from verdant.functions.common import col_of
+from verdant.functions.colref import col_of
 
 
 def band(c, steps: Sequence[tuple[float | None, str]]) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from verdant.functions.common import col_of as _c
+from verdant.functions.colref import col_of as _c
 
 
 def value_as_text(c="value") -> Column:

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from verdant.functions.common import col_of as _c
+from verdant.functions.colref import col_of as _c
 from verdant.functions.numeric import cycle_pick, round_half_away
 
 _TWO_32 = 4294967296.0

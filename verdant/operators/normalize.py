@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from verdant import schemas as S
-from verdant.functions.common import col_of
+from verdant.functions.colref import col_of
 from verdant.functions.decode import timestamp_to_iso_text
 from verdant.functions.impute import hash_pick, impute_between
 from verdant.functions.numeric import (
