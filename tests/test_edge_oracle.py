@@ -87,3 +87,17 @@ def test_query_matches_sql_twin_on_edge_rows(spark, edge_dir, name):
     cols = [d[0] for d in res.description]
     assert sorted(cols) == sorted(df.columns)
     assert got == _rows(cols, res.fetchall())
+
+
+TIME_SENSITIVE = ["epoch_millis_time", "decode_events", "publish_records", "window_metrics",
+                  "stream_window_metrics", "panel_01", "formatted_rows", "batch_millis_window_metrics"]
+
+
+@pytest.mark.parametrize("name", TIME_SENSITIVE)
+def test_time_sensitive_queries_on_edge_rows_in_new_york(spark, edge_dir, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        test_query_matches_sql_twin_on_edge_rows(spark, edge_dir, name)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
