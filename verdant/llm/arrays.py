@@ -45,8 +45,8 @@ def range_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(bytes, offsets) of a text column; a null is an empty text."""
-    column = column.cast(pa.large_string()).fill_null("")
+    """(bytes, offsets) of a text or binary column; a null is an empty text."""
+    column = column.cast(pa.large_binary()).fill_null(b"")
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
     if not len(column):
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)

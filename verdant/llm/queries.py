@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from verdant.llm import packing
+from verdant.llm import decontamination, packing, set_join, token_files
+from verdant.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -20,10 +22,28 @@ def tokenizer() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda n, run: n + run["length"])
+    return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
+                        (F.size("hits") > 0).alias("contaminated"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer(), content=packing.CRC32)
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token_files")
+    token_files.write(table(spark, sf_dir, "documents"), path, tokenizer())
+    return token_files.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op10_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return set_join.groups(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -31,7 +51,12 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op5_packing": op5_packing}
+    return {
+        "op4_decontamination": op4_decontamination,
+        "op5_packing": op5_packing,
+        "op8_token_files": op8_token_files,
+        "op10_set_join": op10_set_join,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
