@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verdant.llm import decontamination, packing, set_join, token_files
+from verdant.llm import decontamination, packing, repeats, set_join, token_files
 from verdant.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -34,6 +34,13 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer(), content=packing.CRC32)
 
 
+def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    n_removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", "n_bytes", n_removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token_files")
     token_files.write(table(spark, sf_dir, "documents"), path, tokenizer())
@@ -54,6 +61,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op4_decontamination": op4_decontamination,
         "op5_packing": op5_packing,
+        "op6_repeats": op6_repeats,
         "op8_token_files": op8_token_files,
         "op10_set_join": op10_set_join,
     }
