@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verdant.llm import decontamination, packing, repeats, set_join, token_files
+from verdant.llm import decontamination, packing, quality, repeats, set_join, token_files
 from verdant.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -22,6 +22,20 @@ def tokenizer() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def fold(column: str = "doc_id"):
+    """The fold of a document, from its id alone; fold 2 is held out."""
+    return F.crc32(F.col(column).cast("string")) % 4
+
+
+def quality_model(spark: SparkSession, sf_dir: str) -> quality.Model:
+    return quality.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").where(fold() != 2))
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.score(table(spark, sf_dir, "documents"), quality_model(spark, sf_dir))
+    return scored.select("doc_id", (fold() == 2).alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda n, run: n + run["length"])
@@ -59,6 +73,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_quality": op2_quality,
         "op4_decontamination": op4_decontamination,
         "op5_packing": op5_packing,
         "op6_repeats": op6_repeats,
