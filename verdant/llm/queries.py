@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verdant.llm import decontamination, packing, quality, repeats, set_join, token_files
+from verdant.llm import decontamination, packing, quality, repeats, set_join, token_files, url_filter
 from verdant.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -22,6 +22,15 @@ def tokenizer() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+#: Fixed rules of the URL query.
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = url_filter.fit(url_filter.labelled_urls(spark))
+    return url_filter.judge(table(spark, sf_dir, "pages"), model, URL_RULES)
+
+
 def fold(column: str = "doc_id"):
     """The fold of a document, from its id alone; fold 2 is held out."""
     return F.crc32(F.col(column).cast("string")) % 4
@@ -73,6 +82,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_url_filter": op1_url_filter,
         "op2_quality": op2_quality,
         "op4_decontamination": op4_decontamination,
         "op5_packing": op5_packing,
