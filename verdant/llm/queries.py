@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verdant.llm import decontamination, packing, quality, repeats, set_join, token_files, url_filter
+from verdant.llm import decontamination, packing, pii, quality, repeats, secrets, set_join, spans, token_files, url_filter
 from verdant.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -64,12 +64,27 @@ def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def _digest(found: DataFrame, base: list[str], added: list[str]) -> DataFrame:
+    every = {k: F.col(k) for k in base}
+    counts = [F.size(k).cast("long").alias(f"n_{k}") for k in base]
+    return found.select("doc_id", *counts, F.sha2(spans.listed(every), 256).alias("base_sha256"),
+                        spans.listed(every | {k: F.col(k) for k in added}).alias("spans"))
+
+
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _digest(secrets.scan(table(spark, sf_dir, "documents")), list(secrets.STRONG), list(secrets.WEAK))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token_files")
     token_files.write(table(spark, sf_dir, "documents"), path, tokenizer())
     return token_files.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _digest(pii.scan(table(spark, sf_dir, "documents")), list(pii.BASE), list(pii.FOUND.values()))
+
+
 def op10_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return set_join.groups(table(spark, sf_dir, "documents"))
 
@@ -87,7 +102,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_decontamination": op4_decontamination,
         "op5_packing": op5_packing,
         "op6_repeats": op6_repeats,
+        "op7_secrets": op7_secrets,
         "op8_token_files": op8_token_files,
+        "op9_pii": op9_pii,
         "op10_set_join": op10_set_join,
     }
 
