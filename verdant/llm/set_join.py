@@ -14,9 +14,9 @@ share a key and are not yet in one component are compared with each other, so th
 components are all found and no group is multiplied out.
 
 Shingles are known by 64-bit hashes.  Defined results: a null, empty or wordless text has no shingles and links with
-nothing; with fewer words than the n-gram has, all words are the only shingle; repeated rows are equal sets; rows
-without an id are left out of the links and keep a null component; an empty table gives no rows; extra columns are
-not read.
+nothing; with fewer words than the n-gram has, all words are the only shingle; repeated rows are equal sets; an id
+with different texts is one document, linked by the least of them; a row without an id has the component of an equal
+set, or null; an empty table gives no rows; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -43,7 +43,7 @@ BAND = 1.6
 #: More segments than the bound calls for, so that the costly (nearly empty) ones need not be indexed.
 SPARE = 1.25
 #: What a key that many unrelated sets share costs, in keys.
-SHARED_COST = 1000.0
+SHARED_COST = 64.0
 
 _ODD = [np.uint64(x) for x in (0x9FB21C651E98DF25, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)]
 
@@ -123,24 +123,32 @@ def keys(tokens: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate(out))
 
 
-def index(docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, n_shingles, d1, d2, keys): set size, a 128-bit digest of the set, index keys."""
-    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+def digests(docs: DataFrame, n: int) -> DataFrame:
+    """(doc_id, n_shingles, d1, d2): the size and a 128-bit digest of every row's set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, "text"):
             sets = shingle_sets(*utf8(batch.column("text")), n)
-            with np.errstate(over="ignore"):
-                d1 = np.array([mix(s).sum(dtype=np.uint64) for s in sets], np.uint64)
-                d2 = np.array([mix(s ^ _ODD[0]).sum(dtype=np.uint64) for s in sets], np.uint64)
-            found = [keys(s) for s in sets]
-            flat = np.concatenate(found).view(np.int64)
+            d1 = np.array([mix(s).sum(dtype=np.uint64) for s in sets], np.uint64)
+            d2 = np.array([mix(s ^ _ODD[0]).sum(dtype=np.uint64) for s in sets], np.uint64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64))],
+                ["doc_id", "n_shingles", "d1", "d2"])
+
+    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_shingles long, d1 long, d2 long")
+
+
+def index(docs: DataFrame, n: int) -> DataFrame:
+    """(doc_id, keys): every row's index keys.  Made from the texts anew rather than stored, as they are as large."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in steps(batches, "text"):
+            found = [keys(s) for s in shingle_sets(*utf8(batch.column("text")), n)]
             ends = np.append(0, np.cumsum([len(x) for x in found])).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["doc_id", "n_shingles", "d1", "d2", "keys"])
+                [batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found).view(np.int64)))], ["doc_id", "keys"])
 
-    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_shingles long, d1 long, d2 long, keys array<long>")
+    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, keys array<long>")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, n: int) -> DataFrame:
@@ -178,18 +186,20 @@ KEY_BLOCK = 2000
 
 def groups(docs: DataFrame, *, n: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id): one row per row of ``docs``."""
-    sets = stored(index(docs, n, id_col, text_col), "sets")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    sets = stored(digests(rows, n), "sets")
     named = sets.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     digest = ["n_shingles", "d1", "d2"]
     classes = named.groupBy(*digest).agg(F.min("doc_id").alias("rep"))
     reps = classes.where(F.col("n_shingles") >= band_starts()[0]).select(F.col("rep").alias("doc_id"))
-    indexed = sets.join(reps, "doc_id", "left_semi").select("doc_id", F.explode(F.array_distinct("keys")).alias("key"))
+    indexed = index(rows, n).join(reps, "doc_id", "left_semi").select("doc_id", F.explode("keys").alias("key"))
+    shared = indexed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    found = stored(indexed.join(shared, "key", "left_semi").distinct(), "found")
     # the smallest document of every key that several classes share
-    shared = indexed.groupBy("key").agg(F.min("doc_id").alias("pivot"), F.max("doc_id").alias("last")).where("pivot < last").drop("last")
-    members = stored(indexed.join(shared, "key"), "members")
+    pivots = found.groupBy("key").agg(F.min("doc_id").alias("pivot"))
+    members = stored(found.join(pivots, "key"), "members")
     involved = members.select("doc_id").distinct()
-    texts = stored(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-                   .join(involved, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
+    texts = stored(rows.join(involved, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")), "texts")
     star = stored(members.where("doc_id > pivot").select(F.col("doc_id").alias("a"), F.col("pivot").alias("b")).distinct(), "star")
     links = stored(verified(star, texts, n), "links")
     first = components(links)
