@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verdant.llm import decontamination, packing, pii, quality, repeats, secrets, set_join, spans, token_files, url_filter
+from verdant.llm import decontamination, packing, pii, quality, repeats, secrets, set_join, spans, token_files, url_filter, vector_search
 from verdant.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -45,6 +45,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold() == 2).alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op3_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda n, run: n + run["length"])
@@ -99,6 +103,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filter": op1_url_filter,
         "op2_quality": op2_quality,
+        "op3_vector_search": op3_vector_search,
         "op4_decontamination": op4_decontamination,
         "op5_packing": op5_packing,
         "op6_repeats": op6_repeats,
