@@ -111,6 +111,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_files": op8_token_files,
         "op9_pii": op9_pii,
         "op10_set_join": op10_set_join,
+        "pipeline": pipeline,
     }
 
 

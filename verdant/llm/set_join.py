@@ -211,6 +211,14 @@ def groups(docs: DataFrame, *, n: int = 4, id_col: str = "doc_id", text_col: str
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def keep_one(docs: DataFrame, *, n: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one document of each component, the one with the least id, and each id once; rows without an id stay."""
+    found = groups(docs, n=n, id_col=id_col, text_col=text_col)
+    gone = stored(found.where("component_id < doc_id").select(F.col("doc_id").alias(id_col)).distinct(), "gone")
+    named = docs.where(F.col(id_col).isNotNull()).join(gone, id_col, "left_anti").dropDuplicates([id_col])
+    return named.unionByName(docs.where(F.col(id_col).isNull()))
+
+
 def _across(members: DataFrame, found: DataFrame) -> DataFrame:
     """Distinct pairs (a > b) of documents that share a key but are in different components so far."""
     labelled = (members.join(found.withColumnsRenamed({"node": "doc_id"}), "doc_id", "left")
