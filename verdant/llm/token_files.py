@@ -91,6 +91,8 @@ class Table:
             out[at : at + lanes] = symbol
             x = self.frequency[symbol] * (x >> _S) + slot - self.start[symbol]
             low = np.flatnonzero(x < LOW)
+            if used + len(low) > len(words):
+                raise ValueError("a block of token ids is damaged: it has too few words")
             x[low] = (x[low] << _W) | words[used : used + len(low)]
             used += len(low)
             state[: len(x)] = x
