@@ -30,4 +30,4 @@ def test_batch_job_then_compaction(workdir):
     assert "gh-a: 2026-01-01 00:00:00 - avg_temp=22.00°C, events=1" in out.stdout
     out = _run(["verdant.plans.maintenance", tables])
     assert out.returncode == 0, out.stderr[-2000:]
-    assert "'window_metrics': ('r" in out.stdout and "'window_metrics_by_source': None" in out.stdout
+    assert "'window_metrics': Entry(" in out.stdout and "'window_metrics_by_source': None" in out.stdout

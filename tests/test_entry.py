@@ -1,6 +1,7 @@
 """Driver contract: entry() runs, every query has a matching oracle key."""
 
 import __spark_entry__ as E
+from verdant.plans import catalog
 
 
 def test_entry_smoke(spark):
@@ -11,7 +12,7 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_oracle():
-    q, o = E.queries(), E.oracle_sql()
+    q, o = catalog.queries(), catalog.oracle_sql()
     assert set(o) <= set(q)
     missing = set(q) - set(o)
     assert not missing, missing
@@ -33,10 +34,12 @@ def test_empty_env_values_fall_back_and_kafka_limits():
     hash(o)
 
 
-def test_listener_keep_zero_keeps_nothing():
+def test_listener_hands_reports_on():
     from types import SimpleNamespace
     from verdant.streaming.progress import BatchReportListener
-    listener = BatchReportListener(keep=0)
+    seen = []
+    listener = BatchReportListener(seen.append)
     progress = SimpleNamespace(name="q", batchId=0, numInputRows=1, eventTime={}, stateOperators=[])
     listener.onQueryProgress(SimpleNamespace(progress=progress))
-    assert listener.reports == []
+    assert [r["batch_id"] for r in seen] == [0]
+    BatchReportListener().onQueryProgress(SimpleNamespace(progress=progress))

@@ -35,20 +35,27 @@ def test_decode_parses_json_once(spark):
     assert "Generate inline" in _plan(df)
 
 
+def _scan(df, n=0) -> str:
+    return [line for line in df._jdf.queryExecution().toString().split("== Physical Plan ==")[1].splitlines() if "FileScan" in line][n]
+
+
 def test_panel_filters_reach_the_scan(spark):
-    table = window_metrics(sensor_events(spark, SF001))
-    plan = _plan(panel(table, PANELS[1], ["gh-0"], catalog.RANGE_LO, catalog.AS_OF))
-    scan = [line for line in plan.splitlines() if "FileScan" in line][0]
-    assert "IN (gh-0)" in scan or "= gh-0" in scan
-    assert "partial_max_by" in plan
-
-
-def test_ordinals_broadcast_bounded_split_table(spark):
-    df = catalog.q_row_ordinals(spark, SF001)
-    plan = _plan(df)
-    assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
-    # the only single-partition step is the per-split prefix sum
-    assert plan.count("SinglePartition") <= 1
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        scan = _scan(catalog.queries()["panel_01"](spark, SF001))
+        assert "GreaterThan(window_start,2024-01-29" in scan and "LessThan(window_start,2024-01-30" in scan
+        assert "In(greenhouse_id, [gh-0,gh-1])" in scan
+        # over raw events the range is on the event time
+        scan = _scan(catalog.q_panel_01_raw(spark, SF001))
+        assert "GreaterThan(ts,2024-01-28T23:59:59.999999)" in scan and "LessThan(ts,2024-01-30T00:00)" in scan
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+def test_ordinals_have_no_one_task_window_over_splits(spark):
+    plan = _plan(catalog.q_row_ordinals(spark, SF001))
+    # the only single-partition step sums up the totals of range partitions
+    assert plan.count("SinglePartition") <= 1 and "partial_sum(rows" in plan
 
 
 def test_latest_view_is_one_shuffle_on_the_key(spark):

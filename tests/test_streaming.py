@@ -153,7 +153,8 @@ def test_stream_compaction_every_batch(spark, workdir):
 def test_listener_reports_batches(spark, workdir):
     from verdant.streaming.progress import BatchReportListener
     _land(workdir + "/in", BATCHES[:2])
-    listener = BatchReportListener()
+    reports = []
+    listener = BatchReportListener(reports.append)
     spark.streams.addListener(listener)
     try:
         agg = window_metrics(_stream(spark, workdir + "/in"), watermark="2 minutes")
@@ -161,11 +162,11 @@ def test_listener_reports_batches(spark, workdir):
              .option("checkpointLocation", workdir + "/ck").trigger(availableNow=True).start())
         q.awaitTermination()
         deadline = time.time() + 10
-        while time.time() < deadline and len([r for r in listener.reports if r["name"] == "listened"]) < 2:
+        while time.time() < deadline and len([r for r in reports if r["name"] == "listened"]) < 2:
             time.sleep(0.2)
     finally:
         spark.streams.removeListener(listener)
-    rows = [r["input_rows"] for r in listener.reports if r["name"] == "listened"]
+    rows = [r["input_rows"] for r in reports if r["name"] == "listened"]
     assert rows[:2] == [2, 2]
 
 

@@ -3,7 +3,7 @@
 import datetime as dt
 
 from verdant import schemas as S
-from verdant.sinks.upsert import UpsertTable
+from verdant.sinks.upsert import BACKFILL, VERSION, UpsertTable
 
 T0 = dt.datetime(2026, 1, 1, 12, 0)
 T1 = dt.datetime(2026, 1, 1, 12, 5)
@@ -23,6 +23,10 @@ def test_f5_upsert_and_replay(spark, workdir):
     rows = t.latest(spark).collect()
     assert len(rows) == 1 and rows[0]["event_count"] == 2
     assert t.versions(spark).count() == 2
+    # a replay keeps its place: it does not outrank what another writer wrote since
+    UpsertTable(workdir + "/wm", S.WINDOW_METRICS).write_batch(_wm(spark, [("gh-0", T0, T1, 3.0, 3.0, 3.0, 3)]), 0)
+    t.write_batch(_wm(spark, [("gh-0", T0, T1, 2.0, 2.0, 2.0, 2)]), 1)
+    assert t.latest(spark).first()["event_count"] == 3
 
 
 def test_new_run_wins_over_old_run(spark, workdir):
@@ -58,22 +62,22 @@ def test_foreach_batch_skips_empty_and_reports(spark, workdir):
     assert t.latest(spark).count() == 1
 
 
-def test_partition_pruning_reaches_scan(spark, workdir):
+def test_key_and_time_filters_reach_the_scan(spark, workdir):
     t = UpsertTable(workdir + "/wm", S.WINDOW_METRICS)
     t.write_batch(_wm(spark, [("gh-0", T0, T1, 1.0, 1.0, 1.0, 1), ("gh-1", T0, T1, 1.0, 1.0, 1.0, 1)]), 0)
     df = t.latest(spark).filter("greenhouse_id = 'gh-1' AND window_start > TIMESTAMP '2026-01-01 11:00:00'")
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(greenhouse_id" in plan
-    assert "PushedFilters: [IsNotNull(window_start), GreaterThan(window_start" in plan
+    assert "PushedFilters: [IsNotNull(greenhouse_id), IsNotNull(window_start), EqualTo(greenhouse_id,gh-1), GreaterThan(" in plan
     assert df.count() == 1
 
 
-def test_compaction_keeps_content_and_prunes_old_batches(spark, workdir):
+def test_compaction_keeps_content_and_later_writes_win(spark, workdir):
     t = UpsertTable(workdir + "/wm", S.WINDOW_METRICS, run_id="r1")
     t.write_batch(_wm(spark, [("gh-0", T0, T1, 1.0, 1.0, 1.0, 1), ("gh-1", T0, T1, 1.0, 1.0, 1.0, 5)]), 0)
     t.write_batch(_wm(spark, [("gh-0", T0, T1, 2.0, 2.0, 2.0, 2)]), 1)
     before = sorted(tuple(r) for r in t.latest(spark).collect())
-    assert t.compact(spark) == ("r1", 1)
+    base = t.compact(spark)
+    assert base.kind == "base"
     assert sorted(tuple(r) for r in t.latest(spark).collect()) == before
     assert t.versions(spark).count() == 2  # only the base rows remain live
     # replaying an old batch after compaction changes nothing; a newer batch wins
@@ -83,7 +87,7 @@ def test_compaction_keeps_content_and_prunes_old_batches(spark, workdir):
     got = {r["greenhouse_id"]: r["event_count"] for r in t.latest(spark).collect()}
     assert got == {"gh-0": 3, "gh-1": 5}
     # a second compaction supersedes the first
-    assert t.compact(spark) == ("r1", 2)
+    assert t.compact(spark) > base
     assert {r["greenhouse_id"]: r["event_count"] for r in t.latest(spark).collect()} == got
 
 
@@ -116,13 +120,73 @@ def test_files_sorted_in_table_order(spark, workdir):
     assert first["window_start"] == T0 + dt.timedelta(minutes=95) and first["greenhouse_id"] == "gh-0"
 
 
-def test_run_id_sorts_after_existing_runs(spark, workdir):
-    future = UpsertTable(workdir + "/wm", S.WINDOW_METRICS, run_id="r9999")  # a run from a clock ahead of ours
-    future.write_batch(_wm(spark, [("gh-0", T0, T1, 1.0, 1.0, 1.0, 1)]), 7)
-    now = UpsertTable(workdir + "/wm", S.WINDOW_METRICS)
-    now.write_batch(_wm(spark, [("gh-0", T0, T1, 1.0, 1.0, 1.0, 2)]), 0)
-    assert now.run_id > "r9999"
-    assert now.latest(spark).first()["event_count"] == 2
+def test_commit_order_counts_not_start_order(spark, workdir):
+    """A batch job that started later but wrote earlier loses to the running stream's later batch."""
+    stream = UpsertTable(workdir + "/wm", S.WINDOW_METRICS, run_id="r1")
+    job = UpsertTable(workdir + "/wm", S.WINDOW_METRICS, run_id="r9999")
+    job.write_batch(_wm(spark, [("gh-0", T0, T1, 20.0, 1.0, 1.0, 1)]), 7)
+    stream.write_batch(_wm(spark, [("gh-0", T0, T1, 30.0, 1.0, 1.0, 2)]), 0)
+    assert job.latest(spark).first()["avg_temperature"] == 30.0
+    job.compact(spark)
+    stream.write_batch(_wm(spark, [("gh-2", T0, T1, 1.0, 1.0, 1.0, 4)]), 1)  # after a compaction of the other's
+    got = {r["greenhouse_id"]: r["event_count"] for r in job.latest(spark).collect()}
+    assert got == {"gh-0": 2, "gh-2": 4}
+
+
+def test_backfill_after_compaction_fills_gaps_only(spark, workdir):
+    live = UpsertTable(workdir + "/wm", S.WINDOW_METRICS)
+    live.write_batch(_wm(spark, [("gh-1", T0, T1, 1.0, 1.0, 1.0, 1)]), 0)
+    live.compact(spark)
+    back = UpsertTable(workdir + "/wm", S.WINDOW_METRICS, priority=BACKFILL)
+    back.write_batch(_wm(spark, [("gh-1", T0, T1, 9.0, 9.0, 9.0, 9), ("gh-9", T0, T1, 9.0, 9.0, 9.0, 9)]), 0)
+    for _ in range(2):
+        got = {r["greenhouse_id"]: r["event_count"] for r in live.latest(spark).collect()}
+        assert got == {"gh-1": 1, "gh-9": 9}
+        live.compact(spark)
+
+
+def test_empty_and_null_keys_stay_apart(spark, workdir):
+    t = UpsertTable(workdir + "/wm", S.WINDOW_METRICS)
+    t.write_batch(_wm(spark, [("", T0, T1, 1.0, 1.0, 1.0, 1), (None, T0, T1, 2.0, 2.0, 2.0, 2)]), 0)
+    for _ in range(2):
+        assert {r["greenhouse_id"]: r["event_count"] for r in t.latest(spark).collect()} == {"": 1, None: 2}
+        t.compact(spark)
+
+
+def test_expire_removes_what_the_base_covers(spark, workdir):
+    import os
+    t = UpsertTable(workdir + "/wm", S.WINDOW_METRICS, run_id="r1")
+    for i in range(4):
+        t.write_batch(_wm(spark, [("gh-0", T0, T1, 1.0, 1.0, 1.0, i), (f"gh-{i + 1}", T0, T1, 1.0, 1.0, 1.0, i)]), i)
+        if i == 1:
+            t.compact(spark)
+    t.compact(spark)
+    before = sorted(tuple(r) for r in t.latest(spark).collect())
+    assert t.expire(spark) == 0  # readers of the older folders may still run
+    assert t.expire(spark, grace_seconds=0) == 4  # an older base and three commits; the writer's last stays known
+    assert len(os.listdir(workdir + "/wm/data")) == 2
+    assert sorted(tuple(r) for r in t.latest(spark).collect()) == before
+    t.write_batch(_wm(spark, [("gh-0", T0, T1, 1.0, 1.0, 1.0, 3), ("gh-4", T0, T1, 1.0, 1.0, 1.0, 3)]), 3)  # replay
+    assert sorted(tuple(r) for r in t.latest(spark).collect()) == before
+    t.compact(spark)
+    assert sorted(tuple(r) for r in t.latest(spark).collect()) == before
+
+
+def test_compaction_splits_a_hot_key(spark, workdir):
+    import glob
+    t = UpsertTable(workdir + "/wms", S.WINDOW_METRICS_BY_SOURCE)
+    rows = spark.range(4000).selectExpr(
+        "'hot' AS data_source", "'t' AS source_topic", "'gh-0' AS greenhouse_id",
+        "timestamp_seconds(id * 300) AS window_start", "timestamp_seconds(id * 300 + 300) AS window_end",
+        "1D AS avg_temperature", "1D AS avg_humidity", "1D AS avg_co2", "1L AS event_count")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        t.write_batch(rows, 0)
+        base = t.compact(spark)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(glob.glob(t.data_path(base.commit) + "/*.parquet")) > 1
+    assert t.latest(spark).count() == 4000
 
 
 def test_latest_after_compaction_skips_base_shuffle_and_matches_full_rank(spark, workdir):
@@ -138,8 +202,8 @@ def test_latest_after_compaction_skips_base_shuffle_and_matches_full_rank(spark,
     t.write_batch(spark.createDataFrame(rows1, S.WINDOW_METRICS_BY_SOURCE_SCHEMA), 1)
     fast = t.latest(spark)
     plan = fast._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan or "BroadcastNestedLoopJoin" in plan
-    full = latest_by_key(t.versions(spark), S.WINDOW_METRICS_BY_SOURCE.primary_key).select(*fast.columns)
+    assert "LeftAnti" in plan
+    full = latest_by_key(t.versions(spark), S.WINDOW_METRICS_BY_SOURCE.primary_key, VERSION).select(*fast.columns)
     assert fast.count() == 5 == full.count()
     assert fast.exceptAll(full).count() == 0
     got = {(r["data_source"], r["greenhouse_id"]): r["event_count"] for r in fast.collect()}
@@ -155,31 +219,44 @@ def test_in_table_order_is_total(spark, workdir):
 
 def test_compaction_is_a_noop_without_newer_batches(spark, workdir):
     t = UpsertTable(workdir + "/wm", S.WINDOW_METRICS, run_id="r1")
+    assert t.compact(spark) is None
     t.write_batch(_wm(spark, [("gh-0", T0, T1, 1.0, 1.0, 1.0, 1)]), 0)
-    assert t.compact(spark) == ("r1", 0)
-    assert t.compact(spark) == ("r1", 0)  # nothing newer: the base being read is left alone
+    base = t.compact(spark)
+    assert t.compact(spark) == base  # nothing newer: the base being read is left alone
     assert t.latest(spark).first()["event_count"] == 1
 
 
-def test_uncommitted_base_or_batch_is_ignored(spark, workdir):
-    import os
+def test_uncommitted_data_is_ignored(spark, workdir):
+    """Rows count once their log entry exists, for batches and bases alike."""
     t = UpsertTable(workdir + "/wm", S.WINDOW_METRICS, run_id="r1")
     t.write_batch(_wm(spark, [("gh-0", T0, T1, 1.0, 1.0, 1.0, 1)]), 0)
-    os.makedirs(workdir + "/wm/run_id=r1/batch_id=7")  # a batch folder still being written
-    os.makedirs(workdir + "/wm/_base/version=r9__00000000000000000009")  # a base whose write never committed
-    assert t.current_base(spark) is None
-    assert t.newest_committed_batch(spark) == ("r1", 0)
-    assert t.compact(spark) == ("r1", 0)
-    assert t.latest(spark).first()["event_count"] == 1
+    orphan = _wm(spark, [("gh-7", T0, T1, 1.0, 1.0, 1.0, 1)])
+    orphan.write.parquet(t.data_path("0" * 32))  # a writer that died before its commit
+    assert t._claim(spark, 2) and not t._claim(spark, 2)  # or after taking a number
+    assert [r["greenhouse_id"] for r in t.latest(spark).collect()] == ["gh-0"]
+    t.write_batch(_wm(spark, [("gh-1", T0, T1, 1.0, 1.0, 1.0, 1)]), 1)
+    assert [e.number for e in t.entries(spark)] == [1, 3]
+    t.compact(spark)
+    assert sorted(r["greenhouse_id"] for r in t.latest(spark).collect()) == ["gh-0", "gh-1"]
+
 
+def test_concurrent_writers_get_numbers_of_their_own(spark, workdir):
+    from concurrent.futures import ThreadPoolExecutor
+    tables = [UpsertTable(workdir + "/wm", S.WINDOW_METRICS) for _ in range(4)]
+    rows = [_wm(spark, [(f"gh-{i}", T0, T1, 1.0, 1.0, 1.0, i)]) for i in range(4)]
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda i: tables[i].write_batch(rows[i], 0), range(4)))
+    assert len({e.number for e in tables[0].entries(spark)}) == 4
+    assert tables[0].latest(spark).count() == 4
 
-def test_micro_batch_written_in_few_files(spark, workdir):
+
+def test_micro_batch_written_without_a_partition_folder_per_key(spark, workdir):
     import glob
     t = UpsertTable(workdir + "/wm", S.WINDOW_METRICS)
-    df = _wm(spark, [("gh-0", T0 + dt.timedelta(minutes=5 * i), T1, 1.0, 1.0, 1.0, i) for i in range(50)]).repartition(8)
+    df = _wm(spark, [(f"gh-{i}", T0 + dt.timedelta(minutes=5 * i), T1, 1.0, 1.0, 1.0, i) for i in range(50)]).repartition(8)
     t.foreach_batch()(df, 0)
-    files = glob.glob(workdir + "/wm/**/*.parquet", recursive=True)
-    assert len(files) == 1 and t.latest(spark).count() == 50
+    files = glob.glob(workdir + "/wm/data/*/*.parquet")
+    assert len(files) <= int(spark.conf.get("spark.sql.shuffle.partitions")) and t.latest(spark).count() == 50
 
 
 def test_write_batch_reports_rows(spark, workdir):
@@ -191,18 +268,17 @@ def test_compact_tables_job(spark, workdir):
     from verdant.plans.maintenance import compact_tables
     t = UpsertTable(workdir + "/window_metrics", S.WINDOW_METRICS, run_id="r1")
     t.write_batch(_wm(spark, [("gh-0", T0, T1, 1.0, 1.0, 1.0, 1)]), 3)
-    assert compact_tables(spark, workdir) == {"window_metrics": ("r1", 3), "window_metrics_by_source": None}
+    bases = compact_tables(spark, workdir)
+    assert bases["window_metrics"] == t.current_base(spark) and bases["window_metrics_by_source"] is None
 
 
-def test_two_compactions_of_one_version_do_not_clash(spark, workdir):
-    import os
+def test_two_compactions_at_once_do_not_clash(spark, workdir):
     a = UpsertTable(workdir + "/wm", S.WINDOW_METRICS, run_id="r1")
     a.write_batch(_wm(spark, [("gh-0", T0, T1, 1.0, 1.0, 1.0, 1)]), 0)
-    b = UpsertTable(workdir + "/wm", S.WINDOW_METRICS, run_id="r1")
-    # two maintenance jobs that both decided to compact version (r1, 0)
-    a._current_base_dir = lambda spark: None
-    b._current_base_dir = lambda spark: None
-    assert a.compact(spark) == ("r1", 0) and b.compact(spark) == ("r1", 0)
-    assert len(os.listdir(workdir + "/wm/_base")) == 2
+    b = UpsertTable(workdir + "/wm", S.WINDOW_METRICS, run_id="r2")
+    state = a._live(spark)
+    b._live = lambda spark: state  # decided what to compact before the other published
+    first, second = a.compact(spark), b.compact(spark)
+    assert first < second
     c = UpsertTable(workdir + "/wm", S.WINDOW_METRICS)
-    assert c.current_base(spark) == ("r1", 0) and c.latest(spark).count() == 1
+    assert c.current_base(spark) == second and c.latest(spark).count() == 1

@@ -57,6 +57,13 @@ def rejects(decoded: DataFrame) -> DataFrame:
     return decoded.filter(F.col("reject_reason").isNotNull())
 
 
+def batch_rejects(df: DataFrame, millis_col: str = "event_ts") -> DataFrame:
+    """Batch rows that the aggregates leave out, with their ``reject_reason``: no time, or one beyond the years 1 to 9999."""
+    reason = (F.when(F.col(millis_col).isNull(), F.lit(REASON_MISSING_TIME))
+              .when(epoch_millis_to_timestamp(millis_col).isNull(), F.lit(REASON_BAD_TIME)))
+    return df.withColumn("reject_reason", reason).where(F.col("reject_reason").isNotNull())
+
+
 def batch_events_with_time(df: DataFrame, millis_col: str = "event_ts") -> DataFrame:
     """Batch rows with epoch-millisecond time: add ``event_time`` (milliseconds kept)."""
     return df.withColumn("event_time", epoch_millis_to_timestamp(millis_col))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def latest_by_key(df: DataFrame, key: Sequence[str], version: Sequence[str] = ("run_id", "batch_id"),
+def latest_by_key(df: DataFrame, key: Sequence[str], version: Sequence[str],
                   tie: Sequence[str] = (), keep_version: bool = False) -> DataFrame:
     """One row per ``key``: the row with the greatest (version..., tie...).
 

@@ -53,10 +53,11 @@ def normalize_crop_rows(rows: DataFrame, id_col: str = "event_id", ingest_time:
     * greenhouse: integer part of the id text, floored at 1, mapped round-robin
       onto the greenhouse list; non-numeric text -> reject.
     * readings: text -> double; empty -> imputed from the row key; non-empty
-      unparseable text -> reject.  ``"0"`` is a value, not a missing one.
+      unparseable text, blanks included -> reject.  ``"0"`` is a value, not a
+      missing one.
     * soil moisture: irrigation x6 clamped to [5, 90], else imputed.
     * sensor id ``crop-<crop type, lower case>-<ordinal, 4+ digits>``; a
-      missing or empty crop type gives ``sensor``.
+      missing or empty crop type gives ``sensor``; blanks around it stay.
     * imputed values and the zone are keyed by ``impute_keys`` (default the
       ordinal; per-file ordinals need the file as well).
     """
@@ -75,7 +76,7 @@ def normalize_crop_rows(rows: DataFrame, id_col: str = "event_id", ingest_time:
         "light_lux": "light_intensity_lux",
     }
     parsed = {out: text_to_double(text(src)) for out, src in readings.items()}
-    missing = {out: F.nullif(strip_ws(text(src)), F.lit("")).isNull() for out, src in readings.items()}
+    missing = {out: F.nullif(text(src), F.lit("")).isNull() for out, src in readings.items()}
     bad = {out: (~missing[out]) & parsed[out].isNull() for out in readings}
 
     values = {}
@@ -87,14 +88,14 @@ def normalize_crop_rows(rows: DataFrame, id_col: str = "event_id", ingest_time:
         values[out] = round_half_away(F.when(missing[out], impute_between(out, lo, hi, *keys)).otherwise(given), 2)
 
     gh_num = int_prefix(text("greenhouse_id"))
-    crop_type = F.lower(F.coalesce(F.nullif(strip_ws(text("crop_type")), F.lit("")), F.lit(S.CROP_TYPE_DEFAULT)))
+    crop_type = F.lower(F.coalesce(F.nullif(text("crop_type"), F.lit("")), F.lit(S.CROP_TYPE_DEFAULT)))
     reason = F.when(gh_num.isNull(), F.lit("bad_greenhouse_id"))
     for out in readings:
         reason = reason.when(bad[out], F.lit(f"bad_number:{readings[out]}"))
     imputed = F.array_compact(F.array(*[F.when(missing[o], F.lit(o)) for o in readings]))
 
     return rows.select(
-        key.try_cast("int").alias("event_id"),
+        key.cast("long").alias("event_id"),
         F.format_string(S.CROP_SENSOR_PREFIX + "%s-%04d", crop_type, key).alias("sensor_id"),
         cycle_pick(S.GREENHOUSES, gh_num).alias("greenhouse_id"),
         hash_pick(S.ZONES, "zone", *keys).alias("zone"),
@@ -146,7 +147,7 @@ def normalize_observations(obs: DataFrame, observations_col: str = "observations
         F.when(light.isNull(), F.lit("light_lux")),
     ))
     return obs.select(
-        key.try_cast("int").alias("event_id"),
+        key.cast("long").alias("event_id"),
         F.concat(F.lit(S.WEATHER_SENSOR_PREFIX), station.cast("string")).alias("sensor_id"),
         member_or_first(greenhouse_id, S.GREENHOUSES).alias("greenhouse_id"),
         F.lit(S.WEATHER_ZONE).alias("zone"),

@@ -3,9 +3,9 @@
 File order = files by path, then lines within each file.  Every input split
 (file, block start) is read by one task in line order, so a row's position
 is (ordinal of its split's first row) + (its offset inside the split).
-The split table has one row per split: its size is bounded by the input
-listing (files + partitions), never by the row count, and it is broadcast
-only under that bound.
+Offsets of splits are summed within each file, offsets of files within range
+partitions of the paths, and only the totals of those partitions (as many as
+``spark.sql.shuffle.partitions`` at most) in one task.
 """
 
 from __future__ import annotations
@@ -13,43 +13,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# One split row is a path plus three longs (~200 bytes): 1M splits (~128 TB of
-# input at 128 MB per split) broadcast ~200 MB.  Above that the offsets join
-# falls back to a shuffle join on (file, block).
-BROADCAST_SPLIT_LIMIT = 1_000_000
+from verdant.session import scratch_path
 
 
-def _split_bound(df: DataFrame) -> int:
-    """Upper bound on the number of input splits: files + read partitions.
+def _before(window):
+    """Sum of ``rows`` over the earlier rows of the window."""
+    return F.coalesce(F.sum("rows").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
-    Counted on the JVM side from the relation's file listing (no job runs,
-    and the path list is not shipped to Python)."""
-    try:
-        jdf = df._jdf
-        return int(len(jdf.inputFiles()) + jdf.rdd().getNumPartitions())
-    except AttributeError:  # no JVM handle (e.g. a Spark Connect client): no broadcast
-        return BROADCAST_SPLIT_LIMIT + 1
 
+def _file_offsets(files: DataFrame) -> DataFrame:
+    """(_split_file, _file_offset): rows in all files with smaller paths."""
+    # written once, so that every use sees the same range partitions
+    path = scratch_path(files.sparkSession, "ordinals")
+    (files.repartitionByRange("_split_file").sortWithinPartitions("_split_file")
+     .withColumn("part", F.spark_partition_id()).write.parquet(path))
+    dealt = files.sparkSession.read.parquet(path)
+    parts = dealt.groupBy("part").agg(F.sum("rows").alias("rows")).select(
+        "part", _before(Window.orderBy("part")).alias("part_offset"))
+    inside = _before(Window.partitionBy("part").orderBy("_split_file"))
+    return dealt.withColumn("inside", inside).join(parts, "part").select(
+        "_split_file", (F.col("inside") + F.col("part_offset")).alias("_file_offset"))
 
-def _number_tagged(tagged: DataFrame, name: str, per_file: bool, broadcast_ok: bool) -> DataFrame:
+
+def _number_tagged(tagged: DataFrame, name: str, per_file: bool) -> DataFrame:
     """Number rows of a frame carrying its split columns (``_split_file``, ``_split_start``)."""
     tagged = tagged.withColumn("_row_mid", F.monotonically_increasing_id())
     splits = tagged.groupBy("_split_file", "_split_start").agg(
-        F.count(F.lit(1)).alias("_split_rows"), F.min("_row_mid").alias("_split_first_mid")
-    )
-    if per_file:
-        # numbering restarts in every file: a window per file over its splits
-        order = Window.partitionBy("_split_file").orderBy("_split_start")
-    else:
-        # one ordered window over a table with one row per split
-        order = Window.orderBy("_split_file", "_split_start")
-    order = order.rowsBetween(Window.unboundedPreceding, -1)
-    offsets = splits.select(
-        "_split_file", "_split_start", "_split_first_mid",
-        F.coalesce(F.sum("_split_rows").over(order), F.lit(0)).alias("_split_offset"),
-    )
-    if broadcast_ok:
-        offsets = F.broadcast(offsets)
+        F.count(F.lit(1)).alias("rows"), F.min("_row_mid").alias("_split_first_mid"))
+    offsets = splits.select("_split_file", "_split_start", "_split_first_mid",
+                            _before(Window.partitionBy("_split_file").orderBy("_split_start")).alias("_split_offset"))
+    if not per_file:
+        files = _file_offsets(splits.groupBy("_split_file").agg(F.sum("rows").alias("rows")))
+        offsets = offsets.join(files, "_split_file").select(
+            "_split_file", "_split_start", "_split_first_mid", (F.col("_split_offset") + F.col("_file_offset")).alias("_split_offset"))
     numbered = tagged.join(offsets, ["_split_file", "_split_start"])
     ordinal = F.col("_split_offset") + (F.col("_row_mid") - F.col("_split_first_mid")) + F.lit(1)
     return numbered.withColumn(name, ordinal).drop(
@@ -69,7 +65,7 @@ def with_file_ordinals(df: DataFrame, name: str = "event_id", per_file: bool = F
         F.col("_metadata.file_path").alias("_split_file"),
         F.col("_metadata.file_block_start").alias("_split_start"),
     )
-    return _number_tagged(tagged, name, per_file, _split_bound(df) <= BROADCAST_SPLIT_LIMIT)
+    return _number_tagged(tagged, name, per_file)
 
 
 def split_columns() -> list:
@@ -82,9 +78,6 @@ def number_rows_in_files(batch: DataFrame, name: str = "event_id") -> DataFrame:
     """Per-file 1-based row numbers for a micro-batch that carries :func:`split_columns`.
 
     Call on a persisted micro-batch: its partitions are fixed, so every
-    pass sees the same rows in the same order.  The split table is
-    broadcast only when its measured size (one small aggregate over the
-    cached batch) is within ``BROADCAST_SPLIT_LIMIT``.
+    pass sees the same rows in the same order.
     """
-    n_splits = batch.select("_split_file", "_split_start").distinct().count()
-    return _number_tagged(batch, name, per_file=True, broadcast_ok=n_splits <= BROADCAST_SPLIT_LIMIT)
+    return _number_tagged(batch, name, per_file=True)

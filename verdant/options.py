@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field, replace
 
 from verdant import schemas as S
+from verdant.sinks.upsert import COMPACT_EVERY
 
 
 def _split(text: str) -> tuple[str, ...]:
@@ -29,8 +30,8 @@ class JobOptions:
     max_offsets_per_trigger: int | None = None
     # A rejects query reads the source a third time; opt in.
     write_rejects: bool = False
-    # Compact each table after every N-th micro-batch (None: never from the stream).
-    compact_every: int | None = None
+    # Compact each table after every N-th micro-batch (None, or COMPACT_EVERY=0: never from the stream).
+    compact_every: int | None = COMPACT_EVERY
     extra_source_options: Mapping[str, str] = field(default_factory=dict, hash=False)
 
     @classmethod
@@ -57,6 +58,6 @@ class JobOptions:
             processing_time=get("TRIGGER_INTERVAL", base.processing_time),
             max_offsets_per_trigger=int(get("MAX_OFFSETS_PER_TRIGGER", 0)) or None,
             write_rejects=get("WRITE_REJECTS", "0").lower() in ("1", "true", "yes"),
-            compact_every=int(get("COMPACT_EVERY", 0)) or None,
+            compact_every=int(get("COMPACT_EVERY", base.compact_every)) or None,
             extra_source_options=extra,
         )

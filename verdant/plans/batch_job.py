@@ -19,7 +19,7 @@ from verdant.operators.windows import (
 from verdant.schemas import BATCH_EVENT_SCHEMA, WINDOW_METRICS, WINDOW_METRICS_BY_SOURCE
 from verdant.session import default_table_root, new_run_id
 from verdant.sinks.publish import formatted_rows
-from verdant.sinks.upsert import UpsertTable
+from verdant.sinks.upsert import BACKFILL, UpsertTable
 
 log = logging.getLogger(__name__)
 
@@ -35,8 +35,8 @@ def run_batch_tables(spark: SparkSession, events: DataFrame, table_root: str | N
                      run_id: str | None = None, millis_col: str | None = None) -> dict[str, UpsertTable]:
     """Backfill both aggregate tables from ONE scan of the events.
 
-    The backfill's rows sort before every time-stamped run, so where a live
-    stream has written the same keys, the stream's rows stay current.
+    The backfill's rows have the lower priority, so where any other writer has
+    written the same keys, before or after, that writer's rows stay current.
 
     The finest aggregate (window x source x topic x greenhouse, with sums and
     non-NULL counts) is computed once and cut from its lineage with a
@@ -44,8 +44,7 @@ def run_batch_tables(spark: SparkSession, events: DataFrame, table_root: str | N
     executor never re-reads the input; both tables are derived from it.
     """
     table_root = table_root or default_table_root(spark)  # also makes sure a checkpoint folder is set
-    # a history load must not outrank the live stream: its run id sorts before time-stamped runs
-    run_id = run_id or "r0-backfill-" + new_run_id()
+    run_id = run_id or new_run_id()
     if millis_col:
         events = batch_events_with_time(events, millis_col)
     # rows without source fields (the batch schema) form the NULL source group
@@ -54,7 +53,7 @@ def run_batch_tables(spark: SparkSession, events: DataFrame, table_root: str | N
     tables = {}
     for spec, keys, sums in ((WINDOW_METRICS_BY_SOURCE, SOURCE_KEYS, fine),
                              (WINDOW_METRICS, GREENHOUSE_KEYS, rollup_window_sums(fine, GREENHOUSE_KEYS))):
-        table = UpsertTable(f"{table_root}/{spec.name}", spec, run_id=run_id)
+        table = UpsertTable(f"{table_root}/{spec.name}", spec, run_id=run_id, priority=BACKFILL)
         table.write_batch(finish_window_sums(sums, keys), batch_id)
         tables[spec.name] = table
     return tables

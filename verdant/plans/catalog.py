@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from verdant import schemas as S
 from verdant.functions.decode import epoch_millis_to_timestamp, utc_instant, utc_wall_clock
 from verdant.functions.numeric import first_number, round_half_away
-from verdant.operators.decode import accepted, decode_events, rejects
+from verdant.operators.decode import accepted, batch_rejects, decode_events, rejects
 from verdant.operators.normalize import (
     add_source_metadata,
     latest_observation,
@@ -27,7 +27,7 @@ from verdant.operators.normalize import (
     normalize_observations,
 )
 from verdant.operators.ordinals import with_file_ordinals
-from verdant.operators.serving import column_sums, table_count, table_head, weighted_rollup
+from verdant.operators.serving import cap_rows, column_sums, table_count, table_head, weighted_rollup
 from verdant.operators.union import union_sources
 from verdant.operators.windows import (
     GREENHOUSE_KEYS,
@@ -38,16 +38,17 @@ from verdant.operators.windows import (
     window_sums,
 )
 from verdant.plans import fixtures as FX
-from verdant.plans.batch_job import batch_window_metrics
-from verdant.plans.panels import PANELS, detail_table, panel, panel_frame
+from verdant.plans.batch_job import batch_window_metrics, run_batch_job, run_batch_tables
+from verdant.plans.panels import PANELS, detail_table, events_of_range, panel, panel_at, panel_frame, panel_rows
 from verdant.session import scratch_path
-from verdant.sinks.publish import formatted_rows, sent_log, to_keyed_records
-from verdant.sinks.upsert import UpsertTable
-from verdant.sources.csv import read_crop_csv
+from verdant.sinks.publish import formatted_rows, sent_log, to_keyed_records, write_records
+from verdant.sinks.upsert import BACKFILL, UpsertTable
+from verdant.sources.csv import read_crop_csv, read_crop_header
 from verdant.sources.events import read_events_stream
 from verdant.sources.observations import parse_observation_array
 from verdant.sources.tables import read_table
 from verdant.sources.testdata import SENSOR_VIEW_SQL, load_table, sensor_events
+from verdant.streaming.ingest import start_crop_ingest
 from verdant.streaming.job import start_table_queries
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +58,8 @@ AS_OF = datetime(2024, 1, 30, 0, 0, 0)
 RANGE_LO = datetime(2024, 1, 29, 0, 0, 0)  # AS_OF - 24 h
 SELECTED_GREENHOUSES = ("gh-0", "gh-1")
 SELECTED_SOURCES = ("click", "view", "purchase")
+TREND_PANELS = (5, 6, 7, 9, 11)
+TABLE_NAMES = (S.WINDOW_METRICS.name, S.WINDOW_METRICS_BY_SOURCE.name)
 # Fixed ingest time stamped on normalised source rows in the registered queries.
 INGEST_TIME = "2024-02-01 00:00:00"
 
@@ -212,7 +215,7 @@ def _published(spark, sf) -> DataFrame:
     ev = sensor_events(spark, sf, with_text_time=True)
     ev = ev.withColumn("event_ts", F.when(F.col("data_source") == "signup", F.lit("not-a-time"))
                        .otherwise(F.col("event_ts")))
-    rec = to_keyed_records(ev.withColumn("event_id", F.col("event_id").try_cast("int")))
+    rec = to_keyed_records(ev)
     value = F.col("value")
     value = F.when(F.col("topic").startswith("error."), F.concat(F.lit("#"), value)).otherwise(value)
     value = F.when(F.col("topic").startswith("purchase."),
@@ -258,12 +261,11 @@ GROUP BY ALL"""
 # ------------------------------------------------------ publish and print
 
 def q_publish_records(spark, sf):
-    return to_keyed_records(sensor_events(spark, sf, with_text_time=True).withColumn(
-        "event_id", F.col("event_id").try_cast("int")))
+    return to_keyed_records(sensor_events(spark, sf, with_text_time=True))
 
 
 def q_sent_log(spark, sf):
-    return sent_log(sensor_events(spark, sf).withColumn("event_id", F.col("event_id").try_cast("int")))
+    return sent_log(sensor_events(spark, sf))
 
 
 def q_formatted_rows(spark, sf):
@@ -295,21 +297,39 @@ FROM ({WM_RAW_SQL}) w"""
 
 # ------------------------------------------------------ normalisation
 
-def _crop_events(spark, sf) -> DataFrame:
-    """customer -> crop CSV files (written in key order) -> CSV scan with ordinals -> events."""
-    path = scratch_path(spark, "crop_csv")
+_derived: dict[tuple[str, str, str], str] = {}
+
+
+def _once(spark: SparkSession, sf: str, name: str, write: Callable[[str], None]) -> str:
+    """A folder derived from the given tables, written once per session and table folder."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _derived:
+        path = scratch_path(spark, name)
+        write(path)
+        _derived[key] = path
+    return _derived[key]
+
+
+def _crop_csv(spark, sf) -> str:
+    """customer -> crop CSV files, written in key order."""
     rows = FX.crop_csv_rows(load_table(spark, sf, "customer"))
-    rows.orderBy("c_custkey").drop("c_custkey").write.option("header", True).csv(path)
-    return normalize_crop_rows(read_crop_csv(spark, path), ingest_time=_ingest())
+    return _once(spark, sf, "crop_csv", lambda path: rows.orderBy("c_custkey").drop("c_custkey").write
+                 .option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+
 
+def _crop_events(spark, sf) -> DataFrame:
+    """Crop CSV files -> CSV scan with ordinals -> events."""
+    return normalize_crop_rows(read_crop_csv(spark, _crop_csv(spark, sf)), ingest_time=_ingest())
 
+
+INGEST_TEXT = "2024-02-01T00:00:00.000000+00:00"
 CROP_COLUMNS = ("event_id", "sensor_id", "greenhouse_id", "zone", "temperature_c", "humidity_pct", "co2_ppm",
-                "soil_moisture_pct", "light_lux", "data_source", "source_topic")
+                "soil_moisture_pct", "light_lux", "data_source", "source_topic", "event_ts")
 
 
 def q_crop_events(spark, sf):
     ev = _crop_events(spark, sf)
-    return ev.select(*[F.col(c).cast("long") if c == "event_id" else F.col(c) for c in CROP_COLUMNS],
+    return ev.select(*CROP_COLUMNS,
                      F.array_join("imputed", ",").alias("imputed"), "reject_reason")
 
 
@@ -323,7 +343,7 @@ def _crop_sql() -> str:
 
     for out, col in src.items():
         parsed = f"TRY_CAST(nullif({strip(col)}, '') AS DOUBLE)"
-        missing = f"(nullif({strip(col)}, '') IS NULL)"
+        missing = f"(nullif({col}, '') IS NULL)"  # blanks are not missing: they are no number
         given = parsed
         if out == "soil_moisture_pct":
             given = (f"CASE WHEN {parsed} IS NULL THEN NULL ELSE greatest({_d(S.SOIL_MIN)}, "
@@ -338,7 +358,7 @@ def _crop_sql() -> str:
     gh_num = f"CASE WHEN {head} = '' THEN 1 WHEN {num} IS NULL THEN NULL ELSE greatest(1, {num}) END"
     greenhouses = "[" + ", ".join(f"'{g}'" for g in S.GREENHOUSES) + "]"
     zones = "[" + ", ".join(f"'{z}'" for z in S.ZONES) + "]"
-    crop_type = f"lower(coalesce(nullif({strip('crop_type')}, ''), '{S.CROP_TYPE_DEFAULT}'))"
+    crop_type = f"lower(coalesce(nullif(crop_type, ''), '{S.CROP_TYPE_DEFAULT}'))"
     return f"""
 WITH raw AS ({FX.CROP_CSV_SQL}),
 p AS (SELECT *, {gh_num} AS gh_num FROM raw)
@@ -349,6 +369,7 @@ SELECT event_id,
        {', '.join(vals)},
        '{S.SOURCE_CSV}' AS data_source,
        '{S.TOPIC_CSV}' AS source_topic,
+       '{INGEST_TEXT}' AS event_ts,
        concat_ws(',', {', '.join(miss)}) AS imputed,
        CASE WHEN gh_num IS NULL THEN 'bad_greenhouse_id' {' '.join(bad)} END AS reject_reason
 FROM p"""
@@ -357,10 +378,15 @@ FROM p"""
 CROP_SQL = _crop_sql()
 
 
+def _responses(spark, sf) -> DataFrame:
+    """(response_id, payload): weather-response texts derived from ``events``."""
+    responses = FX.observation_responses(load_table(spark, sf, "events"))
+    return spark.read.parquet(_once(spark, sf, "weather_responses", lambda path: responses.write.parquet(path)))
+
+
 def _parsed_responses(spark, sf) -> DataFrame:
     """(response_id, observations array) from the weather-response texts derived from ``events``."""
-    responses = FX.observation_responses(load_table(spark, sf, "events"))
-    return responses.select("response_id", parse_observation_array("payload").alias("observations"))
+    return _responses(spark, sf).select("response_id", parse_observation_array("payload").alias("observations"))
 
 
 def _weather_events(spark, sf) -> DataFrame:
@@ -369,22 +395,17 @@ def _weather_events(spark, sf) -> DataFrame:
 
 
 WEATHER_COLUMNS = ("event_id", "sensor_id", "greenhouse_id", "zone", "temperature_c", "humidity_pct", "co2_ppm",
-                   "soil_moisture_pct", "light_lux", "data_source", "source_topic")
+                   "soil_moisture_pct", "light_lux", "data_source", "source_topic", "event_ts")
 
 
 def q_weather_events(spark, sf):
     ev = _weather_events(spark, sf)
-    return ev.select(*[F.col(c).cast("long") if c == "event_id" else F.col(c) for c in WEATHER_COLUMNS],
+    return ev.select(*WEATHER_COLUMNS,
                      F.array_join("imputed", ",").alias("imputed"), "reject_reason")
 
 
 def _first_sql(keys) -> str:
-    # the derived observations carry ta, t, hr, hrMedia, sol, vis; the other
-    # candidate keys are absent on both sides (NULL), so they are left out here
-    present = [k for k in keys if k in ("ta", "t", "hr", "hrMedia", "sol", "vis")]
-    if not present:
-        return "CAST(NULL AS DOUBLE)"
-    return "coalesce(" + ", ".join(f"TRY_CAST(replace({k}, ',', '.') AS DOUBLE)" for k in present) + ")"
+    return "coalesce(" + ", ".join(f"TRY_CAST(replace({k}, ',', '.') AS DOUBLE)" for k in keys) + ")"
 
 
 def _weather_sql() -> str:
@@ -405,11 +426,12 @@ SELECT response_id AS event_id,
        {sql_round(f'coalesce({light}, {_d(S.WEATHER_LIGHT_DEFAULT)}) * {_d(S.WEATHER_LIGHT_SCALE)}', 2)} AS light_lux,
        '{S.SOURCE_WEATHER}' AS data_source,
        '{S.TOPIC_WEATHER}' AS source_topic,
+       '{INGEST_TEXT}' AS event_ts,
        concat_ws(',', CASE WHEN {temp} IS NULL THEN 'temperature_c' END,
                       CASE WHEN {hum} IS NULL THEN 'humidity_pct' END,
                       'co2_ppm', 'soil_moisture_pct',
                       CASE WHEN {light} IS NULL THEN 'light_lux' END) AS imputed,
-       CAST(NULL AS VARCHAR) AS reject_reason
+       CASE WHEN empty THEN 'empty_observations' WHEN coalesce(trim(idema), '') = '' THEN 'missing_station' END AS reject_reason
 FROM ({FX.OBSERVATION_LAST_SQL}) o"""
 
 
@@ -464,8 +486,7 @@ def q_obs_defaults(spark, sf):
 
 def q_member_fallback(spark, sf):
     """NRM17: configured greenhouse if listed, else the first listed one."""
-    responses = FX.observation_responses(load_table(spark, sf, "events"))
-    return responses.select(
+    return _responses(spark, sf).select(
         "response_id",
         FX.response_greenhouse().alias("configured"),
         member_or_first(FX.response_greenhouse(), S.GREENHOUSES).alias("greenhouse_id"),
@@ -499,10 +520,8 @@ def q_source_metadata_union(spark, sf):
     sim = add_source_metadata(sensor_events(spark, sf).drop("data_source", "source_topic"),
                               S.SOURCE_SIMULATED, S.TOPIC_SIMULATED)
     crop = _crop_events(spark, sf).filter(F.col("reject_reason").isNull())
-    weather = _weather_events(spark, sf)
-    frames = [f.select(F.col("event_id").cast("long").alias("event_id"), *UNION_COLUMNS[1:])
-              for f in (sim, crop, weather)]
-    return union_sources(*frames)
+    weather = _weather_events(spark, sf).filter(F.col("reject_reason").isNull())
+    return union_sources(*[f.select(*UNION_COLUMNS) for f in (sim, crop, weather)])
 
 
 UNION_SQL = f"""
@@ -514,7 +533,7 @@ SELECT event_id, sensor_id, greenhouse_id, temperature_c, data_source, source_to
 FROM ({CROP_SQL}) c WHERE reject_reason IS NULL
 UNION ALL
 SELECT event_id, sensor_id, greenhouse_id, temperature_c, data_source, source_topic
-FROM ({WEATHER_SQL}) w"""
+FROM ({WEATHER_SQL}) w WHERE reject_reason IS NULL"""
 
 
 def q_row_ordinals(spark, sf):
@@ -530,14 +549,57 @@ ROW_ORDINALS_SQL = "SELECT event_id, row_number() OVER (ORDER BY event_id) AS or
 def _upserted_by_source(spark, sf) -> UpsertTable:
     """Batch 0: a partial aggregate (click events missing); batch 1: the full
     aggregate, written twice (a replay).  The table must end as the full one."""
-    table = UpsertTable(scratch_path(spark, "tables", "window_metrics_by_source"), S.WINDOW_METRICS_BY_SOURCE)
+    def write(path: str) -> None:
+        table = UpsertTable(path, S.WINDOW_METRICS_BY_SOURCE, run_id="stream")
+        full = window_metrics_by_source(sensor_events(spark, sf)).checkpoint(eager=True)  # aggregated once, written twice
+        table.write_batch(full.filter(F.col("data_source") != "click"), 0)
+        table.write_batch(full, 1)
+        table.write_batch(full, 1)
+
+    return UpsertTable(_once(spark, sf, "tables_by_source", write), S.WINDOW_METRICS_BY_SOURCE, run_id="stream")
+
+
+def q_compact_by_source(spark, sf):
+    """The by-source table after compactions between its batches, and expiry of what they cover."""
+    table = UpsertTable(scratch_path(spark, "tables", "compacted"), S.WINDOW_METRICS_BY_SOURCE)
     events = sensor_events(spark, sf)
-    table.write_batch(window_metrics_by_source(events.filter(F.col("data_source") != "click")), 0)
-    # the replay recomputes the batch from the same input, as a restarted stream does
-    full = window_metrics_by_source(events)
-    table.write_batch(full, 1)
-    table.write_batch(full, 1)
-    return table
+    table.write_batch(window_metrics_by_source(events.filter("event_id % 2 = 0")), 0)
+    table.compact(spark)
+    table.write_batch(window_metrics_by_source(events), 1)
+    table.compact(spark)
+    table.expire(spark, grace_seconds=0)
+    return _ntz(_round_doubles(table.latest(spark)))
+
+
+# What each writer of the mixed table aggregates, in the order of their commits; the backfill yields to all others.
+MIXED_WRITES = (("backfill", "event_id IS NOT NULL"), ("stream 0", "data_source = 'click'"), ("job", "data_source <> 'view'"),
+                ("stream 1", "event_id % 3 = 0"), ("stream 2", "data_source = 'purchase'"))
+
+
+def q_upsert_mixed_writers(spark, sf):
+    """A stream, a batch job that starts last but writes in between, and a late backfill, with compactions between them."""
+    root, events = scratch_path(spark, "tables", "mixed"), sensor_events(spark, sf)
+    what = {name: window_metrics(events.filter(rule)) for name, rule in MIXED_WRITES}
+    stream = UpsertTable(root, S.WINDOW_METRICS, run_id="a-stream")
+    job = UpsertTable(root, S.WINDOW_METRICS, run_id="z-job")
+    backfill = UpsertTable(root, S.WINDOW_METRICS, run_id="0-backfill", priority=BACKFILL)
+    stream.write_batch(what["stream 0"], 0)
+    stream.compact(spark)
+    job.write_batch(what["job"], 0)
+    stream.write_batch(what["stream 1"], 1)
+    job.compact(spark)
+    backfill.write_batch(what["backfill"], 0)
+    backfill.compact(spark)
+    stream.write_batch(what["stream 2"], 2)
+    return _ntz(_round_doubles(stream.latest(spark)))
+
+
+MIXED_SQL = f"""
+SELECT greenhouse_id, window_start, window_end, avg_temperature, avg_humidity, avg_co2, event_count
+FROM (SELECT *, row_number() OVER (PARTITION BY greenhouse_id, window_start ORDER BY writer DESC) AS rn
+      FROM ({" UNION ALL ".join(f"SELECT *, {n} AS writer FROM ({metrics_sql(('greenhouse_id',)).replace('WHERE', f'WHERE ({rule}) AND', 1)}) w{n}"
+                                for n, (_, rule) in enumerate(MIXED_WRITES))}) v)
+WHERE rn = 1"""
 
 
 def q_upsert_latest(spark, sf):
@@ -578,7 +640,7 @@ def _stream_table(spark: SparkSession, sf: str, table: str) -> DataFrame:
     """Records landed as files -> stream decode -> watermark/window -> upsert (availableNow)."""
     base = scratch_path(spark, "stream_run")
     landing = f"{base}/landing"
-    events = sensor_events(spark, sf, with_text_time=True).withColumn("event_id", F.col("event_id").try_cast("int"))
+    events = sensor_events(spark, sf, with_text_time=True)
     to_keyed_records(events).write.parquet(landing)
     raw = read_events_stream(spark, fmt="parquet", path=landing)
     decoded = accepted(decode_events(raw, keep=("topic",)))
@@ -599,17 +661,183 @@ def q_stream_window_metrics_by_source(spark, sf):
     return _stream_table(spark, sf, S.WINDOW_METRICS_BY_SOURCE.name)
 
 
+# Records land in three slices by event time (the bounds cut through a window); the error events come late, with the
+# last slice.  The stream runs until it has drained a slice, stops, and restarts from its checkpoint for the next.
+SLICES = (datetime(2024, 1, 11, 0, 2, 30), datetime(2024, 1, 21, 0, 2, 30))
+
+
+def _sliced_stream(spark: SparkSession, sf: str, tables: tuple[str, ...]) -> str:
+    base = scratch_path(spark, "stream_slices")
+    events = sensor_events(spark, sf, with_text_time=True)
+    first, second = (F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz") for t in SLICES)
+    late = F.col("data_source").eqNullSafe("error")
+    time = F.col("event_time").cast("timestamp_ntz")
+    slices = (~late & (time < first), ~late & (time >= first) & (time < second),
+              late | time.isNull() | (time >= second))
+    for rows in slices:
+        to_keyed_records(events.filter(rows)).write.mode("append").parquet(f"{base}/landing")
+        raw = read_events_stream(spark, fmt="parquet", path=f"{base}/landing")
+        decoded = accepted(decode_events(raw, keep=("topic",)))
+        running = start_table_queries(decoded, f"{base}/tables", f"{base}/checkpoints", trigger="availableNow", tables=tables)
+        for q in running.values():
+            q.awaitTermination()
+            if q.exception() is not None:
+                raise RuntimeError(f"stream failed: {q.exception()}")
+    return f"{base}/tables"
+
+
+def q_stream_late_rows(spark, sf):
+    """Late drop, repeated updates of one window, eviction and recovery: the table after three runs of one stream."""
+    return _ntz(_round_doubles(read_table(spark, _sliced_stream(spark, sf, (S.WINDOW_METRICS.name,)), S.WINDOW_METRICS.name)))
+
+
+def q_stream_two_tables_restart(spark, sf):
+    """Both tables' queries side by side over the same runs."""
+    root = _sliced_stream(spark, sf, TABLE_NAMES)
+    frames = [read_table(spark, root, n).select(F.lit(n).alias("table_name"), "greenhouse_id", "window_start", "event_count")
+              for n in TABLE_NAMES]
+    return _ntz(union_sources(*frames))
+
+
+def _late_sql(keys: tuple[str, ...]) -> str:
+    """Rows of a slice count unless their window ended by the watermark that the slices before left (2 minutes, in ms)."""
+    a, b = (_ts(t) for t in SLICES)
+    mark = "date_trunc('milliseconds', max(event_time)) - INTERVAL 2 MINUTES"
+    kept = f"""
+SELECT s.* EXCLUDE (slice) FROM (
+  SELECT *, CASE WHEN coalesce(data_source = 'error', false) OR event_time >= {b} THEN 3 WHEN event_time >= {a} THEN 2 ELSE 1 END AS slice
+  FROM ({SENSOR_VIEW_SQL}) v WHERE event_time IS NOT NULL) s,
+ (SELECT greatest(TIMESTAMP '1970-01-01', coalesce({mark}, TIMESTAMP '1970-01-01')) AS one
+  FROM ({SENSOR_VIEW_SQL}) v WHERE data_source IS DISTINCT FROM 'error' AND event_time < {a}),
+ (SELECT greatest(TIMESTAMP '1970-01-01', coalesce({mark}, TIMESTAMP '1970-01-01')) AS two
+  FROM ({SENSOR_VIEW_SQL}) v WHERE data_source IS DISTINCT FROM 'error' AND event_time < {b})
+WHERE time_bucket(INTERVAL 5 MINUTES, event_time) + INTERVAL 5 MINUTES
+      > CASE slice WHEN 1 THEN TIMESTAMP '1970-01-01' WHEN 2 THEN one ELSE two END"""
+    return metrics_sql(keys).replace(SENSOR_VIEW_SQL, kept)
+
+
+TWO_TABLES_SQL = " UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, greenhouse_id, window_start, event_count FROM ({_late_sql(k)}) {n}"
+    for n, k in ((S.WINDOW_METRICS.name, ("greenhouse_id",)),
+                 (S.WINDOW_METRICS_BY_SOURCE.name, ("data_source", "source_topic", "greenhouse_id"))))
+
+
+# ------------------------------------------------------ sources, sinks and caps by themselves
+
+def q_capped_events(spark, sf):
+    """FLT6: at most 500 events, the first by id; 0 caps nothing."""
+    events = load_table(spark, sf, "events").select("event_id")
+    capped = cap_rows(events.orderBy("event_id"), 500).withColumn("cap", F.lit(500))
+    return capped.unionByName(cap_rows(events, 0).withColumn("cap", F.lit(0)))
+
+
+def q_batch_millis_rejects(spark, sf):
+    """Batch rows without a usable time, by reason: NULL times, and signups that carry seconds far out of range."""
+    rows = sensor_events(spark, sf).withColumn("event_ts", F.unix_millis(utc_instant("event_time")))
+    broken = rows.withColumn("event_ts", F.when(F.col("data_source") == "signup", F.lit(10**17)).when(F.col("data_source") != "view", F.col("event_ts")))
+    return batch_rejects(broken.drop("event_time")).groupBy("data_source", "reject_reason").agg(F.count("*").alias("n_rows"))
+
+
+BATCH_REJECTS_SQL = f"""
+SELECT data_source, CASE WHEN data_source = 'signup' THEN 'bad_event_ts' ELSE 'missing_event_ts' END AS reject_reason, count(*) AS n_rows
+FROM ({SENSOR_VIEW_SQL}) s
+WHERE data_source = 'signup' OR data_source = 'view' OR data_source IS NULL OR event_time IS NULL
+GROUP BY ALL"""
+
+
+def q_decode_binary(spark, sf):
+    """PRJ1: records as the broker delivers them, keys and values as bytes; written with the record writer and read back."""
+    def write(path: str) -> None:
+        records = _published(spark, sf)
+        write_records(records.select(F.encode("key", "UTF-8").alias("key"), F.encode("value", "UTF-8").alias("value"), "topic"), "parquet", path)
+
+    dec = accepted(decode_events(spark.read.parquet(_once(spark, sf, "binary_records", write))))
+    return dec.select(*[F.col(c).cast("long") if c == "event_id" else
+                        (utc_wall_clock(c).alias(c) if c == "event_time" else F.col(c)) for c in DECODED_COLUMNS])
+
+
+def q_observation_files(spark, sf):
+    """SRC4: response files, each one JSON array (landed here as one text file per stretch of responses)."""
+    landed = _once(spark, sf, "response_files", lambda path: _responses(spark, sf).select("payload").write.text(path))
+    lines = spark.read.text(landed).select(parse_observation_array("value").alias("o"))
+    return lines.select(F.size("o").alias("n_observations"), latest_observation("o")["idema"].alias("idema")).groupBy(
+        "n_observations", "idema").agg(F.count("*").alias("n_responses"))
+
+
+OBSERVATION_FILES_SQL = f"""
+SELECT n_observations, idema, count(*) AS n_responses
+FROM (SELECT CASE WHEN r.empty THEN 0 ELSE n END::INTEGER AS n_observations, r.idema
+      FROM ({FX.OBSERVATION_LAST_SQL}) r JOIN (SELECT event_id // 8 AS response_id, count(*) AS n FROM events GROUP BY 1) c USING (response_id))
+GROUP BY ALL"""
+
+
+def q_stream_crop_csv(spark, sf):
+    """SRC5: the crop CSV folder as a stream -> normalised -> published records -> decoded again."""
+    base = scratch_path(spark, "crop_stream")
+    header = read_crop_header(spark, _crop_csv(spark, sf))
+    q = start_crop_ingest(spark, _crop_csv(spark, sf), f"{base}/checkpoint", path=f"{base}/records", header_columns=header,
+                          ingest_time=_ingest(), trigger_available_now=True)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"crop ingest failed: {q.exception()}")
+    decoded = decode_events(spark.read.parquet(f"{base}/records"))
+    return decoded.groupBy("greenhouse_id", "event_ts", "source_topic").agg(F.count("*").alias("n_events"))
+
+
+CROP_STREAM_SQL = f"""
+SELECT greenhouse_id, event_ts, source_topic, count(*) AS n_events FROM ({CROP_SQL}) c WHERE reject_reason IS NULL GROUP BY ALL"""
+
+
+def q_batch_schema_rows(spark, sf):
+    """SRC2: batch rows read with their declared schema -> the batch job -> its table."""
+    def write(path: str) -> None:
+        rows = sensor_events(spark, sf).withColumn("event_ts", F.unix_millis(utc_instant("event_time")))
+        names = [f.name for f in S.BATCH_EVENT_SCHEMA.fields]
+        rows.select(*[F.col(n) for n in names]).write.json(path)
+
+    rows = spark.read.schema(S.BATCH_EVENT_SCHEMA).json(_once(spark, sf, "batch_rows", write))
+    table = run_batch_job(spark, rows, table_root=scratch_path(spark, "tables"), millis_col="event_ts")
+    return _ntz(_round_doubles(table.latest(spark)))
+
+
 # ------------------------------------------------------ dashboard panels
 
+def _stored_table(spark, sf, name: str) -> DataFrame:
+    """One of the two keyed tables as the backfill of ``events`` leaves it (written once per session)."""
+    root = _once(spark, sf, "panel_tables", lambda path: run_batch_tables(spark, sensor_events(spark, sf), table_root=path))
+    return read_table(spark, root, name)
+
+
+def _selected(spec) -> tuple[str, ...]:
+    return SELECTED_GREENHOUSES if spec.filter_col == "greenhouse_id" else SELECTED_SOURCES
+
+
 def _panel_query(pid: int) -> QueryFn:
     spec = PANELS[pid]
+    return lambda spark, sf: _round_doubles(panel_at(_stored_table(spark, sf, spec.table), spec, _selected(spec), AS_OF))
+
+
+def _series_query(pid: int) -> QueryFn:
+    """The points that a trend panel plots."""
+    spec = PANELS[pid]
+    return lambda spark, sf: _ntz(_round_doubles(
+        panel_frame(_stored_table(spark, sf, spec.table), spec, _selected(spec), RANGE_LO, AS_OF)), ("time",))
 
-    def run(spark, sf):
-        table = _metrics(spark, sf) if spec.table == "window_metrics" else _metrics_by_source(spark, sf)
-        selected = SELECTED_GREENHOUSES if spec.filter_col == "greenhouse_id" else SELECTED_SOURCES
-        return _round_doubles(panel(table, spec, selected, RANGE_LO, AS_OF))
 
-    return run
+def _series_sql(pid: int) -> str:
+    spec = PANELS[pid]
+    base = WM_RAW_SQL if spec.table == "window_metrics" else WMS_RAW_SQL
+    sel = ", ".join(f"'{x}'" for x in _selected(spec))
+    value = spec.value if spec.value == "event_count" else sql_r6(spec.value)
+    return f"""
+SELECT {spec.series} AS series, {value} AS value, window_start AS time FROM ({base}) w
+WHERE {spec.filter_col} IN ({sel}) AND window_start > {_ts(RANGE_LO)} AND window_start < {_ts(AS_OF)}"""
+
+
+def q_panel_01_raw(spark, sf):
+    """Panel 1 over raw events: the time range reaches the scan before the aggregate."""
+    events = events_of_range(sensor_events(spark, sf), RANGE_LO, AS_OF)
+    return _round_doubles(panel(window_metrics(events), PANELS[1], SELECTED_GREENHOUSES, RANGE_LO, AS_OF))
 
 
 def _panel_sql(pid: int) -> str:
@@ -644,7 +872,6 @@ FROM a LEFT JOIN l ON a.series = l.series"""
 
 def q_table_panel_01(spark, sf):
     """Panel 1 through the stored table: AGG1 written as a batch, read back via the latest view."""
-    from verdant.plans.batch_job import run_batch_job
     root = scratch_path(spark, "tables")
     run_batch_job(spark, sensor_events(spark, sf), table_root=root, batch_id=0)
     table = read_table(spark, root, S.WINDOW_METRICS.name)
@@ -652,7 +879,7 @@ def q_table_panel_01(spark, sf):
 
 
 def q_panel_12_detail(spark, sf):
-    return _round_doubles(detail_table(_metrics(spark, sf), SELECTED_GREENHOUSES, RANGE_LO, AS_OF))
+    return _ntz(_round_doubles(detail_table(_stored_table(spark, sf, S.WINDOW_METRICS.name), SELECTED_GREENHOUSES, RANGE_LO, AS_OF)))
 
 
 def _detail_sql() -> str:
@@ -671,7 +898,7 @@ DETAIL_SQL = _detail_sql()
 
 
 def q_detail_footer(spark, sf):
-    detail = detail_table(_metrics(spark, sf), SELECTED_GREENHOUSES, RANGE_LO, AS_OF)
+    detail = detail_table(_stored_table(spark, sf, S.WINDOW_METRICS.name), SELECTED_GREENHOUSES, RANGE_LO, AS_OF)
     return _round_doubles(column_sums(detail, ("avg_temperature", "avg_humidity", "avg_co2", "event_count")))
 
 
@@ -685,8 +912,8 @@ WHERE greenhouse_id IN ({sel}) AND window_start > {_ts(RANGE_LO)} AND window_sta
 
 
 def q_panel_09_rollup(spark, sf):
-    frame = panel_frame(_metrics_by_source(spark, sf), PANELS[9], SELECTED_SOURCES, RANGE_LO, AS_OF)
-    return _round_doubles(weighted_rollup(frame, "data_source"))
+    rows = panel_rows(_stored_table(spark, sf, S.WINDOW_METRICS_BY_SOURCE.name), PANELS[9], SELECTED_SOURCES, RANGE_LO, AS_OF)
+    return _ntz(_round_doubles(weighted_rollup(rows, "data_source")))
 
 
 def _rollup_sql() -> str:
@@ -735,7 +962,20 @@ def queries() -> dict[str, QueryFn]:
         "table_head": q_table_head,
         "stream_window_metrics": q_stream_window_metrics,
         "stream_window_metrics_by_source": q_stream_window_metrics_by_source,
+        "compact_by_source": q_compact_by_source,
+        "upsert_mixed_writers": q_upsert_mixed_writers,
+        "stream_late_rows": q_stream_late_rows,
+        "stream_two_tables_restart": q_stream_two_tables_restart,
+        "capped_events": q_capped_events,
+        "batch_millis_rejects": q_batch_millis_rejects,
+        "decode_binary": q_decode_binary,
+        "observation_files": q_observation_files,
+        "stream_crop_csv": q_stream_crop_csv,
+        "batch_schema_rows": q_batch_schema_rows,
+        "panel_01_raw": q_panel_01_raw,
     }
+    for pid in TREND_PANELS:
+        out[f"panel_{pid:02d}_series"] = _series_query(pid)
     for pid in sorted(PANELS):
         out[f"panel_{pid:02d}"] = _panel_query(pid)
     out["panel_09_rollup"] = q_panel_09_rollup
@@ -775,7 +1015,21 @@ def oracle_sql() -> dict[str, str]:
         "table_head": TABLE_HEAD_SQL,
         "stream_window_metrics": STREAM_WM_SQL,
         "stream_window_metrics_by_source": STREAM_WMS_SQL,
+        "compact_by_source": WMS_SQL,
+        "upsert_mixed_writers": MIXED_SQL,
+        "stream_late_rows": _late_sql(("greenhouse_id",)),
+        "stream_two_tables_restart": TWO_TABLES_SQL,
+        "capped_events": ("SELECT event_id, 500 AS cap FROM (SELECT event_id FROM events ORDER BY event_id LIMIT 500) "
+                          "UNION ALL SELECT event_id, 0 AS cap FROM events"),
+        "batch_millis_rejects": BATCH_REJECTS_SQL,
+        "decode_binary": DECODE_EVENTS_SQL,
+        "observation_files": OBSERVATION_FILES_SQL,
+        "stream_crop_csv": CROP_STREAM_SQL,
+        "batch_schema_rows": WM_SQL,
+        "panel_01_raw": _panel_sql(1),
     }
+    for pid in TREND_PANELS:
+        out[f"panel_{pid:02d}_series"] = _series_sql(pid)
     for pid in sorted(PANELS):
         out[f"panel_{pid:02d}"] = _panel_sql(pid)
     out["panel_09_rollup"] = _rollup_sql()
@@ -787,7 +1041,7 @@ def oracle_sql() -> dict[str, str]:
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """Events -> keyed JSON records -> decode -> 5-minute window metrics (one lazy plan)."""
-    ev = sensor_events(spark, sf, with_text_time=True).withColumn("event_id", F.col("event_id").try_cast("int"))
+    ev = sensor_events(spark, sf, with_text_time=True)
     decoded = accepted(decode_events(to_keyed_records(ev)))
     return _ntz(window_metrics(decoded))
 

@@ -1,4 +1,4 @@
-"""Table maintenance, run as its own scheduled job: compact the keyed tables."""
+"""Table maintenance, run as its own scheduled job: compact the keyed tables, remove what the bases cover."""
 
 from __future__ import annotations
 
@@ -6,17 +6,19 @@ import logging
 
 from pyspark.sql import SparkSession
 
+from verdant.sinks.upsert import GRACE_SECONDS
 from verdant.sources.tables import TABLES, open_table
 
 log = logging.getLogger(__name__)
 
 
-def compact_tables(spark: SparkSession, table_root: str, names=tuple(TABLES)) -> dict:
-    """Compact each table under ``table_root``; returns the version each base covers (None: empty table)."""
+def compact_tables(spark: SparkSession, table_root: str, names=tuple(TABLES), grace_seconds: float = GRACE_SECONDS) -> dict:
+    """Compact each table under ``table_root`` and expire what its base covers; returns each base's entry (None: empty table)."""
     out = {}
     for name in names:
-        out[name] = open_table(table_root, name).compact(spark)
-        log.info("table=%s base=%s", name, out[name])
+        table = open_table(table_root, name)
+        out[name] = table.compact(spark)
+        log.info("table=%s base=%s expired=%s", name, out[name], table.expire(spark, grace_seconds))
     return out
 
 

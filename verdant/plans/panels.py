@@ -2,16 +2,15 @@
 
 Each panel reads an aggregate table, keeps the selected series values
 (multi-select) inside an exclusive time range, reduces each series and
-bands the result.  Stages run as one lazy plan; the IN filter on the
-series column is a filter on the table's partition column, so it prunes
-folders at the scan.
+bands the result.  Stages run as one lazy plan; the table's files are sorted
+by its partition column and time, so both filters prune row groups at the scan.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -78,16 +77,33 @@ DETAIL_COLUMNS = ("greenhouse_id", "window_start", "avg_temperature", "avg_humid
 
 def panel_frame(table: DataFrame, spec: PanelSpec, selected: Sequence[str] | None,
                 lo: datetime | str | None, hi: datetime | str | None) -> DataFrame:
-    """The panel's raw (series, value, time) rows after filters (stages 1-4)."""
-    df = multi_select(table, spec.filter_col, selected)
-    return time_range(df, "window_start", lo, hi)
+    """The panel's (series, value, time) rows after filters (stages 1-4): what a trend panel plots."""
+    df = panel_rows(table, spec, selected, lo, hi)
+    return df.select(F.col(spec.series).alias("series"), F.col(spec.value).alias("value"), F.col("window_start").alias("time"))
+
+
+def panel_rows(table: DataFrame, spec: PanelSpec, selected: Sequence[str] | None,
+               lo: datetime | str | None, hi: datetime | str | None) -> DataFrame:
+    """The table's rows that the panel selects."""
+    return time_range(multi_select(table, spec.filter_col, selected), "window_start", lo, hi)
+
+
+def events_of_range(events: DataFrame, lo: datetime, hi: datetime, time_col: str = "event_time",
+                    window_minutes: int = 5) -> DataFrame:
+    """Events that windows starting inside ``lo < window_start < hi`` can hold, for panels over raw events.
+
+    Unlike the range on the computed window start, these bounds reach the scan.  Both ends are naive UTC.
+    """
+    width = timedelta(minutes=window_minutes)
+    epoch = datetime(1970, 1, 1)
+    last = epoch - (epoch - hi) // width * width  # hi, up to a window's edge
+    return time_range(events, time_col, lo - timedelta(microseconds=1), last)
 
 
 def panel(table: DataFrame, spec: PanelSpec, selected: Sequence[str] | None = None,
           lo: datetime | str | None = None, hi: datetime | str | None = None) -> DataFrame:
     """One row per series: reducers (``last_value``, ``mean_value``, ``max_value``) and ``band`` of the last value."""
-    frame = panel_frame(table, spec, selected, lo, hi)
-    out = reduce_series(frame, spec.series, spec.value, "window_start", spec.reducers, spec.tie)
+    out = reduce_series(panel_rows(table, spec, selected, lo, hi), spec.series, spec.value, "window_start", spec.reducers, spec.tie)
     if spec.bands:
         out = out.withColumn("band", band("last_value", spec.bands))
     return out

@@ -45,13 +45,18 @@ def build_session(master: str | None = None, app_name: str = "verdant",
 def shared_root(spark: SparkSession) -> str:
     """The cluster-wide folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a private
-    folder is created and registered as the checkpoint dir.
+    Read from the session; only when it is unset in a single local process
+    (tests) a private folder is created and registered as the checkpoint dir.
+    On a cluster an unset folder is an error: executors do not share the
+    driver's own folders.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.getCheckpointDir():
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="verdant-"))
     # getCheckpointDir() is "<configured dir>/<application uuid>": use the
     # configured dir, which stays the same across applications and restarts

@@ -1,26 +1,38 @@
-"""Idempotent keyed tables on plain parquet: one folder per (run, batch), newest wins.
-
-Layout: ``<root>/run_id=<R>/batch_id=<N>/<partition col>=<v>/part-*.parquet``.
-Writing batch N again overwrites only its own folder, so a replayed
-micro-batch changes nothing.  Readers go through :meth:`UpsertTable.latest`,
-which keeps per primary key the row of the greatest (run_id, batch_id),
-i.e. last write wins, as an overwrite-by-key store does.
-
-:meth:`UpsertTable.compact` rewrites the current content as a base version
-``<root>/_base/version=<run>__<batch, 20 digits>__<writer>/``.  A base counts once Spark
-has committed it (its ``_SUCCESS`` marker exists) and the newest committed
-base wins, so switching bases is atomic and never rewrites a folder that is
-being read.  Readers take the base plus only the batch folders newer than it
-(partition pruning skips the rest).  Folders starting with ``_`` are
-invisible to the batch scan.
+"""Idempotent keyed tables on plain parquet: one folder per commit, last commit wins.
+
+Layout::
+
+    <root>/data/commit=<id>/part-*.parquet        rows of one commit (or of one base)
+    <root>/_log/<entry>                            one empty file per commit, one small file per base
+
+A write goes to a fresh data folder first; the rows count once their log entry exists.  The entry's name holds a
+sequence number allotted at commit time by creating the file only if no other writer has that number, so the order of
+commits is the order of writes, whichever process started first.  Per primary key the row of the greatest
+(priority, sequence) is current: backfills have priority 0, all other writers 1.
+
+A batch is known by (writer, batch id).  Writing it again (a stream that replays after a crash) replaces its rows
+under its first sequence number, so nothing written since is outranked.
+
+:meth:`UpsertTable.compact` writes the current rows as a base, each with the priority and sequence of its commit.  Its
+entry names the *set* of commits it covers; every commit outside the set stays live, however it was numbered.
+:meth:`UpsertTable.expire` removes covered commits and older bases after a grace period for readers.
+
+Rows keep their key columns as data ('' and NULL stay apart).  Files are range-partitioned and sorted by the table's
+partition column and clustering order, so their min/max statistics prune key and time filters, and a key that holds
+most rows is split over many files.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
 import logging
+import time
 import uuid
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,14 +44,14 @@ from verdant.session import new_run_id
 
 log = logging.getLogger(__name__)
 
-VERSION_FIELDS = [T.StructField("run_id", T.StringType()), T.StructField("batch_id", T.LongType())]
-
-# Newer batches hold at most this many rows for their touched keys to be broadcast
-# (a key is a few short columns: ~100 MB at the limit).
-DELTA_BROADCAST_ROWS = 1_000_000
-# Rows per write task of a micro-batch (streams run without AQE, so the batch
-# arrives in spark.sql.shuffle.partitions pieces, mostly tiny).
-ROWS_PER_WRITE_TASK = 1_000_000
+NORMAL, BACKFILL = 1, 0
+VERSION = ("priority", "sequence", "entry")
+VERSION_FIELDS = [T.StructField("priority", T.IntegerType()), T.StructField("sequence", T.LongType()),
+                  T.StructField("entry", T.LongType())]
+#: Compact a streamed table after so many of its micro-batches unless told otherwise.
+COMPACT_EVERY = 50
+#: Covered commits and older bases stay readable for so long.
+GRACE_SECONDS = 24 * 3600
 
 
 def _fs(spark: SparkSession, path: str):
@@ -53,104 +65,141 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
-def _list_dirs(spark: SparkSession, path: str, prefix: str) -> list[str]:
-    """Names after ``prefix`` of the sub-folders of ``path`` (one listing, no recursion)."""
-    hpath, fs = _fs(spark, path)
-    if not fs.exists(hpath):
-        return []
-    return [st.getPath().getName()[len(prefix):] for st in fs.listStatus(hpath)
-            if st.isDirectory() and st.getPath().getName().startswith(prefix)]
-
-
-def _committed(spark: SparkSession, path: str) -> bool:
-    return path_exists(spark, f"{path}/_SUCCESS")
-
-
-def _list_run_ids(spark: SparkSession, root: str) -> list[str]:
-    """Run ids present under ``root`` (a listing of the top-level run folders only)."""
-    return _list_dirs(spark, root, "run_id=")
+@dataclass(frozen=True, order=True)
+class Entry:
+    """One entry of the log; ``number`` is its place in the log, ``sequence`` what its rows are ranked by."""
 
+    number: int
+    kind: str  # "commit" or "base"
+    priority: int
+    sequence: int
+    batch: int
+    writer: str  # digest of the writer's name
+    commit: str
+    time_ms: int = field(default=0, compare=False)
 
-def _base_tag(run_id: str, batch_id: int) -> str:
-    return f"{run_id}__{int(batch_id):020d}"
-
+    @property
+    def name(self) -> str:
+        return f"{self.number:020d}.{self.kind}.{self.priority}.{self.sequence:020d}.{self.batch}.{self.writer}.{self.commit}"
 
-def _parse_base_tag(tag: str) -> tuple[str, int]:
-    """``<run>__<batch>[__<writer>]`` -> (run, batch)."""
-    parts = tag.rsplit("__", 2)
-    if len(parts) == 3 and parts[1].isdigit():
-        return parts[0], int(parts[1])
-    run_id, batch_id = tag.rsplit("__", 1)
-    return run_id, int(batch_id)
+    @staticmethod
+    def parse(name: str, time_ms: int) -> Entry | None:
+        parts = name.split(".")
+        if len(parts) != 7 or not parts[0].isdigit():
+            return None
+        return Entry(int(parts[0]), parts[1], int(parts[2]), int(parts[3]), int(parts[4]), parts[5], parts[6], time_ms)
 
 
-def _newer_than(run_id: str, batch_id: int):
-    """Partition predicate: versions after (run_id, batch_id) (prunes older batch folders)."""
-    return (F.col("run_id") > F.lit(run_id)) | ((F.col("run_id") == F.lit(run_id)) & (F.col("batch_id") > F.lit(batch_id)))
+def _digest(name: str) -> str:
+    return hashlib.md5(name.encode()).hexdigest()[:16]
 
 
 class UpsertTable:
     def __init__(self, root: str, spec: TableSpec, run_id: str | None = None,
-                 report: Callable[[str, int, int], None] | None = None, compact_every: int | None = None):
+                 report: Callable[[str, int, int], None] | None = None, compact_every: int | None = None,
+                 priority: int = NORMAL):
         self.root = root.rstrip("/")
         self.spec = spec
-        # None: chosen at the first write, above every run already in the table
-        self._run_id = run_id
+        #: The writer's name; with the batch id it makes a repeated write known.
+        self.run_id = run_id or new_run_id()
         self.report = report
         # compact after every N-th micro-batch (None = never from the stream)
         self.compact_every = compact_every
+        self.priority = priority
 
     @property
     def version_schema(self) -> T.StructType:
         return T.StructType(list(self.spec.schema.fields) + VERSION_FIELDS)
 
-    @property
-    def run_id(self) -> str | None:
-        return self._run_id
-
-    def _ensure_run_id(self, spark: SparkSession) -> str:
-        """A run id that sorts after every run already written.
-
-        Run ids start with the driver's UTC time; a restarted driver whose
-        clock lags the previous one must still win, so the id is bumped past
-        the greatest existing ``run_id=`` folder (one listing of run folders).
-        """
-        if self._run_id is None:
-            candidate = new_run_id()
-            existing = _list_run_ids(spark, self.root)
-            if existing and candidate <= max(existing):
-                candidate = max(existing) + "." + candidate
-            self._run_id = candidate
-        return self._run_id
+    # --------------------------------------------------------------- log
 
-    def batch_path(self, batch_id: int) -> str:
-        return f"{self.root}/run_id={self._run_id}/batch_id={int(batch_id)}"
+    @property
+    def log_root(self) -> str:
+        return f"{self.root}/_log"
+
+    def data_path(self, commit: str) -> str:
+        return f"{self.root}/data/commit={commit}"
+
+    def entries(self, spark: SparkSession) -> list[Entry]:
+        """The log in order (one listing; compaction and expiry keep it short)."""
+        hpath, fs = _fs(spark, self.log_root)
+        if not fs.exists(hpath):
+            return []
+        found = (Entry.parse(st.getPath().getName(), st.getModificationTime()) for st in fs.listStatus(hpath))
+        return sorted(e for e in found if e is not None)
+
+    def _claim(self, spark: SparkSession, number: int) -> bool:
+        """Take a place in the log; False when another writer has it."""
+        hpath, fs = _fs(spark, f"{self.log_root}/{number:020d}.claim")
+        try:
+            fs.create(hpath, False).close()
+        except Exception as e:  # noqa: BLE001 - the JVM's own error classes
+            if "already exists" in str(e) or "FileAlreadyExists" in str(e):
+                return False
+            raise
+        return True
+
+    def _append(self, spark: SparkSession, kind: str, priority: int, sequence: int | None, batch: int, commit: str,
+                covers: Sequence[str] = ()) -> Entry:
+        """Publish a finished data folder: claim the next place, then create the entry by one atomic rename."""
+        number = max((e.number for e in self.entries(spark)), default=0) + 1
+        while not self._claim(spark, number):
+            number += 1
+        entry = Entry(number, kind, priority, number if sequence is None else sequence, batch, _digest(self.run_id), commit)
+        part, fs = _fs(spark, f"{self.log_root}/_{uuid.uuid4().hex}")
+        out = fs.create(part, False)
+        out.write(bytearray(json.dumps({"covers": list(covers)}).encode()))
+        out.close()
+        if not fs.rename(part, _fs(spark, f"{self.log_root}/{entry.name}")[0]):
+            raise OSError(f"cannot publish {entry.name} in {self.log_root}")
+        return entry
+
+    def _covers(self, spark: SparkSession, base: Entry) -> set[str]:
+        hpath, fs = _fs(spark, f"{self.log_root}/{base.name}")
+        stream = fs.open(hpath)
+        try:
+            return set(json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))["covers"])
+        finally:
+            stream.close()
+
+    def _live(self, spark: SparkSession) -> tuple[Entry | None, list[Entry]]:
+        """(current base, commits it does not cover), of a batch written again only the last entry under the first sequence."""
+        entries = self.entries(spark)
+        base = max((e for e in entries if e.kind == "base"), default=None)
+        covered = self._covers(spark, base) if base else set()
+        last: dict[tuple[str, int], Entry] = {}
+        for e in entries:
+            if e.kind == "commit":
+                last[e.writer, e.batch] = e
+        return base, [e for e in last.values() if e.commit not in covered]
 
     # ------------------------------------------------------------ writes
 
+    def _dealt(self, df: DataFrame) -> DataFrame:
+        """Range partitions of (partition column, clustering order), sorted: few keys or many, no task gets them all."""
+        spec = self.spec
+        order = [F.col(spec.partition_column)] + [F.col(c).asc() if asc else F.col(c).desc() for c, asc in spec.sort_order]
+        return df.repartitionByRange(*order).sortWithinPartitions(*order)
+
     def write_batch(self, df: DataFrame, batch_id: int, observe: bool = True) -> int | None:
-        """Write one batch (overwrite of its own folder only), sorted per partition value
-        so each file's min/max on the time column lets time-range reads skip row groups.
+        """Write one batch and commit it; the same batch of the same writer again replaces it.
         Returns the number of rows written (observed during the write, no extra job)."""
-        spec = self.spec
-        self._ensure_run_id(df.sparkSession)
-        order = [F.col(spec.partition_column)] + [
-            F.col(c).asc() if asc else F.col(c).desc() for c, asc in spec.sort_order
-        ]
+        spec, spark = self.spec, df.sparkSession
         typed = []
         for f in spec.schema.fields:
             c = F.col(f.name)
             if isinstance(f.dataType, T.TimestampType) and isinstance(df.schema[f.name].dataType, T.TimestampNTZType):
                 c = utc_instant(c)  # a naive time is a UTC wall clock
             typed.append(c.cast(f.dataType).alias(f.name))
-        out = df.select(*typed)
+        out = self._dealt(df.select(*typed))
         observed = Observation(f"rows_{spec.name}") if observe else None
-        if observed is not None:
+        if observed is not None:  # after the range partitions, whose bounds take a pass of their own
             out = out.observe(observed, F.count(F.lit(1)).alias("rows"))
-        (out.sortWithinPartitions(*order)
-            .write.mode("overwrite")
-            .partitionBy(spec.partition_column)
-            .parquet(self.batch_path(batch_id)))
+        commit = uuid.uuid4().hex
+        out.write.parquet(self.data_path(commit))
+        earlier = [e for e in self.entries(spark)
+                   if e.kind == "commit" and (e.writer, e.batch) == (_digest(self.run_id), int(batch_id))]
+        self._append(spark, "commit", self.priority, min((e.sequence for e in earlier), default=None), int(batch_id), commit)
         return int(observed.get["rows"]) if observed is not None else None
 
     def foreach_batch(self) -> Callable[[DataFrame, int], None]:
@@ -160,14 +209,15 @@ class UpsertTable:
         stateful aggregation twice; nothing is collected to the driver.
         """
         def write(batch_df: DataFrame, batch_id: int) -> None:
+            # the query's id stays the same over restarts from its checkpoint, and is new with a new one
+            query = batch_df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+            if query:
+                self.run_id = f"stream-{query}"
             batch_df.persist()
             try:
                 rows = batch_df.count()
                 if rows > 0:
-                    # fewer, larger files: merge the cached partitions (no shuffle),
-                    # at most ROWS_PER_WRITE_TASK rows per write task
-                    self.write_batch(batch_df.coalesce(max(1, -(-rows // ROWS_PER_WRITE_TASK))), batch_id,
-                                     observe=False)
+                    self.write_batch(batch_df, batch_id, observe=False)
                     log.info("table=%s batch=%s rows=%s persisted", self.spec.name, batch_id, rows)
                     if self.report is not None:
                         self.report(self.spec.name, int(batch_id), int(rows))
@@ -176,6 +226,7 @@ class UpsertTable:
             if self.compact_every and (int(batch_id) + 1) % self.compact_every == 0:
                 try:
                     self.compact(batch_df.sparkSession)
+                    self.expire(batch_df.sparkSession)
                 except Exception:  # noqa: BLE001 - the batch is written; the next compaction retries
                     log.exception("table=%s compaction after batch %s failed", self.spec.name, batch_id)
 
@@ -183,138 +234,97 @@ class UpsertTable:
 
     # ------------------------------------------------------------- reads
 
-    @property
-    def base_root(self) -> str:
-        return f"{self.root}/_base"
+    def _commit_rows(self, spark: SparkSession, commits: Sequence[Entry]) -> DataFrame:
+        """Rows of the commits, each with its version (the commits since the last base: a short list)."""
+        columns = zip(*((e.commit, e.priority, e.sequence, e.number) for e in commits))
+        types = (pa.string(), pa.int32(), pa.int64(), pa.int64())
+        named = spark.createDataFrame(pa.table({n: pa.array(c, t) for n, c, t in zip(("commit", *VERSION), columns, types)}))
+        rows = (spark.read.schema(T.StructType(list(self.spec.schema.fields) + [T.StructField("commit", T.StringType())]))
+                .option("basePath", f"{self.root}/data").parquet(*(self.data_path(e.commit) for e in commits)))
+        return rows.join(named, "commit").select(*self.spec.columns, *VERSION)
 
-    def _base_dirs(self, spark: SparkSession) -> list[tuple[tuple[str, int], str]]:
-        """Base folders, newest version first (several writers may have written one version)."""
-        out = []
-        for name in _list_dirs(spark, self.base_root, "version="):
-            try:
-                out.append((_parse_base_tag(name), f"{self.base_root}/version={name}"))
-            except ValueError:
-                continue
-        return sorted(out, reverse=True)
-
-    def _current_base_dir(self, spark: SparkSession) -> tuple[tuple[str, int], str] | None:
-        for version, path in self._base_dirs(spark):
-            if _committed(spark, path):
-                return version, path
-        return None
-
-    def current_base(self, spark: SparkSession) -> tuple[str, int] | None:
-        """(run_id, batch_id) covered by the newest committed base version, if any."""
-        current = self._current_base_dir(spark)
-        return current[0] if current else None
-
-    def newest_committed_batch(self, spark: SparkSession) -> tuple[str, int] | None:
-        """Newest (run_id, batch_id) whose batch folder is committed (folder listings only)."""
-        for run_id in sorted(_list_run_ids(spark, self.root), reverse=True):
-            batches = sorted((int(b) for b in _list_dirs(spark, f"{self.root}/run_id={run_id}", "batch_id=")),
-                             reverse=True)
-            for b in batches:
-                if _committed(spark, f"{self.root}/run_id={run_id}/batch_id={b}"):
-                    return run_id, b
-        return None
-
-    def _delta_versions(self, spark: SparkSession, after: tuple[str, int] | None = None) -> DataFrame | None:
-        """Batch rows, all of them or only those newer than ``after``.
-
-        With ``after`` only the newer run/batch folders are listed and read
-        (folder listings on the driver), so the file listing does not grow
-        with the batches a base already covers.
-        """
-        runs = _list_run_ids(spark, self.root)
-        if not runs:
-            return None
-        reader = spark.read.schema(self.version_schema)
-        if after is None:
-            return reader.parquet(self.root)
-        paths = []
-        for run_id in runs:
-            if run_id < after[0]:
-                continue
-            for b in _list_dirs(spark, f"{self.root}/run_id={run_id}", "batch_id="):
-                if (run_id, int(b)) > after:
-                    paths.append(f"{self.root}/run_id={run_id}/batch_id={b}")
-        if not paths:
-            return None
-        return reader.option("basePath", self.root).parquet(*paths)
+    def _base_rows(self, spark: SparkSession, base: Entry) -> DataFrame:
+        return spark.read.schema(self.version_schema).parquet(self.data_path(base.commit))
 
-    def _base_rows(self, spark: SparkSession, path: str) -> DataFrame:
-        # base rows keep the (run_id, batch_id) they were written with
-        return spark.read.schema(self.version_schema).parquet(path)
+    def _parts(self, spark: SparkSession) -> tuple[DataFrame | None, DataFrame | None]:
+        base, commits = self._live(spark)
+        return (self._base_rows(spark, base) if base else None,
+                self._commit_rows(spark, commits) if commits else None)
 
     def versions(self, spark: SparkSession) -> DataFrame:
-        """Every live row with its run_id and batch_id (base version + newer batches)."""
-        current = self._current_base_dir(spark)
-        if current is not None:
-            base, path = current
-            base_rows = self._base_rows(spark, path)
-            deltas = self._delta_versions(spark, after=base)
-            return base_rows if deltas is None else base_rows.unionByName(deltas.filter(_newer_than(*base)))
-        deltas = self._delta_versions(spark)
-        if deltas is None:
+        """Every live row with its priority and sequence (base and newer commits)."""
+        base, newer = self._parts(spark)
+        if base is None and newer is None:
             return spark.createDataFrame([], self.version_schema)
-        return deltas
-
-    def _latest_rows(self, spark: SparkSession, key: Sequence[str] | None = None, tie: Sequence[str] = (),
-                     keep_version: bool = False) -> DataFrame:
-        """Newest row per key.  With a committed base (already one row per primary
-        key) only the keys that newer batches touch are re-ranked: base rows of
-        other keys pass through a broadcast anti-join against the touched keys,
-        so the base is not shuffled.  The touched-key set is broadcast only when
-        the newer batches hold at most ``DELTA_BROADCAST_ROWS`` rows."""
-        cols = list(self.spec.columns) + (["run_id", "batch_id"] if keep_version else [])
+        return newer if base is None else base if newer is None else base.unionByName(newer)
+
+    def latest(self, spark: SparkSession, key: Sequence[str] | None = None, tie: Sequence[str] = (),
+               keep_version: bool = False) -> DataFrame:
+        """Current table content: the last write of each primary key (or of each ``key``, ties by ``tie``).
+
+        A base holds one row per primary key, so only the keys that newer commits touch are ranked again; Spark
+        picks the join from what it measures.
+        """
+        cols = [*self.spec.columns, *(VERSION if keep_version else ())]
         key = tuple(key or self.spec.primary_key)
-        current = self._current_base_dir(spark)
-        if current is None or key != self.spec.primary_key:
-            return latest_by_key(self.versions(spark), key, tie=tie, keep_version=keep_version).select(*cols)
-        base_info, base_path = current
-        base = self._base_rows(spark, base_path)
-        deltas = self._delta_versions(spark, after=base_info)
-        newer = None if deltas is None else deltas.filter(_newer_than(*base_info))
-        n_newer = 0 if newer is None else newer.count()  # parquet footers of the newer folders only
-        if n_newer == 0:
+        base, newer = self._parts(spark)
+        if base is None or key != tuple(self.spec.primary_key):
+            return latest_by_key(self.versions(spark), key, VERSION, tie=tie, keep_version=keep_version).select(*cols)
+        if newer is None:
             return base.select(*cols)
-        if n_newer > DELTA_BROADCAST_ROWS:
-            return latest_by_key(base.unionByName(newer), key, tie=tie, keep_version=keep_version).select(*cols)
-        touched = F.broadcast(newer.select(*[F.col(k).alias(f"_t_{k}") for k in key]).distinct())
-        match = None
+        touched = newer.select(*[F.col(k).alias(f"_t_{k}") for k in key]).distinct()
+        match = F.lit(True)
         for k in key:
-            cond = F.col(k).eqNullSafe(F.col(f"_t_{k}"))
-            match = cond if match is None else match & cond
-        untouched = base.join(touched, match, "left_anti")
-        rerank = newer.unionByName(base.join(touched, match, "left_semi"))
-        return untouched.select(*cols).unionByName(
-            latest_by_key(rerank, key, tie=tie, keep_version=keep_version).select(*cols))
-
-    def latest(self, spark: SparkSession, key: Sequence[str] | None = None, tie: Sequence[str] = ()) -> DataFrame:
-        """Current table content: newest version per primary key (or per ``key``, ties by ``tie``)."""
-        return self._latest_rows(spark, key, tie)
-
-    def compact(self, spark: SparkSession) -> tuple[str, int] | None:
-        """Write the current content as a new base version; returns the version it covers.
-
-        The version is the newest *committed* batch (folder listings only), so
-        a batch still being written is never claimed; it stays newer than the
-        base and visible.  Nothing newer than the current base: no-op.  The new
-        base folder is never the one being read, and it only takes effect
-        once Spark commits it.  Each compaction writes its own folder, so two
-        running at once never overwrite each other's committed base.
+            match = match & F.col(k).eqNullSafe(F.col(f"_t_{k}"))
+        ranked = latest_by_key(newer.unionByName(base.join(touched, match, "left_semi")), key, VERSION, tie=tie,
+                               keep_version=keep_version)
+        return base.join(touched, match, "left_anti").select(*cols).unionByName(ranked.select(*cols))
+
+    # ------------------------------------------------------- maintenance
+
+    def current_base(self, spark: SparkSession) -> Entry | None:
+        return self._live(spark)[0]
+
+    def compact(self, spark: SparkSession) -> Entry | None:
+        """Write the current content as a new base and return its entry (the current one when nothing is newer).
+
+        The base covers exactly the commits it was made from; one published meanwhile stays live.  Two compactions at
+        once both write correct bases, of which the later one is read.
         """
-        top = self.newest_committed_batch(spark)
-        base = self.current_base(spark)
-        if top is None or (base is not None and top <= base):
+        base, commits = self._live(spark)
+        if not commits:
             return base
-        latest = self._latest_rows(spark, keep_version=True)
-        spec = self.spec
-        order = [F.col(spec.partition_column)] + [
-            F.col(c).asc() if asc else F.col(c).desc() for c, asc in spec.sort_order
-        ]
-        (latest.repartition(F.col(spec.partition_column), F.col(spec.primary_key[-1]))
-               .sortWithinPartitions(*order)
-               .write.mode("overwrite").partitionBy(spec.partition_column)
-               .parquet(f"{self.base_root}/version={_base_tag(*top)}__{uuid.uuid4().hex[:8]}"))
-        return top
+        entries = self.entries(spark)
+        covers = self._covers(spark, base) if base else set()
+        known = {e.commit for e in entries}
+        made_of = {e.commit for e in commits}
+        # earlier entries of batches written again are part of what the base stands for
+        replaced = {e.commit for e in entries if e.kind == "commit" and e.number <= max(c.number for c in commits)
+                    and any((c.writer, c.batch) == (e.writer, e.batch) for c in commits)}
+        commit = uuid.uuid4().hex
+        self._snapshot(spark, base, commits).write.parquet(self.data_path(commit))
+        return self._append(spark, "base", NORMAL, None, 0, commit, sorted((covers & known) | made_of | replaced))
+
+    def _snapshot(self, spark: SparkSession, base: Entry | None, commits: Sequence[Entry]) -> DataFrame:
+        rows = self._commit_rows(spark, commits)
+        if base is not None:
+            rows = rows.unionByName(self._base_rows(spark, base))
+        return self._dealt(latest_by_key(rows, self.spec.primary_key, VERSION, keep_version=True))
+
+    def expire(self, spark: SparkSession, grace_seconds: float = GRACE_SECONDS) -> int:
+        """Remove what the current base covers, and older bases, once the base is older than the grace period.
+        Returns the number of entries removed.  Data folders go after their entries, so no entry lacks its rows."""
+        entries = self.entries(spark)
+        base = max((e for e in entries if e.kind == "base"), default=None)
+        if base is None or time.time() * 1000 - base.time_ms < grace_seconds * 1000:
+            return 0
+        covered = self._covers(spark, base)
+        # the last entry of each writer stays, so that a stream that replays its last batch is still known
+        last = {e.writer: e for e in entries if e.kind == "commit"}
+        gone = [e for e in entries if (e.kind == "base" and e < base)
+                or (e.kind == "commit" and e.commit in covered and last[e.writer] != e)]
+        for e in gone:
+            for path in (f"{self.log_root}/{e.name}", f"{self.log_root}/{e.number:020d}.claim", self.data_path(e.commit)):
+                hpath, fs = _fs(spark, path)
+                fs.delete(hpath, True)
+        return len(gone)

@@ -35,6 +35,11 @@ def read_crop_csv(spark: SparkSession, path: str, ordinal_col: str | None = "eve
     return raw.select(*([F.col(ordinal_col)] if ordinal_col else []), *cols)
 
 
+def read_crop_header(spark: SparkSession, path: str) -> list[str]:
+    """Column names of a folder's CSV files, in their order (from the first file)."""
+    return spark.read.option("header", True).csv(path).columns
+
+
 def stream_crop_csv(spark: SparkSession, folder: str, header_columns: Sequence[str] = S.CROP_CSV_COLUMNS,
                     max_files_per_trigger: int | None = None, with_split_columns: bool = False) -> DataFrame:
     """New CSV files landing in ``folder`` as a stream (each file read once).

@@ -55,8 +55,8 @@ def start_table_queries(events: DataFrame, table_root: str, checkpoint_root: str
                         compact_every: int | None = None) -> dict[str, StreamingQuery]:
     """Start one update-mode query per table; each upserts through ``foreachBatch``.
 
-    Without ``run_id`` each table picks, at its first write, a run id above
-    every run already in it, so a restart's writes always win.
+    A table's commits are numbered when they are made; a batch that a restarted
+    query replays keeps its first number (the query's id and batch id tell).
     """
     opts = opts or JobOptions()
     compact_every = compact_every if compact_every is not None else opts.compact_every

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-import threading
+from collections.abc import Callable
 
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
@@ -29,13 +29,10 @@ def batch_summary(query: StreamingQuery) -> list[dict]:
 
 
 class BatchReportListener(StreamingQueryListener):
-    """Logs one line per finished micro-batch of every query and keeps the
-    last ``keep`` summaries (driver-side, bounded)."""
+    """Logs one line per finished micro-batch of every query and hands its summary to ``on_report``; keeps nothing."""
 
-    def __init__(self, keep: int = 1000):
-        self.keep = keep
-        self.reports: list[dict] = []
-        self._lock = threading.Lock()
+    def __init__(self, on_report: Callable[[dict], None] | None = None):
+        self.on_report = on_report
 
     def onQueryStarted(self, event):
         log.info("query started id=%s name=%s", event.id, event.name)
@@ -44,12 +41,8 @@ class BatchReportListener(StreamingQueryListener):
         s = _summary(event.progress)
         log.info("query=%s batch=%s rows=%s watermark=%s late=%s", s["name"], s["batch_id"], s["input_rows"],
                  s["watermark"], s["late_rows_dropped"])
-        with self._lock:
-            self.reports.append(s)
-            if self.keep <= 0:
-                self.reports.clear()
-            else:
-                del self.reports[:-self.keep]
+        if self.on_report is not None:
+            self.on_report(s)
 
     def onQueryIdle(self, event):
         pass
