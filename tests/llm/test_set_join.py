@@ -61,9 +61,9 @@ def fixture():
     return [" ".join(t) for t in texts] + [None, "", " \t\n", "one", "One", "one two three", "ONE two\tthree", "é è ê ë", "a " * 900, "a " * 950, "A " * 3]
 
 
-@pytest.mark.parametrize("key_block", [set_join.KEY_BLOCK, 3])
-def test_equals_all_pairs(spark, monkeypatch, key_block):
-    monkeypatch.setattr(set_join, "KEY_BLOCK", key_block)
+@pytest.mark.parametrize("block", [set_join.GROUP_BLOCK, 3])
+def test_equals_all_pairs(spark, monkeypatch, block):
+    monkeypatch.setattr(set_join, "GROUP_BLOCK", block)
     rows = list(enumerate(fixture()))
     np.random.default_rng(2).shuffle(rows)
     docs = spark.createDataFrame([(int(i), t, "x") for i, t in rows], "doc_id long, text string, key string")
@@ -93,6 +93,18 @@ def test_bound_holds_for_all_sizes():
             assert b < starts[band + 1] or 100 * (starts[band + 1] - 1) >= 85 * b
 
 
+def test_sketches_bound_the_difference_from_below():
+    rng = np.random.default_rng(4)
+    for n in (1, 6, 40, 700):
+        a = np.unique(rng.integers(0, 1 << 60, n).astype(np.uint64))
+        for d in (0, 1, n // 3):
+            b = np.unique(np.append(a[d:], rng.integers(0, 1 << 60, d + n // 2).astype(np.uint64)))
+            x, y = set_join.sketch(a)[None], set_join.sketch(b)[None]
+            w = min(x.shape[1], y.shape[1])
+            differ = int(np.bitwise_count(set_join.folded(x, w) ^ set_join.folded(y, w)).sum())
+            assert differ <= len(np.setxor1d(a, b))
+
+
 def test_components_of_long_chains(spark):
     edges = [(i, i + 1) for i in range(100)] + [(300 + i, 300) for i in range(50)] + [(7, 7), (200, 201), (201, 200)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}

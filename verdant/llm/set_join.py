@@ -10,8 +10,8 @@ in the band below as well.  Equal sets are one class and are indexed once.
 
 Sets that share a key are candidates, verified exactly.  First every set is compared with the smallest document of
 each of its keys; this links nearly all of a large group with work in proportion to its size.  Then only sets that
-share a key and are not yet in one component are compared with each other, so the links that matter for the
-components are all found and no group is multiplied out.
+share a key and are not yet in one component can matter: of those, the pairs whose parity sketches (an exact lower
+bound of their difference) leave a link possible are verified, so every link between components is found.
 
 Shingles are known by 64-bit hashes.  Defined results: a null, empty or wordless text has no shingles and links with
 nothing; with fewer words than the n-gram has, all words are the only shingle; repeated rows are equal sets; an id
@@ -180,8 +180,38 @@ def stored(df: DataFrame, *name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-#: Members of one key that a task compares with each other; larger keys are cut into blocks, compared block by block.
-KEY_BLOCK = 2000
+#: Documents of one group that a task compares with each other; larger groups are cut into blocks, compared block by block.
+GROUP_BLOCK = 2000
+#: Bits of a sketch for each shingle of its set, before rounding up to a power of two.
+SKETCH_BITS = 4
+
+
+def sketch(tokens: np.ndarray) -> np.ndarray:
+    """Parities of the set's shingles in 2 ** k places: two sketches differ in no more places than the sets in elements."""
+    bits = max(64, 1 << (SKETCH_BITS * len(tokens) - 1).bit_length())
+    odd = np.bincount((mix(tokens ^ _ODD[3]) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
+
+
+def folded(sketches: np.ndarray, words: int) -> np.ndarray:
+    """Sketches [i, word] brought down to fewer places; parities stay parities."""
+    while sketches.shape[1] > words:
+        half = sketches.shape[1] // 2
+        sketches = sketches[:, :half] ^ sketches[:, half:]
+    return sketches
+
+
+def sketches(texts: DataFrame, n: int) -> DataFrame:
+    """(doc_id, size, sketch) of every text."""
+    kind = texts.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in steps(batches, "text"):
+            sets = shingle_sets(*utf8(batch.column("text")), n)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
+                                              pa.array([sketch(s).tobytes() for s in sets], pa.binary())], ["doc_id", "size", "sketch"])
+
+    return texts.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, size long, sketch binary")
 
 
 def groups(docs: DataFrame, *, n: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -203,7 +233,8 @@ def groups(docs: DataFrame, *, n: int = 4, id_col: str = "doc_id", text_col: str
     star = stored(members.where("doc_id > pivot").select(F.col("doc_id").alias("a"), F.col("pivot").alias("b")).distinct(), "star")
     links = stored(verified(star, texts, n), "links")
     first = components(links)
-    links = links.unionByName(verified(_across(members, first).join(star, ["a", "b"], "left_anti"), texts, n))
+    more = _across(star, first, stored(sketches(texts, n), "sketches"))
+    links = links.unionByName(verified(stored(more.join(star, ["a", "b"], "left_anti"), "more"), texts, n))
     whole = components(stored(links, "all_links"))
     of_class = classes.join(whole.withColumnsRenamed({"node": "rep", "component": "least"}), "rep", "left").select(
         *digest, F.coalesce("least", "rep").alias("component_id"))
@@ -219,40 +250,58 @@ def keep_one(docs: DataFrame, *, n: int = 4, id_col: str = "doc_id", text_col: s
     return named.unionByName(docs.where(F.col(id_col).isNull()))
 
 
-def _across(members: DataFrame, found: DataFrame) -> DataFrame:
-    """Distinct pairs (a > b) of documents that share a key but are in different components so far."""
-    labelled = (members.join(found.withColumnsRenamed({"node": "doc_id"}), "doc_id", "left")
-                .select("key", "doc_id", F.coalesce("component", "doc_id").alias("component")))
-    mixed = (labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
-             .where("low < high").select("key", F.ceil(F.col("size") / KEY_BLOCK).cast("int").alias("blocks")))
-    # block i meets block j >= i: a member goes to one task for each other block, and to no task all members of a large key
+def _across(star: DataFrame, found: DataFrame, sketched: DataFrame) -> DataFrame:
+    """Distinct pairs (a > b) of documents that share a key, are in different components so far and may link by their sketches.
+
+    Documents that share a key share its smallest document, so the groups are those of one smallest document: a pair
+    meets once however many keys it shares.
+    """
+    labelled = (star.select(F.col("b").alias("pivot"), F.col("a").alias("doc_id")).join(found.withColumnsRenamed({"node": "doc_id"}), "doc_id", "left")
+                .select("pivot", "doc_id", F.coalesce("component", "doc_id").alias("component")))
+    mixed = (labelled.groupBy("pivot").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
+             .where("low < high").select("pivot", F.ceil(F.col("n") / GROUP_BLOCK).cast("int").alias("blocks")))
+    # block i meets block j >= i: a document goes to one task for each other block, and to no task all documents of a large group
     block = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
-    dealt = (labelled.join(mixed, "key").withColumn("own", block)
+    dealt = (labelled.join(mixed, "pivot").join(sketched, "doc_id").withColumn("own", block)
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "doc_id", "component"))
-    kind = members.schema["doc_id"].dataType.simpleString()
+             .select("pivot", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "doc_id", "component", "size", "sketch"))
+    kind = star.schema["a"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, last = [], None
-
-        def pairs():
-            own = np.array([r[0] for r in held])
-            ids, comps = np.array([r[1] for r in held]), np.array([r[2] for r in held])
-            i, j = last[1:]
-            for k in np.flatnonzero(own == i).tolist():
-                others = np.flatnonzero((own == j) & (comps != comps[k]) & ((ids > ids[k]) | (i != j)))
-                if len(others):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.maximum(ids[others], ids[k])), pa.array(np.minimum(ids[others], ids[k]))], ["a", "b"])
-
         for batch in batches:
-            cols = [batch.column(c).to_pylist() for c in ("key", "i", "j", "own", "doc_id", "component")]
-            for key, i, j, own, doc, comp in zip(*cols):
-                if (key, i, j) != last:
-                    if held:
-                        yield from pairs()
-                    held, last = [], (key, i, j)
-                held.append((own, doc, comp))
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if row[:3] != last and held:
+                    yield from _close_pairs(held)
+                    held = []
+                last = row[:3]
+                held.append(row)
         if held:
-            yield from pairs()
-
-    return (dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, f"a {kind}, b {kind}").distinct())
+            yield from _close_pairs(held)
+
+    place = ["pivot", "i", "j"]
+    return dealt.repartition(*place).sortWithinPartitions(*place).mapInArrow(run, f"a {kind}, b {kind}").distinct()
+
+
+def _close_pairs(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+    """Pairs of a block of rows whose sketches differ in no more places than linked sets may."""
+    rows = sorted(rows, key=lambda r: r[6])
+    _, i, j = rows[0][:3]
+    own, ids, component, size = (np.array([r[k] for r in rows]) for k in (3, 4, 5, 6))
+    words = np.array([len(r[7]) // 8 for r in rows])
+    at = {w: np.flatnonzero(words == w) for w in np.unique(words).tolist()}
+    table = {w: np.stack([np.frombuffer(rows[k][7], np.uint64) for k in places.tolist()]) for w, places in at.items()}
+    for w, places in at.items():
+        for v in (w, 2 * w):  # sizes of linked sets, and so their sketches' sizes, differ by a factor of two at most
+            if v not in at:
+                continue
+            others, narrow = at[v], folded(table[v], w)
+            for k, mine in zip(places.tolist(), table[w]):
+                reach = slice(np.searchsorted(size[others], size[k]), np.searchsorted(size[others], 20 * size[k] // 17, "right"))
+                y = others[reach]
+                possible = (component[y] != component[k]) & ((own[y] != own[k]) if i != j else (y > k))
+                differ = np.bitwise_count(narrow[reach][possible] ^ mine).sum(1, dtype=np.int64)
+                y = y[possible]
+                y = y[37 * differ <= 3 * (size[y] + size[k])]
+                if len(y):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.maximum(ids[y], ids[k])), pa.array(np.minimum(ids[y], ids[k]))], ["a", "b"])
