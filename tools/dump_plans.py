@@ -15,16 +15,17 @@ NOTES = {
                       "IsNotNull(ts) pushed to the scan.",
     "decode_events": "JSON built and parsed once per row: the struct is flattened by a Generate (inline), "
                      "which the accepted-rows filter cannot be pushed below.",
-    "panel_01": "The greenhouse IN filter and the time range are pushed below the window aggregate into the scan; "
-                "the per-series 'last' is a partial max_by (a handful of rows per task, hash aggregate) before the shuffle.",
-    "table_panel_01": "Through the stored table: greenhouse IN becomes a PartitionFilter, window_start bounds are "
-                      "PushedFilters; the latest view is one ranking window on the key.",
+    "panel_01": "Over the stored table: greenhouse IN and the window_start bounds are PushedFilters of a scan of sorted, "
+                "range-partitioned files; the latest view is one ranking window on the key; the per-series 'last' is a "
+                "partial max_by (a handful of rows per task) before the shuffle.",
+    "panel_01_raw": "Over raw events: the range on event time that the windows can hold is pushed to the scan, below the "
+                    "window aggregate.",
     "upsert_latest": "Latest view: one shuffle on the primary key, one sort, row_number = 1.",
-    "row_ordinals": "Per-split counts, prefix sum over the split table (bounded by the listing), "
-                    "broadcast join back; no window over rows.",
+    "row_ordinals": "Per-split counts, prefix sums within files and within range partitions of the paths, one small window "
+                    "over the partitions' totals, joined back without a hint; no window over rows.",
     "weather_events": "Responses gather at most 8 observations (ObjectHashAggregate with partial collect_list); "
                       "normalisation is one projection.",
-    "crop_events": "Header-driven CSV scan twice (count, number), split table broadcast; normalisation is one "
+    "crop_events": "Header-driven CSV scan twice (count, number); normalisation is one "
                    "projection.",
 }
 
