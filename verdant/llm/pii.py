@@ -135,7 +135,7 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def redact(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with every span replaced by its kind in brackets; overlapping spans go together, named by the first."""
+    """``docs`` with every span replaced by its kind in brackets; overlapping spans go together, named by the one that begins, then ends, first."""
     def named(spans: str, kind: str) -> Column:
         return F.transform(spans, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), F.lit(kind).alias("kind")))
 
