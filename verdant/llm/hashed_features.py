@@ -49,20 +49,23 @@ def text_ngrams(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray, bits
     return out
 
 
-def dual_coordinate_descent(rows: list[np.ndarray], values: list[np.ndarray], labels: np.ndarray, cost: np.ndarray, size: int, *,
+def dual_coordinate_descent(rows: list[np.ndarray], values: np.ndarray, labels: np.ndarray, cost: np.ndarray, *,
                             epochs: int = 20, seed: int = 1) -> np.ndarray:
-    """Weights of ``size`` features and, last, the bias of a linear model with hinge loss.
+    """Weights of the features and, last, the bias of a linear model with hinge loss.
 
-    rows, values: each row's distinct features and their values; labels: +1 or -1; cost: upper bound of each row's dual variable.
+    rows: each row's distinct features; values: what a feature counts where it occurs, over the root of the row's size, so
+    long texts do not outweigh short ones; labels: +1 or -1; cost: upper bound of each row's dual variable.
     """
-    weights, alpha = np.zeros(size + 1), np.zeros(len(rows))
+    weights, alpha = np.zeros(len(values) + 1), np.zeros(len(rows))
+    scale = [1 / np.sqrt(max(1, len(r))) for r in rows]
     order, rng = np.arange(len(rows)), np.random.default_rng(seed)
-    norm = [float(v @ v) + 1.0 for v in values]
+    norm = [float(np.square(values[r]).sum()) * s * s + 1.0 for r, s in zip(rows, scale)]
     for _ in range(epochs):
         rng.shuffle(order)
         most = 0.0
         for i in order.tolist():
-            r, x = rows[i], values[i]
+            r = rows[i]
+            x = values[r] * scale[i]
             gradient = labels[i] * (float(weights[r] @ x) + weights[-1]) - 1
             new = min(max(alpha[i] - gradient / norm[i], 0.0), cost[i])
             if (step := (new - alpha[i]) * labels[i]):

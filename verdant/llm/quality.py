@@ -88,9 +88,7 @@ def _fit(rows: list[np.ndarray], good: np.ndarray) -> Model:
         chosen = np.flatnonzero(pick).tolist()
         y = np.where(good[pick], 1.0, -1.0)
         cost = np.full(len(y), COST)
-        # rows are divided by the root of their size, so long texts do not outweigh short ones
-        values = [ratio[rows[i]] / np.sqrt(max(1, len(rows[i]))) for i in chosen]
-        w = dual_coordinate_descent([rows[i] for i in chosen], values, y, cost, n)
+        w = dual_coordinate_descent([rows[i] for i in chosen], ratio, y, cost)
         return np.append(w[:-1] * ratio, w[-1]).astype(np.float32)
 
     tried = Model(weights(~held), 1.0, 0.0)

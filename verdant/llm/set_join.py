@@ -61,10 +61,10 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> list[np.ndarr
         if b - a >= n:
             out.append(np.unique(rolled[a : b - n + 1]))
         elif b > a:
-            short = np.uint64(b - a)
+            short = np.full(1, b - a, np.uint64)
             for k in range(b - a):
-                short = short + h[a + k] * _ODD[k % 4]
-            out.append(mix(np.array([short], np.uint64)))
+                short = short + h[a + k : a + k + 1] * _ODD[k % 4]
+            out.append(mix(short))
         else:
             out.append(rolled[:0])
     return out
