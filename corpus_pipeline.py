@@ -14,6 +14,9 @@ from verdant.llm import decontamination, packing, pii, quality, set_join
 from verdant.llm.queries import quality_model, table, tokenizer
 from verdant.session import scratch_path
 
+#: Near copies: words of a shingle, least Jaccard similarity in per cent (the query op10 has 4 and 85, its contract's).
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier, fitted on the labelled rows outside the held-out fold, accepts."""
@@ -21,8 +24,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the least id, of each group of near copies."""
-    return set_join.keep_one(docs)
+    """One document, the one with the least id, of each group of near copies: 5-word shingles, Jaccard 0.80 or more."""
+    return set_join.keep_one(docs, n=NEAR_WORDS, percent=NEAR_PERCENT)
 
 
 def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -102,3 +102,13 @@ def test_queries_without_the_subpackage(tmp_path):
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120)
     assert done.returncode == 0, done.stderr
     assert len(queries.queries()) == 11
+
+
+def test_near_copies_between_the_thresholds(spark):
+    """Appended words and scattered edits that leave 5-word shingles at 0.80 or more, but 4-word ones below 0.85."""
+    words = [f"w{i}" for i in range(1000)]
+    edited = [f"e{i}" if i % 46 == 23 else w for i, w in enumerate(words)]  # 22 of 1,000 words
+    far = [f"e{i}" if i % 30 == 15 else w for i, w in enumerate(f"v{i}" for i in range(1000))]
+    texts = [words, [*words, *(f"x{i}" for i in range(200))], edited, [f"v{i}" for i in range(1000)], far]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.keep_one_of_each_group(spark, docs, SF).collect()) == [0, 3, 4]

@@ -117,3 +117,38 @@ def test_query_on_the_table(spark):
     expected = brute([(r.doc_id, r.text) for r in docs])
     assert result(queries.op10_set_join(spark, SF)) == expected
     assert len({c for _, c in expected.values()}) < len(expected)
+
+
+def pairs_of(rows, n, percent):
+    every = {i: s for i, s in sets(rows, n).items() if s}
+    return [(a, b) for a in every for b in every if a < b and 100 * len(every[a] & every[b]) >= percent * len(every[a] | every[b])]
+
+
+@pytest.mark.parametrize("n, percent", [(5, 80), (4, 85), (3, 70)])
+def test_threshold_and_shingles_are_parameters(spark, n, percent):
+    """The groups are those of all pairs that link, whatever the threshold."""
+    rows = list(enumerate(fixture()))
+    parent = list(range(len(rows)))
+    links = pairs_of(rows, n, percent)
+    for _ in rows:  # the least of a component reaches all of it in so many rounds
+        before = list(parent)
+        for a, b in links:
+            parent[a] = parent[b] = min(parent[a], parent[b])
+        if parent == before:
+            break
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in set_join.groups(docs, n=n, percent=percent).collect()} == dict(enumerate(parent))
+
+
+@pytest.mark.parametrize("percent", [70, 80])
+def test_bound_follows_the_threshold(percent):
+    starts = set_join.band_starts(percent)
+    assert not any(set_join.linked(a, a, a + 1, percent) for a in range(1, starts[0]))
+    for a in range(starts[0], 200):
+        for b in range(a, 100 * a // percent + 1):
+            differ = a + b - 2 * next(c for c in range(a + 1) if set_join.linked(c, a, b, percent))
+            assert differ <= (100 - percent) * a // percent and differ <= (100 - percent) * (a + b) // (100 + percent)
+            band = int(np.searchsorted(starts, a, "right")) - 1
+            segments, near = set_join.plan(band, percent)
+            assert (2 * segments if near else segments) > differ
+            assert b < starts[band + 1] or (b < starts[band + 2] and 100 * (starts[band + 1] - 1) >= percent * b)

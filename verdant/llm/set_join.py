@@ -1,7 +1,7 @@
 """Exact Jaccard self-join of documents' word n-gram sets, and the groups that its links form.
 
-Two sets link when 100 * |intersection| >= 85 * |union|; then they differ in at most 3 (a + b) / 37 elements, for
-sizes a and b.  Sizes fall into bands; a band splits the universe of shingles into segments by hash, so of two
+Two sets link when 100 * |intersection| >= percent * |union|, by default 85 on 4-word shingles; then they differ in at
+most (100 - percent) (a + b) / (100 + percent) elements, for sizes a and b.  Sizes fall into bands; a band splits the universe of shingles into segments by hash, so of two
 linked sets all but that many segments agree (pigeonhole).  A set is indexed under those segments only that the
 bound calls for, chosen by cost: those with most shingles, which the fewest other sets share.  Small sets, whose
 segments would be nearly empty, get half as many segments and are indexed under each segment and its one-deletion
@@ -70,24 +70,30 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> list[np.ndarr
     return out
 
 
-def linked(common: int, a: int, b: int) -> bool:
-    return 100 * common >= 85 * (a + b - common)
+#: Least Jaccard similarity of linked sets, in per cent.
+PERCENT = 85
 
 
-@lru_cache(1)
-def band_starts() -> list[int]:
-    """First sizes of the bands; up to 5 shingles only equal sets link."""
-    out = [6]
+def linked(common: int, a: int, b: int, percent: int = PERCENT) -> bool:
+    return 100 * common >= percent * (a + b - common)
+
+
+@lru_cache(None)
+def band_starts(percent: int = PERCENT) -> list[int]:
+    """First sizes of the bands; smaller sets (up to 5 shingles at 85 per cent) link only if equal."""
+    if not 70 <= percent < 100:  # below, linked sets may lie two bands apart
+        raise ValueError(f"percent is {percent}, not from 70 to 99")
+    out = [-(-percent // (100 - percent))]
     while out[-1] < 1 << 40:
         out.append(max(out[-1] + 1, int(out[-1] * BAND)))
     return out
 
 
 @lru_cache(None)
-def plan(band: int) -> tuple[int, bool]:
+def plan(band: int, percent: int = PERCENT) -> tuple[int, bool]:
     """(segments, whether one-deletion neighbourhoods are indexed) of a band: the cheaper way."""
-    first, last = band_starts()[band], band_starts()[band + 1] - 1
-    most = 3 * last // 17  # elements in which two linked sets may differ, one of them in this band and not the larger
+    first, last = band_starts(percent)[band], band_starts(percent)[band + 1] - 1
+    most = (100 - percent) * last // percent  # elements in which two linked sets may differ, one of them in this band and not the larger
 
     def few(mean: float, n: int) -> float:
         return sum(math.exp(-mean) * mean**k / math.factorial(k) for k in range(n + 1))
@@ -98,17 +104,17 @@ def plan(band: int) -> tuple[int, bool]:
     return (near, True) if cost_near < cost_exact else (exact, False)
 
 
-def keys(tokens: np.ndarray) -> np.ndarray:
+def keys(tokens: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """64-bit index keys of one set of sorted distinct shingles."""
-    n, out = len(tokens), []
-    if n < band_starts()[0]:
+    n, out, starts = len(tokens), [], band_starts(percent)
+    if n < starts[0]:
         return np.zeros(0, np.uint64)
-    own = int(np.searchsorted(band_starts(), n, "right")) - 1
-    below = band_starts()[own] - 1
-    for band, differ in ((own, 3 * n // 17), (own - 1, 3 * (n + below) // 37)):
-        if band != own and (band < 0 or 100 * below < 85 * n):
+    own = int(np.searchsorted(starts, n, "right")) - 1
+    below = starts[own] - 1
+    for band, differ in ((own, (100 - percent) * n // percent), (own - 1, (100 - percent) * (n + below) // (100 + percent))):
+        if band != own and (band < 0 or 100 * below < percent * n):
             continue  # no smaller set of the band below can link
-        segments, near = plan(band)
+        segments, near = plan(band, percent)
         where = (tokens % np.uint64(segments)).astype(np.int64)
         scrambled = mix(tokens)
         total = np.zeros(segments, np.uint64)
@@ -138,12 +144,12 @@ def digests(docs: DataFrame, n: int) -> DataFrame:
     return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_shingles long, d1 long, d2 long")
 
 
-def index(docs: DataFrame, n: int) -> DataFrame:
+def index(docs: DataFrame, n: int, percent: int = PERCENT) -> DataFrame:
     """(doc_id, keys): every row's index keys.  Made from the texts anew rather than stored, as they are as large."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, "text"):
-            found = [keys(s) for s in shingle_sets(*utf8(batch.column("text")), n)]
+            found = [keys(s, percent) for s in shingle_sets(*utf8(batch.column("text")), n)]
             ends = np.append(0, np.cumsum([len(x) for x in found])).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found).view(np.int64)))], ["doc_id", "keys"])
@@ -151,7 +157,7 @@ def index(docs: DataFrame, n: int) -> DataFrame:
     return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, keys array<long>")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, n: int) -> DataFrame:
+def verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int = PERCENT) -> DataFrame:
     """Those (a, b) of the pairs that link, judged on the full sets made anew from both texts."""
     # sorted by b, so that a task makes b's set once for all its partners
     both = (pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
@@ -165,8 +171,8 @@ def verified(pairs: DataFrame, texts: DataFrame, n: int) -> DataFrame:
                 for k, a in enumerate(shingle_sets(*utf8(step.column("text_a")), n)):
                     if names[k] != last:
                         last, other = names[k], shingle_sets(*utf8(step.column("text_b").slice(k, 1)), n)[0]
-                    common = len(np.intersect1d(a, other, assume_unique=True)) if abs(len(a) - len(other)) * 100 <= 15 * max(len(a), len(other)) else 0
-                    keep.append(linked(common, len(a), len(other)))
+                    common = len(np.intersect1d(a, other, assume_unique=True)) if abs(len(a) - len(other)) * 100 <= (100 - percent) * max(len(a), len(other)) else 0
+                    keep.append(linked(common, len(a), len(other), percent))
                 yield step.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     kind = pairs.schema["a"].dataType.simpleString()
@@ -214,15 +220,15 @@ def sketches(texts: DataFrame, n: int) -> DataFrame:
     return texts.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, size long, sketch binary")
 
 
-def groups(docs: DataFrame, *, n: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def groups(docs: DataFrame, *, n: int = 4, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id): one row per row of ``docs``."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     sets = stored(digests(rows, n), "sets")
     named = sets.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     digest = ["n_shingles", "d1", "d2"]
     classes = named.groupBy(*digest).agg(F.min("doc_id").alias("rep"))
-    reps = classes.where(F.col("n_shingles") >= band_starts()[0]).select(F.col("rep").alias("doc_id"))
-    indexed = index(rows, n).join(reps, "doc_id", "left_semi").select("doc_id", F.explode("keys").alias("key"))
+    reps = classes.where(F.col("n_shingles") >= band_starts(percent)[0]).select(F.col("rep").alias("doc_id"))
+    indexed = index(rows, n, percent).join(reps, "doc_id", "left_semi").select("doc_id", F.explode("keys").alias("key"))
     shared = indexed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     found = stored(indexed.join(shared, "key", "left_semi").distinct(), "found")
     # the smallest document of every key that several classes share
@@ -231,10 +237,10 @@ def groups(docs: DataFrame, *, n: int = 4, id_col: str = "doc_id", text_col: str
     involved = members.select("doc_id").distinct()
     texts = stored(rows.join(involved, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")), "texts")
     star = stored(members.where("doc_id > pivot").select(F.col("doc_id").alias("a"), F.col("pivot").alias("b")).distinct(), "star")
-    links = stored(verified(star, texts, n), "links")
+    links = stored(verified(star, texts, n, percent), "links")
     first = components(links)
-    more = _across(star, first, stored(sketches(texts, n), "sketches"))
-    links = links.unionByName(verified(stored(more.join(star, ["a", "b"], "left_anti"), "more"), texts, n))
+    more = _across(star, first, stored(sketches(texts, n), "sketches"), percent)
+    links = links.unionByName(verified(stored(more.join(star, ["a", "b"], "left_anti"), "more"), texts, n, percent))
     whole = components(stored(links, "all_links"))
     of_class = classes.join(whole.withColumnsRenamed({"node": "rep", "component": "least"}), "rep", "left").select(
         *digest, F.coalesce("least", "rep").alias("component_id"))
@@ -242,15 +248,15 @@ def groups(docs: DataFrame, *, n: int = 4, id_col: str = "doc_id", text_col: str
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def keep_one(docs: DataFrame, *, n: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, *, n: int = 4, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each component, the one with the least id, and each id once; rows without an id stay."""
-    found = groups(docs, n=n, id_col=id_col, text_col=text_col)
+    found = groups(docs, n=n, percent=percent, id_col=id_col, text_col=text_col)
     gone = stored(found.where("component_id < doc_id").select(F.col("doc_id").alias(id_col)).distinct(), "gone")
     named = docs.where(F.col(id_col).isNotNull()).join(gone, id_col, "left_anti").dropDuplicates([id_col])
     return named.unionByName(docs.where(F.col(id_col).isNull()))
 
 
-def _across(star: DataFrame, found: DataFrame, sketched: DataFrame) -> DataFrame:
+def _across(star: DataFrame, found: DataFrame, sketched: DataFrame, percent: int) -> DataFrame:
     """Distinct pairs (a > b) of documents that share a key, are in different components so far and may link by their sketches.
 
     Documents that share a key share its smallest document, so the groups are those of one smallest document: a pair
@@ -272,18 +278,18 @@ def _across(star: DataFrame, found: DataFrame, sketched: DataFrame) -> DataFrame
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 if row[:3] != last and held:
-                    yield from _close_pairs(held)
+                    yield from _close_pairs(held, percent)
                     held = []
                 last = row[:3]
                 held.append(row)
         if held:
-            yield from _close_pairs(held)
+            yield from _close_pairs(held, percent)
 
     place = ["pivot", "i", "j"]
     return dealt.repartition(*place).sortWithinPartitions(*place).mapInArrow(run, f"a {kind}, b {kind}").distinct()
 
 
-def _close_pairs(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+def _close_pairs(rows: list[tuple], percent: int = PERCENT) -> Iterator[pa.RecordBatch]:
     """Pairs of a block of rows whose sketches differ in no more places than linked sets may."""
     rows = sorted(rows, key=lambda r: r[6])
     _, i, j = rows[0][:3]
@@ -297,11 +303,11 @@ def _close_pairs(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
                 continue
             others, narrow = at[v], folded(table[v], w)
             for k, mine in zip(places.tolist(), table[w]):
-                reach = slice(np.searchsorted(size[others], size[k]), np.searchsorted(size[others], 20 * size[k] // 17, "right"))
+                reach = slice(np.searchsorted(size[others], size[k]), np.searchsorted(size[others], 100 * size[k] // percent, "right"))
                 y = others[reach]
                 possible = (component[y] != component[k]) & ((own[y] != own[k]) if i != j else (y > k))
                 differ = np.bitwise_count(narrow[reach][possible] ^ mine).sum(1, dtype=np.int64)
                 y = y[possible]
-                y = y[37 * differ <= 3 * (size[y] + size[k])]
+                y = y[(100 + percent) * differ <= (100 - percent) * (size[y] + size[k])]
                 if len(y):
                     yield pa.RecordBatch.from_arrays([pa.array(np.maximum(ids[y], ids[k])), pa.array(np.minimum(ids[y], ids[k]))], ["a", "b"])
