@@ -3,6 +3,7 @@
 import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 from verdant.llm import quality, queries, url_filter, vector_search
@@ -112,3 +113,37 @@ def test_hilbert_curve_steps_to_neighbours():
 def test_features_are_distinct():
     found = quality.features(pa.array(["a b a b a b", None, "x"]))
     assert all(len(set(f.tolist())) == len(f) for f in found) and len(found[1]) == 0 and len(found[2]) == 2
+
+
+@pytest.mark.parametrize("long", [1.0, 5.0])
+def test_search_recall_where_windows_are_a_small_part(spark, monkeypatch, long):
+    """Unit vectors without structure, 100 windows of them, with and without one long vector."""
+    monkeypatch.setattr(vector_search, "WINDOW", 40)
+    monkeypatch.setattr(vector_search, "WIDEST", 40)
+    vectors = np.random.default_rng(9).standard_normal((4000, 64))
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    vectors[17] *= long
+    table = spark.createDataFrame([(i, v) for i, v in enumerate(vectors.tolist())], "vec_id long, embedding array<double>")
+    got = {}
+    for r in vector_search.search(table, F.col("vec_id") % 40 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = [len(got[i] & set(nearest(range(4000), vectors, i, 20))) / 20 for i in range(0, 4000, 40)]
+    assert np.mean(hits) >= 0.9
+
+
+def test_search_keeps_to_few_windows_of_clustered_vectors(spark, monkeypatch):
+    chosen = []
+    choose = vector_search._choose
+    monkeypatch.setattr(vector_search, "_choose", lambda placed, truth, windows: chosen.append((*choose(placed, truth, windows), windows)) or chosen[-1][:2])
+    monkeypatch.setattr(vector_search, "WINDOW", 40)
+    monkeypatch.setattr(vector_search, "WIDEST", 40)
+    rng = np.random.default_rng(5)
+    vectors = np.repeat(rng.standard_normal((100, 16)), 30, axis=0) + 0.01 * rng.standard_normal((3000, 16))
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    table = spark.createDataFrame([(i, v) for i, v in enumerate(vectors.tolist())], "vec_id long, embedding array<double>")
+    got = {}
+    for r in vector_search.search(table, F.col("vec_id") % 50 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    assert np.mean([len(got[i] & set(nearest(range(3000), vectors, i, 20))) / 20 for i in range(0, 3000, 50)]) >= 0.9
+    curves, reach, windows = chosen[0]
+    assert curves * (2 * reach + 1) < windows // 2

@@ -3,10 +3,14 @@
 A vector gets one more coordinate that brings all vectors to one length, and a query gets zero there, so the largest
 inner product is the smallest distance.  Every curve projects the vectors to ``DIMS`` random directions, evens each out
 by quantiles of a bounded sample, shifts them and orders them along a Hilbert curve.  Spark range-partitions each
-order and cuts it into windows of ``WINDOW`` candidates by position, so no window is large, whatever the data.  A
-query is compared with its own window and both neighbours on every curve; all that is found is merged and ranked by
+order and cuts it into windows of bounded size by position, so no window is large, whatever the data.  A query is
+compared with the windows within a reach of its own on every curve used; all that is found is merged and ranked by
 the inner product of the original vectors in double precision.
 
+The number of curves and the reach are chosen for the table at hand: the true neighbours of ``PROBES`` queries are found by
+brute force, and of all choices that meet a share of ``RECALL`` of them the one with the fewest windows is taken.  One curve
+with all windows, which is exact, is among the choices; vectors without structure, or a few long ones, lead there.
+
 Equal vectors are one class: they are indexed once, with their ``k + 1`` least ids, which is all that a result can need.
 
 Defined results: vectors that are null, empty or zero, or that hold null or non-finite components, and rows without an id
@@ -29,11 +33,16 @@ from verdant.session import scratch_path
 CURVES = 10
 DIMS = 8
 CURVE_BITS = 7
-#: Candidates of one window; a query meets three windows on each curve.
+#: Candidates of one window, and of one in large tables, which have MANY windows or more.
 WINDOW = 4096
+WIDEST = 16384
+MANY = 64
+#: Share of the true neighbours of so many queries that the windows must hold.
+RECALL = 0.98
+PROBES = 200
 #: Vectors that the directions' quantiles are taken from, the first by a hash of their id.
 SAMPLE = 4000
-#: Queries that are compared with a window at a time.
+#: Queries that are compared with a window of WINDOW candidates at a time; fewer with a wider one.
 QUERY_STEP = 256
 
 
@@ -138,8 +147,10 @@ def search(vectors: DataFrame, is_query: Column, *, k: int = 20, id_col: str = "
 
     schema = "curve int, key long, rep long, asks boolean"
     points = classes.select("rep", "vector").mapInArrow(keys(False), schema).unionByName(queries.select("rep", "vector").mapInArrow(keys(True), schema))
-    placed = _place(points, total)
-    met = _stored(_compare(placed, classes, dims, k + 1), "met")
+    size = min(max(WINDOW, total // MANY), max(WINDOW, WIDEST))
+    placed = _place(points, total, size)
+    curves_used, reach = _choose(placed, _truth(queries, classes, dims, k), -(-total // size))
+    met = _stored(_compare(placed.where(F.col("curve") < curves_used), classes, dims, k + 1, reach, (total - 1) // size), "met")
     best = Window.partitionBy("query").orderBy(F.desc("score"), "found")
     near = (met.groupBy("query", "found").agg(F.max("score").alias("score")).withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1).drop("n"))
     each = (near.join(classes.select(F.col("rep").alias("found"), "ids"), "found").select("query", "score", F.explode("ids").alias("id"))
@@ -152,7 +163,50 @@ def search(vectors: DataFrame, is_query: Column, *, k: int = 20, id_col: str = "
             .select("query_id", (F.col("rank") + 1).cast("int").alias("rank"), F.col("x.id").alias("vec_id"), F.col("x.score").alias("score")))
 
 
-def _place(points: DataFrame, total: int) -> DataFrame:
+def _truth(queries: DataFrame, classes: DataFrame, dims: int, k: int) -> DataFrame:
+    """(query, found): the ``k`` nearest other vectors of PROBES queries, the first by a hash of their id, by brute force."""
+    probes = queries.orderBy(F.xxhash64("rep", F.lit(1)), "rep").limit(PROBES).select("rep", "vector").toArrow().combine_chunks()
+    if not probes.num_rows:
+        return queries.sparkSession.createDataFrame([], "query long, found long")
+    asking = probes.column("rep").to_numpy()
+    asked = classes.sparkSession.sparkContext.broadcast(_matrix(probes.column("vector").combine_chunks(), dims))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scores, names = np.zeros((len(asking), 0)), np.zeros((len(asking), 0), np.int64)
+        for batch in batches:
+            found = np.broadcast_to(batch.column("rep").to_numpy(), (len(asking), batch.num_rows))
+            near = np.where(found == asking[:, None], -np.inf, asked.value @ _matrix(batch.column("vector"), dims).T)
+            scores, names = np.hstack([scores, near]), np.hstack([names, found])
+            best = np.argsort(-scores, axis=1, kind="stable")[:, :k]
+            scores, names = np.take_along_axis(scores, best, 1), np.take_along_axis(names, best, 1)
+        row, column = np.nonzero(scores > -np.inf)
+        yield pa.RecordBatch.from_arrays([pa.array(asking[row]), pa.array(names[row, column]), pa.array(scores[row, column])], ["query", "found", "score"])
+
+    each = classes.select("rep", "vector").mapInArrow(run, "query long, found long, score double")
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "found")
+    return _stored(each.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k).select("query", "found"), "truth")
+
+
+def _choose(placed: DataFrame, truth: DataFrame, windows: int) -> tuple[int, int]:
+    """(curves, reach): those that meet RECALL of the true neighbours with the fewest windows a query."""
+    there = placed.where("not asks").join(F.broadcast(truth), F.col("rep") == F.col("found")).select("curve", "query", "found", "window")
+    own = (placed.where("asks").join(F.broadcast(truth.select("query").distinct()), F.col("rep") == F.col("query"))
+           .select("curve", "query", F.col("window").alias("own")))
+    # at most PROBES * k * CURVES rows
+    apart = (there.join(own, ["curve", "query"]).groupBy("query", "found")
+             .agg(F.array_sort(F.collect_list(F.struct("curve", F.abs(F.col("window") - F.col("own")).alias("apart"))))["apart"].alias("apart")).select("apart").collect())
+    if not apart:
+        return 1, windows
+    least = np.sort(np.minimum.accumulate(np.array([r.apart for r in apart]), axis=1), axis=0)
+    reach = least[int(np.ceil(RECALL * len(least))) - 1]
+    cost = np.arange(1, len(reach) + 1) * np.minimum(2 * reach + 1, windows)
+    best = int(np.argmin(cost))
+    if cost[best] >= windows:  # no dearer: all of them, once
+        return 1, windows
+    return best + 1, int(reach[best])
+
+
+def _place(points: DataFrame, total: int, size: int) -> DataFrame:
     """(curve, window, rep, asks): where every point stands among the candidates of its curve."""
     spark = points.sparkSession
     parts = max(1, -(-total * CURVES // 500_000))
@@ -178,15 +232,16 @@ def _place(points: DataFrame, total: int) -> DataFrame:
         at += sizes.get(part, 0)
     offsets = spark.createDataFrame(before, "part int, before long")
     place = F.col("place") + F.coalesce("before", F.lit(at)) - F.col("curve") * F.lit(total)
-    last = (total - 1) // WINDOW
+    last = (total - 1) // size
     return placed.join(F.broadcast(offsets), "part", "left").select(
-        "curve", F.least(F.floor(place / WINDOW), F.lit(last)).cast("long").alias("window"), "rep", "asks")
+        "curve", F.least(F.floor(place / size), F.lit(last)).cast("long").alias("window"), "rep", "asks")
 
 
-def _compare(placed: DataFrame, classes: DataFrame, dims: int, keep: int) -> DataFrame:
+def _compare(placed: DataFrame, classes: DataFrame, dims: int, keep: int, reach: int, last: int) -> DataFrame:
     """(query, found, score): the ``keep`` best of every window that a query meets."""
-    around = F.when(F.col("asks"), F.array(F.col("window") - 1, F.col("window"), F.col("window") + 1)).otherwise(F.array("window"))
-    dealt = (placed.withColumn("window", F.explode(around)).join(classes.select("rep", "vector"), "rep")
+    around = F.when(F.col("asks"), F.sequence(F.greatest(F.col("window") - reach, F.lit(0).cast("long")), F.least(F.col("window") + reach, F.lit(last).cast("long")))
+                    ).otherwise(F.array("window"))
+    dealt = (placed.join(classes.select("rep", "vector"), "rep").withColumn("window", F.explode(around))
              .repartition("curve", "window").sortWithinPartitions("curve", "window", "asks"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,8 +249,9 @@ def _compare(placed: DataFrame, classes: DataFrame, dims: int, keep: int) -> Dat
 
         def compare(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             points, asking = _matrix(batch.column("vector"), dims), batch.column("rep").to_numpy()
-            for a in range(0, len(asking), QUERY_STEP):
-                scores = points[a : a + QUERY_STEP] @ matrix.T
+            step = max(1, QUERY_STEP * WINDOW // max(WINDOW, len(matrix)))
+            for a in range(0, len(asking), step):
+                scores = points[a : a + step] @ matrix.T
                 n = min(keep, scores.shape[1])
                 best = np.argpartition(-scores, n - 1, axis=1)[:, :n]
                 limit = np.take_along_axis(scores, best, 1).min(1)
