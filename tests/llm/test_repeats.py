@@ -73,3 +73,26 @@ def test_query_on_the_table(spark):
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in queries.op6_repeats(spark, SF).collect()}
     assert got == expected
     assert any(v[1] for v in got.values())
+
+
+def test_no_bucket_stays_hot(spark, monkeypatch):
+    """One group of near copies: no task gets more of it than a bucket may hold, and the result is that of brute force."""
+    rng = np.random.default_rng(8)
+    words = ["".join(rng.choice(list("abcdefgh"), rng.integers(2, 9))) for _ in range(150)]
+    texts = []
+    for _ in range(200):
+        copy = list(words)
+        for at in rng.integers(0, len(words), 3):
+            copy[at] = "".join(rng.choice(list("abcdefgh"), 5))
+        texts.append(" ".join(copy))
+    largest, sort = [], repeats._sort_buckets
+
+    def counted(contexts, id_type):
+        largest.append(max([r["count"] for r in contexts.groupBy("bucket").count().collect()], default=0))
+        return sort(contexts, id_type)
+
+    monkeypatch.setattr(repeats, "_sort_buckets", counted)
+    monkeypatch.setattr(repeats, "HOT_BUCKET", 20)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    assert result(repeats.remove_repeats(docs)) == dict(enumerate(brute(texts)))
+    assert len(largest) == 2 and max(largest) <= 20

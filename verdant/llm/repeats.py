@@ -8,7 +8,10 @@
    deals them out by anchor, one copy of each with its 400-byte context, and a task sorts their suffixes, a block of
    buckets at a time: by the first bytes, and long ties by the ranks of a difference-cover sample of the block's
    positions (every two positions meet the sample after the same few steps, at most ``PERIOD``).  Neighbours in that
-   order with 400 bytes in common repeat.  Memory is bounded by the block.
+   order with 400 bytes in common repeat.  A hot bucket, of more than ``HOT_BUCKET`` segments or ``BLOCK_BYTES``, is not
+   sorted but dealt again in pieces: strings whose anchor stands at about the same place in them, by a hash of what
+   all such strings of the piece cover.  Equal pieces are counted as segments are, and a bucket of pieces that is hot
+   still is dealt by the whole 400 bytes, where counting is enough.  So memory is bounded by two blocks.
 3. Marks go back to their documents, and the covered bytes are cut out.
 
 Texts are UTF-8 bytes.  Defined results: a null or empty text has no bytes; one shorter than 400 bytes loses none;
@@ -19,7 +22,7 @@ columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 from itertools import combinations
 
 import numpy as np
@@ -34,10 +37,12 @@ LENGTH = 400
 GRAM = 64
 #: Modulus of the difference cover; 31 has one of six residues in which every difference occurs once.
 PERIOD = 31
-#: Bytes of segments with their contexts whose suffixes are sorted together (a larger bucket is a block of its own).
+#: Bytes of segments with their contexts whose suffixes are sorted together (a bucket is no larger).
 BLOCK_BYTES = 3 << 20
-#: A bucket of more distinct segments is dealt out further, by a second anchor.
+#: A bucket of more distinct segments is dealt out further, by their content.
 HOT_BUCKET = 20_000
+#: Places of the anchor that the strings of a piece may have; with one place a piece is one string.
+PLACES = (32, 1)
 
 
 @lru_cache(1)
@@ -68,13 +73,17 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(after[: n - width + 1], before[width - 1 : n])
 
 
-def anchors(data: np.ndarray, salt: int = 0) -> tuple[np.ndarray, np.ndarray]:
+def grams(data: np.ndarray) -> np.ndarray:
+    at = np.arange(len(data) - GRAM + 1)
+    return mix(range_hash(data, at, at + GRAM))
+
+
+def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The anchor of every 400-byte string of the data, and whether the string begins with it."""
     n = len(data) - GRAM + 1
     if n < 1:
         return np.zeros(0, np.uint64), np.zeros(0, bool)
-    at = np.arange(n)
-    hashes = mix(range_hash(data, at, at + GRAM) + np.uint64(salt))
+    hashes = grams(data)
     least = sliding_least(hashes, LENGTH - GRAM + 1)
     return least, hashes[: len(least)] == least
 
@@ -105,6 +114,22 @@ def segments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     return document, starts - offsets[document], count, anchor[starts], range_hash(data, starts, starts + count - 1 + LENGTH), moves
 
 
+def pieces(whole: np.ndarray, n: int, anchor: np.uint64, places: int) -> tuple[np.ndarray, ...]:
+    """(first start, number of starts, bucket, digest) of the pieces of a segment of n starts; equal strings have equal buckets.
+
+    The strings of a piece begin one after the other before the same occurrence of the anchor, the first in each of them,
+    so no two of one piece are equal.
+    """
+    start, found = np.arange(n), np.flatnonzero(grams(whole) == anchor)
+    at = found[np.searchsorted(found, start)]
+    place = (at - start) // places
+    first = np.flatnonzero(np.append(True, (at[1:] != at[:-1]) | (place[1:] != place[:-1])))
+    last = np.append(first[1:], n)
+    core = at[first] - places * place[first]
+    bucket = mix(range_hash(whole, core, core + LENGTH + 1 - places) ^ mix(place[first].astype(np.uint64) + np.uint64(places << 32)) ^ anchor)
+    return first, last - first, bucket, range_hash(whole, first, last - 1 + LENGTH)
+
+
 class Block:
     """The suffixes of some segments' starts, sorted; which of them share their first 400 bytes with another."""
 
@@ -217,7 +242,7 @@ def _find_segments(keyed: DataFrame, id_type: str) -> DataFrame:
 
 
 def _contexts(wanted: DataFrame, id_type: str) -> DataFrame:
-    """The texts of the wanted segments, each with what its last string covers; hot buckets by a second anchor too."""
+    """The texts of the wanted segments, each with what its last string covers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -227,25 +252,40 @@ def _contexts(wanted: DataFrame, id_type: str) -> DataFrame:
                 for k, (doc_id, version, found) in enumerate(zip(step.column("doc_id").to_pylist(), step.column("version").to_pylist(), step.column("found").to_pylist())):
                     text = data[offsets[k] : offsets[k + 1]]
                     for s in found:
-                        whole = text[s["start"] : s["start"] + s["n"] - 1 + LENGTH]
-                        cuts = [0, s["n"]]
-                        if s["hot"]:
-                            second = anchors(whole, 1)[0]
-                            cuts = [0, *(np.flatnonzero(second[1:] != second[:-1]) + 1).tolist(), s["n"]]
-                        for a, b in zip(cuts, cuts[1:]):
-                            key = s["anchor"] if not s["hot"] else int((second[a : a + 1] ^ np.uint64(s["anchor"] & (1 << 64) - 1)).view(np.int64)[0])
-                            out.append((key, doc_id, version, s["start"] + a, b - a, s["copies"], whole[a : b - 1 + LENGTH].tobytes()))
+                        out.append((s["bucket"], doc_id, version, s["start"], s["n"], s["copies"], text[s["start"] : s["start"] + s["n"] - 1 + LENGTH].tobytes()))
                 if out:
-                    key, doc_id, version, start, n, copies, text = zip(*out)
+                    bucket, doc_id, version, start, n, copies, text = zip(*out)
                     long = lambda x: pa.array(x, pa.int64())
                     yield pa.RecordBatch.from_arrays(
-                        [long(key), pa.array(doc_id, step.column("doc_id").type), long(version), long(start), long(n), long(copies), pa.array(text, pa.binary())],
+                        [long(bucket), pa.array(doc_id, step.column("doc_id").type), long(version), long(start), long(n), long(copies), pa.array(text, pa.binary())],
                         ["bucket", "doc_id", "version", "start", "n", "copies", "context"])
 
     return wanted.select("doc_id", "version", "text", "found").mapInArrow(
         run, f"bucket long, {KEY.format(id=id_type)}, start long, n long, copies long, context binary")
 
 
+def _find_pieces(wanted: DataFrame, id_type: str, places: int) -> DataFrame:
+    """The pieces of the wanted segments, in the columns of segments."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for step in steps([batch], "text"):
+                data, offsets = utf8(step.column("text"))
+                for k, found in enumerate(step.column("found").to_pylist()):
+                    text = data[offsets[k] : offsets[k + 1]]
+                    for s in found:
+                        first, n, bucket, digest = pieces(text[s["start"] : s["start"] + s["n"] - 1 + LENGTH], s["n"], np.uint64(s["anchor"] & (1 << 64) - 1), places)
+                        row = pa.array(np.full(len(first), k))
+                        yield pa.RecordBatch.from_arrays(
+                            [step.column("doc_id").take(row), step.column("version").take(row), pa.array(s["start"] + first), pa.array(n),
+                             pa.array(np.full(len(first), s["anchor"])), pa.array(bucket.view(np.int64)), pa.array(digest.view(np.int64)),
+                             pa.array(np.full(len(first), s["copies"])), pa.array(np.zeros(len(first), bool))],
+                            ["doc_id", "version", "start", "n", "anchor", "bucket", "digest", "copies", "moves"])
+
+    return wanted.select("doc_id", "version", "text", "found").mapInArrow(
+        run, f"{KEY.format(id=id_type)}, start long, n long, anchor long, bucket long, digest long, copies long, moves boolean")
+
+
 def _sort_buckets(contexts: DataFrame, id_type: str) -> DataFrame:
     """Runs of starts in single segments whose 400 bytes some other start of the bucket has."""
 
@@ -286,22 +326,38 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def _wanted(keyed: DataFrame, counted: DataFrame) -> DataFrame:
+    """The rows that hold one copy of each of the counted segments, with a list of them."""
+    lists = (counted.groupBy("one.doc_id", "one.version")
+             .agg(F.collect_list(F.struct("one.start", "one.n", "one.anchor", "bucket", "copies")).alias("found")))
+    return keyed.join(lists, _same_row(keyed, lists)).select(keyed["doc_id"], keyed["version"], "text", "found")
+
+
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_bytes, spans, kept): maximal removed runs [start, end) in bytes and the remaining bytes."""
     keyed = _keyed(docs, id_col, text_col)
     id_type = keyed.schema["doc_id"].dataType.simpleString()
-    found = _stored(_find_segments(keyed, id_type), "segments")
-    counted = found.groupBy("anchor", "digest").agg(
-        F.count("*").alias("copies"), F.max("moves").alias("moves"), F.min(F.struct("doc_id", "version", "start", "n")).alias("one"))
-    counted = _stored(counted, "counted")
-    several = (counted.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("copies").alias("least"), F.max("moves").alias("moves"))
-               .where("least = 1 and (kinds > 1 or moves)").select("anchor", (F.col("kinds") > HOT_BUCKET).alias("hot")))
-    lists = (counted.join(several, "anchor")
-             .groupBy("one.doc_id", "one.version").agg(F.collect_list(F.struct("one.start", "one.n", "anchor", "copies", "hot")).alias("found")))
-    wanted = keyed.join(lists, _same_row(keyed, lists)).select(keyed["doc_id"], keyed["version"], "text", "found")
-    single = _stored(_sort_buckets(_contexts(wanted, id_type), id_type), "single")
-    copies = found.join(counted.where("copies > 1").select("anchor", "digest"), ["anchor", "digest"]).select("doc_id", "version", "start", "n")
-    marks = copies.unionByName(single).groupBy("doc_id", "version").agg(F.collect_list(F.struct("start", "n")).alias("found"))
+    found = _stored(_find_segments(keyed, id_type), "segments").withColumn("bucket", F.col("anchor")).withColumn("copies", F.lit(1).cast("long"))
+    marks = []
+    for level, places in enumerate((*PLACES, None)):
+        counted = found.groupBy("bucket", "digest").agg(
+            F.sum("copies").alias("copies"), F.max("moves").alias("moves"), F.min(F.struct("doc_id", "version", "start", "n", "anchor")).alias("one"))
+        counted = _stored(counted, f"counted{level}")
+        marks.append(found.join(counted.where("copies > 1").select("bucket", "digest"), ["bucket", "digest"]).select("doc_id", "version", "start", "n"))
+        if places is None:
+            break  # a bucket is one string
+        hot = (F.col("kinds") > HOT_BUCKET) | (F.col("bytes") > BLOCK_BYTES)
+        several = _stored(
+            counted.groupBy("bucket").agg(F.count("*").alias("kinds"), F.min("copies").alias("least"), F.max("moves").alias("moves"), F.sum(F.col("one.n") + LENGTH - 1).alias("bytes"))
+            .where("least = 1 and (kinds > 1 or moves)").select("bucket", hot.alias("hot")), f"several{level}")
+        contexts = _contexts(_wanted(keyed, counted.join(several.where("not hot"), "bucket")), id_type)
+        marks.append(_stored(_sort_buckets(contexts, id_type), f"single{level}"))
+        hot = several.where("hot").select("bucket")
+        if hot.isEmpty():
+            break
+        # few: each holds HOT_BUCKET segments or BLOCK_BYTES
+        found = _stored(_find_pieces(_wanted(keyed, counted.join(F.broadcast(hot), "bucket")), id_type, places), f"pieces{level}")
+    marks = reduce(DataFrame.unionByName, marks).groupBy("doc_id", "version").agg(F.collect_list(F.struct("start", "n")).alias("found"))
     marked = keyed.join(marks, _same_row(keyed, marks), "left").select(keyed["doc_id"], "text", "found")
     return _cut(marked, id_type)
 
