@@ -152,3 +152,16 @@ def test_bound_follows_the_threshold(percent):
             segments, near = set_join.plan(band, percent)
             assert (2 * segments if near else segments) > differ
             assert b < starts[band + 1] or (b < starts[band + 2] and 100 * (starts[band + 1] - 1) >= percent * b)
+
+
+def test_keep_one_judges_rows_by_their_own_text(spark):
+    """Texts that share an id are rows of their own; copies without an id are copies."""
+    text = " ".join(f"a{i}" for i in range(40))
+    clean, other = " ".join(f"z{i}" for i in range(40)), " ".join(f"c{i}" for i in range(40))
+    rows = [(1, text), (7, text + " x"), (7, clean), (None, other), (None, other), (None, other + " y"), (None, text), (9, ""), (8, ""), (8, ""), (5, None)]
+    docs = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, n_chars int")
+    got = {(r.doc_id, r.text) for r in set_join.keep_one(docs).collect()}
+    kept_other = got & {(None, other), (None, other + " y")}
+    assert len(kept_other) == 1
+    assert got - kept_other == {(1, text), (7, clean), (9, ""), (8, ""), (5, None)}
+    assert set_join.keep_one(docs).count() == 6 and set_join.keep_one(docs).columns == docs.columns

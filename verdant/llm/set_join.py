@@ -229,7 +229,8 @@ def groups(docs: DataFrame, *, n: int = 4, percent: int = PERCENT, id_col: str =
     classes = named.groupBy(*digest).agg(F.min("doc_id").alias("rep"))
     reps = classes.where(F.col("n_shingles") >= band_starts(percent)[0]).select(F.col("rep").alias("doc_id"))
     indexed = index(rows, n, percent).join(reps, "doc_id", "left_semi").select("doc_id", F.explode("keys").alias("key"))
-    shared = indexed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    # repeated rows alone share nothing
+    shared = indexed.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("key")
     found = stored(indexed.join(shared, "key", "left_semi").distinct(), "found")
     # the smallest document of every key that several classes share
     pivots = found.groupBy("key").agg(F.min("doc_id").alias("pivot"))
@@ -249,11 +250,15 @@ def groups(docs: DataFrame, *, n: int = 4, percent: int = PERCENT, id_col: str =
 
 
 def keep_one(docs: DataFrame, *, n: int = 4, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each component, the one with the least id, and each id once; rows without an id stay."""
-    found = groups(docs, n=n, percent=percent, id_col=id_col, text_col=text_col)
-    gone = stored(found.where("component_id < doc_id").select(F.col("doc_id").alias(id_col)).distinct(), "gone")
-    named = docs.where(F.col(id_col).isNotNull()).join(gone, id_col, "left_anti").dropDuplicates([id_col])
-    return named.unionByName(docs.where(F.col(id_col).isNull()))
+    """``docs`` with one row of each group, the one with the least id (null is the greatest).
+
+    Rows are named by a hash of id and text, so texts that share an id are judged apart; of repeated rows one stays.
+    """
+    keyed = docs.withColumn("_name", F.xxhash64(F.col(id_col), F.col(text_col)))
+    names = keyed.select("_name", F.col(id_col).alias("id")).distinct()
+    found = groups(keyed, n=n, percent=percent, id_col="_name", text_col=text_col).select(F.col("doc_id").alias("_name"), "component_id").distinct()
+    least = names.join(found, "_name").groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull(), "id", "_name"))["_name"].alias("_name"))
+    return keyed.join(stored(least.select("_name"), "least"), "_name", "left_semi").dropDuplicates(["_name"]).drop("_name")
 
 
 def _across(star: DataFrame, found: DataFrame, sketched: DataFrame, percent: int) -> DataFrame:
