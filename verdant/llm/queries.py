@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verdant.llm import decontamination, packing, pii, quality, repeats, secrets, set_join, spans, token_files, url_filter, vector_search
+from verdant.llm import bpe, decontamination, packing, pii, quality, repeats, secrets, set_join, spans, token_files, url_filter, vector_search
 from verdant.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
+BYTE_TOKENIZER = "byte_bpe_50k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -93,6 +94,14 @@ def op10_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return set_join.groups(table(spark, sf_dir, "documents"))
 
 
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(BYTE_TOKENIZER)
+    coded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    back = bpe.decode(coded.select("doc_id", "ids"), path)
+    return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+                       F.sha2("text", 256).alias("decoded_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -111,6 +120,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_files": op8_token_files,
         "op9_pii": op9_pii,
         "op10_set_join": op10_set_join,
+        "op12_bpe": op12_bpe,
         "pipeline": pipeline,
     }
 
