@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verdant.llm import bpe, decontamination, packing, pii, quality, repeats, secrets, set_join, spans, token_files, url_filter, vector_search
+from verdant.llm import bpe, collocations, decontamination, packing, pii, quality, repeats, secrets, set_join, spans, token_files, url_filter, vector_search
 from verdant.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -94,6 +94,35 @@ def op10_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return set_join.groups(table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = r"""
+WITH pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+places AS (SELECT lang, w, k, unnest(range(1, CAST(len(w) AS BIGINT) - k + 2)) AS i FROM pieces CROSS JOIN range(1, 6) AS t(k)),
+f AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS a FROM places GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND a >= 100),
+held AS (
+  SELECT lang, array_to_string(w[i:i + size - 1], ' ') AS phrase, max(a) AS longer FROM (
+    SELECT lang, w, a, size, unnest(range(1, k - size + 2)) AS i FROM candidates CROSS JOIN range(2, 5) AS t(size) WHERE size < k) GROUP BY ALL),
+kept AS (SELECT c.* FROM candidates c LEFT JOIN held h ON c.lang = h.lang AND c.phrase = h.phrase WHERE h.longer IS NULL OR 100 * h.longer < 100 * c.a),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, cut, x.a AS l, y.a AS r, n.n, (CAST(1000 AS HUGEINT) * c.a * n.n) // (CAST(x.a AS HUGEINT) * y.a) AS score
+  FROM kept c CROSS JOIN range(1, 5) AS t(cut) JOIN n ON n.lang = c.lang
+  JOIN f x ON x.lang = c.lang AND x.k = cut AND x.phrase = array_to_string(c.w[1:cut], ' ')
+  JOIN f y ON y.lang = c.lang AND y.k = c.k - cut AND y.phrase = array_to_string(c.w[cut + 1:c.k], ' ')
+  WHERE cut < c.k),
+weakest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM weakest QUALIFY rank <= 2000
+"""
+
+
 def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(BYTE_TOKENIZER)
     coded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
@@ -120,10 +149,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_files": op8_token_files,
         "op9_pii": op9_pii,
         "op10_set_join": op10_set_join,
+        "op11_collocations": op11_collocations,
         "op12_bpe": op12_bpe,
         "pipeline": pipeline,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op11_collocations": OP11_SQL}
