@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verdant.llm import bpe, collocations, decontamination, packing, pii, quality, repeats, secrets, set_join, spans, token_files, url_filter, vector_search
+from verdant.llm import bpe, collocations, decontamination, lexical_search, packing, pii, quality, repeats, secrets, set_join, spans, token_files, url_filter, vector_search
 from verdant.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -131,6 +131,27 @@ def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("text", 256).alias("decoded_sha256"))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+s AS (SELECT count(*) AS docs, CAST(sum(len(w)) AS BIGINT) AS terms FROM d WHERE len(w) > 0),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+tf AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, CAST(len(w) AS BIGINT) AS n, unnest(w) AS term FROM d) GROUP BY ALL),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf CROSS JOIN s GROUP BY term, docs),
+scores AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms)))) AS BIGINT) AS score
+  FROM q JOIN tf USING (term) JOIN weights USING (term) CROSS JOIN s GROUP BY item_id, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 10
+"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -151,9 +172,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_set_join": op10_set_join,
         "op11_collocations": op11_collocations,
         "op12_bpe": op12_bpe,
+        "op13_lexical_search": op13_lexical_search,
         "pipeline": pipeline,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op11_collocations": OP11_SQL}
+    return {"op11_collocations": OP11_SQL, "op13_lexical_search": OP13_SQL}
