@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import string
 from collections.abc import Iterator
-from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -27,21 +26,46 @@ from verdant.llm.hashed_features import logistic
 MAX_TRAIN = 20_000
 BITS = 16
 GRAMS = (3, 4, 5)
-RIDGE = 1e-3
-
-#: Parts of which the default labelled table is made: names of unwanted and of ordinary sites, and paths.
-UNWANTED = ("casino-win", "online-casino", "free-bets", "bets-now", "cheap-pills", "pills-shop", "adult-x", "adult-cams", "spam-farm",
-            "link-farm", "ads-track", "click-track", "win-cash", "cheap-loans", "free-xxx")
-ORDINARY = ("riverside", "nationlib", "thetimes", "motion", "theatre", "stationery", "tablet", "trackside", "farmers", "winter",
-            "freedom", "betterhomes", "shine", "attention", "northern", "edition", "blethering", "thistle", "emotions", "adsorption")
-PLACES = (("", "com"), ("www.", "net"), ("blog.", "org"), ("m.", "example.com"), ("", "example.org"), ("www.", "example.net"))
-PATHS = ("", "/", "/en/12", "/de/734/", "/fr/5.html", "/es/98")
+RIDGE = 1e-5
+
+#: The default labelled table is made of site names, each a word beside a neutral one.  Words of unwanted sites by subject,
+#: and of ordinary ones; the neutral words stand beside both kinds alike.
+UNWANTED = {
+    "gambling": ("casino", "poker", "roulette", "jackpot", "bets", "betting", "slots", "lottery", "blackjack", "bingo", "wager"),
+    "pharmacy": ("pills", "viagra", "pharma", "steroids", "dieting", "painkiller", "meds"),
+    "adult": ("adult", "porn", "xxx", "cams", "escort", "naked", "sexy"),
+    "spam": ("spam", "backlinks", "linkswap", "spinner", "doorway", "clickbait"),
+    "tracking": ("ads", "adserver", "banners", "popunder", "tracker", "clicks", "pixel"),
+    "money": ("payday", "loans", "cash", "bitcoins", "getrich", "prizes"),
+}
+ORDINARY = ("library", "museum", "university", "recipes", "garden", "news", "weather", "travel", "science", "sports", "music", "football",
+            "history", "theatre", "physics", "cooking", "school", "hospital", "council", "railway", "poetry", "gazette", "chronicle", "observer",
+            "institute", "foundation", "archive", "village", "mountain", "river", "harbour", "kitchen", "painting", "photo", "letters", "reading",
+            "writing", "nature", "birds", "weekly", "times", "review", "journal", "society", "church", "market", "cinema", "tennis", "cycling",
+            "sailing", "planet", "energy", "climate", "health", "family", "children", "teacher", "student", "research", "software", "network",
+            "northern", "southern", "central", "national", "federation", "association", "statistics", "thistle", "heather", "other", "another",
+            "station", "nation", "motion", "tion", "the", "there", "therein", "three", "that", "able", "stable", "reading", "meeting", "ethics")
+BESIDE = ("best", "top", "mega", "royal", "lucky", "online", "hub", "zone", "world", "club", "city", "house")
+PLACES = (("", "com"), ("www.", "net"), ("blog.", "org"), ("m.", "info"), ("", "co.uk"), ("www.", "eu"))
+PATHS = ("", "/", "/index.html", "/a/12", "/about/", "/2/734/", "/news/5.html", "/item?id=98")
+
+
+def site_names() -> list[tuple[str, str, int]]:
+    """(name, word, unwanted) of the sites in the default table: a word before, after and joined to neutral words in turn."""
+    words = [(w, 1) for subject in UNWANTED.values() for w in subject] + [(w, 0) for w in dict.fromkeys(ORDINARY)]
+    out = []
+    for i, (word, unwanted) in enumerate(words):
+        for k in range(4):
+            beside = BESIDE[(5 * i + k) % len(BESIDE)]
+            out.append(((f"{beside}-{word}", f"{word}-{beside}", f"{word}{beside}", f"{beside}{word}")[k], word, unwanted))
+        out.append((word, word, unwanted))
+    return out
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    """The default training table (url, unwanted): every name at every place, with the paths in turn."""
-    rows = [(f"https://{sub}{name}.{end}{PATHS[i % len(PATHS)]}", int(name in UNWANTED))
-            for i, (name, (sub, end)) in enumerate(product((*UNWANTED, *ORDINARY), PLACES))]
+    """The default training table (url, unwanted): every name at some places, with the paths in turn."""
+    rows = [(f"https://{sub}{name}.{end}{PATHS[(i + k) % len(PATHS)]}", unwanted)
+            for i, (name, _, unwanted) in enumerate(site_names()) for k, (sub, end) in enumerate(PLACES[i % 2 :: 2])]
     return spark.createDataFrame(rows, "url string, unwanted int")
 
 
