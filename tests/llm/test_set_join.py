@@ -20,8 +20,8 @@ def sets(rows, n=4):
     return out
 
 
-def brute(rows):
-    every, parent = sets(rows), {}
+def brute(rows, n=4, percent=85):
+    every, parent = sets(rows, n), {}
 
     def find(x):
         while parent.setdefault(x, x) != x:
@@ -33,7 +33,7 @@ def brute(rows):
         for b in ids:
             if a < b:
                 common = len(every[a] & every[b])
-                if 100 * common >= 85 * (len(every[a]) + len(every[b]) - common):
+                if 100 * common >= percent * (len(every[a]) + len(every[b]) - common):
                     p, q = find(a), find(b)
                     parent[max(p, q)] = min(p, q)
     return {i: (len(every[i]), find(i)) for i in every}

@@ -54,7 +54,8 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> list[np.ndarr
     h, count = words.hash, len(words.hash)
     rolled = np.zeros(count, np.uint64)
     for k in range(n):
-        rolled[: count - k] += h[k:] * _ODD[k % 4] * np.uint64(2 * (k // 4) + 1)
+        keep = max(0, count - k)
+        rolled[:keep] += h[k:] * _ODD[k % 4] * np.uint64(2 * (k // 4) + 1)
     rolled = mix(rolled)
     out = []
     for a, b in zip(words.first.tolist(), words.first[1:].tolist()):
@@ -254,11 +255,15 @@ def keep_one(docs: DataFrame, *, n: int = 4, percent: int = PERCENT, id_col: str
 
     Rows are named by a hash of id and text, so texts that share an id are judged apart; of repeated rows one stays.
     """
-    keyed = docs.withColumn("_name", F.xxhash64(F.col(id_col), F.col(text_col)))
-    names = keyed.select("_name", F.col(id_col).alias("id")).distinct()
-    found = groups(keyed, n=n, percent=percent, id_col="_name", text_col=text_col).select(F.col("doc_id").alias("_name"), "component_id").distinct()
-    least = names.join(found, "_name").groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull(), "id", "_name"))["_name"].alias("_name"))
-    return keyed.join(stored(least.select("_name"), "least"), "_name", "left_semi").dropDuplicates(["_name"]).drop("_name")
+    own = "_name"
+    while own in (c.lower() for c in docs.columns):
+        own += "_"
+    rows = docs.select(F.xxhash64(F.col(id_col), F.col(text_col)).alias("name"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    found = groups(rows, n=n, percent=percent, id_col="name").select(F.col("doc_id").alias("name"), "component_id").distinct()
+    least = (rows.select("name", "id").distinct().join(found, "name").groupBy("component_id")
+             .agg(F.min(F.struct(F.col("id").isNull(), "id", "name"))["name"].alias(own)))
+    keyed = docs.withColumn(own, F.xxhash64(F.col(id_col), F.col(text_col)))
+    return keyed.join(stored(least.select(own), "least"), own, "left_semi").dropDuplicates([own]).drop(own)
 
 
 def _across(star: DataFrame, found: DataFrame, sketched: DataFrame, percent: int) -> DataFrame:
