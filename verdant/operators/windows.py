@@ -47,6 +47,23 @@ def window_metrics_by_source(events: DataFrame, time_col: str = "event_time", wi
     return window_metrics(events, SOURCE_KEYS, time_col, window, watermark)
 
 
+def window_tables(events: DataFrame, tables: dict[str, Sequence[str]], time_col: str = "event_time", window: str = S.WINDOW_DURATION,
+                  watermark: str | None = None) -> DataFrame:
+    """The rows of several tables, each with its own keys, by one aggregate: ``table_name``, all keys (NULL where a
+    table has them not), and the metrics.
+
+    Every event stands once for each table, with that table's name and keys, before the partial aggregate of its task;
+    what is shuffled, and kept as a stream's state, is the windows of all tables.
+    """
+    if watermark:
+        events = events.withWatermark(time_col, watermark)
+    keys = list(dict.fromkeys(k for ks in tables.values() for k in ks))
+    stand = F.array(*[F.struct(F.lit(name).alias("table_name"), *[F.col(k).alias(k) if k in ks else F.lit(None).cast("string").alias(k) for k in keys])
+                      for name, ks in tables.items()])
+    rows = events.select(F.col(time_col).alias("_time"), "temperature_c", "humidity_pct", "co2_ppm", F.inline(stand))
+    return window_metrics(rows, ("table_name", *keys), "_time", window)
+
+
 # ---- one scan, several key sets: keep sums and non-NULL counts, divide last ----
 
 _SUM_SPECS = (("temperature_c", "avg_temperature"), ("humidity_pct", "avg_humidity"), ("co2_ppm", "avg_co2"))

@@ -30,6 +30,8 @@ class JobOptions:
     max_offsets_per_trigger: int | None = None
     # A rejects query reads the source a third time; opt in.
     write_rejects: bool = False
+    # One query for both tables: one read of the source, one commit for both.
+    shared_tables: bool = False
     # Compact each table after every N-th micro-batch (None, or COMPACT_EVERY=0: never from the stream).
     compact_every: int | None = COMPACT_EVERY
     extra_source_options: Mapping[str, str] = field(default_factory=dict, hash=False)
@@ -58,6 +60,7 @@ class JobOptions:
             processing_time=get("TRIGGER_INTERVAL", base.processing_time),
             max_offsets_per_trigger=int(get("MAX_OFFSETS_PER_TRIGGER", 0)) or None,
             write_rejects=get("WRITE_REJECTS", "0").lower() in ("1", "true", "yes"),
+            shared_tables=get("SHARED_TABLES", "0").lower() in ("1", "true", "yes"),
             compact_every=int(get("COMPACT_EVERY", base.compact_every)) or None,
             extra_source_options=extra,
         )

@@ -333,7 +333,8 @@ def q_crop_events(spark, sf):
                      F.array_join("imputed", ",").alias("imputed"), "reject_reason")
 
 
-def _crop_sql() -> str:
+def crop_sql(raw: str = FX.CROP_CSV_SQL, key: str = "event_id") -> str:
+    """Events of crop rows; ``key`` is what imputed values are drawn from."""
     lo_hi = S.CROP_IMPUTE
     src = {"temperature_c": "avg_temperature_C", "humidity_pct": "humidity_percent", "co2_ppm": "co2_ppm",
            "soil_moisture_pct": "irrigation_mm", "light_lux": "light_intensity_lux"}
@@ -349,7 +350,7 @@ def _crop_sql() -> str:
             given = (f"CASE WHEN {parsed} IS NULL THEN NULL ELSE greatest({_d(S.SOIL_MIN)}, "
                      f"least({_d(S.SOIL_MAX)}, {parsed} * {_d(S.IRRIGATION_SCALE)})) END")
         lo, hi = lo_hi[out]
-        vals.append(f"{sql_round(f'CASE WHEN {missing} THEN {sql_impute(out, lo, hi, 'event_id')} ELSE {given} END', 2)}"
+        vals.append(f"{sql_round(f'CASE WHEN {missing} THEN {sql_impute(out, lo, hi, key)} ELSE {given} END', 2)}"
                     f" AS {out}")
         miss.append(f"CASE WHEN {missing} THEN '{out}' END")
         bad.append(f"WHEN NOT {missing} AND {parsed} IS NULL THEN 'bad_number:{col}'")
@@ -360,12 +361,12 @@ def _crop_sql() -> str:
     zones = "[" + ", ".join(f"'{z}'" for z in S.ZONES) + "]"
     crop_type = f"lower(coalesce(nullif(crop_type, ''), '{S.CROP_TYPE_DEFAULT}'))"
     return f"""
-WITH raw AS ({FX.CROP_CSV_SQL}),
+WITH raw AS ({raw}),
 p AS (SELECT *, {gh_num} AS gh_num FROM raw)
 SELECT event_id,
        printf('crop-%s-%04d', {crop_type}, event_id) AS sensor_id,
        CASE WHEN gh_num IS NULL THEN NULL ELSE {greenhouses}[((gh_num - 1) % 3 + 3) % 3 + 1] END AS greenhouse_id,
-       {zones}[{sql_hash_u32('zone', 'event_id')} % 4 + 1] AS zone,
+       {zones}[{sql_hash_u32('zone', key)} % 4 + 1] AS zone,
        {', '.join(vals)},
        '{S.SOURCE_CSV}' AS data_source,
        '{S.TOPIC_CSV}' AS source_topic,
@@ -375,7 +376,7 @@ SELECT event_id,
 FROM p"""
 
 
-CROP_SQL = _crop_sql()
+CROP_SQL = crop_sql()
 
 
 def _responses(spark, sf) -> DataFrame:
@@ -982,7 +983,9 @@ def queries() -> dict[str, QueryFn]:
     out["panel_12_detail"] = q_panel_12_detail
     out["table_panel_01"] = q_table_panel_01
     out["detail_footer"] = q_detail_footer
-    return out
+    from verdant.plans import live  # needs this module's helpers
+
+    return out | live.queries()
 
 
 def oracle_sql() -> dict[str, str]:
@@ -1036,7 +1039,9 @@ def oracle_sql() -> dict[str, str]:
     out["panel_12_detail"] = DETAIL_SQL
     out["table_panel_01"] = _panel_sql(1)
     out["detail_footer"] = _footer_sql()
-    return out
+    from verdant.plans import live
+
+    return out | live.oracle_sql()
 
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:

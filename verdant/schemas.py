@@ -164,4 +164,12 @@ WINDOW_METRICS_BY_SOURCE = TableSpec(
     partition_column="data_source",
     sort_order=(("window_start", False), ("greenhouse_id", True)),
 )
+# Both tables in one, for a job that writes them by one commit; columns a table does not have are NULL.
+WINDOW_TABLES = TableSpec(
+    "window_tables",
+    T.StructType([T.StructField("table_name", T.StringType())] + WINDOW_METRICS_BY_SOURCE_SCHEMA.fields),
+    primary_key=("table_name", "data_source", "source_topic", "greenhouse_id", "window_start"),
+    partition_column="table_name",
+    sort_order=(("window_start", False), ("data_source", True), ("greenhouse_id", True)),
+)
 LEGACY_BY_SOURCE_KEY = ("data_source", "window_start", "greenhouse_id")

@@ -181,48 +181,59 @@ class UpsertTable:
         order = [F.col(spec.partition_column)] + [F.col(c).asc() if asc else F.col(c).desc() for c, asc in spec.sort_order]
         return df.repartitionByRange(*order).sortWithinPartitions(*order)
 
-    def write_batch(self, df: DataFrame, batch_id: int, observe: bool = True) -> int | None:
-        """Write one batch and commit it; the same batch of the same writer again replaces it.
-        Returns the number of rows written (observed during the write, no extra job)."""
-        spec, spark = self.spec, df.sparkSession
-        typed = []
-        for f in spec.schema.fields:
+    def _typed(self, df: DataFrame) -> DataFrame:
+        out = []
+        for f in self.spec.schema.fields:
             c = F.col(f.name)
             if isinstance(f.dataType, T.TimestampType) and isinstance(df.schema[f.name].dataType, T.TimestampNTZType):
                 c = utc_instant(c)  # a naive time is a UTC wall clock
-            typed.append(c.cast(f.dataType).alias(f.name))
-        out = self._dealt(df.select(*typed))
-        observed = Observation(f"rows_{spec.name}") if observe else None
+            out.append(c.cast(f.dataType).alias(f.name))
+        return df.select(*out)
+
+    def _sorted(self, df: DataFrame) -> DataFrame:
+        """Each partition as it is, sorted: one pass over the rows, files merged by the next compaction."""
+        order = [F.col(self.spec.partition_column)] + [F.col(c).asc() if asc else F.col(c).desc() for c, asc in self.spec.sort_order]
+        most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # as many as a stateful aggregation has
+        return df.coalesce(most).sortWithinPartitions(*order)
+
+    def write_batch(self, df: DataFrame, batch_id: int, observe: bool = True) -> int | None:
+        """Write one batch and commit it; the same batch of the same writer again replaces it.
+        Returns the number of rows written (observed during the write, no extra job)."""
+        return self._write(self._dealt(self._typed(df)), int(batch_id), observe)
+
+    def _write(self, out: DataFrame, batch_id: int, observe: bool = True, skip_empty: bool = False) -> int | None:
+        """Write rows to a folder of their own, then commit it; with ``skip_empty`` a folder without rows goes instead."""
+        spark = out.sparkSession
+        observed = Observation(f"rows_{self.spec.name}") if observe else None
         if observed is not None:  # after the range partitions, whose bounds take a pass of their own
             out = out.observe(observed, F.count(F.lit(1)).alias("rows"))
         commit = uuid.uuid4().hex
         out.write.parquet(self.data_path(commit))
+        rows = int(observed.get["rows"]) if observed is not None else None
+        if skip_empty and rows == 0:
+            hpath, fs = _fs(spark, self.data_path(commit))
+            fs.delete(hpath, True)
+            return 0
         earlier = [e for e in self.entries(spark)
-                   if e.kind == "commit" and (e.writer, e.batch) == (_digest(self.run_id), int(batch_id))]
-        self._append(spark, "commit", self.priority, min((e.sequence for e in earlier), default=None), int(batch_id), commit)
-        return int(observed.get["rows"]) if observed is not None else None
+                   if e.kind == "commit" and (e.writer, e.batch) == (_digest(self.run_id), batch_id)]
+        self._append(spark, "commit", self.priority, min((e.sequence for e in earlier), default=None), batch_id, commit)
+        return rows
 
     def foreach_batch(self) -> Callable[[DataFrame, int], None]:
-        """Micro-batch callback: skip empty batches, write once, report the row count.
+        """Micro-batch callback: one job writes the batch and counts it; an empty one leaves nothing.
 
-        The batch is persisted so the count and the write do not run the
-        stateful aggregation twice; nothing is collected to the driver.
+        The rows stay in the partitions of the stateful aggregation, so it runs once and nothing is cached.
         """
         def write(batch_df: DataFrame, batch_id: int) -> None:
             # the query's id stays the same over restarts from its checkpoint, and is new with a new one
             query = batch_df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
             if query:
                 self.run_id = f"stream-{query}"
-            batch_df.persist()
-            try:
-                rows = batch_df.count()
-                if rows > 0:
-                    self.write_batch(batch_df, batch_id, observe=False)
-                    log.info("table=%s batch=%s rows=%s persisted", self.spec.name, batch_id, rows)
-                    if self.report is not None:
-                        self.report(self.spec.name, int(batch_id), int(rows))
-            finally:
-                batch_df.unpersist()
+            rows = self._write(self._sorted(self._typed(batch_df)), int(batch_id), skip_empty=True)
+            if rows:
+                log.info("table=%s batch=%s rows=%s persisted", self.spec.name, batch_id, rows)
+                if self.report is not None:
+                    self.report(self.spec.name, int(batch_id), rows)
             if self.compact_every and (int(batch_id) + 1) % self.compact_every == 0:
                 try:
                     self.compact(batch_df.sparkSession)

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from verdant import schemas as S
 from verdant.operators.ordinals import split_columns, with_file_ordinals
+from verdant.sources.growing_lines import GrowingLinesSource
 
 
 def read_crop_csv(spark: SparkSession, path: str, ordinal_col: str | None = "event_id") -> DataFrame:
@@ -60,3 +61,30 @@ def stream_crop_csv(spark: SparkSession, folder: str, header_columns: Sequence[s
     cols = [F.col(present[c.lower()]).alias(c) if c.lower() in present else F.lit(None).cast("string").alias(c)
             for c in S.CROP_CSV_COLUMNS]
     return raw.select(*(split_columns() if with_split_columns else []), *cols)
+
+
+def stream_growing_csv(spark: SparkSession, folder: str, progress: str, header_columns: Sequence[str] = S.CROP_CSV_COLUMNS,
+                       max_bytes_per_trigger: int | None = None) -> DataFrame:
+    """Rows appended to the CSV files of ``folder``, and rows of new files, as a stream: each row once.
+
+    Columns as :func:`stream_crop_csv`, with ``_split_file`` and ``_split_start`` for row numbers and ``_position``,
+    the row's first byte.  Every file's first line is its header, which must name ``header_columns``; blank lines are no
+    rows.  A row has no line breaks inside quotes.
+    """
+    spark.dataSource.register(GrowingLinesSource)
+    reader = spark.readStream.format("growinglines").option("path", folder).option("progress", progress)
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in header_columns])
+    text = F.col("line").cast("string")
+    parsed = F.from_csv(text, schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "))
+    names = F.array(*[F.lower(F.col("row")[c]) for c in header_columns])
+    expected = F.array(*[F.lit(c.lower()) for c in header_columns])
+    is_header = F.col("position") == 0
+    wrong = F.raise_error(F.concat(F.lit("unexpected header in "), F.col("file"))).cast("boolean")
+    rows = (reader.load().where(F.length(F.trim(text)) > 0).select("file", "split", "position", parsed.alias("row"))
+            .where(F.when(is_header, F.when(names == expected, F.lit(False)).otherwise(wrong)).otherwise(F.lit(True))))
+    present = {c.lower(): c for c in header_columns}
+    cols = [F.col("row")[present[c.lower()]].alias(c) if c.lower() in present else F.lit(None).cast("string").alias(c)
+            for c in S.CROP_CSV_COLUMNS]
+    return rows.select(F.col("file").alias("_split_file"), F.col("split").alias("_split_start"), F.col("position").alias("_position"), *cols)

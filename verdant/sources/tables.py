@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verdant.schemas import WINDOW_METRICS, WINDOW_METRICS_BY_SOURCE, TableSpec
+from verdant.schemas import WINDOW_METRICS, WINDOW_METRICS_BY_SOURCE, WINDOW_TABLES, TableSpec
 from verdant.sinks.upsert import UpsertTable
 
 TABLES = {t.name: t for t in (WINDOW_METRICS, WINDOW_METRICS_BY_SOURCE)}
@@ -20,6 +20,12 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return open_table(root, name).latest(spark)
 
 
+def read_shared_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """One of the two tables as a job that writes both by one commit left it (the filter reaches the scan)."""
+    both = UpsertTable(f"{root.rstrip('/')}/{WINDOW_TABLES.name}", WINDOW_TABLES).latest(spark)
+    return both.where(F.col("table_name") == name).select(*TABLES[name].columns)
+
+
 def in_table_order(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Rows in the table's key order: partition column, then its clustering order
     (window_metrics: newest window first; by-source: newest first, then greenhouse)."""

@@ -21,7 +21,7 @@ from verdant.operators.normalize import normalize_crop_rows, normalize_observati
 from verdant.operators.ordinals import number_rows_in_files
 from verdant.sinks.publish import to_keyed_records, write_records
 from verdant.sinks.upsert import path_exists
-from verdant.sources.csv import stream_crop_csv
+from verdant.sources.csv import stream_crop_csv, stream_growing_csv
 from verdant.sources.observations import parse_observation_array
 
 REJECT_COLUMNS = ("event_id", "sensor_id", "reject_reason")
@@ -111,6 +111,54 @@ def start_crop_ingest(spark: SparkSession, folder: str, checkpoint: str, fmt: st
     return writer.start()
 
 
+def _rows_before(spark: SparkSession, totals: str, batch_id: int) -> DataFrame:
+    """(_split_file, before): rows of every file in the batches before this one."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(totals)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+    earlier = [n for n in (int(x.partition("=")[2]) for x in names if x.startswith("batch_id=")) if n < batch_id]
+    for old in sorted(earlier)[:-2]:  # totals are of all batches so far: the last ones are enough
+        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{totals}/batch_id={old}"), True)
+    if not earlier:
+        return spark.createDataFrame([], "_split_file string, before long")
+    return spark.read.schema("_split_file string, before long").parquet(f"{totals}/batch_id={max(earlier)}")
+
+
+def start_growing_crop_ingest(spark: SparkSession, folder: str, checkpoint: str, fmt: str = "parquet",
+                              path: str | None = None, options: Mapping[str, str] | None = None,
+                              rejects_path: str | None = None, max_bytes_per_trigger: int | None = 1 << 30,
+                              header_columns: Sequence[str] = S.CROP_CSV_COLUMNS, ingest_time: Column | None = None,
+                              trigger_available_now: bool = False) -> StreamingQuery:
+    """Rows appended to CSV files -> events numbered 1..n in each file, over all batches -> records on the CSV topic.
+
+    How many rows of each file earlier batches had is kept beside the checkpoint, one row a file, written once a batch.
+    """
+    _check_target(fmt, path, options)
+    stream = stream_growing_csv(spark, folder, f"{checkpoint}/source_progress", header_columns, max_bytes_per_trigger)
+    totals = f"{checkpoint.rstrip('/')}_rows"
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        df.persist()  # numbering reads the batch twice; both passes must see the same rows
+        try:
+            session = df.sparkSession
+            before = _rows_before(session, totals, batch_id)
+            rows = df.drop("_position").withColumn("_file", F.col("_split_file"))
+            numbered = (number_rows_in_files(rows, "event_id").join(before.withColumnRenamed("_split_file", "_file"), "_file", "left")
+                        .withColumn("event_id", F.col("event_id") + F.coalesce("before", F.lit(0))).drop("before"))
+            events = normalize_crop_rows(numbered, ingest_time=ingest_time, impute_keys=[F.col("event_id"), F.col("_file")])
+            _publish(events, S.TOPIC_CSV, batch_id, fmt, path, options, rejects_path)
+            counted = df.groupBy("_split_file").agg(F.count(F.lit(1)).alias("before")).unionByName(before)
+            _write_once(session, counted.groupBy("_split_file").agg(F.sum("before").alias("before")), "parquet", f"{totals}/batch_id={batch_id}", None)
+        finally:
+            df.unpersist()
+
+    writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(batch)
+    if trigger_available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
+
+
 def weather_events_stream(spark: SparkSession, folder: str, greenhouse_id: str = S.GREENHOUSES[0],
                           ingest_time: Column | None = None, max_files_per_trigger: int | None = 1000) -> DataFrame:
     """Each new response file (one JSON array) -> one weather event.

@@ -10,8 +10,13 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 log = logging.getLogger(__name__)
 
 
+#: Name of the metrics observed on what a query writes: ``rows``, and ``rows_<table>`` where it writes several tables.
+WRITTEN = "written"
+
+
 def _summary(p) -> dict:
     ops = p.stateOperators or []
+    written = (p.observedMetrics or {}).get(WRITTEN)
     return {
         "name": p.name,
         "batch_id": p.batchId,
@@ -20,6 +25,9 @@ def _summary(p) -> dict:
         # rows (after the partial aggregate) dropped as late, over all stateful operators
         "late_rows_dropped": sum(op.numRowsDroppedByWatermark for op in ops),
         "state_rows": sum(op.numRowsTotal for op in ops),
+        # rows handed to the sink, counted while they are written (None for queries that observe nothing)
+        "rows_written": written.asDict() if written is not None else None,
+        "sources": len(p.sources),
     }
 
 
@@ -39,8 +47,8 @@ class BatchReportListener(StreamingQueryListener):
 
     def onQueryProgress(self, event):
         s = _summary(event.progress)
-        log.info("query=%s batch=%s rows=%s watermark=%s late=%s", s["name"], s["batch_id"], s["input_rows"],
-                 s["watermark"], s["late_rows_dropped"])
+        log.info("query=%s batch=%s rows=%s watermark=%s late=%s written=%s", s["name"], s["batch_id"], s["input_rows"],
+                 s["watermark"], s["late_rows_dropped"], s["rows_written"])
         if self.on_report is not None:
             self.on_report(s)
 
