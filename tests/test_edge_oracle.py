@@ -76,14 +76,14 @@ def _rows(cols, records):
     return sorted(tuple(_norm(r[i]) for i in order) for r in records)
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(E.catalog.oracle_sql()))  # the fixture has the telemetry tables
 def test_query_matches_sql_twin_on_edge_rows(spark, edge_dir, name):
-    df = E.queries()[name](spark, edge_dir)
+    df = E.catalog.queries()[name](spark, edge_dir)
     got = _rows(df.columns, [tuple(r) for r in df.collect()])
     con = duckdb.connect()
     for t in ("events", "customer"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{edge_dir}/{t}.parquet')")
-    res = con.execute(E.oracle_sql()[name])
+    res = con.execute(E.catalog.oracle_sql()[name])
     cols = [d[0] for d in res.description]
     assert sorted(cols) == sorted(df.columns)
     assert got == _rows(cols, res.fetchall())

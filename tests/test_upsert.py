@@ -282,3 +282,59 @@ def test_two_compactions_at_once_do_not_clash(spark, workdir):
     assert first < second
     c = UpsertTable(workdir + "/wm", S.WINDOW_METRICS)
     assert c.current_base(spark) == second and c.latest(spark).count() == 1
+
+
+def test_nightly_jobs_leave_two_folders(spark, workdir):
+    """Every batch job is a writer of its own: after compaction and expiry its rows are in the base alone."""
+    import os
+
+    for night in range(10):
+        t = UpsertTable(workdir + "/wm", S.WINDOW_METRICS)
+        t.write_batch(_wm(spark, [("gh-0", T0, T1, 1.0, 1.0, 1.0, night), (f"gh-{night}", T0, T1, 1.0, 1.0, 1.0, night)]), night)
+    t.compact(spark)
+    before = sorted(tuple(r) for r in t.latest(spark).collect())
+    assert t.expire(spark, grace_seconds=0) == 9
+    assert len(os.listdir(workdir + "/wm/data")) == 2  # the base and the last commit
+    assert len([n for n in os.listdir(workdir + "/wm/_log") if not n.startswith(".")]) == 4  # their entries and claims
+    assert sorted(tuple(r) for r in t.latest(spark).collect()) == before and len(before) == 10
+
+
+def test_streams_stay_known_while_they_live(spark, workdir):
+    import os
+
+    def stream(k):
+        t = UpsertTable(workdir + "/wm", S.WINDOW_METRICS, run_id=f"stream-{k}")
+        t._is_stream = True
+        return t
+
+    for k in range(3):
+        for batch in range(3):
+            stream(k).write_batch(_wm(spark, [(f"gh-{k}", T0, T1, 1.0, 1.0, 1.0, batch)]), batch)
+    job = UpsertTable(workdir + "/wm", S.WINDOW_METRICS)
+    job.write_batch(_wm(spark, [("gh-0", T0, T1, 1.0, 1.0, 1.0, 99)]), 0)
+    job.compact(spark)
+    job.expire(spark, grace_seconds=0)
+    assert len(os.listdir(workdir + "/wm/data")) == 5  # base, the job's commit, each stream's last
+    stream(0).write_batch(_wm(spark, [("gh-0", T0, T1, 1.0, 1.0, 1.0, 2)]), 2)  # replayed: the job's later row stays current
+    assert {r.greenhouse_id: r.event_count for r in job.latest(spark).collect()} == {"gh-0": 99, "gh-1": 2, "gh-2": 2}
+    job.compact(spark)
+    job.expire(spark, grace_seconds=0, live_seconds=0)
+    assert len(os.listdir(workdir + "/wm/data")) == 2
+    assert {r.greenhouse_id: r.event_count for r in job.latest(spark).collect()} == {"gh-0": 99, "gh-1": 2, "gh-2": 2}
+
+
+def test_what_crashed_writes_left_is_swept(spark, workdir):
+    import os
+
+    t = UpsertTable(workdir + "/wm", S.WINDOW_METRICS, run_id="r1")
+    t.write_batch(_wm(spark, [("gh-0", T0, T1, 1.0, 1.0, 1.0, 1)]), 0)
+    _wm(spark, [("gh-7", T0, T1, 1.0, 1.0, 1.0, 1)]).write.parquet(t.data_path("0" * 32))  # died before its commit
+    t._claim(spark, 2)  # or with a number
+    open(workdir + "/wm/_log/_part", "w").close()  # or with an entry that was not renamed
+    t.expire(spark)
+    assert len(os.listdir(workdir + "/wm/data")) == 2  # a write may still be under way
+    t.expire(spark, grace_seconds=0)
+    assert len(os.listdir(workdir + "/wm/data")) == 1
+    assert sorted(n.split(".")[-1] for n in os.listdir(workdir + "/wm/_log") if not n.startswith("."))[0:1] != ["_part"]
+    assert not os.path.exists(workdir + "/wm/_log/_part") and not os.path.exists(workdir + f"/wm/_log/{2:020d}.claim")
+    assert [r.greenhouse_id for r in t.latest(spark).collect()] == ["gh-0"]

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,7 +46,7 @@ from verdant.sinks.upsert import BACKFILL, UpsertTable
 from verdant.sources.csv import read_crop_csv, read_crop_header
 from verdant.sources.events import read_events_stream
 from verdant.sources.observations import parse_observation_array
-from verdant.sources.tables import read_table
+from verdant.sources.tables import open_table, read_table, stored_places
 from verdant.sources.testdata import SENSOR_VIEW_SQL, load_table, sensor_events
 from verdant.streaming.ingest import start_crop_ingest
 from verdant.streaming.job import start_table_queries
@@ -622,12 +622,54 @@ FROM (SELECT *, row_number() OVER (PARTITION BY data_source, window_start, green
 
 
 def q_table_count(spark, sf):
-    return table_count(_metrics(spark, sf))
+    """The health check: rows of the stored table."""
+    return table_count(_stored_table(spark, sf, S.WINDOW_METRICS.name))
 
 
 def q_table_head(spark, sf):
-    head = table_head(_metrics(spark, sf), [F.col("greenhouse_id").asc(), F.col("window_start").desc()], 5)
-    return _round_doubles(head)
+    """The first rows of the stored table in its key order."""
+    head = table_head(_stored_table(spark, sf, S.WINDOW_METRICS.name), [F.col("greenhouse_id").asc(), F.col("window_start").desc()], 5)
+    return _ntz(_round_doubles(head))
+
+
+def q_upsert_retention(spark, sf):
+    """Ten batch jobs, compactions among them, and expiry: the table's content, and two data folders left."""
+    root, events = scratch_path(spark, "tables", "nightly"), sensor_events(spark, sf)
+    for night in range(10):  # each night's events so far; the last job has them all
+        table = run_batch_job(spark, events.filter(F.col("event_id") % 10 <= night), table_root=root, batch_id=night)
+        if night in (4, 9):
+            table.compact(spark)
+            table.expire(spark, grace_seconds=0)
+    folders = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{table.root}/data")
+    kept = len(folders.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(folders))
+    return _ntz(_round_doubles(table.latest(spark))).withColumn("folders", F.lit(kept))
+
+
+def q_table_row_order(spark, sf):
+    """ORD1, ORD2: where the rows of both stored tables lie, as ranks by place within each partition key.
+
+    Rows of one (window, greenhouse) of a source are in no set order, so each such group has its first place and its size.
+    """
+    root = _once(spark, sf, "ordered_tables", lambda path: [t.compact(spark) for t in run_batch_tables(spark, sensor_events(spark, sf), table_root=path).values()])
+    out = []
+    for spec in (S.WINDOW_METRICS, S.WINDOW_METRICS_BY_SOURCE):
+        key = spec.partition_column
+        places = stored_places(spark, open_table(root, spec.name))
+        ranked = places.withColumn("place", F.row_number().over(Window.partitionBy(key).orderBy("file", "row")))
+        out.append(ranked.groupBy(F.lit(spec.name).alias("table_name"), F.col(key).alias("partition_key"), "window_start", "greenhouse_id").agg(
+            F.min("place").alias("first_place"), F.count(F.lit(1)).alias("n_rows")))
+    return _ntz(union_sources(*out))
+
+
+def _row_order_sql() -> str:
+    parts = []
+    for spec, sql in ((S.WINDOW_METRICS, WM_SQL), (S.WINDOW_METRICS_BY_SOURCE, WMS_SQL)):
+        key = spec.partition_column
+        order = ", ".join(f"{c} {'ASC NULLS FIRST' if asc else 'DESC NULLS LAST'}" for c, asc in spec.sort_order)
+        parts.append(f"""
+SELECT '{spec.name}' AS table_name, {key} AS partition_key, window_start, greenhouse_id, min(place) AS first_place, count(*) AS n_rows
+FROM (SELECT *, CAST(rank() OVER (PARTITION BY {key} ORDER BY {order}) AS INTEGER) AS place FROM ({sql}) w) GROUP BY ALL""")
+    return " UNION ALL ".join(parts)
 
 
 TABLE_COUNT_SQL = f"SELECT count(*) AS row_count FROM ({WM_SQL}) w"
@@ -965,6 +1007,8 @@ def queries() -> dict[str, QueryFn]:
         "stream_window_metrics_by_source": q_stream_window_metrics_by_source,
         "compact_by_source": q_compact_by_source,
         "upsert_mixed_writers": q_upsert_mixed_writers,
+        "upsert_retention": q_upsert_retention,
+        "table_row_order": q_table_row_order,
         "stream_late_rows": q_stream_late_rows,
         "stream_two_tables_restart": q_stream_two_tables_restart,
         "capped_events": q_capped_events,
@@ -1020,6 +1064,8 @@ def oracle_sql() -> dict[str, str]:
         "stream_window_metrics_by_source": STREAM_WMS_SQL,
         "compact_by_source": WMS_SQL,
         "upsert_mixed_writers": MIXED_SQL,
+        "upsert_retention": f"SELECT *, 2 AS folders FROM ({WM_SQL}) w",
+        "table_row_order": _row_order_sql(),
         "stream_late_rows": _late_sql(("greenhouse_id",)),
         "stream_two_tables_restart": TWO_TABLES_SQL,
         "capped_events": ("SELECT event_id, 500 AS cap FROM (SELECT event_id FROM events ORDER BY event_id LIMIT 500) "

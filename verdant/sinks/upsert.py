@@ -50,8 +50,12 @@ VERSION_FIELDS = [T.StructField("priority", T.IntegerType()), T.StructField("seq
                   T.StructField("entry", T.LongType())]
 #: Compact a streamed table after so many of its micro-batches unless told otherwise.
 COMPACT_EVERY = 50
-#: Covered commits and older bases stay readable for so long.
+#: Covered commits and older bases stay readable for so long; what a crashed write left behind goes after it, too.
 GRACE_SECONDS = 24 * 3600
+#: A stream that has written nothing for so long has ended: its last batch is not kept for a replay.
+LIVE_SECONDS = 7 * 24 * 3600
+#: Marks the digests of streams' names in the log.
+STREAM_MARK = "s-"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -106,6 +110,11 @@ class UpsertTable:
         # compact after every N-th micro-batch (None = never from the stream)
         self.compact_every = compact_every
         self.priority = priority
+        self._is_stream = False
+
+    @property
+    def _writer(self) -> str:
+        return (STREAM_MARK if self._is_stream else "") + _digest(self.run_id)
 
     @property
     def version_schema(self) -> T.StructType:
@@ -145,7 +154,7 @@ class UpsertTable:
         number = max((e.number for e in self.entries(spark)), default=0) + 1
         while not self._claim(spark, number):
             number += 1
-        entry = Entry(number, kind, priority, number if sequence is None else sequence, batch, _digest(self.run_id), commit)
+        entry = Entry(number, kind, priority, number if sequence is None else sequence, batch, self._writer, commit)
         part, fs = _fs(spark, f"{self.log_root}/_{uuid.uuid4().hex}")
         out = fs.create(part, False)
         out.write(bytearray(json.dumps({"covers": list(covers)}).encode()))
@@ -215,7 +224,7 @@ class UpsertTable:
             fs.delete(hpath, True)
             return 0
         earlier = [e for e in self.entries(spark)
-                   if e.kind == "commit" and (e.writer, e.batch) == (_digest(self.run_id), batch_id)]
+                   if e.kind == "commit" and (e.writer, e.batch) == (self._writer, batch_id)]
         self._append(spark, "commit", self.priority, min((e.sequence for e in earlier), default=None), batch_id, commit)
         return rows
 
@@ -228,7 +237,7 @@ class UpsertTable:
             # the query's id stays the same over restarts from its checkpoint, and is new with a new one
             query = batch_df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
             if query:
-                self.run_id = f"stream-{query}"
+                self.run_id, self._is_stream = f"stream-{query}", True
             rows = self._write(self._sorted(self._typed(batch_df)), int(batch_id), skip_empty=True)
             if rows:
                 log.info("table=%s batch=%s rows=%s persisted", self.spec.name, batch_id, rows)
@@ -322,20 +331,45 @@ class UpsertTable:
             rows = rows.unionByName(self._base_rows(spark, base))
         return self._dealt(latest_by_key(rows, self.spec.primary_key, VERSION, keep_version=True))
 
-    def expire(self, spark: SparkSession, grace_seconds: float = GRACE_SECONDS) -> int:
-        """Remove what the current base covers, and older bases, once the base is older than the grace period.
-        Returns the number of entries removed.  Data folders go after their entries, so no entry lacks its rows."""
+    def expire(self, spark: SparkSession, grace_seconds: float = GRACE_SECONDS, live_seconds: float = LIVE_SECONDS) -> int:
+        """Remove what the current base covers, and older bases, once the base is older than the grace period, and
+        what crashed writes have left.  Returns the number of entries removed.  Data folders go after their entries,
+        so no entry lacks its rows.
+
+        Kept are the last commit of the log and the last one of each stream that has written within ``live_seconds``, so
+        that a batch that is replayed is still known.  A batch job is a writer of its own each time it runs; its
+        commits go as soon as they are covered.
+        """
+        now = time.time() * 1000
         entries = self.entries(spark)
         base = max((e for e in entries if e.kind == "base"), default=None)
-        if base is None or time.time() * 1000 - base.time_ms < grace_seconds * 1000:
-            return 0
-        covered = self._covers(spark, base)
-        # the last entry of each writer stays, so that a stream that replays its last batch is still known
-        last = {e.writer: e for e in entries if e.kind == "commit"}
-        gone = [e for e in entries if (e.kind == "base" and e < base)
-                or (e.kind == "commit" and e.commit in covered and last[e.writer] != e)]
-        for e in gone:
-            for path in (f"{self.log_root}/{e.name}", f"{self.log_root}/{e.number:020d}.claim", self.data_path(e.commit)):
-                hpath, fs = _fs(spark, path)
-                fs.delete(hpath, True)
+        gone = []
+        if base is not None and now - base.time_ms >= grace_seconds * 1000:
+            covered = self._covers(spark, base)
+            commits = [e for e in entries if e.kind == "commit"]
+            kept = {e.writer: e for e in commits if e.writer.startswith(STREAM_MARK) and now - e.time_ms < live_seconds * 1000}
+            kept["last"] = commits[-1] if commits else None
+            gone = [e for e in entries if (e.kind == "base" and e < base)
+                    or (e.kind == "commit" and e.commit in covered and e not in kept.values())]
+            for e in gone:
+                for path in (f"{self.log_root}/{e.name}", f"{self.log_root}/{e.number:020d}.claim", self.data_path(e.commit)):
+                    hpath, fs = _fs(spark, path)
+                    fs.delete(hpath, True)
+        self._sweep(spark, now - grace_seconds * 1000)
         return len(gone)
+
+    def _sweep(self, spark: SparkSession, before_ms: float) -> int:
+        """Remove data folders, claims and unpublished entries that no entry names and that are older than ``before_ms``."""
+        listed = {name: _fs(spark, f"{self.root}/{name}") for name in ("data", "_log")}
+        old = {name: [st for st in fs.listStatus(hpath) if st.getModificationTime() <= before_ms] if fs.exists(hpath) else []
+               for name, (hpath, fs) in listed.items()}
+        entries = self.entries(spark)  # after the folders: a write that commits meanwhile is found here
+        commits, numbers = {e.commit for e in entries}, {e.number for e in entries}
+        left = [st for st in old["data"] if st.getPath().getName().partition("=")[2] not in commits]
+        for st in old["_log"]:
+            name = st.getPath().getName()
+            if name.startswith("_") or (name.endswith(".claim") and int(name.removesuffix(".claim")) not in numbers):
+                left.append(st)
+        for st in left:
+            listed["data"][1].delete(st.getPath(), True)
+        return len(left)

@@ -26,6 +26,16 @@ def read_shared_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return both.where(F.col("table_name") == name).select(*TABLES[name].columns)
 
 
+def stored_places(spark: SparkSession, table: UpsertTable) -> DataFrame:
+    """Rows of the table's base as they lie in its files: with ``file`` (files in the order they were written, which is that
+    of their ranges) and ``row`` (place in the file)."""
+    base = table.current_base(spark)
+    if base is None:
+        raise ValueError(f"{table.root} has no base: compact it first")
+    rows = spark.read.schema(table.spec.schema).parquet(table.data_path(base.commit))
+    return rows.select(*table.spec.columns, F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
+
+
 def in_table_order(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Rows in the table's key order: partition column, then its clustering order
     (window_metrics: newest window first; by-source: newest first, then greenhouse)."""

@@ -16,7 +16,7 @@ WRITTEN = "written"
 
 def _summary(p) -> dict:
     ops = p.stateOperators or []
-    written = (p.observedMetrics or {}).get(WRITTEN)
+    written = (getattr(p, "observedMetrics", None) or {}).get(WRITTEN)
     return {
         "name": p.name,
         "batch_id": p.batchId,
@@ -27,7 +27,7 @@ def _summary(p) -> dict:
         "state_rows": sum(op.numRowsTotal for op in ops),
         # rows handed to the sink, counted while they are written (None for queries that observe nothing)
         "rows_written": written.asDict() if written is not None else None,
-        "sources": len(p.sources),
+        "sources": len(getattr(p, "sources", None) or ()),
     }
 
 
