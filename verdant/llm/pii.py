@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from verdant.llm.spans import SPAN, chunks, locate, piece
+from verdant.llm.spans import BLOCK, SPAN, chunks, locate, piece
 from verdant.session import scratch_path
 
 #: Different seeds that a pattern must have introduced, its confidence, and the belief a found identifier needs.
@@ -63,9 +63,42 @@ TOKEN = "(?<!\\S)[^\\s0-9@]*+[0-9@]\\S*+"
 
 
 def _is_token(text: Column) -> Column:
-    """Tokens that may be identifiers: four digits, or an @ inside; not a base match themselves."""
-    fixed = text.rlike(BASE["email"][0]) | text.rlike(BASE["ip"][0]) | text.rlike(BASE["card"][0]) | text.rlike(BASE["phone"][0])
-    return ((F.length(_digits(text)) >= 4) | text.rlike("\\w@\\w")) & ~fixed
+    """Tokens that may be identifiers: four digits, or an @ inside."""
+    return (F.length(_digits(text)) >= 4) | text.rlike("\\w@\\w")
+
+
+def _unmet(rows: DataFrame) -> DataFrame:
+    """``rows`` without the tokens that overlap a base span.
+
+    What only looks like a base match, but failed its test, may still be found.  The spans of a kind are in order and apart,
+    so a token looks into those blocks of them that reach over it.
+    """
+    def blocks(k: str) -> Column:
+        def ends(b: Column) -> Column:
+            last = F.least((b + 1) * BLOCK, F.size(k)).cast("int")
+            return F.struct(b.alias("b"), F.get(k, b * BLOCK)["start"].alias("low"), F.get(k, last - 1)["end"].alias("high"))
+
+        return F.when(F.size(k) > 0, F.transform(F.sequence(F.lit(0), F.floor((F.size(k) - 1) / BLOCK).cast("int")), ends))
+
+    def met(token: Column) -> Column:
+        def over(x: Column) -> Column:
+            return (x["low"] < token["end"]) & (x["high"] > token["start"])
+
+        def by(k: str) -> Column:
+            def inside(x: Column) -> Column:
+                return F.exists(F.slice(F.col(k), x["b"] * BLOCK + 1, F.lit(BLOCK)), lambda s: (s["start"] < token["end"]) & (s["end"] > token["start"]))
+
+            return F.coalesce(F.exists(f"_blocks_{k}", lambda x: over(x) & inside(x)), F.lit(False))
+
+        found = F.lit(False)
+        for k in BASE:
+            found = found | by(k)
+        return found
+
+    some = F.greatest(*(F.size(k) for k in BASE)) > 0
+    rows = rows.withColumns({f"_blocks_{k}": blocks(k) for k in BASE})
+    rows = rows.withColumn("token", F.when(some & (F.size("token") > 0), F.filter("token", lambda t: ~met(t))).otherwise(F.col("token")))
+    return rows.drop(*(f"_blocks_{k}" for k in BASE))
 
 
 def _stored(df: DataFrame, name: str) -> DataFrame:
@@ -82,7 +115,7 @@ def _parts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Base spans, and (kind or null, words before, value, span) of every base match and candidate token."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).withColumn("version", F.xxhash64("doc_id", "text"))
-    rows = locate(rows, "text", BASE | {"token": (TOKEN, _is_token)})
+    rows = _unmet(locate(rows, "text", BASE | {"token": (TOKEN, _is_token)}))
 
     def named(spans: str, kind: Column) -> Column:
         return F.transform(spans, lambda x: F.struct(kind.alias("kind"), x.alias("span")))
