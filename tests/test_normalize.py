@@ -167,3 +167,22 @@ def test_whitespace_like_python_strip(spark):
     got = df.select(text_to_double("s").alias("d"), int_prefix("s").alias("n")).collect()
     assert got[0]["d"] == 20.0 and got[1]["d"] == 2.0 and got[2]["d"] != got[2]["d"] and got[3]["d"] is None
     assert [r["n"] for r in got] == [20, 2, None, None]
+
+
+def test_loose_observations(spark):
+    """Numbers, texts and other types under the same keys; unknown keys; elements and payloads that are no objects or no JSON."""
+    from pyspark.sql import functions as F
+
+    from verdant.operators.normalize import latest_observation, normalize_observations
+    from verdant.sources.observations import known_readings, loose_reading, parse_loose_observations
+
+    payloads = ['[{"ta":1},{"idema":"A","ta":21.50,"hr":"55,5","sol":true,"vis":3,"other":{"x":[7]}}]', '[{"idema":"B","ta":{"v":1},"t":"19"}]',
+                '[1,"x",{"idema":5,"ta":null,"t":1e1}]', "[]", "{}", "not json", None, "[3]"]
+    rows = spark.createDataFrame(list(enumerate(payloads)), "event_id long, payload string").withColumn("loose", parse_loose_observations("payload"))
+    events = normalize_observations(rows.withColumn("observations", known_readings("loose")))
+    got = {r.event_id: (r.sensor_id, r.temperature_c, r.humidity_pct, r.light_lux, r.reject_reason) for r in events.collect()}
+    assert got[0] == ("aemet-A", 21.5, 55.5, 300.0, None)
+    assert got[1][:2] == ("aemet-B", 19.0) and got[2][:2] == ("aemet-5", 10.0)
+    assert [got[k][4] for k in (3, 4, 5, 6, 7)] == ["empty_observations"] * 4 + ["missing_station"]
+    other = rows.select(loose_reading(latest_observation("loose"), "other.x[0]", "int").alias("x")).where(F.col("x").isNotNull()).collect()
+    assert [r.x for r in other] == [7]

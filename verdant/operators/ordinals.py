@@ -3,54 +3,47 @@
 File order = files by path, then lines within each file.  Every input split
 (file, block start) is read by one task in line order, so a row's position
 is (ordinal of its split's first row) + (its offset inside the split).
-Offsets of splits are summed within each file, offsets of files within range
-partitions of the paths, and only the totals of those partitions (as many as
-``spark.sql.shuffle.partitions`` at most) in one task.
+A count pass gives one row for each split, which the driver, that holds the
+listing of the files anyway, sums up in file order; the rows get their
+split's offset by a broadcast join as long as there are at most
+``BROADCAST_SPLITS`` of them, and by a plain join beyond.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verdant.session import scratch_path
+#: Offsets of so many splits are broadcast: some 100 bytes each.
+BROADCAST_SPLITS = 200_000
 
+_SPLIT = ["_split_file", "_split_start"]
 
-def _before(window):
-    """Sum of ``rows`` over the earlier rows of the window."""
-    return F.coalesce(F.sum("rows").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
-
-def _file_offsets(files: DataFrame) -> DataFrame:
-    """(_split_file, _file_offset): rows in all files with smaller paths."""
-    # written once, so that every use sees the same range partitions
-    path = scratch_path(files.sparkSession, "ordinals")
-    (files.repartitionByRange("_split_file").sortWithinPartitions("_split_file")
-     .withColumn("part", F.spark_partition_id()).write.parquet(path))
-    dealt = files.sparkSession.read.parquet(path)
-    parts = dealt.groupBy("part").agg(F.sum("rows").alias("rows")).select(
-        "part", _before(Window.orderBy("part")).alias("part_offset"))
-    inside = _before(Window.partitionBy("part").orderBy("_split_file"))
-    return dealt.withColumn("inside", inside).join(parts, "part").select(
-        "_split_file", (F.col("inside") + F.col("part_offset")).alias("_file_offset"))
+def _split_offsets(counts: pa.Table, per_file: bool) -> pa.Table:
+    """Splits in file order with ``_split_offset``, the rows before each (in its file, or in all files)."""
+    counts = counts.sort_by([(c, "ascending") for c in _SPLIT])
+    before = pc.subtract(pc.cumulative_sum(counts["rows"]), counts["rows"])
+    if per_file and counts.num_rows:
+        files = counts["_split_file"].combine_chunks().dictionary_encode().indices.to_numpy()  # numbered as they come, so in order
+        first = before.to_numpy()[[i for i in range(len(files)) if i == 0 or files[i] != files[i - 1]]]
+        before = pc.subtract(before, pa.array(first[files]))
+    return counts.drop_columns("rows").append_column("_split_offset", before)
 
 
 def _number_tagged(tagged: DataFrame, name: str, per_file: bool) -> DataFrame:
     """Number rows of a frame carrying its split columns (``_split_file``, ``_split_start``)."""
+    spark = tagged.sparkSession
     tagged = tagged.withColumn("_row_mid", F.monotonically_increasing_id())
-    splits = tagged.groupBy("_split_file", "_split_start").agg(
-        F.count(F.lit(1)).alias("rows"), F.min("_row_mid").alias("_split_first_mid"))
-    offsets = splits.select("_split_file", "_split_start", "_split_first_mid",
-                            _before(Window.partitionBy("_split_file").orderBy("_split_start")).alias("_split_offset"))
-    if not per_file:
-        files = _file_offsets(splits.groupBy("_split_file").agg(F.sum("rows").alias("rows")))
-        offsets = offsets.join(files, "_split_file").select(
-            "_split_file", "_split_start", "_split_first_mid", (F.col("_split_offset") + F.col("_file_offset")).alias("_split_offset"))
-    numbered = tagged.join(offsets, ["_split_file", "_split_start"])
+    counts = tagged.groupBy(*_SPLIT).agg(F.count(F.lit(1)).alias("rows"), F.min("_row_mid").alias("_split_first_mid")).toArrow()
+    offsets = spark.createDataFrame(_split_offsets(counts, per_file))
+    if counts.num_rows <= BROADCAST_SPLITS:
+        offsets = F.broadcast(offsets)
+    numbered = tagged.join(offsets, _SPLIT)
     ordinal = F.col("_split_offset") + (F.col("_row_mid") - F.col("_split_first_mid")) + F.lit(1)
-    return numbered.withColumn(name, ordinal).drop(
-        "_split_file", "_split_start", "_row_mid", "_split_first_mid", "_split_offset"
-    )
+    return numbered.withColumn(name, ordinal).drop(*_SPLIT, "_row_mid", "_split_first_mid", "_split_offset")
 
 
 def with_file_ordinals(df: DataFrame, name: str = "event_id", per_file: bool = False) -> DataFrame:

@@ -45,7 +45,7 @@ from verdant.sinks.publish import formatted_rows, sent_log, to_keyed_records, wr
 from verdant.sinks.upsert import BACKFILL, UpsertTable
 from verdant.sources.csv import read_crop_csv, read_crop_header
 from verdant.sources.events import read_events_stream
-from verdant.sources.observations import parse_observation_array
+from verdant.sources.observations import loose_reading, parse_loose_observations, parse_observation_array
 from verdant.sources.tables import open_table, read_table, stored_places
 from verdant.sources.testdata import SENSOR_VIEW_SQL, load_table, sensor_events
 from verdant.streaming.ingest import start_crop_ingest
@@ -480,6 +480,19 @@ def q_pick_first_float(spark, sf):
     )
 
 
+def q_loose_observations(spark, sf):
+    """SRC4/NRM12 over loose objects: in every other response numbers stand unquoted beside texts; ``seq`` is in no schema."""
+    numbers = F.regexp_replace("payload", r'"(t|tamax|hr|sol|vis)":"(-?[0-9]+(?:\.[0-9]+)?)"', '"$1":$2')
+    mixed = _responses(spark, sf).select("response_id", F.when(F.col("response_id") % 2 == 0, numbers).otherwise(F.col("payload")).alias("payload"))
+    loose = mixed.select("response_id", latest_observation(parse_loose_observations("payload")).alias("last"))
+
+    def first(keys):
+        return first_number([loose_reading(F.col("last"), k) for k in keys])
+
+    return loose.select("response_id", loose_reading(F.col("last"), "seq", "long").alias("seq"), first(S.WEATHER_TEMPERATURE_KEYS).alias("temperature"),
+                        first(S.WEATHER_HUMIDITY_KEYS).alias("humidity"), first(S.WEATHER_LIGHT_KEYS).alias("light"))
+
+
 def q_obs_defaults(spark, sf):
     """NRM15/NRM16: defaults for missing readings, light x100, rounded."""
     return q_weather_events(spark, sf).select("event_id", "temperature_c", "humidity_pct", "light_lux")
@@ -506,6 +519,10 @@ SELECT response_id,
        {_first_sql(S.WEATHER_LIGHT_KEYS)} AS light
 FROM ({FX.OBSERVATION_LAST_SQL}) o"""
 
+LOOSE_OBSERVATIONS_SQL = f"""
+SELECT p.response_id, CASE WHEN p.response_id % 17 <> 0 THEN s.seq END AS seq, temperature, humidity, light
+FROM ({PICK_FIRST_SQL}) p JOIN (SELECT event_id // 8 AS response_id, max(event_id) AS seq FROM events GROUP BY 1) s ON s.response_id = p.response_id"""
+
 MEMBER_FALLBACK_SQL = f"""
 SELECT DISTINCT event_id // 8 AS response_id,
        CASE WHEN (event_id // 8) % 2 = 0 THEN 'alm-nijar' ELSE 'alm-unknown' END AS configured,
@@ -995,6 +1012,7 @@ def queries() -> dict[str, QueryFn]:
         "impute_flags": q_impute_flags,
         "latest_observation": q_latest_observation,
         "pick_first_float": q_pick_first_float,
+        "loose_observations": q_loose_observations,
         "obs_defaults": q_obs_defaults,
         "member_fallback": q_member_fallback,
         "source_metadata_union": q_source_metadata_union,
@@ -1052,6 +1070,7 @@ def oracle_sql() -> dict[str, str]:
         "impute_flags": f"SELECT event_id, zone, imputed FROM ({CROP_SQL}) c",
         "latest_observation": LATEST_OBSERVATION_SQL,
         "pick_first_float": PICK_FIRST_SQL,
+        "loose_observations": LOOSE_OBSERVATIONS_SQL,
         "obs_defaults": f"SELECT event_id, temperature_c, humidity_pct, light_lux FROM ({WEATHER_SQL}) w",
         "member_fallback": MEMBER_FALLBACK_SQL,
         "source_metadata_union": UNION_SQL,

@@ -14,6 +14,26 @@ def parse_observation_array(text_col) -> "F.Column":
     return F.from_json(c, S.OBSERVATION_ARRAY_SCHEMA)
 
 
+def parse_loose_observations(text_col) -> "F.Column":
+    """JSON array text -> array<variant>: readings of any JSON type, and keys that no schema names.
+
+    Text that is no JSON, or no array, gives NULL; elements that are no objects have no readings.
+    """
+    c = F.col(text_col) if isinstance(text_col, str) else text_col
+    return F.try_variant_get(F.try_parse_json(c), "$", "array<variant>")
+
+
+def loose_reading(observation, key: str, kind: str = "string") -> "F.Column":
+    """One reading of a variant observation (by default as text, numbers as they are written); NULL where it does not fit."""
+    return F.try_variant_get(observation, f"$.{key}", kind)
+
+
+def known_readings(observations) -> "F.Column":
+    """array<variant> -> array<struct> of the known keys as texts, as :func:`parse_observation_array` gives them."""
+    c = F.col(observations) if isinstance(observations, str) else observations
+    return F.transform(c, lambda o: F.struct(*[loose_reading(o, k).alias(k) for k in S.OBSERVATION_KEYS]))
+
+
 def read_observation_files(spark: SparkSession, path: str) -> DataFrame:
     """One row per response file: (file, observations).
 
