@@ -31,3 +31,19 @@ def test_batch_job_then_compaction(workdir):
     out = _run(["verdant.plans.maintenance", tables])
     assert out.returncode == 0, out.stderr[-2000:]
     assert "'window_metrics': Entry(" in out.stdout and "'window_metrics_by_source': None" in out.stdout
+
+
+def test_scratch_folders_go_when_the_process_ends(workdir):
+    code = f"""
+import sys; sys.path.insert(0, {REPO!r})
+from verdant.session import build_session, scratch_path
+spark = build_session("local[2]", conf={{"spark.checkpoint.dir": {workdir!r}}})
+path = scratch_path(spark, "some")
+spark.range(5).write.parquet(path)
+assert spark.read.parquet(path).count() == 5
+if {{stop}}: spark.stop()
+"""
+    for stop in (True, False):
+        done = subprocess.run([sys.executable, "-c", code.replace("{stop}", str(stop))], capture_output=True, text=True, timeout=180)
+        assert done.returncode == 0, done.stderr
+        assert os.listdir(os.path.join(workdir, "verdant", "some")) == []

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import logging
 import os
 import tempfile
 import uuid
@@ -9,6 +11,12 @@ from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
 
+log = logging.getLogger(__name__)
+
+#: Scratch folders of this process and the file system settings to remove them with.
+_scratch: list[str] = []
+_hadoop_conf = None
+
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -70,8 +78,31 @@ def new_run_id() -> str:
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:
-    """A fresh, unique folder under the shared root (never reused, never removed)."""
-    return "/".join([shared_root(spark), "verdant", *parts, new_run_id()])
+    """A fresh, unique folder under the shared root, removed when this process ends.
+
+    Results are lazy and read their scratch tables again, also after an executor is lost, so nothing goes earlier.
+    """
+    global _hadoop_conf
+    if _hadoop_conf is None:  # Spark's own exit handler was registered before this one, so it runs after
+        atexit.register(drop_scratch)
+    _hadoop_conf = spark.sparkContext._jsc.hadoopConfiguration()
+    path = "/".join([shared_root(spark), "verdant", *parts, new_run_id()])
+    _scratch.append(path)
+    return path
+
+
+def drop_scratch() -> None:
+    """Remove the scratch folders made so far: results not yet read cannot be read afterwards."""
+    from pyspark import SparkContext
+
+    gateway = SparkContext._gateway
+    while gateway is not None and _scratch:
+        path = _scratch.pop()
+        try:
+            folder = gateway.jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(_hadoop_conf).delete(folder, True)
+        except Exception as e:  # noqa: BLE001 - at exit the JVM may be gone; a folder that stays is named
+            log.warning("scratch folder %s stays: %s", path, e)
 
 
 def is_local_path(path: str) -> bool:
