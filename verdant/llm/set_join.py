@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from verdant.llm.arrays import Words, mix, steps, utf8
 from verdant.llm.components import components
@@ -253,16 +254,25 @@ def groups(docs: DataFrame, *, n: int = 4, percent: int = PERCENT, id_col: str =
 def keep_one(docs: DataFrame, *, n: int = 4, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each group, the one with the least id (null is the greatest).
 
-    Rows are named by a hash of id and text, so texts that share an id are judged apart; of repeated rows one stays.
+    A row is named by its id, and by a hash of id and text where the id is null, no whole number, or has different texts, which
+    are judged apart; of repeated rows one stays.  (All rows are compared with the least name of a key first: with ids that is
+    mostly the text that the others were copied from, and nearer to them than they are to each other.)
     """
     own = "_name"
-    while own in (c.lower() for c in docs.columns):
+    while any(c.lower().startswith(own) for c in docs.columns):
         own += "_"
-    rows = docs.select(F.xxhash64(F.col(id_col), F.col(text_col)).alias("name"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    ident, hashed = F.col(id_col), F.xxhash64(F.col(id_col), F.col(text_col))
+    if isinstance(docs.schema[id_col].dataType, T.IntegralType):
+        texts = docs.select(ident.alias(f"{own}id"), hashed.alias("hash")).groupBy(f"{own}id").agg(F.min("hash").alias("low"), F.max("hash").alias("high"))
+        several = stored(texts.where((F.col("low") < F.col("high")) & F.col(f"{own}id").isNotNull()).select(f"{own}id"), "several_texts")
+        keyed = docs.join(several, ident == F.col(f"{own}id"), "left")
+        keyed = keyed.withColumn(own, F.when(ident.isNull() | F.col(f"{own}id").isNotNull(), hashed).otherwise(ident.cast("long"))).drop(f"{own}id")
+    else:
+        keyed = docs.withColumn(own, hashed)
+    rows = keyed.select(F.col(own).alias("name"), ident.alias("id"), F.col(text_col).alias("text"))
     found = groups(rows, n=n, percent=percent, id_col="name").select(F.col("doc_id").alias("name"), "component_id").distinct()
     least = (rows.select("name", "id").distinct().join(found, "name").groupBy("component_id")
              .agg(F.min(F.struct(F.col("id").isNull(), "id", "name"))["name"].alias(own)))
-    keyed = docs.withColumn(own, F.xxhash64(F.col(id_col), F.col(text_col)))
     return keyed.join(stored(least.select(own), "least"), own, "left_semi").dropDuplicates([own]).drop(own)
 
 
