@@ -91,6 +91,35 @@ def test_copies_share_their_chunks(spark):
     assert sum(r.own for r in dictionary) < 3 * 4000  # thirty copies are stored about once
 
 
+def test_longer_phrases_are_counted_from_runs_of_frequent_pairs(spark):
+    """Three words and more: words beside no frequent pair are gone, and the counts are those of the chunks."""
+    rng = random.Random(4)
+    rows = [("en", " ".join(rng.choice(["a", "b", "c", "d", f"rare{k}", "e. f"]) for _ in range(rng.choice([1, 2, 4, 40]))), rng.randint(1, 9)) for k in range(300)]
+    rows = [(lang, text, rng.randint(1, len(re.findall("[^ .]+", text))), n) for lang, text, n in rows]
+    dictionary = spark.createDataFrame(rows + [("es", "a b c", 2, 5)], "lang string, chunk string, own int, n long").repartition(2)
+    pairs, expected = Counter(), Counter()
+    for lang, text, own, n in [*rows, ("es", "a b c", 2, 5)]:
+        words = [(w, k) for k, piece in enumerate(text.split(".")) for w in piece.split()]
+        for size, into in ((2, pairs), (3, expected), (4, expected), (5, expected)):
+            for i in range(min(own, len(words) - size + 1)):
+                if words[i][1] == words[i + size - 1][1]:
+                    into[(lang, *(w for w, _ in words[i : i + size]))] += n
+    frequent = spark.createDataFrame([(lang, f"{x} {y}") for (lang, x, y), a in pairs.items() if a >= 20], "lang string, phrase string")
+
+    def hashed(batches):
+        for batch in batches:
+            grams = collocations.Grams(batch, "phrase")
+            yield batch.append_column("gram", collocations._signed(grams.of(2)[grams.words.first[:-1]]))
+
+    bits = spark.sparkContext.broadcast(collocations.Filter.of(frequent.repartition(1).mapInArrow(hashed, "lang string, phrase string, gram long")))
+    found = collocations.runs(dictionary, bits)
+    assert 0 < sum(len(r.chunk.split()) for r in found.collect()) < sum(len(text.split()) for _, text, _, _ in rows)
+    everything = spark.sparkContext.broadcast(collocations.np.full(1 << (collocations.FILTER_BITS - 6), (1 << 64) - 1, collocations.np.uint64))
+    for size in (3, 4, 5):
+        good = sorted(a for p, a in expected.items() if len(p) == size + 1 and a >= 20)
+        assert good == sorted(r.a for r in collocations.longer_counts(found, size, everything, 20).collect())
+
+
 def test_arithmetic_beyond_64_bits(spark):
     totals = spark.createDataFrame([("en", 9 * 10**15)], "lang string, n long")
     phrases = spark.createDataFrame([("en", "a", 1, 7 * 10**14), ("en", "b", 1, 6 * 10**14), ("en", "a b", 2, 5 * 10**14)], "lang string, phrase string, words int, a long")

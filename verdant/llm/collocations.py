@@ -10,7 +10,8 @@ overlap count once.  A chunk without a trigger is closed after ``LONGEST_CHUNK``
 Phrases are counted by length.  One of n words reaches ``min_count`` only if both phrases of n - 1 words in it do, so the
 frequent ones of a length go into a Bloom filter of fixed size, and only phrases whose two parts pass it are summed for the
 next length.  The filter only saves work: each phrase that passes is counted exactly.  Words and phrases travel as 64-bit
-hashes; a phrase is known by two of them, of all its words but the last and of the last word.
+hashes; a phrase is known by two of them, of all its words but the last and of the last word.  Phrases of three words and more
+are counted over what is left of the chunks when only runs of words whose pairs pass the filter are kept.
 
 Defined results: a null language is ``und``; a null or empty text and a text without words have no phrases; repeated rows
 all count; texts with fewer words than the window are one chunk; an empty table gives no rows; extra columns are not read.
@@ -22,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,9 +49,10 @@ WORD[[0x20, 0x09]] = False
 def _slices(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.StringArray:
     """data[start:end] for many ranges, as one column."""
     size = ends - starts
-    offsets = np.append(0, np.cumsum(size)).astype(np.int32)
-    row, at = ragged(size)
-    return pa.StringArray.from_buffers(len(size), pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data[starts[row] + at])))
+    offsets = np.append(0, np.cumsum(size))
+    at = np.repeat(starts - offsets[:-1], size)
+    at += np.arange(offsets[-1])
+    return pa.StringArray.from_buffers(len(size), pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data[at]))
 
 
 def _chunks(words: Words, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -99,20 +102,34 @@ class Grams:
         self.row = np.repeat(np.arange(batch.num_rows), words.count)
         self.word = join(lang[self.row], words.hash)
 
+    def own(self, size: np.ndarray) -> np.ndarray:
+        """Whether a word is one of the first ``size`` of its chunk, for every word."""
+        return np.arange(len(self.word)) < np.repeat(self.words.first[:-1] + size, self.words.count)
+
     def broken(self) -> np.ndarray:
         """Whether a word and the next are in different pieces, for every word but the last."""
-        breaks = np.cumsum(BREAK[self.data])
-        words = self.words
-        return (breaks[words.end[:-1] - 1] != breaks[words.start[1:] - 1]) | (self.row[1:] != self.row[:-1])
+        end, gap = self.words.end[:-1], self.words.start[1:] - self.words.end[:-1]
+        out = (self.row[1:] != self.row[:-1]) | BREAK[self.data[end]]
+        wide = np.flatnonzero((gap > 1) & ~out)  # few: most words are one byte apart
+        which, k = ragged(gap[wide])
+        out[wide[which[BREAK[self.data[end[wide][which] + k]]]]] = True
+        return out
 
-    def of(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """(hash, whether in one piece) of the phrases of n words that begin at every word they fit behind."""
+    def whole(self, n: int) -> np.ndarray:
+        """Whether the phrase of n words is in one piece, for every word it fits behind."""
         keep = max(0, len(self.word) - n + 1)
-        gram, whole, broken = self.word[:keep].copy(), np.ones(keep, bool), self.broken()
+        whole, broken = np.ones(keep, bool), self.broken()
+        for k in range(n - 1):
+            whole &= ~broken[k : k + keep]
+        return whole
+
+    def of(self, n: int) -> np.ndarray:
+        """Hashes of the phrases of n words that begin at every word they fit behind."""
+        keep = max(0, len(self.word) - n + 1)
+        gram = self.word[:keep]
         for k in range(1, n):
             gram = join(gram, self.word[k : k + keep])
-            whole &= ~broken[k - 1 : k - 1 + keep]
-        return gram, whole
+        return gram
 
 
 def _lang_hash(langs: pa.Array) -> np.ndarray:
@@ -162,18 +179,25 @@ class Filter:
 
     @classmethod
     def has(cls, bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-        found = np.ones(len(hashes), bool)
-        for place in cls.places(hashes):
-            found &= (bits[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) > 0
+        first, second = cls.places(hashes)
+        found = cls._set(bits, first)
+        likely = np.flatnonzero(found)
+        found[likely] = cls._set(bits, second[likely])
         return found
 
+    @staticmethod
+    def _set(bits: np.ndarray, place: np.ndarray) -> np.ndarray:
+        return (bits[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) > 0
+
 
 def _add_up(hashes: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(place of one occurrence, sum of weights) of every distinct hash."""
-    _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-    total = np.zeros(len(first), np.int64)
-    np.add.at(total, which, weights)
-    return first, total
+    if not len(hashes):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    order = np.argsort(hashes)
+    run = hashes[order]
+    first = np.flatnonzero(np.append(True, run[1:] != run[:-1]))
+    return order[first], np.add.reduceat(weights[order], first)
 
 
 def word_counts(dictionary: DataFrame) -> DataFrame:
@@ -183,7 +207,7 @@ def word_counts(dictionary: DataFrame) -> DataFrame:
         for batch in steps(batches, "chunk", STEP_BYTES):
             grams = Grams(batch, "chunk")
             words = grams.words
-            own = np.flatnonzero(np.arange(len(grams.word)) - words.first[grams.row] < batch.column("own").to_numpy()[grams.row])
+            own = np.flatnonzero(grams.own(batch.column("own").to_numpy()))
             first, total = _add_up(grams.word[own], batch.column("n").to_numpy()[grams.row[own]])
             at = own[first]
             yield pa.RecordBatch.from_arrays(
@@ -199,24 +223,48 @@ def word_counts(dictionary: DataFrame) -> DataFrame:
     return summed.mapInArrow(name, "lang string, phrase string, a long, gram long")
 
 
-def longer_counts(dictionary: DataFrame, n: int, shorter: np.ndarray, min_count: int) -> DataFrame:
+def runs(dictionary: DataFrame, pairs: Broadcast) -> DataFrame:
+    """The dictionary with only the runs of three or more words whose neighbours pass the filter of pairs; a full stop ends each run."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in steps(batches, "chunk", STEP_BYTES):
+            grams = Grams(batch, "chunk")
+            linked = grams.whole(2) & Filter.has(pairs.value, grams.of(2))
+            linked = np.concatenate([[False], linked, [False]])  # of word k with the one before; with the next at k + 1
+            both = np.concatenate([[False], linked[:-1] & linked[1:], [False]])[: len(grams.word) + 2]
+            kept = both[:-2] | both[1:-1] | both[2:]
+            before, after = linked[:-1][: len(kept)], linked[1:][: len(kept)]
+            first, last = (np.flatnonzero(kept & ~side) for side in (before, after))
+            if not len(first):
+                continue
+            start, size = grams.words.start[first], grams.words.end[last] - grams.words.start[first] + 1
+            end = np.cumsum(size)
+            at = np.repeat(start - (end - size), size)
+            at += np.arange(end[-1])
+            text = grams.data[np.minimum(at, len(grams.data) - 1)]
+            text[end - 1] = ord(".")
+            own = np.bincount(grams.row, kept & grams.own(batch.column("own").to_numpy()), batch.num_rows).astype(np.int32)
+            row_end = np.cumsum(np.bincount(grams.row[first], size, batch.num_rows).astype(np.int32), dtype=np.int32)
+            column = pa.StringArray.from_buffers(batch.num_rows, pa.py_buffer(np.append(np.int32(0), row_end)), pa.py_buffer(text))
+            found = pa.RecordBatch.from_arrays([batch.column("lang"), column, pa.array(own), batch.column("n")], ["lang", "chunk", "own", "n"])
+            yield found.filter(pa.array(own > 0))
+
+    return dictionary.select("lang", "chunk", "own", "n").mapInArrow(run, "lang string, chunk string, own int, n long")
+
+
+def longer_counts(dictionary: DataFrame, n: int, shorter: Broadcast, min_count: int) -> DataFrame:
     """before, last (hashes), a and gram of the phrases of n words that occur ``min_count`` times or more.
 
     shorter: the filter of the phrases of n - 1 words that do.
     """
-    shared = dictionary.sparkSession.sparkContext.broadcast(shorter)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, "chunk", STEP_BYTES):
             grams = Grams(batch, "chunk")
-            before, _ = grams.of(n - 1)
-            gram, whole = grams.of(n)
-            keep = len(gram)
-            own = np.arange(keep) - grams.words.first[grams.row[:keep]] < batch.column("own").to_numpy()[grams.row[:keep]]
-            at = np.flatnonzero(whole & own)
-            at = at[Filter.has(shared.value, before[at])]
-            at = at[Filter.has(shared.value, before[at + 1])]
-            first, total = _add_up(gram[at], batch.column("n").to_numpy()[grams.row[at]])
+            before, whole = grams.of(n - 1), grams.whole(n)
+            passed = Filter.has(shorter.value, before)
+            at = np.flatnonzero(whole & grams.own(batch.column("own").to_numpy())[: len(whole)] & passed[: len(whole)] & passed[1 : len(whole) + 1])
+            first, total = _add_up(join(before[at], grams.word[at + n - 1]), batch.column("n").to_numpy()[grams.row[at]])
             at = at[first]
             yield pa.RecordBatch.from_arrays([_signed(before[at]), _signed(grams.word[at + n - 1]), pa.array(total)], ["before", "last", "a"])
 
@@ -242,9 +290,12 @@ def frequent(docs: DataFrame, *, min_count: int = 100, longest: int = 5, text_co
     levels = [words.where(F.col("a") >= min_count).select("lang", "phrase", F.lit(1).alias("words"), "a", "gram")]
     last_word = levels[0].select(F.col("gram").alias("last"), F.col("phrase").alias("last_word"))
     for n in range(2, longest + 1):
-        shorter = Filter.of(levels[-1])
-        if not shorter.any():
+        bits = Filter.of(levels[-1])
+        if not bits.any():
             break
+        shorter = spark.sparkContext.broadcast(bits)
+        if n == 3:
+            dictionary = keep(runs(dictionary, shorter), "runs")
         spelled = levels[-1].select(F.col("gram").alias("before"), "lang", "phrase")
         found = longer_counts(dictionary, n, shorter, min_count).join(spelled, "before").join(last_word, "last")
         levels.append(keep(found.select("lang", F.concat_ws(" ", "phrase", "last_word").alias("phrase"), F.lit(n).alias("words"), "a", "gram"), f"{n}"))
